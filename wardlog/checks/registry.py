@@ -404,10 +404,9 @@ cred AS (
   SELECT CASE event_type WHEN 'signup' THEN 'success' ELSE 'failed' END AS outcome, 'username' AS field, username AS value FROM log WHERE username <> ''
   UNION ALL SELECT CASE event_type WHEN 'signup' THEN 'success' ELSE 'failed' END, 'password', password FROM log WHERE password <> ''
 ),
+counted AS (SELECT outcome, field, value, count(*) AS count FROM cred GROUP BY ALL),
 top_cred AS (
-  SELECT outcome, field, value, count(*) AS count,
-    row_number() OVER (PARTITION BY outcome, field ORDER BY count(*) DESC, value)::INTEGER AS rank
-  FROM cred GROUP BY ALL
+  SELECT *, row_number() OVER (PARTITION BY outcome, field ORDER BY count DESC, value)::INTEGER AS rank FROM counted
 )"""
 
 
@@ -565,7 +564,7 @@ def _(spark, d):
 
 @query("joined_commands", O.on_sessions("SELECT session_id, commands FROM s WHERE command_count > 0"))
 def _(spark, d):
-    return SE.joined_commands(raw(spark, d)).drop("part")
+    return SE.joined_commands(raw(spark, d)).select("session_id", "commands")
 
 
 @query("split_commands", O.on_sessions("""SELECT session_id, len(string_split(commands, ' | '))::INTEGER AS pieces,
@@ -947,10 +946,10 @@ def _(spark, d):
     return M.roc_points(scores(spark, d))
 
 
-@query("roc_auc", f"""WITH {O.SCORES}, points AS (
+@query("roc_auc", f"""WITH {O.SCORES}, curve AS (
       SELECT class, cum_neg::DOUBLE / all_neg AS fpr, cum_pos::DOUBLE / all_pos AS tpr, score FROM run
       UNION ALL SELECT DISTINCT class, 0.0::DOUBLE, 0.0::DOUBLE, 1e300 FROM run),
-    gaps AS (SELECT class, fpr - lag(fpr) OVER w AS width, (tpr + lag(tpr) OVER w) / 2 AS height FROM points WINDOW w AS (PARTITION BY class ORDER BY score DESC))
+    gaps AS (SELECT class, fpr - lag(fpr) OVER w AS width, (tpr + lag(tpr) OVER w) / 2 AS height FROM curve WINDOW w AS (PARTITION BY class ORDER BY score DESC))
     SELECT class, round(sum(width * height), 9) AS auc FROM gaps GROUP BY class""")
 def _(spark, d):
     return rounded(M.roc_auc(scores(spark, d)))

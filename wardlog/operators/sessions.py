@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from wardlog import schema as S
 from wardlog.functions import (
-    joined_text, level_name, matches, number_or_zero, parse_instant, split_commands, text_or_empty,
-    threat_code, threat_score,
+    joined_text, level_name, matches, number_or_zero, split_commands, text_or_empty, threat_code,
+    threat_score,
 )
 from wardlog.operators.events import valid
+from wardlog.session import materialize
 
 LIST_LIMIT = 100_000  # events of one session that are gathered into a single row
 
@@ -113,48 +114,46 @@ def session_features(events: DataFrame, per_file=False) -> DataFrame:
     return with_threat(sessionize(events, per_file))
 
 
-def long_session_parts(events: DataFrame, limit=LIST_LIMIT) -> DataFrame:
-    """(session, slice, part) for the sessions of more than `limit` events.
+def long_sessions(events: DataFrame, limit=LIST_LIMIT) -> DataFrame:
+    """Sessions of more than `limit` events."""
+    counts = events.groupBy("session").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") > limit).select("session")
 
-    A long session is cut between seconds. The cut is left out where the command before it ends
-    in a pipe sign, because there the separator could be read together with that command.
+
+def _cut_long_sessions(events: DataFrame, long: DataFrame, limit: int) -> DataFrame:
+    """Events of the long sessions with `part`: at most `limit` events of a session share one.
+
+    The rows are sorted across all tasks, so a session may span many of them, and written once
+    with increasing row numbers, so the numbers are the same in every later use.
     """
-    long = (
-        events.groupBy("session").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("session")
-    )
-    command = _is(S.EVENT_COMMAND)
-    slices = (
+    rows = (
         events.join(long, "session", "left_semi")
-        .groupBy("session", "slice")
-        .agg(F.max_by(text_or_empty("input"), F.when(command, F.col("ord"))).alias("tail"))
-    )
-    # One row per session and second: the window's size follows the time span, not the events.
-    before = W.partitionBy("session").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
-    previous = F.last("tail", ignorenulls=True).over(before)
-    cut = F.when(F.coalesce(previous.endswith("|"), F.lit(False)), 0).otherwise(1)
-    upto = W.partitionBy("session").orderBy("slice").rowsBetween(W.unboundedPreceding, 0)
-    return slices.withColumn("cut", cut).select(
-        "session", "slice", F.sum("cut").over(upto).alias("part")
+        .repartitionByRange("session", "ord").sortWithinPartitions("session", "ord")
+        .withColumn("row_number", F.monotonically_increasing_id())
     )
+    part = F.floor(F.col("row_number") / limit).cast("bigint") + 1
+    return materialize(rows).withColumn("part", part).drop("row_number")
 
 
 def session_lists(events: DataFrame, limit=LIST_LIMIT) -> DataFrame:
     """Ordered commands and login attempts as arrays: (session_id, part, commands, login_attempts).
 
-    A session of up to `limit` events is one row, part 0. A longer one is spread over parts
-    1, 2, ... that follow each other in order, so no row and no task receives all of it.
+    A session of up to `limit` events is one row, part 0. A longer one is spread over parts above
+    0, whose numbers increase in order, so no row and no task receives all of it. Whether there
+    are long sessions is found out first, by counting.
     """
-    sliced = valid(events).withColumn(
-        "slice", F.unix_seconds(parse_instant("timestamp"))
-    ).withColumn("slice", F.coalesce("slice", F.lit(-1)))
-    parts = long_session_parts(sliced, limit)
+    columns = ["session", "ord", "eventid", "timestamp", "input", "username", "password"]
     login = _is(S.EVENT_LOGIN_SUCCESS) | _is(S.EVENT_LOGIN_FAILED)
     command = _is(S.EVENT_COMMAND)
-    numbered = (
-        sliced.where(login | command)
-        .join(parts, ["session", "slice"], "left")
-        .withColumn("part", F.coalesce("part", F.lit(0)).cast("bigint"))
-    )
+    listed = valid(events).where(login | command).select(*columns)
+    long = long_sessions(listed, limit)
+    whole = F.lit(0).cast("bigint")
+    if long.isEmpty():
+        numbered = listed.withColumn("part", whole)
+    else:
+        numbered = listed.join(long, "session", "left_anti").withColumn("part", whole).unionByName(
+            _cut_long_sessions(listed, long, limit)
+        )
 
     def ordered(condition, *fields):
         entry = F.when(condition, F.struct(F.col("ord"), *fields))
@@ -217,11 +216,45 @@ def command_tokens(events: DataFrame, limit=LIST_LIMIT) -> DataFrame:
     )
     joined = joined_commands(typed.join(special, "session", "left_semi"), limit)
     whole_and_empty = (F.col("part") == 0) & (F.col("commands") == "")
-    return plain.unionByName(joined.where(~whole_and_empty).select(
+    return plain.unionByName(_with_open_ends(joined.where(~whole_and_empty)).select(
         "session_id", F.explode(split_commands(F.col("commands"))).alias("command")
     ))
 
 
+def _with_open_ends(parts: DataFrame) -> DataFrame:
+    """Part texts changed so that splitting them gives the pieces of the whole session's text.
+
+    A part is open when its last piece ends in a space and a pipe sign: with the first space of
+    the separator that follows, these form a separator, and the next part begins with what is
+    left of it, "| ". Whether a part is open can depend on whether the part before it was. That
+    dependence is one of four: never open, always open, the same, the opposite. So the state
+    before a part is that of the last part with a fixed state, flipped once per opposite since.
+    """
+    def is_open(text):
+        return F.element_at(split_commands(text), -1).endswith(" |")
+
+    after_closed, after_open = is_open(F.col("commands")), is_open(F.concat(F.lit("| "), "commands"))
+    states = parts.withColumns({
+        "fixed": F.when(after_closed == after_open, after_closed),
+        "flips": F.when(after_closed & ~after_open, 1).otherwise(0),
+    })
+    # One row per `limit` events: these windows are that much smaller than the session.
+    order = W.partitionBy("session_id").orderBy("part")
+    before = order.rowsBetween(W.unboundedPreceding, -1)
+    states = states.withColumns({
+        "last_fixed": F.coalesce(F.last("fixed", ignorenulls=True).over(before), F.lit(False)),
+        "run": F.count("fixed").over(before),
+    })
+    # Parts up to the next fixed one share a run; the fixed part that starts it does not flip.
+    in_run = W.partitionBy("session_id", "run").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    flipped = F.coalesce(F.sum("flips").over(in_run), F.lit(0)) % 2 == 1
+    states = states.withColumn("opened", F.col("last_fixed") != flipped)
+    states = states.withColumn("open", F.coalesce(F.lead("opened").over(order), F.lit(False)))
+    whole = states.withColumn("text", F.concat(F.when(F.col("opened"), "| ").otherwise(""), "commands"))
+    closed = F.when(F.col("open"), F.expr("left(text, length(text) - 2)")).otherwise(F.col("text"))
+    return whole.select("session_id", "part", closed.alias("commands"))
+
+
 def training_table(sessions: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
     """Sessions with the names that training uses.
 

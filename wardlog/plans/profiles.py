@@ -152,16 +152,14 @@ def threat_characteristics(sessions: DataFrame) -> DataFrame:
         rate("login_success").alias("login_success_rate"),
         *[rate(n).alias(n) for n in FLAGS_BY_LEVEL],
     )
-    # The total counts every session, also one without a known level.
-    total = sessions.agg(F.count(F.lit(1))).scalar()
+    # At most one row per level, and one for sessions without a level: the total may be a window.
+    share = percent(F.col("count"), F.sum("count").over(W.partitionBy()))
     levels = sessions.sparkSession.createDataFrame([(n,) for n in S.LEVEL_REPORT_ORDER], "threat_level string")
-    out = levels.join(grouped, "threat_level", "left")
-    return out.withColumns({
-        "count": F.coalesce("count", F.lit(0)),
-        "percentage": percent(F.coalesce("count", F.lit(0)), total),
-    }).select(
-        "threat_level", "count", "percentage", "avg_duration", "avg_command_count",
-        "login_success_rate", *FLAGS_BY_LEVEL,
+    out = levels.join(grouped.withColumn("percentage", share), "threat_level", "left")
+    return out.select(
+        "threat_level", F.coalesce("count", F.lit(0)).alias("count"),
+        F.coalesce("percentage", F.lit(0.0)).alias("percentage"),
+        "avg_duration", "avg_command_count", "login_success_rate", *FLAGS_BY_LEVEL,
     )
 
 
