@@ -14,8 +14,8 @@ HEADLINE = [
     "threat_characteristics", "session_features", "scan_jsonl", "basic_statistics", "event_distribution",
     "login_summary", "top_credentials", "command_type_distribution", "command_frequency", "command_totals",
     "sessions_by_day", "events_by_hour", "top_ip_profile", "summary_metrics", "stratified_split", "kfold_assign",
-    "standard_scale", "impute_median", "metrics_weighted", "roc_auc", "response_lookup", "stream_decisions",
-    "clf_logistic_regression", "clf_random_forest", "feature_importance", "kmeans_sweep_elbow", "pca_2d", "score_session",
+    "standard_scale", "impute_median", "metrics_weighted", "roc_auc", "response_lookup", "stream_decision_log",
+    "clf_logistic", "clf_random_forest", "feature_importance", "kmeans_sweep_elbow", "pca_2d", "score_session",
 ]
 
 

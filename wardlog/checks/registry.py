@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from wardlog import schema as S
 from wardlog.checks import oracles as O
 from wardlog.functions import (
-    blank_to_null, command_flags, hash_order, int_or_zero, level_name, list_length, map_key, number_or_zero, parse_ts,
-    percent, prettify,
+    blank_to_null, command_flags, day, hour, int_or_zero, list_length, number_or_zero, parse_instant, parse_ts, percent,
+    prettify, text_or_empty,
 )
 from wardlog.operators import events as E
 from wardlog.operators import metrics as M
@@ -321,6 +321,16 @@ def _(spark, d):
     return sessions(spark, d).select("session_id", *S.PATTERNS, "threat_score", "threat_level", "threat_code")
 
 
+for _flag in S.PATTERNS:
+    query(_flag, O.on_sessions(f"SELECT session_id, {_flag} FROM s"))(
+        lambda spark, d, flag=_flag: sessions(spark, d).select("session_id", flag))
+
+
+@query("threat_level", O.on_sessions("SELECT threat_score, threat_level, threat_code, count(*) AS count FROM s GROUP BY ALL"))
+def _(spark, d):
+    return sessions(spark, d).groupBy("threat_score", "threat_level", "threat_code").agg(F.count(F.lit(1)).alias("count"))
+
+
 @query("command_flags", O.on_log("SELECT input, " + ", ".join(
     f"regexp_matches(input, '{p}')::INTEGER AS {n}" for n, p in S.PATTERNS.items()
 ) + ", count(*) AS count FROM log WHERE input IS NOT NULL GROUP BY ALL"))
@@ -524,9 +534,14 @@ def _(spark, d):
 
 # --- ranked lists --------------------------------------------------------------------------
 
-@query("top_k_event_types", O.on_log(DISTRIBUTION_SQL + " ORDER BY count DESC, event_id LIMIT 3"))
+@query("top_k_event_types", O.on_log(DISTRIBUTION_SQL + " ORDER BY count DESC, event_id LIMIT 15"))
 def _(spark, d):
-    return P.event_distribution(events(spark, d)).orderBy(F.desc("count"), "event_id").limit(3)
+    return P.event_distribution(events(spark, d)).orderBy(F.desc("count"), "event_id").limit(15)
+
+
+@query("top_k_credentials", f"WITH {O.LOG}{CREDENTIALS} SELECT outcome, field, value, count FROM top_cred WHERE rank <= 5")
+def _(spark, d):
+    return P.top_credentials(events(spark, d), 5).drop("rank")
 
 
 @query("top_k_commands", O.on_tokens("SELECT command, count(*) AS count FROM tok GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20"))
@@ -625,6 +640,34 @@ def _(spark, d):
     )
 
 
+@query("day_hour", """SELECT strftime(ts, '%Y-%m-%d') AS day, hour(ts)::INTEGER AS hour, count(*) AS count FROM events GROUP BY ALL""")
+def _(spark, d):
+    ts = parse_ts("timestamp")
+    cells = events(spark, d).groupBy(day(ts).alias("day"), hour(ts).alias("hour")).agg(F.count(F.lit(1)).alias("count"))
+    return _plain_day(cells)
+
+
+@query("dict_get_default", O.on_log("""SELECT ord AS event_id, coalesce(username, '') AS username, coalesce(input, '-') AS input,
+    coalesce(duration, 0.0)::DOUBLE AS duration FROM log"""))
+def _(spark, d):
+    return raw(spark, d).select(
+        F.col("ord").alias("event_id"), text_or_empty("username").alias("username"),
+        F.coalesce("input", F.lit("-")).alias("input"), number_or_zero("duration").alias("duration"),
+    )
+
+
+@query("bool_to_int", O.on_sessions("SELECT session_id, login_success::INTEGER AS login_success, (end_time IS NOT NULL)::INTEGER AS closed FROM s"))
+def _(spark, d):
+    return sessions(spark, d).select(
+        "session_id", F.col("login_success").cast("int").alias("login_success"), F.col("end_time").isNotNull().cast("int").alias("closed"))
+
+
+@query("now", O.on_sessions("SELECT session_id, true AS later_than_start FROM s"))
+def _(spark, d):
+    """The decision time lies after every session's start."""
+    return sessions(spark, d).select("session_id", (F.current_timestamp() > parse_instant("start_time")).alias("later_than_start"))
+
+
 @query("percent", """SELECT user_id, count(*) FILTER (event_type = 'error')::DOUBLE / count(*)::DOUBLE * 100 AS error_share,
     count(*) FILTER (event_type = 'error')::DOUBLE / nullif(count(*) FILTER (event_type = 'signup'), 0)::DOUBLE * 100 AS per_signup
     FROM events GROUP BY user_id""")
@@ -1121,7 +1164,7 @@ def _(spark, d):
 # --- learning ------------------------------------------------------------------------------------------
 
 # Effort of the registered fits: fewer boosting rounds and iterations than the library's defaults.
-EFFORT = dict(rounds=20, iterations=200, kernel_size=64)
+EFFORT = dict(rounds=20, iterations=200, kernel_size=64, svm_iterations=50)
 
 
 def split_table(spark, d):
@@ -1154,23 +1197,48 @@ def _(spark, d):
     return L.apply_stages(preparation(spark, d), split_table(spark, d)).select("id", F.col("features").cast("string").alias("features"))
 
 
+KEYS = {"logistic_regression": "clf_logistic", "neural_network": "clf_mlp"}
 for _name in L.MODELS:
     def _fit(spark, d, name=_name):
         model = classifier(spark, d, name)
         return M.weighted_metrics(model.transform(parts(spark, d)[1])).select(F.lit(name).alias("model"), *M.WEIGHTED)
-    query(f"clf_{_name}")(_fit)
+    query(KEYS.get(_name, f"clf_{_name}"))(_fit)
+
+
+def all_models(spark, d):
+    """Metrics of all six models, with small trees and few iterations."""
+    def run():
+        train, test = parts(spark, d)
+        return L.bake_off(train, test, S.SERVING_FEATURES, preparation=preparation(spark, d), trees=20, depth=10, rounds=5,
+                          iterations=50, kernel_size=32, svm_iterations=20)[0]
+    return stored(spark, d, "bake_off", run)
+
+
+def folds(spark, d):
+    return stored(spark, d, "folds", lambda: L.cross_validate(
+        parts(spark, d)[0], S.SERVING_FEATURES, ["random_forest", "logistic_regression"], trees=20, depth=10, iterations=100))
 
 
 @query("bake_off")
 def _(spark, d):
-    train, test = parts(spark, d)
-    return L.bake_off(train, test, S.SERVING_FEATURES, ["random_forest", "logistic_regression", "neural_network"],
-                      preparation(spark, d), **EFFORT)[0]
+    return all_models(spark, d)
+
+
+@query("best_fitted_model")
+def _(spark, d):
+    return M.best_model(all_models(spark, d))
 
 
 @query("cv_metrics")
 def _(spark, d):
-    return L.cross_validate(parts(spark, d)[0], S.SERVING_FEATURES, ["random_forest", "logistic_regression"], trees=20, depth=10)
+    return folds(spark, d)
+
+
+@query("chart_cv_comparison")
+def _(spark, d):
+    """Cross-validation means next to the hold-out metrics, long form."""
+    both = M.align_metrics(all_models(spark, d).drop("position", "error"), folds(spark, d))
+    return sinks.long_metrics(both).where(F.col("value").isNotNull())
 
 
 @query("predict")
@@ -1190,9 +1258,23 @@ def _(spark, d):
     return M.roc_points(L.class_scores(model.transform(parts(spark, d)[1]), model.classes))
 
 
+def importance(spark, d):
+    return stored(spark, d, "importance", lambda: L.feature_importance(split_table(spark, d).drop("is_test"), S.SERVING_FEATURES))
+
+
 @query("feature_importance")
 def _(spark, d):
-    return L.feature_importance(split_table(spark, d).drop("is_test"), S.SERVING_FEATURES)
+    return importance(spark, d)
+
+
+@query("chart_importance")
+def _(spark, d):
+    return importance(spark, d)
+
+
+@query("top_k_features")
+def _(spark, d):
+    return importance(spark, d).orderBy(F.desc("importance"), "feature").limit(5)
 
 
 @query("best_model_importance")
@@ -1205,6 +1287,13 @@ def _(spark, d):
     return clusters(spark, d)[1]
 
 
+@query("chart_elbow")
+def _(spark, d):
+    """The sweep with its bends, and the chosen k."""
+    sweep = clusters(spark, d)[1]
+    return sweep.withColumn("chosen", F.col("k") == M.elbow(sweep).select("k").scalar())
+
+
 @query("kmeans_sweep_silhouette")
 def _(spark, d):
     return L.train_clusters(split_table(spark, d), S.SERVING_FEATURES, method="silhouette")[1]
@@ -1231,15 +1320,26 @@ def _(spark, d):
     return points.join(clusters(spark, d)[0].transform(split_table(spark, d)).select("id", "cluster"), "id")
 
 
-@query("model_save_load")
+def saved_model(spark, d):
+    def save():
+        path = scratch_path(spark, "model")
+        classifier(spark, d, "random_forest").save(path)
+        return path
+    return stored(spark, d, "saved-model", save)
+
+
+@query("model_save")
 def _(spark, d):
-    """Predictions of a stored and reloaded model next to those of the model itself."""
-    path = scratch_path(spark, "model")
-    model = classifier(spark, d, "random_forest")
-    model.save(path)
+    """The stored description of a saved classifier."""
+    return spark.read.text(f"{saved_model(spark, d)}/spec")
+
+
+@query("model_load")
+def _(spark, d):
+    """Predictions of the reloaded model next to those of the model itself."""
     test = parts(spark, d)[1]
-    again = L.Fitted.load(path).transform(test).select("id", F.col("prediction").alias("reloaded"))
-    return model.transform(test).select("id", "prediction").join(again, "id")
+    again = L.Fitted.load(saved_model(spark, d)).transform(test).select("id", F.col("prediction").alias("reloaded"))
+    return classifier(spark, d, "random_forest").transform(test).select("id", "prediction").join(again, "id")
 
 
 @query("score_session")
@@ -1294,7 +1394,7 @@ decided AS (SELECT session_id, src_ip, threat_code AS threat_level, cluster, res
   FROM labelled JOIN ruled USING (threat_code, cluster) WHERE end_time IS NOT NULL)"""
 
 
-@query("stream_decisions", O.on_sessions("SELECT session_id, src_ip, threat_level, cluster, response_level FROM decided", DECIDED))
+@query("stream_decision_log", O.on_sessions("SELECT session_id, src_ip, threat_level, cluster, response_level FROM decided", DECIDED))
 def _(spark, d):
     return live.read_decisions(spark, decided(spark, d)).select("session_id", "src_ip", "threat_level", "cluster", "response_level")
 
@@ -1313,6 +1413,63 @@ def _(spark, d):
     return spark.read.parquet(f"{out}/rows").drop("batch_id")
 
 
+@query("stream_source", f"WITH {O.DIRTY} SELECT session, timestamp, input FROM lines WHERE input IS NOT NULL")
+def _(spark, d):
+    """Command lines as the live source reads them."""
+    out = scratch_path(spark, "stream-source")
+    found = live.stream_events(spark, log_dir(spark, d), pattern=LOG_FILES).where(F.col("input").isNotNull())
+    found.select("session", "timestamp", "input").writeStream.format("parquet").option(
+        "checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start(f"{out}/rows").awaitTermination()
+    return spark.read.parquet(f"{out}/rows")
+
+
+def decided_in_steps(spark, d):
+    """The live query over the log in four files, one file per batch."""
+    def run():
+        folder, out = scratch_path(spark, "log-steps"), scratch_path(spark, "live-steps")
+        e = raw(spark, d)
+        sinks.write_log_lines(e.repartitionByRange(4, "ord"), folder)
+        mapping = materialize(R.response_map(labelled(spark, d)))
+
+        def scorer(batch):
+            return scoring.score_with_rules(batch, F.least("command_count", F.lit(3)), mapping)
+
+        live.start_decisions(spark, folder, out, scorer, pattern=LOG_FILES, once=True, files_per_batch=1).awaitTermination()
+        return out
+    return stored(spark, d, "live-steps", run)
+
+
+@query("stream_completed", O.on_sessions("SELECT session_id FROM s WHERE end_time IS NOT NULL"))
+def _(spark, d):
+    return live.read_decisions(spark, decided_in_steps(spark, d)).select("session_id")
+
+
+@query("stream_dedupe", O.on_sessions("SELECT session_id, 1::BIGINT AS decisions FROM s WHERE end_time IS NOT NULL"))
+def _(spark, d):
+    """Sessions may close several times and in several batches; each has one decision."""
+    decisions = live.read_decisions(spark, decided_in_steps(spark, d))
+    return decisions.groupBy("session_id").agg(F.count(F.lit(1)).alias("decisions"))
+
+
+@query("stream_active_state", O.on_sessions("SELECT session_id, src_ip FROM s WHERE end_time IS NOT NULL"))
+def _(spark, d):
+    """Latest state per session, with the address of its decision."""
+    decisions = live.read_decisions(spark, decided_in_steps(spark, d))
+    return live.active_state(decisions).join(decisions.select("session_id", "src_ip"), "session_id").select("session_id", "src_ip")
+
+
+@query("stream_score")
+def _(spark, d):
+    """The live query with the trained classifier, clusters and map."""
+    out = scratch_path(spark, "live-models")
+    model, found = classifier(spark, d, "random_forest"), clusters(spark, d)[0]
+    rows = split_table(spark, d).select(F.col("label").alias("threat_code"), *S.SERVING_FEATURES)
+    mapping = materialize(R.response_map_cluster_rule(found.transform(rows)))
+    live.start_decisions(spark, log_dir(spark, d), out, lambda batch: scoring.score_with_models(batch, model, found, mapping),
+                         pattern=LOG_FILES, once=True).awaitTermination()
+    return live.read_decisions(spark, out).select("session_id", "threat_level", "cluster", "response_level")
+
+
 @query("sink_decisions", O.on_sessions("""SELECT session_id, command_count AS feature_commands, duration AS feature_duration FROM decided""", DECIDED))
 def _(spark, d):
     features = live.read_decisions(spark, decided(spark, d))
@@ -1351,7 +1508,7 @@ def _(spark, d):
     return live.current_level(live.read_decisions(spark, decided(spark, d)))
 
 
-@query("stream_desired_profile", O.on_sessions("SELECT max(response_level) AS highest_level, 'high' AS strategy, true AS changed FROM decided", DECIDED))
+@query("stream_desired_profile_changes", O.on_sessions("SELECT max(response_level) AS highest_level, 'high' AS strategy, true AS changed FROM decided", DECIDED))
 def _(spark, d):
     return live.profile_changes(spark, decided(spark, d)).drop("step")
 

@@ -80,40 +80,45 @@ def ip_bars(sessions: DataFrame, k=20) -> DataFrame:
     return P.top_k(P.ip_counts(sessions), "src_ip", k)
 
 
-def summary_metrics(sessions: DataFrame, events: DataFrame, tokens: DataFrame, k=5) -> DataFrame:
-    """All headline numbers as (section, metric, value)."""
-    def rows(section, metric, value, df):
-        return df.select(F.lit(section).alias("section"), metric.alias("metric"), value.cast("double").alias("value"))
+def summary_metrics(sessions: DataFrame, events: DataFrame, tokens: DataFrame | None = None, k=5, frequency=None) -> DataFrame:
+    """All headline numbers as (section, metric, value), from tokens or from counts per command.
 
-    def wide(section, df, names):
-        return rows(section, F.col("metric"), F.col("value"), df.select(
-            *[F.col(n).cast("double").alias(n) for n in names]
-        ).unpivot([], names, "metric", "value"))
+    Every profile is taken once; one with several numbers per row is spread by an array.
+    """
+    def entry(section, metric, value):
+        text = [F.lit(x) if isinstance(x, str) else x for x in (section, metric)]
+        return F.struct(text[0].alias("section"), text[1].alias("metric"), value.cast("double").alias("value"))
 
+    def spread(df, *entries):
+        return df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+
+    def one_section(section, df, names):
+        return spread(df, *[entry(section, n, F.col(n)) for n in names])
+
+    frequency = frequency if frequency is not None else P.command_frequency(tokens)
     login = P.login_summary(events).withColumn("failure_rate", 100 - F.col("success_rate"))
     credentials = P.top_credentials(events, k).where(F.col("outcome") == "success")
-    levels = P.threat_characteristics(sessions)
-    kinds = P.command_type_distribution(sessions)
-    shown = {
-        "high": ["avg_command_count", "login_success_rate", "has_download_command", "has_privilege_escalation"],
-        "medium": ["avg_command_count", "login_success_rate"],
-        "low": ["avg_command_count", "login_success_rate"],
-    }
-    pieces = [
-        wide("login", login, ["total_attempts", "successful_logins", "success_rate", "failed_logins", "failure_rate"]),
-        rows("top_credentials", F.concat_ws(":", "field", "value"), F.col("count"), credentials),
-        wide("commands", P.command_totals(sessions, tokens),
-             ["total_command_sessions", "total_commands", "unique_commands"]),
-        rows("command_type_count", prettify(F.col("command_type")), F.col("count"), kinds),
-        rows("command_type_percentage", prettify(F.col("command_type")), F.col("percentage"), kinds),
-        rows("top_commands", F.col("command"), F.col("count"), command_bars(tokens, k)),
-        rows("threat_count", F.col("threat_level"), F.col("count"), levels),
-        rows("threat_percentage", F.col("threat_level"), F.col("percentage"), levels),
-        *[
-            wide(f"threat_{level}", levels.where(F.col("threat_level") == level), names)
-            for level, names in shown.items()
-        ],
-        wide("source_ips", P.unique_ips(sessions), ["unique_ips"]),
-        rows("top_source_ips", F.col("src_ip"), F.col("count"), ip_bars(sessions, k)),
-    ]
-    return reduce(DataFrame.unionByName, pieces)
+    level, kind = F.col("threat_level"), prettify(F.col("command_type"))
+    averages = ["avg_command_count", "login_success_rate"]
+    high_only = ["has_download_command", "has_privilege_escalation"]
+    levels = spread(
+        P.threat_characteristics(sessions),
+        entry("threat_count", level, F.col("count")), entry("threat_percentage", level, F.col("percentage")),
+        *[entry(F.concat(F.lit("threat_"), level), n, F.col(n)) for n in averages],
+        *[entry(F.when(level == "high", "threat_high"), n, F.col(n)) for n in high_only],
+    ).where(F.col("section").isNotNull())
+    kinds = spread(
+        P.command_type_distribution(sessions),
+        entry("command_type_count", kind, F.col("count")), entry("command_type_percentage", kind, F.col("percentage")),
+    )
+    return reduce(DataFrame.unionByName, [
+        one_section("login", login, ["total_attempts", "successful_logins", "success_rate", "failed_logins", "failure_rate"]),
+        spread(credentials, entry("top_credentials", F.concat_ws(":", "field", "value"), F.col("count"))),
+        one_section("commands", P.totals_from_frequency(sessions, frequency),
+                    ["total_command_sessions", "total_commands", "unique_commands"]),
+        kinds,
+        spread(P.top_k(frequency, "command", k), entry("top_commands", F.col("command"), F.col("count"))),
+        levels,
+        one_section("source_ips", P.unique_ips(sessions), ["unique_ips"]),
+        spread(ip_bars(sessions, k), entry("top_source_ips", F.col("src_ip"), F.col("count"))),
+    ])

@@ -6,6 +6,7 @@ model carries everything that scoring needs and runs without Python.
 
 import json
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 from pyspark.ml import PipelineModel
@@ -23,7 +24,7 @@ from wardlog.functions import level_code, number_or_zero
 from wardlog.operators import metrics as M
 from wardlog.operators.sampling import kfold
 from wardlog.operators.scaling import collect_moments, exact_medians, numeric_features, prepare_stage
-from wardlog.session import materialize
+from wardlog.session import at_once, materialize
 
 MODELS = ["random_forest", "gradient_boosting", "xgboost", "logistic_regression", "svm", "neural_network"]
 SEED = 42
@@ -165,18 +166,18 @@ def _binary(kind: str, rounds: int):
 
 def _one_vs_rest(estimator, train: DataFrame, classes, features="features") -> list:
     """One fitted binary model per class, each with its own output columns."""
-    models = []
-    for c in classes:
+    def fit(c):
         copy = estimator.copy()
         copy.setFeaturesCol(features).setLabelCol("_is").setRawPredictionCol(f"raw_{c}").setPredictionCol(f"pred_{c}")
         if hasattr(copy, "setProbabilityCol"):
             copy.setProbabilityCol(f"prob_{c}")
-        models.append(copy.fit(train.withColumn("_is", (F.col("label") == c).cast("double"))))
-    return models
+        return copy.fit(train.withColumn("_is", (F.col("label") == c).cast("double")))
+
+    return at_once([partial(fit, c) for c in classes])
 
 
 def fit_classifier(name: str, train: DataFrame, columns, preparation=None, trees=100, depth=15, rounds=100,
-                   iterations=1000, kernel_size=128) -> Fitted:
+                   iterations=1000, kernel_size=128, svm_iterations=100) -> Fitted:
     """Trains one of MODELS on (columns, label). `train` is read many times: pass a stored table."""
     columns = numeric_features(columns)
     preparation = preparation if preparation is not None else fit_preparation(train, columns)
@@ -204,19 +205,19 @@ def fit_classifier(name: str, train: DataFrame, columns, preparation=None, trees
             models = _one_vs_rest(_binary(name, rounds), ready, classes)
             return Fitted(name, [*preparation, *models], classes, {"one_vs_rest": True})
         if name == "svm":
-            return _fit_svm(preparation, train, columns, classes, n, kernel_size)
+            return _fit_svm(preparation, train, columns, classes, n, kernel_size, svm_iterations)
     finally:
         ready.unpersist()
     raise ValueError(name)
 
 
-def _fit_svm(preparation, train, columns, classes, n, kernel_size) -> Fitted:
+def _fit_svm(preparation, train, columns, classes, n, kernel_size, iterations) -> Fitted:
     """Linear SVM on kernel features, one class against the rest; Platt scaling on its margins."""
     kernel = _kernel_stages([f"x_{c}" for c in columns], kernel_size)
     ready = apply_stages([*preparation, *kernel], train).select("kernel", F.col("label").cast("double").alias("label"))
     ready.persist()
     try:
-        svm = LinearSVC(maxIter=100, regParam=1.0 / n, standardization=False)
+        svm = LinearSVC(maxIter=iterations, regParam=1.0 / n, standardization=False)
         models = _one_vs_rest(svm, ready, classes, "kernel")
         margin = VectorAssembler(inputCols=[f"raw_{c}" for c in classes], outputCol="margin")
         platt = LogisticRegression(
@@ -271,13 +272,13 @@ def cross_validate(train: DataFrame, columns, names=MODELS, folds=5, scale_scope
     spark = train.sparkSession
     folded = materialize(kfold(train, folds=folds))
     shared = fit_preparation(folded, columns) if scale_scope == "train" else None
-    results = []
-    for name in names:
-        for i in range(folds):
-            kept = folded.where(F.col("fold") != i)
-            model = fit_classifier(name, kept, columns, shared, **options)
-            values = M.macro_metrics(model.transform(folded.where(F.col("fold") == i))).first()
-            results.append((name, i, *[float(values[m]) for m in M.WEIGHTED]))
+
+    def measure(name, i):
+        model = fit_classifier(name, folded.where(F.col("fold") != i), columns, shared, **options)
+        values = M.macro_metrics(model.transform(folded.where(F.col("fold") == i))).first()
+        return name, i, *[float(values[m]) for m in M.WEIGHTED]
+
+    results = at_once([partial(measure, name, i) for name in names for i in range(folds)])
     per_fold = spark.createDataFrame(
         results, "model string, fold int, accuracy double, precision double, recall double, f1 double"
     )
@@ -308,7 +309,8 @@ def _fit_kmeans(ready: DataFrame, k: int):
 
 def kmeans_sweep(ready: DataFrame, ks=range(2, 11)) -> DataFrame:
     """(k, inertia)."""
-    rows = [(k, float(_fit_kmeans(ready, k).summary.trainingCost)) for k in ks]
+    costs = at_once([lambda k=k: float(_fit_kmeans(ready, k).summary.trainingCost) for k in ks])
+    rows = list(zip(ks, costs))
     return ready.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 
@@ -319,11 +321,13 @@ def silhouette_sweep(ready: DataFrame, largest=6) -> DataFrame:
     """
     n = ready.count()
     evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
-    rows = []
-    for k in range(2, min(largest, n // 10 + 1)):
+
+    def score(k):
         assigned = _fit_kmeans(ready, k).transform(ready)
         several = assigned.select("cluster").distinct().count() > 1
-        rows.append((k, float(evaluator.evaluate(assigned)) if several else 0.0))
+        return k, float(evaluator.evaluate(assigned)) if several else 0.0
+
+    rows = at_once([partial(score, k) for k in range(2, min(largest, n // 10 + 1))])
     return ready.sparkSession.createDataFrame(rows, "k int, score double")
 
 

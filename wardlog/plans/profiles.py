@@ -111,16 +111,23 @@ def command_frequency(tokens: DataFrame) -> DataFrame:
 
 def command_totals(sessions: DataFrame, tokens: DataFrame, approximate=False) -> DataFrame:
     """Active sessions, tokens, and different tokens (by sketch, if asked for)."""
-    if approximate:
-        totals = tokens.agg(
-            F.count(F.lit(1)).alias("total_commands"),
-            F.approx_count_distinct("command").alias("unique_commands"),
-        )
-    else:
-        totals = command_frequency(tokens).agg(
-            F.coalesce(F.sum("count"), F.lit(0)).alias("total_commands"),
-            F.count(F.lit(1)).alias("unique_commands"),
-        )
+    if not approximate:
+        return totals_from_frequency(sessions, command_frequency(tokens))
+    totals = tokens.agg(
+        F.count(F.lit(1)).alias("total_commands"), F.approx_count_distinct("command").alias("unique_commands")
+    )
+    return _with_active(totals, sessions)
+
+
+def totals_from_frequency(sessions: DataFrame, frequency: DataFrame) -> DataFrame:
+    """The exact totals, out of counts per command."""
+    totals = frequency.agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("total_commands"), F.count(F.lit(1)).alias("unique_commands")
+    )
+    return _with_active(totals, sessions)
+
+
+def _with_active(totals, sessions):
     return totals.withColumn("total_command_sessions", active(sessions).agg(F.count(F.lit(1))).scalar())
 
 

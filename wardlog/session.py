@@ -4,6 +4,9 @@ import os
 import tempfile
 import uuid
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -54,3 +57,16 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "table")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def at_once(tasks, threads=4) -> list:
+    """Runs driver-side functions that each start Spark jobs, a few at a time; results in order.
+
+    Iterative fits are chains of short jobs, which leave most of a cluster idle one by one.
+    """
+    spark = SparkSession.active()
+    pool = ThreadPool(min(threads, max(1, len(tasks))))
+    try:
+        return pool.map(lambda task: inheritable_thread_target(spark)(task)(), tasks)
+    finally:
+        pool.close()

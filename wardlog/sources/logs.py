@@ -57,9 +57,10 @@ def parse_lines(lines: DataFrame, keys=False) -> DataFrame:
     ).otherwise(F.lit(True))
     is_object = text.startswith("{") & text.endswith("}") & F.coalesce(whole, F.lit(False))
     keep = [c for c in lines.columns if c != "value"]
-    parsed = lines.where(text != "").select(
-        *keep, "value", is_object.alias("is_object"), record.alias("record")
-    )
+    # The array of one element makes a line's parse a generator. Filters on the parsed fields stay
+    # above a generator; they would else be pushed down together with copies of the parse.
+    once = F.array(F.struct(is_object.alias("is_object"), F.when(is_object, record).alias("record")))
+    parsed = lines.where(text != "").select(*keep, "value", F.inline(once))
     good = F.col("is_object") & F.col(f"record.{S.CORRUPT}").isNull()
     return parsed.select(
         *[F.when(good, F.col(f"record.{n}")).alias(n) for n in S.RAW_FIELDS],

@@ -58,7 +58,7 @@ def newly_completed(sessions: DataFrame) -> DataFrame:
 
 
 def start_decisions(spark: SparkSession, directory: str, out: str, scorer, checkpoint: str | None = None,
-                    pattern=S.LOG_FILE_PATTERN, files_per_batch=None, interval="60 seconds", once=False,
+                    pattern=S.LOG_FILE_PATTERN, files_per_batch=10_000, interval="60 seconds", once=False,
                     output_files=8):
     """Starts the query. `scorer` adds threat_code, cluster and response_level to sessions.
 
