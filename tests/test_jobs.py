@@ -19,6 +19,8 @@ def test_all_jobs_in_order(spark, data):
     stats = jobs.preprocess(spark, [f"{data}/logs"], data, pattern="part-*").first()
     assert (stats["total_sessions"], stats["total_events"], stats["high_threat"]) == (397, 1000, 29)
 
+    assert jobs.stored_events(spark, data).count() == 1000 and jobs.stored_quarantine(spark, data).count() == 0
+
     profiles = jobs.explore(spark, data)
     levels = {r["threat_level"]: r["count"] for r in profiles["threat_characteristics"].collect()}
     assert levels == {"high": 29, "medium": 157, "low": 211}
@@ -42,5 +44,11 @@ def test_all_jobs_in_order(spark, data):
 
 
 def test_a_day_is_read_alone(spark, data):
-    plan = sinks.read_table(spark, f"{data}/events").where("day = date'2024-01-05'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan
+    plan = jobs.stored_events(spark, data).where("day = date'2024-01-05'")._jdf.queryExecution().executedPlan().toString()
+    assert "isnotnull(readable" in plan.split("PartitionFilters")[1] and "day" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_bad_lines_are_kept_apart(spark, micro_dir, tmp_path):
+    jobs.preprocess(spark, micro_dir, str(tmp_path / "data"))
+    assert {r[0] for r in jobs.stored_quarantine(spark, str(tmp_path / "data")).collect()} == {"not json", "[1,2]"}
+    assert jobs.stored_events(spark, str(tmp_path / "data")).count() == 12

@@ -2,6 +2,7 @@
 
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -247,11 +248,13 @@ TRAINING_SQL = """SELECT s.session_id AS id, duration, command_count::DOUBLE AS
 
 
 @query("select_features", O.on_tokens(TRAINING_SQL.format(
-    more="threat_code AS label, len(commands)::DOUBLE AS commands_length")))
+    more="threat_code AS label, command_count::DOUBLE AS commands_length, login_attempt_count::DOUBLE AS login_attempts_length")))
 def _(spark, d):
+    """The training columns, and the length of each list of a session."""
     e = raw(spark, d)
-    text = SE.joined_commands(e).select("session_id", F.length("commands").alias("commands_length"))
-    table = SE.training_table(SE.session_features(e), SE.command_tokens(e)).join(text, "session_id", "left")
+    lengths = L.with_list_lengths(SE.session_lists(e)).groupBy("session_id").agg(
+        *[F.sum(c).alias(c) for c in ("commands_length", "login_attempts_length")])
+    table = SE.training_table(SE.session_features(e), SE.command_tokens(e)).join(lengths, "session_id", "left")
     return L.training_matrix(table, L.feature_columns(table, S.TRAINING_FEATURES))
 
 
@@ -1192,9 +1195,24 @@ def clusters(spark, d):
     return stored(spark, d, "clusters", lambda: L.train_clusters(split_table(spark, d), S.SERVING_FEATURES))
 
 
-@query("assemble")
+SPLIT = """,
+split AS (SELECT *, row_number() OVER (PARTITION BY threat_code ORDER BY md5('42|' || session_id), session_id)
+    <= floor(count(*) OVER (PARTITION BY threat_code) * 0.25::DOUBLE + 0.5) AS is_test FROM s)"""
+
+
+def scaled_sql(column):
+    return f"""round((({column}) - (SELECT avg({column}) FROM split WHERE NOT is_test))
+      / (SELECT stddev_pop({column}) FROM split WHERE NOT is_test), 6) AS "x_{column.split('::')[0]}\""""
+
+
+ASSEMBLED = ["duration", "login_success::INTEGER", "command_count", *S.PATTERNS]
+
+
+@query("assemble", O.on_sessions(f"SELECT session_id AS id, {', '.join(scaled_sql(c) for c in ASSEMBLED)} FROM split", SPLIT))
 def _(spark, d):
-    return L.apply_stages(preparation(spark, d), split_table(spark, d)).select("id", F.col("features").cast("string").alias("features"))
+    """The vector's entries: filled, scaled by the training rows."""
+    ready = L.apply_stages(preparation(spark, d), split_table(spark, d)).withColumn("v", vector_to_array("features"))
+    return ready.select("id", *[F.round(F.col("v")[i], 6).alias(f"x_{c}") for i, c in enumerate(S.SERVING_FEATURES)])
 
 
 KEYS = {"logistic_regression": "clf_logistic", "neural_network": "clf_mlp"}
@@ -1334,12 +1352,13 @@ def _(spark, d):
     return spark.read.text(f"{saved_model(spark, d)}/spec")
 
 
-@query("model_load")
+@query("model_load", O.on_sessions("SELECT session_id AS id, threat_code AS label, true AS same FROM split WHERE is_test", SPLIT))
 def _(spark, d):
-    """Predictions of the reloaded model next to those of the model itself."""
+    """Whether the reloaded model predicts what the model itself predicts."""
     test = parts(spark, d)[1]
     again = L.Fitted.load(saved_model(spark, d)).transform(test).select("id", F.col("prediction").alias("reloaded"))
-    return classifier(spark, d, "random_forest").transform(test).select("id", "prediction").join(again, "id")
+    both = classifier(spark, d, "random_forest").transform(test).join(again, "id")
+    return both.select("id", "label", (F.col("prediction") == F.col("reloaded")).alias("same"))
 
 
 @query("score_session")

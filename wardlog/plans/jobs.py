@@ -2,11 +2,11 @@
 
 Each reads and writes Parquet folders below one data folder:
 
-    events/ sessions/ commands/ quarantine/       preprocess
-    profiles/<name>/                              explore
-    models/ (classifier/, clusters/, metrics/ ...) train
-    evaluation/                                   evaluate
-    live/ (decisions/, levels/, checkpoint/)       watch
+    lines/ (events and bad lines), sessions/, commands/    preprocess
+    profiles/<name>/                                       explore
+    models/ (classifier/, clusters/, metrics/, ...)        train
+    evaluation/                                            evaluate
+    live/ (decisions/, levels/, checkpoint/)               watch
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,16 +29,26 @@ from wardlog.sources.sinks import read_table, sample_rows, write_metrics, write_
 from wardlog.streaming import live
 
 
+def stored_events(spark: SparkSession, data: str) -> DataFrame:
+    return read_table(spark, f"{data}/lines").where(F.col("readable") == 1).drop("readable", S.CORRUPT)
+
+
+def stored_quarantine(spark: SparkSession, data: str) -> DataFrame:
+    return read_table(spark, f"{data}/lines").where(F.col("readable") == 0).select(S.CORRUPT, "file")
+
+
 def preprocess(spark: SparkSession, roots, data: str, per_file=False, pattern=S.LOG_FILE_PATTERN) -> DataFrame:
-    """Raw logs to stored events, sessions and joined command texts; returns the basic statistics.
+    """Raw logs to stored events, bad lines, sessions and joined texts; returns the basic statistics.
 
-    The text is parsed once. Events are stored by day, so that later reads of a period skip the
-    rest; the rebalance splits days that are too large for one task and merges small ones.
+    The text is read and parsed once. Lines are stored by readability and day, so that later reads
+    of a period skip the rest; the rebalance splits days that are too large for one task and
+    merges small ones.
     """
-    parsed = logs.scan_jsonl(spark, roots, pattern=pattern)
-    write_table(parsed.withColumn("day", day(F.col("ts"))).hint("rebalance", "day"), f"{data}/events", ["day"])
-    write_table(logs.scan_quarantine(spark, roots, pattern=pattern), f"{data}/quarantine")
-    events = read_table(spark, f"{data}/events")
+    parsed = logs.with_order(logs.parse_lines(logs.scan_lines(spark, roots, pattern=pattern))).withColumns({
+        "readable": F.col(S.CORRUPT).isNull().cast("int"), "day": day(F.col("ts")),
+    })
+    write_table(parsed.hint("rebalance", "readable", "day"), f"{data}/lines", ["readable", "day"])
+    events = stored_events(spark, data)
     write_table(SE.session_features(events, per_file), f"{data}/sessions")
     write_table(SE.joined_commands(events), f"{data}/commands")
     return P.basic_statistics(read_table(spark, f"{data}/sessions"), E.events_b(events))
@@ -46,7 +56,7 @@ def preprocess(spark: SparkSession, roots, data: str, per_file=False, pattern=S.
 
 def explore(spark: SparkSession, data: str) -> dict[str, DataFrame]:
     """Writes every profile and the summary; returns them as read back."""
-    raw = read_table(spark, f"{data}/events")
+    raw = stored_events(spark, data)
     events, sessions = E.events_b(raw), read_table(spark, f"{data}/sessions")
     # Counts per command are far smaller than the tokens, and three profiles use them.
     frequency = materialize(P.command_frequency(SE.command_tokens(raw)))

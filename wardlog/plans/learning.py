@@ -19,8 +19,9 @@ from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wardlog.functions import level_code, number_or_zero
+from wardlog.functions import level_code, list_length, number_or_zero
 from wardlog.operators import metrics as M
 from wardlog.operators.sampling import kfold
 from wardlog.operators.scaling import collect_moments, exact_medians, numeric_features, prepare_stage
@@ -50,6 +51,17 @@ def training_matrix(sessions: DataFrame, columns, id_col="session_id") -> DataFr
     )
 
 
+def with_list_lengths(df: DataFrame, text_columns=()) -> DataFrame:
+    """Replaces every array or map column, and the named columns of lists stored as text, by <name>_length."""
+    lists = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType))}
+    return df.select(*[
+        F.coalesce(F.size(c), F.lit(0)).alias(f"{c}_length") if c in lists
+        else list_length(F.col(c)).alias(f"{c}_length") if c in text_columns
+        else F.col(c)
+        for c in df.columns
+    ])
+
+
 def feature_columns(df: DataFrame, base) -> list[str]:
     """The base list plus every derived length column."""
     return [*base, *[c for c in df.columns if c.endswith("_length") and c not in base]]
