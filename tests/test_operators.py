@@ -42,6 +42,17 @@ def test_stratified_split(labelled):
     assert got == want
 
 
+def test_large_sides_are_not_broadcast(spark, labelled, monkeypatch):
+    from wardlog import session
+
+    data, df = labelled
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 2)
+    out = SA.stratified_split(df)
+    assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString()
+    want = {i for ids in strata(data).values() for i in ids[: math.floor(len(ids) * 0.25 + 0.5)]}
+    assert {r["id"] for r in out.where("is_test").collect()} == want
+
+
 def test_folds(labelled):
     data, df = labelled
     got = {r["id"]: r["fold"] for r in SA.kfold(df).collect()}

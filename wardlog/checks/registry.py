@@ -1322,6 +1322,23 @@ def _(spark, d):
     return clusters(spark, d)[0].transform(split_table(spark, d)).select("id", "cluster")
 
 
+NEAREST = """,
+center AS (SELECT threat_code AS c, avg(command_count) AS x, avg(login_attempt_count) AS y, avg(event_count) AS z FROM s GROUP BY 1),
+ordered AS (SELECT row_number() OVER (ORDER BY x, y, z) - 1 AS cluster, x, y, z FROM center)"""
+
+
+@query("cluster_nearest_center", O.on_sessions("""SELECT session_id, arg_min(cluster,
+    (command_count - x) * (command_count - x) + (login_attempt_count - y) * (login_attempt_count - y) + (event_count - z) * (event_count - z))::INTEGER AS cluster
+    FROM s, ordered GROUP BY session_id""", NEAREST))
+def _(spark, d):
+    """Sessions assigned to the nearest of the three level averages."""
+    s = sessions(spark, d)
+    columns = ["command_count", "login_attempt_count", "event_count"]
+    centers = s.groupBy("threat_code").agg(*[F.avg(c).alias(c) for c in columns]).select(*columns).collect()
+    stages = [SC.prepare_stage(columns), L.nearest_center_stage(columns, sorted(tuple(c) for c in centers))]
+    return L.apply_stages(stages, s).select("session_id", "cluster")
+
+
 @query("cluster_distribution")
 def _(spark, d):
     return clusters(spark, d)[0].transform(split_table(spark, d)).groupBy("cluster").agg(F.count(F.lit(1)).alias("count"))

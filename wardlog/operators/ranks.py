@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardlog.functions import hash_order
+from wardlog.session import join_side, materialize
 
 BUCKET_DIGITS = 4  # hex digits of the hash: 65,536 buckets of equal expected size
 
@@ -45,12 +46,12 @@ def cut_points(hashed: DataFrame, id_col: str, ranks) -> DataFrame:
     wanted = starts.select(
         "*", F.posexplode(F.array(*[r.cast("bigint") for r in ranks(F.col("_total"))])).alias("_i", "_rank")
     ).where((F.col("_rank") > F.col("_start")) & (F.col("_rank") <= F.col("_start") + F.col("_n")))
-    wanted = wanted.groupBy("_by", "_bucket", "_start").agg(F.collect_set("_rank").alias("_ranks"))
+    wanted = materialize(wanted.groupBy("_by", "_bucket", "_start").agg(F.collect_set("_rank").alias("_ranks")))
     # Only the few buckets that contain a cut are sorted.
     order = W.partitionBy("_by", "_bucket").orderBy("_h", id_col)
     at_cut = (
         hashed.select("_by", "_bucket", "_h", id_col)
-        .join(wanted, ["_by", "_bucket"])
+        .join(join_side(wanted), ["_by", "_bucket"])
         .withColumn("_r", F.row_number().over(order) + F.col("_start"))
         .where(F.array_contains("_ranks", F.col("_r")))
     )
@@ -62,12 +63,12 @@ def tile(df: DataFrame, id_col: str, seed, ranks, by=None, name="tile") -> DataF
     """Adds the number of cuts that lie before each row: 0 for ranks up to the first cut, and so on.
     NULL in a stratum without cuts (all asked ranks are 0).
 
-    Two counting passes and a narrow lookup; the rows themselves are not shuffled unless the
-    table of cuts (one row per stratum) is too large to broadcast. Evaluates `df` three times,
-    so pass a stored table when it is costly.
+    Two counting passes, made at once, and a narrow lookup: the rows themselves are not shuffled
+    unless the table of cuts (one row per stratum) is too large to broadcast. Evaluates `df` three
+    times, so pass a stored table when it is costly.
     """
     hashed = with_hash(df, id_col, seed, by)
-    cuts = cut_points(hashed, id_col, ranks)
+    cuts = join_side(materialize(cut_points(hashed, id_col, ranks)))
     here = F.struct(F.col("_h"), F.col(id_col).alias("_id"))
     passed = F.size(F.filter("_cuts", lambda c: c < here))
     return (

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wardlog import schema as S
 from wardlog.functions import level_name, map_key
+from wardlog.session import join_side
 
 
 def response_grid(labelled: DataFrame) -> DataFrame:
@@ -50,11 +51,11 @@ def _mapped(grid, recon_clusters):
 def response_lookup(scored: DataFrame, mapping: DataFrame, default=0) -> DataFrame:
     """Adds response_level; a pair that the map lacks, or a failed score, gets the default.
 
-    The map is one row per pair; the optimiser broadcasts it after measuring it.
+    Few pairs hold most of the rows, so the map is broadcast once it has been counted.
     """
-    found = mapping.select(
+    found = join_side(mapping.select(
         F.col("threat_code"), F.col("cluster"), F.col("response_level").alias("_level")
-    )
+    ))
     out = scored.withColumns({
         "threat_code": F.coalesce("threat_code", F.lit(0)), "cluster": F.coalesce("cluster", F.lit(0)),
     }).join(found, ["threat_code", "cluster"], "left")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wardlog.functions import hash_order
 from wardlog.operators.ranks import dense_index, fraction_rank, tile
+from wardlog.session import join_side, materialize
 
 
 def stratified_split(df: DataFrame, label="label", id_col="id", test_size=0.25, seed=42) -> DataFrame:
@@ -67,8 +68,8 @@ def repaired_rows(split: DataFrame, label="label", id_col="id", seed=42, most=5,
 
 def repair_test_classes(split: DataFrame, label="label", id_col="id", seed=42) -> DataFrame:
     """The split after moving rows of the classes that test lacks: train without, test with them."""
-    moved = repaired_rows(split, label, id_col, seed)
-    train = split.where(~F.col("is_test")).join(moved.select(id_col), id_col, "left_anti")
+    moved = materialize(repaired_rows(split, label, id_col, seed))  # a few rows per class
+    train = split.where(~F.col("is_test")).join(join_side(moved.select(id_col)), id_col, "left_anti")
     return train.unionByName(split.where("is_test")).unionByName(moved.withColumn("is_test", F.lit(True)))
 
 

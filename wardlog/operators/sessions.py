@@ -17,7 +17,7 @@ from wardlog.functions import (
     threat_score,
 )
 from wardlog.operators.events import valid
-from wardlog.session import materialize
+from wardlog.session import counted_up_to, join_side, materialize
 
 LIST_LIMIT = 100_000  # events of one session that are gathered into a single row
 
@@ -140,17 +140,19 @@ def session_lists(events: DataFrame, limit=LIST_LIMIT) -> DataFrame:
 
     A session of up to `limit` events is one row, part 0. A longer one is spread over parts above
     0, whose numbers increase in order, so no row and no task receives all of it. Whether there
-    are long sessions is found out first, by counting.
+    are long sessions is found out first, by counting: pass stored events where reading is costly.
     """
     columns = ["session", "ord", "eventid", "timestamp", "input", "username", "password"]
     login = _is(S.EVENT_LOGIN_SUCCESS) | _is(S.EVENT_LOGIN_FAILED)
     command = _is(S.EVENT_COMMAND)
     listed = valid(events).where(login | command).select(*columns)
-    long = long_sessions(listed, limit)
+    long = materialize(long_sessions(listed, limit))
+    found = counted_up_to(long)
     whole = F.lit(0).cast("bigint")
-    if long.isEmpty():
+    if not found:
         numbered = listed.withColumn("part", whole)
     else:
+        long = join_side(long, found)
         numbered = listed.join(long, "session", "left_anti").withColumn("part", whole).unionByName(
             _cut_long_sessions(listed, long, limit)
         )
@@ -210,10 +212,13 @@ def command_tokens(events: DataFrame, limit=LIST_LIMIT) -> DataFrame:
     """
     typed = valid(events).where(_is(S.EVENT_COMMAND))
     text = text_or_empty("input")
-    special = typed.where((text == "") | text.endswith(" |")).select("session").distinct()
-    plain = typed.join(special, "session", "left_anti").select(
-        F.col("session").alias("session_id"), F.explode(split_commands(text)).alias("command")
-    )
+    special = materialize(typed.where((text == "") | text.endswith(" |")).select("session").distinct())
+    found = counted_up_to(special)
+    special = join_side(special, found)
+    split = typed.join(special, "session", "left_anti") if found else typed
+    plain = split.select(F.col("session").alias("session_id"), F.explode(split_commands(text)).alias("command"))
+    if not found:
+        return plain
     joined = joined_commands(typed.join(special, "session", "left_semi"), limit)
     whole_and_empty = (F.col("part") == 0) & (F.col("commands") == "")
     return plain.unionByName(_with_open_ends(joined.where(~whole_and_empty)).select(

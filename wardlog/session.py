@@ -8,6 +8,9 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000  # rows of a few short fields: some megabytes
 
 
 def local_session(cpus="*", app="wardlog", shuffle_partitions=8, **conf) -> SparkSession:
@@ -59,6 +62,22 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def counted_up_to(df: DataFrame, limit=BROADCAST_ROWS) -> int:
+    """Number of rows, or limit + 1 if there are more."""
+    return df.limit(limit + 1).count()
+
+
+def join_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Marks a counted small table for broadcast. A larger one is joined by shuffle, where adaptive
+    execution splits the partitions of hot keys.
+
+    Pass a stored table: the count evaluates it. Without the mark, the large side would be written
+    to a shuffle before the optimiser learns that the other side is small.
+    """
+    rows = counted_up_to(df) if rows is None else rows
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def at_once(tasks, threads=4) -> list:
     """Runs driver-side functions that each start Spark jobs, a few at a time; results in order.
 
