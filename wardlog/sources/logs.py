@@ -71,10 +71,14 @@ def parse_lines(lines: DataFrame, keys=False) -> DataFrame:
 
 
 def with_order(parsed: DataFrame) -> DataFrame:
-    """Adds `ts` and the total order `ord` of events: time first, then place in the files."""
+    """Adds `ts` and the total order `ord` of events: time first, then place in the files.
+
+    Files stand for themselves by a hash. Every first/last aggregate carries the order, so its
+    fields are short and of fixed size.
+    """
     return parsed.withColumns({
         "ts": parse_ts("timestamp"),
-        "ord": F.struct(parse_instant("timestamp").alias("at"), "file", "block", "row"),
+        "ord": F.struct(parse_instant("timestamp").alias("at"), F.xxhash64("file").alias("file"), "block", "row"),
     })
 
 

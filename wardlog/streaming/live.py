@@ -10,11 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlog import schema as S
-from wardlog.functions import parse_instant, parse_ts
 from wardlog.operators.events import valid
 from wardlog.operators.respond import active_sessions, decision_record, desired_profile, highest_level
 from wardlog.operators.sessions import session_aggregates, with_threat
-from wardlog.sources.logs import parse_lines
+from wardlog.sources.logs import parse_lines, with_order
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -36,10 +35,7 @@ def stream_events(spark, directory, pattern=S.LOG_FILE_PATTERN, files_per_batch=
     A stream has no row numbers, so only lines with the very same time can swap places.
     """
     parsed = parse_lines(stream_lines(spark, directory, pattern, files_per_batch))
-    return parsed.where(F.col(S.CORRUPT).isNull()).drop(S.CORRUPT).withColumns({
-        "ts": parse_ts("timestamp"),
-        "ord": F.struct(parse_instant("timestamp").alias("at"), "file", "block", "row"),
-    })
+    return with_order(parsed.where(F.col(S.CORRUPT).isNull()).drop(S.CORRUPT))
 
 
 def stream_sessions(events: DataFrame) -> DataFrame:
