@@ -87,6 +87,17 @@ def test_repair_moves_rows_once(spark):
     assert {r["label"] for r in SA.missing_classes(split).collect()} == {1, 2, 3}
 
 
+def test_kind_of_split_follows_the_smallest_class(spark):
+    def table(n):
+        return spark.createDataFrame([(i, 0) for i in range(60)] + [(100 + i, 1) for i in range(n)], "id long, label int")
+
+    assert [SA.needs_stratified(table(n)) for n in (0, 1, 2, 9, 10)] == [False, False, True, True, False]
+    strat = {r["id"] for r in SA.improved_split(table(8)).where("is_test").collect()}
+    assert len(strat) == 15 + 2
+    plain = {r["id"] for r in SA.improved_split(table(20)).where("is_test").collect()}
+    assert plain == {i for i in [*range(60), *range(100, 120)] if int(order(i)[:8], 16) < 2**30}
+
+
 def test_group_limit_before_the_shuffle(spark):
     split = spark.createDataFrame([(i, 1, False) for i in range(50)], "id long, label int, is_test boolean")
     assert "WindowGroupLimit" in SA.repaired_rows(split)._jdf.queryExecution().optimizedPlan().toString()

@@ -129,6 +129,15 @@ def test_one_session_with_a_third_of_all_events(spark):
     assert got == Counter(" | ".join(hot).split(" | "))
 
 
+def test_long_texts_are_cut_by_their_size(spark):
+    typed = {"a": ["x" * 300] * 10 + ["y" * 900] + ["z"] * 50, "b": ["ls"] * 20}
+    lists = SE.session_lists(make_events(spark, typed), limit=1000, chars=1000).collect()
+    parts = sorted((r for r in lists if r["session_id"] == "a"), key=lambda r: r["part"])
+    assert max(sum(len(c["input"]) for c in r["commands"]) for r in parts) <= 1000
+    assert [c["input"] for r in parts for c in r["commands"]] == typed["a"]
+    assert [r["part"] for r in lists if r["session_id"] == "b"] == [0]
+
+
 @pytest.mark.parametrize("word", ["|", "| |", "a |", " |", "| | |"])
 @pytest.mark.parametrize("limit", [1, 2, 5])
 def test_sessions_of_one_repeated_command(spark, word, limit):

@@ -2,7 +2,8 @@
 
 A class may hold a large share of all rows, so `row_number() over (partition by class ...)`
 would send that share to one task. Both operators here first count rows per small order
-bucket. The counts say where each bucket starts; only within a bucket are rows sorted.
+bucket. The counts say where each bucket starts; only within a bucket are rows sorted. Ids must
+be unique: they spread the rows over the buckets.
 """
 
 from pyspark.sql import Column, DataFrame

@@ -37,9 +37,10 @@ def class_counts(df: DataFrame, label="label") -> DataFrame:
 
 
 def needs_stratified(df: DataFrame, label="label", minimum=10) -> bool:
-    """Whether some class has fewer rows than `minimum`."""
+    """Whether the smallest class has fewer than `minimum` rows, but two at least: a class of one
+    row cannot be divided, and the plain split is used instead."""
     smallest = class_counts(df, label).agg(F.min("count")).first()[0]
-    return smallest is not None and smallest < minimum
+    return smallest is not None and 2 <= smallest < minimum
 
 
 def missing_classes(split: DataFrame, label="label") -> DataFrame:

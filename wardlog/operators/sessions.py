@@ -19,7 +19,8 @@ from wardlog.functions import (
 from wardlog.operators.events import valid
 from wardlog.session import counted_up_to, join_side, materialize
 
-LIST_LIMIT = 100_000  # events of one session that are gathered into a single row
+LIST_LIMIT = 100_000  # events of one session that are gathered into a single row,
+LIST_CHARS = 16_000_000  # and the characters of their texts
 
 
 def _is(event_id):
@@ -114,39 +115,46 @@ def session_features(events: DataFrame, per_file=False) -> DataFrame:
     return with_threat(sessionize(events, per_file))
 
 
-def long_sessions(events: DataFrame, limit=LIST_LIMIT) -> DataFrame:
-    """Sessions of more than `limit` events."""
-    counts = events.groupBy("session").agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") > limit).select("session")
+def long_sessions(events: DataFrame, limit=LIST_LIMIT, chars=LIST_CHARS) -> DataFrame:
+    """Sessions of more than `limit` events or `chars` characters, with the events a part may hold.
+
+    Even a part of the session's longest entries stays within `chars`, unless one alone exceeds it.
+    """
+    size = sum((F.length(text_or_empty(c)) for c in ("username", "password")), F.length(text_or_empty("input")))
+    sizes = events.groupBy("session").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(size).alias("total"), F.max(size).alias("longest")
+    )
+    rows = F.greatest(F.lit(1), F.least(F.lit(limit), F.floor(F.lit(chars) / F.greatest(F.col("longest"), F.lit(1)))))
+    return sizes.where((F.col("n") > limit) | (F.col("total") > chars)).select("session", rows.alias("part_rows"))
 
 
-def _cut_long_sessions(events: DataFrame, long: DataFrame, limit: int) -> DataFrame:
-    """Events of the long sessions with `part`: at most `limit` events of a session share one.
+def _cut_long_sessions(events: DataFrame, long: DataFrame) -> DataFrame:
+    """Events of the long sessions with `part`: at most `part_rows` events of a session share one.
 
     The rows are sorted across all tasks, so a session may span many of them, and written once
     with increasing row numbers, so the numbers are the same in every later use.
     """
     rows = (
-        events.join(long, "session", "left_semi")
+        events.join(long, "session")
         .repartitionByRange("session", "ord").sortWithinPartitions("session", "ord")
         .withColumn("row_number", F.monotonically_increasing_id())
     )
-    part = F.floor(F.col("row_number") / limit).cast("bigint") + 1
-    return materialize(rows).withColumn("part", part).drop("row_number")
+    part = F.floor(F.col("row_number") / F.col("part_rows")).cast("bigint") + 1
+    return materialize(rows).withColumn("part", part).drop("row_number", "part_rows")
 
 
-def session_lists(events: DataFrame, limit=LIST_LIMIT) -> DataFrame:
+def session_lists(events: DataFrame, limit=LIST_LIMIT, chars=LIST_CHARS) -> DataFrame:
     """Ordered commands and login attempts as arrays: (session_id, part, commands, login_attempts).
 
-    A session of up to `limit` events is one row, part 0. A longer one is spread over parts above
-    0, whose numbers increase in order, so no row and no task receives all of it. Whether there
+    A session of up to `limit` events and `chars` characters is one row, part 0. A longer one is
+    spread over parts above 0, whose numbers increase in order, so no row and no task receives all of it. Whether there
     are long sessions is found out first, by counting: pass stored events where reading is costly.
     """
     columns = ["session", "ord", "eventid", "timestamp", "input", "username", "password"]
     login = _is(S.EVENT_LOGIN_SUCCESS) | _is(S.EVENT_LOGIN_FAILED)
     command = _is(S.EVENT_COMMAND)
     listed = valid(events).where(login | command).select(*columns)
-    long = materialize(long_sessions(listed, limit))
+    long = materialize(long_sessions(listed, limit, chars))
     found = counted_up_to(long)
     whole = F.lit(0).cast("bigint")
     if not found:
@@ -154,7 +162,7 @@ def session_lists(events: DataFrame, limit=LIST_LIMIT) -> DataFrame:
     else:
         long = join_side(long, found)
         numbered = listed.join(long, "session", "left_anti").withColumn("part", whole).unionByName(
-            _cut_long_sessions(listed, long, limit)
+            _cut_long_sessions(listed, long)
         )
 
     def ordered(condition, *fields):

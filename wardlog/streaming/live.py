@@ -70,7 +70,7 @@ def start_decisions(spark: SparkSession, directory: str, out: str, scorer, check
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         path = f"{out}/decisions/batch_id={batch_id}"
-        decision_record(scorer(batch), F.col("closed_at")).coalesce(output_files).write.mode("overwrite").parquet(path)
+        decision_record(scorer(batch), F.col("closed_at")).repartition(output_files).write.mode("overwrite").parquet(path)
         level = session.read.parquet(path).agg(F.max("response_level").alias("response_level"))
         level.where(F.col("response_level").isNotNull()).write.mode("overwrite").parquet(f"{out}/levels/batch_id={batch_id}")
 
