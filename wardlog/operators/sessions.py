@@ -49,8 +49,8 @@ def _flag_aggregates() -> dict:
 def session_aggregates() -> list:
     """Aggregate expressions of one session; they also serve the streaming query.
 
-    One aggregate per column keeps pruning intact: a profile that needs only numbers runs as
-    a hash aggregate, because the text columns and their buffers disappear from the plan.
+    Numbers and texts never share an aggregate, which keeps pruning intact: a profile that needs
+    only numbers runs as a hash aggregate, because the text buffers disappear from the plan.
     """
     login_ok, login_failed = _is(S.EVENT_LOGIN_SUCCESS), _is(S.EVENT_LOGIN_FAILED)
     command, closed = _is(S.EVENT_COMMAND), _is(S.EVENT_CLOSED)
@@ -62,17 +62,20 @@ def session_aggregates() -> list:
     def last(value, condition):
         return F.max_by(value, F.when(condition, order))
 
+    # Fields that are used together share one aggregate; equal expressions are evaluated once.
+    client = F.min_by(F.struct(*[text_or_empty(n).alias(n) for n in ("version", "hassh", "hasshAlgorithms")]), order)
+    login = last(F.struct(*[text_or_empty(n).alias(n) for n in ("username", "password")]), login_ok)
     return [
         first("src_ip").alias("src_ip"),
         first("timestamp").alias("start_time"),
         last(text_or_empty("timestamp"), closed).alias("end_time"),
         F.coalesce(last(number_or_zero("duration"), closed), F.lit(0.0)).alias("duration"),
         F.coalesce(F.bool_or(login_ok), F.lit(False)).alias("login_success"),
-        last(text_or_empty("username"), login_ok).alias("username"),
-        last(text_or_empty("password"), login_ok).alias("password"),
-        first("version").alias("client_version"),
-        first("hassh").alias("hassh"),
-        first("hasshAlgorithms").alias("hassh_algorithms"),
+        login["username"].alias("username"),
+        login["password"].alias("password"),
+        F.coalesce(client["version"], F.lit("")).alias("client_version"),
+        F.coalesce(client["hassh"], F.lit("")).alias("hassh"),
+        F.coalesce(client["hasshAlgorithms"], F.lit("")).alias("hassh_algorithms"),
         F.count_if(login_ok | login_failed).alias("login_attempt_count"),
         F.count_if(command).alias("command_count"),
         F.count(F.lit(1)).alias("event_count"),
