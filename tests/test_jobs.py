@@ -52,3 +52,13 @@ def test_bad_lines_are_kept_apart(spark, micro_dir, tmp_path):
     jobs.preprocess(spark, micro_dir, str(tmp_path / "data"))
     assert {r[0] for r in jobs.stored_quarantine(spark, str(tmp_path / "data")).collect()} == {"not json", "[1,2]"}
     assert jobs.stored_events(spark, str(tmp_path / "data")).count() == 12
+
+
+def test_command_line(spark, micro_dir, tmp_path, monkeypatch, capsys):
+    from wardlog import __main__ as command
+
+    for job in (["preprocess", "--logs", micro_dir], ["explore"]):
+        monkeypatch.setattr("sys.argv", ["wardlog", *job, "--data", str(tmp_path / "data")])
+        command.main()
+    shown = capsys.readouterr().out
+    assert "total_sessions" in shown and "threat_percentage" in shown
