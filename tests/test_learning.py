@@ -100,3 +100,6 @@ def test_stored_model_scores_alike(spark, parts, tmp_path):
         second = scoring.score_with_models(sessions, again, found, mapping).select("session_id", "threat_code", "cluster", "response_level")
         assert first.exceptAll(second).isEmpty() and first.count() == 4006
         assert first.where("response_level <> threat_code").isEmpty()
+        failed = scoring.score_with_models(sessions.drop("duration"), model, found, mapping)
+        row = failed.select("threat_code", "cluster", "response_level", "strategy", "error").distinct().collect()
+        assert [tuple(r) for r in row] == [(0, 0, 0, "low", "missing features: duration")]

@@ -106,13 +106,17 @@ def list_length(col: Column) -> Column:
     """Number of elements of a list (or entries of an object) stored as text; 0 otherwise.
 
     Accepts JSON and the printed form of Python lists. The latter is rewritten to JSON: the
-    three bare words, and single quotes, which the JSON parser takes as they are.
+    three bare words. Single quotes and its escapes are taken by the parser's options.
     """
+    options = {
+        "mode": "PERMISSIVE", "allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true",
+        "allowUnquotedControlChars": "true",
+    }
     text = F.regexp_replace(col, r"\bTrue\b", "true")
     text = F.regexp_replace(text, r"\bFalse\b", "false")
     text = F.regexp_replace(text, r"\bNone\b", "null")
-    as_list = F.size(F.from_json(text, "array<string>", {"mode": "PERMISSIVE"}))
-    as_map = F.size(F.from_json(text, "map<string,string>", {"mode": "PERMISSIVE"}))
+    as_list = F.size(F.from_json(text, "array<string>", options))
+    as_map = F.size(F.from_json(text, "map<string,string>", options))
     return (
         F.when(F.startswith(F.ltrim(text), F.lit("[")), F.greatest(as_list, F.lit(0)))
         .when(F.startswith(F.ltrim(text), F.lit("{")), F.greatest(as_map, F.lit(0)))

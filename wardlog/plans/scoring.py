@@ -16,10 +16,22 @@ def serving_projection(sessions: DataFrame) -> DataFrame:
 
 
 def score_with_models(sessions: DataFrame, classifier, clusters, mapping: DataFrame) -> DataFrame:
-    """Threat from the classifier, cluster from the centres, response from the map."""
+    """Threat from the classifier, cluster from the centres, response from the map.
+
+    Sessions without the serving features cannot be scored: they get the reason in `error`, and the
+    defaults that the lookup has for unknown threats and clusters.
+    """
     base = sessions.drop("threat_score", "threat_level", "threat_code")
-    threat = classifier.transform(base).withColumnRenamed("prediction", "threat_code").drop("probabilities")
-    return strategy_decode(response_lookup(clusters.transform(threat), mapping))
+    missing = [n for n in S.SERVING_FEATURES if n not in base.columns]
+    if missing:
+        scored = base.withColumns({
+            "threat_code": F.lit(None).cast("int"), "cluster": F.lit(None).cast("int"),
+            "error": F.lit(f"missing features: {', '.join(missing)}"),
+        })
+    else:
+        threat = classifier.transform(base).withColumnRenamed("prediction", "threat_code").drop("probabilities")
+        scored = clusters.transform(threat).withColumn("error", F.lit(None).cast("string"))
+    return strategy_decode(response_lookup(scored, mapping))
 
 
 def score_with_rules(sessions: DataFrame, cluster, mapping: DataFrame) -> DataFrame:

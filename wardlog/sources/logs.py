@@ -103,9 +103,15 @@ def discover(spark: SparkSession, roots, recursive=True, pattern=S.LOG_FILE_PATT
     return reader.load(_paths(roots)).select("path", "length")
 
 
-def scan_csv(spark: SparkSession, path, schema) -> DataFrame:
-    """Stored sessions or events. Columns are taken by name; missing ones become NULL."""
-    raw = spark.read.option("header", "true").option("escape", '"').option("multiLine", "true").csv(path)
+def scan_csv(spark: SparkSession, path, schema, multi_line=True) -> DataFrame:
+    """Stored sessions or events. Columns are taken by name; missing ones become NULL.
+
+    Commands may contain line breaks, so a file is not split by default; `multi_line=False` splits
+    large files of which it is known that no cell spans lines.
+    """
+    raw = (
+        spark.read.option("header", "true").option("escape", '"').option("multiLine", str(multi_line).lower()).csv(path)
+    )
     present = set(raw.columns)
     out = []
     for field in schema.fields:
