@@ -63,7 +63,7 @@ def test_clusters(spark, parts, tmp_path):
     train = parts[0]
     found, sweep = L.train_clusters(train, S.SERVING_FEATURES)
     inertia = [r["inertia"] for r in sweep.orderBy("k").collect()]
-    assert len(inertia) == 9 and inertia[-1] < inertia[0]
+    assert len(inertia) == 9 and all(b < a * 1.02 for a, b in zip(inertia, inertia[1:]))
     assert found.centers == sorted(found.centers)
     found.save(str(tmp_path / "clusters"))
     again = L.Clusters.load(str(tmp_path / "clusters"))

@@ -65,6 +65,11 @@ def sessions(spark, d):
     return SE.session_features(raw(spark, d))
 
 
+def kept(spark, d):
+    """The session table, stored once: for operators that read their input several times."""
+    return stored(spark, d, "sessions", lambda: materialize(sessions(spark, d)))
+
+
 def tokens(spark, d):
     return SE.command_tokens(raw(spark, d))
 
@@ -729,7 +734,7 @@ def _(spark, d):
 
 def labelled(spark, d):
     """Sessions with a cluster number; the checked queries use the command count up to 3."""
-    return sessions(spark, d).withColumn("cluster", F.least("command_count", F.lit(3)).cast("int"))
+    return kept(spark, d).withColumn("cluster", F.least("command_count", F.lit(3)).cast("int"))
 
 
 LABELLED = """,
@@ -788,13 +793,13 @@ def _(spark, d):
 
 @query("class_distribution", O.on_sessions("SELECT threat_code AS label, count(*) AS count FROM s GROUP BY 1"))
 def _(spark, d):
-    return SA.class_counts(sessions(spark, d).withColumnRenamed("threat_code", "label"))
+    return SA.class_counts(kept(spark, d).withColumnRenamed("threat_code", "label"))
 
 
 @query("distinct_classes", O.on_sessions("""SELECT count(DISTINCT threat_score) AS classes, min(n) AS smallest, min(n) < 10 AS stratify,
     count(DISTINCT threat_score) < 2 AS single FROM (SELECT threat_score, count(*) AS n FROM s GROUP BY 1)"""))
 def _(spark, d):
-    counts = SA.class_counts(sessions(spark, d), "threat_score")
+    counts = SA.class_counts(kept(spark, d), "threat_score")
     return counts.agg(
         F.count(F.lit(1)).alias("classes"), F.min("count").alias("smallest"), (F.min("count") < 10).alias("stratify"),
         (F.count(F.lit(1)) < 2).alias("single"),
@@ -805,7 +810,7 @@ def _(spark, d):
     row_number() OVER (PARTITION BY threat_code ORDER BY md5('42|' || session_id), session_id)
       <= floor(count(*) OVER (PARTITION BY threat_code) * 0.25::DOUBLE + 0.5) AS is_test FROM s"""))
 def _(spark, d):
-    return SA.stratified_split(sessions(spark, d).select("session_id", "threat_code"), "threat_code", "session_id")
+    return SA.stratified_split(kept(spark, d).select("session_id", "threat_code"), "threat_code", "session_id")
 
 
 @query("stratified_split_labels", """SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY md5('42|' || doc_id), doc_id)
@@ -816,13 +821,13 @@ def _(spark, d):
 
 @query("random_split", O.on_sessions("SELECT session_id, substr(md5('42|' || session_id), 1, 8) < '40000000' AS is_test FROM s"))
 def _(spark, d):
-    return SA.random_split(sessions(spark, d).select("session_id"), "session_id")
+    return SA.random_split(kept(spark, d).select("session_id"), "session_id")
 
 
 @query("kfold_assign", O.on_sessions("""SELECT session_id, threat_code,
     (ntile(5) OVER (PARTITION BY threat_code ORDER BY md5('42|' || session_id), session_id) - 1)::INTEGER AS fold FROM s"""))
 def _(spark, d):
-    return SA.kfold(sessions(spark, d).select("session_id", "threat_code"), "threat_code", "session_id")
+    return SA.kfold(kept(spark, d).select("session_id", "threat_code"), "threat_code", "session_id")
 
 
 @query("kfold_assign_embeddings", """SELECT vec_id, label,
@@ -842,7 +847,7 @@ moved AS (
 
 
 def rare_split(spark, d):
-    rows = sessions(spark, d).select("session_id", F.col("threat_score").alias("label"))
+    rows = kept(spark, d).select("session_id", F.col("threat_score").alias("label"))
     return SA.random_split(rows, "session_id", test_size=0.02)
 
 
@@ -872,7 +877,7 @@ def _(spark, d):
 @query("improved_split", O.on_sessions("""SELECT session_id, threat_code AS label, substr(md5('42|' || session_id), 1, 8) < '40000000' AS is_test FROM s"""))
 def _(spark, d):
     """All classes are large and present in both parts at the scales used, so this is the plain split."""
-    rows = sessions(spark, d).select("session_id", F.col("threat_code").alias("label"))
+    rows = kept(spark, d).select("session_id", F.col("threat_code").alias("label"))
     return SA.improved_split(rows, id_col="session_id")
 
 
@@ -883,7 +888,7 @@ low AS (SELECT session_id, command_count, row_number() OVER (ORDER BY md5('42|'
 draws AS (SELECT ('0x' || substr(md5('42|draw|' || j), 1, 15))::BIGINT % (SELECT max(n) FROM low) AS pick
   FROM (SELECT unnest(range(greatest(5, floor((SELECT max(n) FROM low) * 0.1::DOUBLE)::BIGINT))) AS j))"""))
 def _(spark, d):
-    low = sessions(spark, d).where(F.col("threat_level") == "low")
+    low = kept(spark, d).where(F.col("threat_level") == "low")
     return SA.synthesize_minority(low.select("session_id", "command_count", F.lit(0).alias("label")), id_col="session_id")
 
 
@@ -893,14 +898,14 @@ def _(spark, d):
     UNION ALL SELECT 'event_count', median(event_count)::DOUBLE FROM s
     UNION ALL SELECT 'threat_score', median(threat_score)::DOUBLE FROM s"""))
 def _(spark, d):
-    s = sessions(spark, d).withColumn("duration", F.when(F.col("end_time").isNotNull(), F.col("duration")))
+    s = kept(spark, d).withColumn("duration", F.when(F.col("end_time").isNotNull(), F.col("duration")))
     return SC.exact_medians(s, ["duration", "event_count", "threat_score"])
 
 
 @query("impute_fill", O.on_sessions("""SELECT session_id, coalesce(CASE WHEN end_time IS NOT NULL THEN duration END,
     (SELECT median(duration) FROM s WHERE end_time IS NOT NULL))::DOUBLE AS duration FROM s"""))
 def _(spark, d):
-    s = sessions(spark, d).select("session_id", F.when(F.col("end_time").isNotNull(), F.col("duration")).alias("duration"))
+    s = kept(spark, d).select("session_id", F.when(F.col("end_time").isNotNull(), F.col("duration")).alias("duration"))
     medians = {r["feature"]: r["median"] for r in SC.exact_medians(s, ["duration"]).collect()}
     return SC.impute(s, medians)
 
@@ -910,7 +915,7 @@ def _(spark, d):
     round((command_count - (SELECT avg(command_count) FROM s)) / (SELECT stddev_pop(command_count) FROM s), 6) AS command_count,
     0.0::DOUBLE AS constant FROM s"""))
 def _(spark, d):
-    s = sessions(spark, d).select("session_id", "duration", "command_count", F.lit(7).alias("constant"))
+    s = kept(spark, d).select("session_id", "duration", "command_count", F.lit(7).alias("constant"))
     columns = ["duration", "command_count", "constant"]
     out = SC.standard_scale(s, columns)
     return out.select("session_id", *[F.round(c, 6).alias(c) for c in columns])
@@ -920,7 +925,7 @@ def _(spark, d):
 
 def guesses(spark, d):
     """(session_id, label, position, model, prediction): three simple rules as models."""
-    s = sessions(spark, d)
+    s = kept(spark, d)
     flags = F.col("has_download_command") + F.col("has_persistence") + F.col("has_privilege_escalation")
     rules = [
         (0, "by_commands", F.least("command_count", F.lit(2))),
@@ -976,7 +981,7 @@ def _(spark, d):
 
 
 def scores(spark, d):
-    s = sessions(spark, d)
+    s = kept(spark, d)
     entries = [
         (0, F.lit(1.0) / (1 + F.col("event_count"))),
         (1, F.col("login_attempt_count").cast("double") / F.col("event_count")),
@@ -1054,7 +1059,7 @@ inertia AS (
 
 
 def simple_inertia(spark, d):
-    sizes = sessions(spark, d).groupBy(F.col("event_count").alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = kept(spark, d).groupBy(F.col("event_count").alias("x")).agg(F.count(F.lit(1)).alias("n"))
     groups = sizes.withColumn("k", F.explode(F.sequence(F.lit(2), F.lit(10)))).groupBy("k", F.least("x", "k").alias("g")).agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("x")).alias("sx"), F.sum(F.col("n") * F.col("x") * F.col("x")).alias("sxx"))
     part = (F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")).cast("double") / F.col("n")
@@ -1172,8 +1177,8 @@ EFFORT = dict(rounds=20, iterations=200, kernel_size=64, svm_iterations=50)
 
 def split_table(spark, d):
     def build():
-        matrix = L.training_matrix(sessions(spark, d), S.SERVING_FEATURES)
-        return materialize(SA.stratified_split(materialize(matrix)))
+        matrix = L.training_matrix(kept(spark, d), S.SERVING_FEATURES)
+        return materialize(SA.stratified_split(L.store_rows(matrix)))
     return stored(spark, d, "split", build)
 
 
@@ -1332,7 +1337,7 @@ ordered AS (SELECT row_number() OVER (ORDER BY x, y, z) - 1 AS cluster, x, y, z
     FROM s, ordered GROUP BY session_id""", NEAREST))
 def _(spark, d):
     """Sessions assigned to the nearest of the three level averages."""
-    s = sessions(spark, d)
+    s = kept(spark, d)
     columns = ["command_count", "login_attempt_count", "event_count"]
     centers = s.groupBy("threat_code").agg(*[F.avg(c).alias(c) for c in columns]).select(*columns).collect()
     stages = [SC.prepare_stage(columns), L.nearest_center_stage(columns, sorted(tuple(c) for c in centers))]
@@ -1383,7 +1388,7 @@ def _(spark, d):
     found = clusters(spark, d)[0]
     rows = split_table(spark, d).select(F.col("label").alias("threat_code"), *S.SERVING_FEATURES)
     mapping = R.response_map_cluster_rule(found.transform(rows))
-    scored = scoring.score_with_models(E.completed(sessions(spark, d)), classifier(spark, d, "random_forest"), found, mapping)
+    scored = scoring.score_with_models(E.completed(kept(spark, d)), classifier(spark, d, "random_forest"), found, mapping)
     return scored.select("session_id", "threat_code", "cluster", "response_level", "strategy")
 
 

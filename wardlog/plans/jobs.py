@@ -80,7 +80,7 @@ def explore(spark: SparkSession, data: str) -> dict[str, DataFrame]:
 
 
 def _training_rows(spark, data, columns):
-    return materialize(L.training_matrix(read_table(spark, f"{data}/sessions"), columns))
+    return L.store_rows(L.training_matrix(read_table(spark, f"{data}/sessions"), columns))
 
 
 def train(spark: SparkSession, data: str, columns=S.SERVING_FEATURES, names=L.MODELS, **options) -> DataFrame:

@@ -51,6 +51,15 @@ def training_matrix(sessions: DataFrame, columns, id_col="session_id") -> DataFr
     )
 
 
+def store_rows(df: DataFrame, id_col="id") -> DataFrame:
+    """The rows stored in an order that depends on their ids only.
+
+    Seeded samples and starting points are drawn per partition. With a fixed layout, a fit on the
+    same data gives the same model in every run.
+    """
+    return materialize(df.repartition(id_col).sortWithinPartitions(id_col))
+
+
 def with_list_lengths(df: DataFrame, text_columns=()) -> DataFrame:
     """Replaces every array or map column, and the named columns of lists stored as text, by <name>_length."""
     lists = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType))}
@@ -315,32 +324,43 @@ def importance_table(spark, columns, model: Fitted) -> DataFrame:
 
 # --- clustering ----------------------------------------------------------------
 
-def _fit_kmeans(ready: DataFrame, k: int):
-    return KMeans(k=k, seed=SEED, maxIter=300, featuresCol="features", predictionCol="cluster").fit(ready)
+def fit_kmeans(ready: DataFrame, ks, starts=3) -> dict:
+    """{k: model}: of several starting points the fit with the lowest inertia."""
+    ks = list(ks)
+
+    def fit(k, seed):
+        return KMeans(k=k, seed=seed, maxIter=300, featuresCol="features", predictionCol="cluster").fit(ready)
 
+    runs = [(k, SEED + i) for k in ks for i in range(starts)]
+    models = at_once([partial(fit, k, seed) for k, seed in runs], threads=6)
+    best = {}
+    for (k, _), model in zip(runs, models):
+        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = model
+    return best
 
-def kmeans_sweep(ready: DataFrame, ks=range(2, 11)) -> DataFrame:
+
+def inertia_table(models: dict) -> DataFrame:
     """(k, inertia)."""
-    costs = at_once([lambda k=k: float(_fit_kmeans(ready, k).summary.trainingCost) for k in ks])
-    rows = list(zip(ks, costs))
-    return ready.sparkSession.createDataFrame(rows, "k int, inertia double")
+    rows = [(k, float(m.summary.trainingCost)) for k, m in models.items()]
+    return SparkSession.active().createDataFrame(rows, "k int, inertia double")
 
 
-def silhouette_sweep(ready: DataFrame, largest=6) -> DataFrame:
-    """(k, score) for k = 2 .. min(5, n / 10).
+def silhouette_range(ready: DataFrame, largest=6) -> range:
+    """k = 2 .. min(5, n / 10)."""
+    return range(2, min(largest, ready.count() // 10 + 1))
 
-    The score is the mean silhouette under squared distances, whose cost is linear in the rows.
-    """
-    n = ready.count()
+
+def silhouette_table(ready: DataFrame, models: dict) -> DataFrame:
+    """(k, score): the mean silhouette under squared distances, whose cost is linear in the rows."""
     evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
 
     def score(k):
-        assigned = _fit_kmeans(ready, k).transform(ready)
+        assigned = models[k].transform(ready)
         several = assigned.select("cluster").distinct().count() > 1
         return k, float(evaluator.evaluate(assigned)) if several else 0.0
 
-    rows = at_once([partial(score, k) for k in range(2, min(largest, n // 10 + 1))])
-    return ready.sparkSession.createDataFrame(rows, "k int, score double")
+    return ready.sparkSession.createDataFrame(at_once([partial(score, k) for k in models]), "k int, score double")
 
 
 def best_k(scores: DataFrame, default=2) -> int:
@@ -391,12 +411,17 @@ def train_clusters(df: DataFrame, columns, method="elbow", k=None, impute=True):
     try:
         sweep = None
         if k is None and method == "elbow":
-            sweep = kmeans_sweep(ready)
+            models = fit_kmeans(ready, range(2, 11))
+            sweep = inertia_table(models)
             k = M.elbow(sweep).first()["k"]
         elif k is None:
-            sweep = silhouette_sweep(ready)
+            models = fit_kmeans(ready, silhouette_range(ready))
+            sweep = silhouette_table(ready, models)
             k = best_k(sweep)
-        centers = sorted([list(map(float, c)) for c in _fit_kmeans(ready, k).clusterCenters()])
+        else:
+            models = {}
+        chosen = models.get(k) or fit_kmeans(ready, [k])[k]
+        centers = sorted([list(map(float, c)) for c in chosen.clusterCenters()])
     finally:
         ready.unpersist()
     return Clusters([*preparation, nearest_center_stage(columns, centers)], centers), sweep
