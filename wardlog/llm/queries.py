@@ -1,11 +1,13 @@
 """The registered queries of this subpackage and their comparison SQL."""
 
-from wardlog.llm import quality
+from wardlog.llm import mixing, quality
 
 QUERIES = {
+    "op2_mix_sources": mixing.op2_mix_sources,
     "op9_quality_rules": quality.op9_quality_rules,
 }
 
 ORACLES = {
+    "op2_mix_sources": mixing.SQL,
     "op9_quality_rules": quality.SQL,
 }
