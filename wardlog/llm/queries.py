@@ -1,13 +1,15 @@
 """The registered queries of this subpackage and their comparison SQL."""
 
-from wardlog.llm import mixing, quality
+from wardlog.llm import minhash, mixing, quality
 
 QUERIES = {
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op3_near_duplicates": minhash.op3_near_duplicates,
     "op9_quality_rules": quality.op9_quality_rules,
 }
 
 ORACLES = {
     "op2_mix_sources": mixing.SQL,
+    "op3_near_duplicates": minhash.SQL,
     "op9_quality_rules": quality.SQL,
 }
