@@ -5,20 +5,24 @@ import os
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """df.mapInArrow whose workers find this package where it lies in the same place as on the driver.
+def on_workers(spark: SparkSession) -> None:
+    """Lets Python workers find this package where it lies in the same place as on the driver.
 
     On other clusters the package is shipped with --py-files, and the path is one that does not exist.
     """
-    known = df.sparkSession.sparkContext.environment
+    known = spark.sparkContext.environment
     paths = known.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         known["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), ROOT])
+
+
+def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    on_workers(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 

@@ -1,15 +1,20 @@
 """The registered queries of this subpackage and their comparison SQL."""
 
-from wardlog.llm import minhash, mixing, quality
+from wardlog.llm import chat, cws, minhash, mixing, quality, warc
 
 QUERIES = {
     "op2_mix_sources": mixing.op2_mix_sources,
     "op3_near_duplicates": minhash.op3_near_duplicates,
+    "op5_fingerprints": cws.op5_fingerprints,
+    "op6_chat_format": chat.op6_chat_format,
+    "op7_warc": warc.op7_warc,
     "op9_quality_rules": quality.op9_quality_rules,
 }
 
 ORACLES = {
     "op2_mix_sources": mixing.SQL,
     "op3_near_duplicates": minhash.SQL,
+    "op6_chat_format": chat.SQL,
+    "op7_warc": warc.SQL,
     "op9_quality_rules": quality.SQL,
 }
