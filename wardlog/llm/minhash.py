@@ -32,7 +32,7 @@ from wardlog.session import join_side, materialize
 DOMAIN_BITS = 22
 BANDS, ROWS, MIN_SHARED = 56, 6, 2
 PERCENT = 80
-BLOCK = 512  # nodes of a bucket that one task compares with as many others
+BLOCK = 2048  # nodes of a bucket that one task compares with as many others
 SEED = 20_241
 
 
