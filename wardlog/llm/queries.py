@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and their comparison SQL."""
 
-from wardlog.llm import chat, cws, minhash, mixing, quality, warc
+from wardlog.llm import chat, cws, minhash, mixing, quality, toxicity, warc
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op3_near_duplicates": minhash.op3_near_duplicates,
     "op5_fingerprints": cws.op5_fingerprints,
