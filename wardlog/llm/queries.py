@@ -1,11 +1,12 @@
 """The registered queries of this subpackage and their comparison SQL."""
 
-from wardlog.llm import chat, cws, minhash, mixing, quality, toxicity, warc
+from wardlog.llm import chat, cws, minhash, mixing, quality, tokencount, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op3_near_duplicates": minhash.op3_near_duplicates,
+    "op4_token_counts": tokencount.op4_token_counts,
     "op5_fingerprints": cws.op5_fingerprints,
     "op6_chat_format": chat.op6_chat_format,
     "op7_warc": warc.op7_warc,
