@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and their comparison SQL."""
 
-from wardlog.llm import chat, cws, minhash, mixing, quality, tokencount, toxicity, warc
+from wardlog.llm import chat, cws, minhash, mixing, quality, sampling, tokencount, toxicity, warc
 
 QUERIES = {
+    "op10_sentencepiece": sampling.op10_sentencepiece,
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op3_near_duplicates": minhash.op3_near_duplicates,
