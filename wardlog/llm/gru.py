@@ -32,7 +32,7 @@ def lowered(column) -> pa.Array:
 class Words:
     """Words of a block of texts: hash, row, and character runs of each, from one byte array."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, with_runs=True):
         inside = _INSIDE[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[offsets] = True
@@ -49,6 +49,14 @@ class Words:
         if not self.count:
             self.hash, self.runs = np.empty(0, np.uint64), np.empty(0, np.int64)
             return
+        if with_runs:
+            self.runs = self._runs(data, inside, begin, end)[letters]
+        _, place = spread(self.lengths)
+        powers = np.cumprod(np.concatenate([[1], np.full(int(self.lengths.max()), 0x9E3779B97F4A7C15, np.uint64)]).astype(np.uint64))
+        self.hash = mix64(np.add.reduceat(data[letters].astype(np.uint64) * powers[place] + powers[place + 1], self.first))
+
+    @staticmethod
+    def _runs(data, inside, begin, end):
         shown = np.where(inside, data, 32).astype(np.uint32)
         padded = np.concatenate([shown, np.full(2, 32, np.uint32)])
         after = np.where(end, 32, padded[1:-1])
@@ -56,10 +64,7 @@ class Words:
         before = np.where(begin, 32, np.concatenate([[32], shown[:-1]]).astype(np.uint32))
         key = before * _PRIMES[0] ^ shown * _PRIMES[1] ^ after * _PRIMES[2] ^ after_next * _PRIMES[3]
         key = (key ^ (key >> np.uint32(15))) * _PRIMES[0]
-        self.runs = (key >> np.uint32(32 - CHAR_BITS)).astype(np.int64)[letters]
-        _, place = spread(self.lengths)
-        powers = np.cumprod(np.concatenate([[1], np.full(int(self.lengths.max()), 0x9E3779B97F4A7C15, np.uint64)]).astype(np.uint64))
-        self.hash = mix64(np.add.reduceat(data[letters].astype(np.uint64) * powers[place] + powers[place + 1], self.first))
+        return (key >> np.uint32(32 - CHAR_BITS)).astype(np.int64)
 
 
 class Layout:

@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their comparison SQL."""
 
-from wardlog.llm import chat, cws, minhash, mixing, quality, sampling, tokencount, toxicity, warc
+from wardlog.llm import chat, cws, licenses, minhash, mixing, quality, sampling, tokencount, toxicity, warc
 
 QUERIES = {
     "op10_sentencepiece": sampling.op10_sentencepiece,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_fingerprints": cws.op5_fingerprints,
     "op6_chat_format": chat.op6_chat_format,
     "op7_warc": warc.op7_warc,
+    "op8_license_scan": licenses.op8_license_scan,
     "op9_quality_rules": quality.op9_quality_rules,
 }
 
