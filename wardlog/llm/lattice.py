@@ -229,8 +229,10 @@ class Lattice:
             inside[nodes] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, sizes)), first))
         log_p = inside[self.from_node] + weight - inside[self.run]
         p = np.exp(log_p)
-        running = np.cumsum(p)
-        running -= (running - p)[self.offset[self.run]]
+        running = p.copy()  # summed node by node, so that the other chunks of a block leave no trace
+        for k in range(1, int(self.n_edges.max()) if len(p) else 0):
+            edge = self.offset[self.n_edges > k] + k
+            running[edge] += running[edge - 1]
         return log_p, p, running
 
 

@@ -141,7 +141,8 @@ class Block:
         single = lattice.n_edges[lattice.run] == 1
         with np.errstate(divide="ignore"):
             self.log_rest = np.where(single, -np.inf, np.log(np.maximum(1 - self.p, 0)))
-        self.log_p = np.where(single, 0.0, self.log_p)
+        # on a grid of 2^-30, sums are exact and do not depend on what else the block holds
+        self.log_p = np.where(single, 0.0, np.round(np.maximum(self.log_p, -1e6) * 2.0**30) * 2.0**-30)
         row = np.repeat(np.arange(self.rows), chunks.per_row)
         self.place = chunks.starts - offsets[row]
         self.draws = [_Draws(self, _hash(keys, j)[row]) for j in range(k)]
