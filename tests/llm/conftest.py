@@ -48,3 +48,8 @@ def corpus(spark):
 
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.fixture(scope="session")
+def sf_small():
+    return "/root/testdata/sf0.001"
