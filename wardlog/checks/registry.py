@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardlog import schema as S
 from wardlog.checks import oracles as O
 from wardlog.functions import (
-    blank_to_null, command_flags, day, hour, int_or_zero, list_length, number_or_zero, parse_instant, parse_ts, percent,
+    command_flags, day, hour, int_or_zero, list_length, number_or_zero, parse_instant, parse_ts, percent,
     prettify, text_or_empty,
 )
 from wardlog.operators import events as E
@@ -134,7 +134,7 @@ def _(spark, d):
 def sessions_csv(spark, d):
     def write():
         path = scratch_path(spark, "sessions-csv")
-        sinks.write_csv(SE.session_table(raw(spark, d)), path)
+        sinks.write_csv(sessions(spark, d), path)
         return path
     return stored(spark, d, "sessions-csv", write)
 
@@ -148,7 +148,7 @@ def events_csv(spark, d):
 
 
 @query("scan_sessions_csv", O.on_sessions("""SELECT session_id, src_ip, start_time, end_time, duration,
-    nullif(commands, '') AS commands, command_count, login_success, threat_level, NULL::BIGINT AS unique_commands FROM s"""))
+    NULL::VARCHAR AS commands, command_count, login_success, threat_level, NULL::BIGINT AS unique_commands FROM s"""))
 def _(spark, d):
     return logs.scan_csv(spark, sessions_csv(spark, d), S.EMPTY_SESSIONS_SCHEMA).select(
         "session_id", "src_ip", "start_time", "end_time", "duration", "commands", "command_count", "login_success",
@@ -165,10 +165,10 @@ def _(spark, d):
     return logs.scan_csv(spark, events_csv(spark, d), S.EVENTS_A_SCHEMA)
 
 
-@query("sink_sessions", O.on_sessions(f"SELECT {O.FEATURE_LIST}, commands FROM s"))
+@query("sink_sessions", O.on_sessions(f"SELECT {O.FEATURE_LIST} FROM s"))
 def _(spark, d):
     path = scratch_path(spark, "sessions")
-    sinks.write_table(SE.session_table(raw(spark, d)).drop("part"), path)
+    sinks.write_table(sessions(spark, d), path)
     return sinks.read_table(spark, path)
 
 
@@ -235,10 +235,9 @@ def _(spark, d):
     return E.by_ip(s, busiest).select("session_id", "threat_level")
 
 
-@query("filter_is_string", O.on_sessions("SELECT session_id, commands FROM s WHERE command_count > 0 AND commands <> ''"))
+@query("filter_is_string", O.on_sessions("SELECT session_id, command_count FROM s WHERE command_count > 0 AND commands <> ''"))
 def _(spark, d):
-    text = SE.joined_commands(raw(spark, d))
-    return text.where(blank_to_null("commands").isNotNull()).select("session_id", "commands")
+    return E.with_command_text(sessions(spark, d)).select("session_id", "command_count")
 
 
 @query("filter_completed", O.on_sessions("SELECT session_id, end_time, duration FROM s WHERE end_time IS NOT NULL"))
@@ -255,10 +254,10 @@ TRAINING_SQL = """SELECT s.session_id AS id, duration, command_count::DOUBLE AS
 @query("select_features", O.on_tokens(TRAINING_SQL.format(
     more="threat_code AS label, command_count::DOUBLE AS commands_length, login_attempt_count::DOUBLE AS login_attempts_length")))
 def _(spark, d):
-    """The training columns, and the length of each list of a session."""
+    """The training columns, and the length of each list of a session, counted from its entries."""
     e = raw(spark, d)
-    lengths = L.with_list_lengths(SE.session_lists(e)).groupBy("session_id").agg(
-        *[F.sum(c).alias(c) for c in ("commands_length", "login_attempts_length")])
+    lengths = SE.session_entries(e).groupBy("session_id").agg(
+        *[F.count_if(F.col("list") == c).alias(f"{c}_length") for c in ("commands", "login_attempts")])
     table = SE.training_table(SE.session_features(e), SE.command_tokens(e)).join(lengths, "session_id", "left")
     return L.training_matrix(table, L.feature_columns(table, S.TRAINING_FEATURES))
 
@@ -303,25 +302,17 @@ def _(spark, d):
     return SE.sessionize(raw(spark, d)).select("session_id", "login_attempt_count", "command_count", "event_count")
 
 
-@query("session_lists", O.on_log("""SELECT session AS session_id,
-    coalesce(string_agg(timestamp || '=' || input, ';' ORDER BY ord) FILTER (eventid = 'cowrie.command.input'), '') AS commands,
-    coalesce(string_agg(timestamp || '=' || username || '/' || password || '/' || (event_type = 'signup')::VARCHAR, ';' ORDER BY ord)
-      FILTER (event_type IN ('signup', 'error')), '') AS login_attempts
-    FROM log WHERE event_type <> 'purchase' GROUP BY session"""))
+@query("session_lists", O.on_log("""SELECT session AS session_id, ord AS position, timestamp,
+    CASE WHEN event_type IN ('signup', 'error') THEN 'login_attempts' ELSE 'commands' END AS list,
+    CASE WHEN event_type NOT IN ('signup', 'error') THEN coalesce(input, '') END AS input, username, password,
+    CASE WHEN event_type IN ('signup', 'error') THEN event_type = 'signup' END AS success FROM log WHERE event_type <> 'purchase'"""))
 def _(spark, d):
-    lists = SE.session_lists(raw(spark, d))
-    return lists.select(
-        "session_id",
-        F.array_join(F.transform("commands", lambda c: F.concat_ws("=", c["timestamp"], c["input"])), ";").alias("commands"),
-        F.array_join(F.transform("login_attempts", lambda a: F.concat(
-            a["timestamp"], F.lit("="), F.concat_ws("/", a["username"], a["password"], a["success"].cast("string"))
-        )), ";").alias("login_attempts"),
-    )
+    return SE.session_entries(raw(spark, d))
 
 
-@query("session_features", O.on_sessions(f"SELECT {O.FEATURE_LIST}, commands FROM s"))
+@query("session_features", O.on_sessions(f"SELECT {O.FEATURE_LIST} FROM s"))
 def _(spark, d):
-    return SE.session_table(raw(spark, d)).drop("part")
+    return sessions(spark, d)
 
 
 @query("threat_score", O.on_sessions(f"SELECT session_id, {O.FLAG_LIST}, threat_score, threat_level, threat_code FROM s"))
@@ -457,7 +448,7 @@ def _(spark, d):
 
 @query("command_list", O.on_log("SELECT session AS session_id, timestamp, input FROM log WHERE input IS NOT NULL"))
 def _(spark, d):
-    return SE.commands(raw(spark, d)).drop("ord")
+    return SE.commands(raw(spark, d)).drop("position")
 
 
 @query("command_frequency", O.on_tokens("SELECT command, count(*) AS count FROM tok GROUP BY command"))
@@ -489,7 +480,7 @@ CHARACTER = """,
 levels AS (
   SELECT l.threat_level, count(s.session_id) AS count,
     count(s.session_id)::DOUBLE / (SELECT count(*) FROM s) * 100 AS percentage,
-    sum(duration::DECIMAL(18,2))::DOUBLE / nullif(count(duration), 0) AS avg_duration, avg(command_count) AS avg_command_count,
+    round(avg(duration), 6) AS avg_duration, avg(command_count) AS avg_command_count,
     avg(login_success::INTEGER) * 100 AS login_success_rate, """ + ", ".join(
     f"avg({n}) * 100 AS {n}" for n in P.FLAGS_BY_LEVEL) + """
   FROM (VALUES ('high'), ('medium'), ('low')) l(threat_level) LEFT JOIN s USING (threat_level) GROUP BY 1
@@ -498,7 +489,7 @@ levels AS (
 
 @query("threat_characteristics", O.on_sessions("SELECT * FROM levels", CHARACTER))
 def _(spark, d):
-    return P.threat_characteristics(sessions(spark, d))
+    return P.threat_characteristics(sessions(spark, d)).withColumn("avg_duration", F.round("avg_duration", 6))
 
 
 for _name, _sql in {
@@ -585,45 +576,51 @@ def _(spark, d):
 
 # --- scalar functions -------------------------------------------------------------------------
 
-@query("joined_commands", O.on_sessions("SELECT session_id, commands FROM s WHERE command_count > 0"))
+@query("joined_commands", O.on_log("""SELECT session AS session_id, ord AS position,
+    CASE WHEN ord = min(ord) OVER (PARTITION BY session) THEN '' ELSE ' | ' END || coalesce(input, '') AS piece
+    FROM log WHERE eventid = 'cowrie.command.input'"""))
 def _(spark, d):
-    return SE.joined_commands(raw(spark, d)).select("session_id", "commands")
+    return SE.joined_commands(raw(spark, d))
 
 
-@query("split_commands", O.on_sessions("""SELECT session_id, len(string_split(commands, ' | '))::INTEGER AS pieces,
-    string_split(commands, ' | ')[-1] AS last_piece FROM s WHERE command_count > 0"""))
+@query("split_commands", O.on_log("""SELECT ord AS position, len(string_split(text, ' | '))::INTEGER AS pieces, string_split(text, ' | ')[-1] AS last_piece
+    FROM (SELECT ord, repeat(input || ' | ', (ord % 4)::INTEGER) || input AS text FROM log WHERE eventid = 'cowrie.command.input')"""))
 def _(spark, d):
     from wardlog.functions import split_commands
 
-    text = SE.joined_commands(raw(spark, d)).withColumn("p", split_commands(F.col("commands")))
-    return text.select("session_id", F.size("p").alias("pieces"), F.element_at("p", -1).alias("last_piece"))
+    typed = SE.commands(raw(spark, d))
+    text = F.concat(F.expr("repeat(input || ' | ', int(position % 4))"), "input")
+    pieces = typed.withColumn("p", split_commands(text))
+    return pieces.select("position", F.size("p").alias("pieces"), F.element_at("p", -1).alias("last_piece"))
 
 
-@query("list_length", O.on_log("""SELECT session AS session_id, count(*)::INTEGER AS json_length, count(*)::INTEGER AS printed_length,
-    2::INTEGER AS map_length, 0::INTEGER AS plain_length FROM log WHERE event_type IN ('signup', 'error') GROUP BY session"""))
+@query("list_length", O.on_log("""SELECT ord AS position, (ord % 4)::INTEGER AS json_length, (ord % 4)::INTEGER AS printed_length,
+    2::INTEGER AS map_length, 0::INTEGER AS plain_length FROM log WHERE event_type IN ('signup', 'error')"""))
 def _(spark, d):
-    """Lengths of the same list stored as JSON and as a printed Python list."""
-    lists = SE.session_lists(raw(spark, d).where(F.col("eventid").isin(S.EVENT_LOGIN_SUCCESS, S.EVENT_LOGIN_FAILED)))
+    """Lengths of a list stored as JSON and as a printed Python list: 0 to 3 times an entry."""
+    logins = SE.session_entries(raw(spark, d)).where("list = 'login_attempts'")
+    entry = F.struct("username", "password", "success")
+    entries = F.filter(F.array_repeat(entry, 3), lambda _, i: i < F.col("position") % 4)
 
     def printed(a):
         return F.concat(F.lit("{'username': '"), a["username"], F.lit("', 'end': None, 'success': "),
                         F.when(a["success"], "True").otherwise("False"), F.lit("}"))
 
-    text = F.concat(F.lit("["), F.array_join(F.transform("login_attempts", printed), ", "), F.lit("]"))
-    return lists.select(
-        "session_id", list_length(F.to_json("login_attempts")).alias("json_length"),
-        list_length(text).alias("printed_length"),
+    text = F.concat(F.lit("["), F.array_join(F.transform(entries, printed), ", "), F.lit("]"))
+    return logins.select(
+        "position", list_length(F.to_json(entries)).alias("json_length"), list_length(text).alias("printed_length"),
         list_length(F.concat(F.lit("{'a': True, 'b': '"), "session_id", F.lit("'}"))).alias("map_length"),
         list_length(F.col("session_id")).alias("plain_length"),
     )
 
 
-@query("to_numeric_coerce", """SELECT event_id, CASE event_id % 4 WHEN 0 THEN 0.0 WHEN 1 THEN value WHEN 2 THEN 0.0 ELSE 1000.0 END::DOUBLE AS number,
-    CASE event_id % 4 WHEN 1 THEN trunc(value)::INTEGER WHEN 3 THEN 1000 ELSE 0 END::INTEGER AS whole FROM events""")
+@query("to_numeric_coerce", """SELECT event_id, CASE event_id % 6 WHEN 1 THEN value WHEN 3 THEN 1000.0 WHEN 4 THEN 1e17 ELSE 0.0 END::DOUBLE AS number,
+    CASE event_id % 6 WHEN 1 THEN trunc(value)::INTEGER WHEN 3 THEN 1000 ELSE 0 END::INTEGER AS whole FROM events""")
 def _(spark, d):
     e = spark.read.parquet(f"{d}/events.parquet")
-    text = F.when(F.col("event_id") % 4 == 0, F.col("event_type")).when(
-        F.col("event_id") % 4 == 1, F.col("value").cast("string")).when(F.col("event_id") % 4 == 3, F.lit("1e3"))
+    kind = F.col("event_id") % 6
+    text = F.when(kind == 0, F.col("event_type")).when(kind == 1, F.col("value").cast("string")).when(kind == 3, F.lit("1e3")).when(
+        kind == 4, F.lit("1e17")).when(kind == 5, F.lit("Infinity"))
     return e.select("event_id", number_or_zero(text).alias("number"), int_or_zero(text).alias("whole"))
 
 

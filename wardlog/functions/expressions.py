@@ -37,13 +37,14 @@ def hour(ts: Column) -> Column:
 
 
 def number_or_zero(col) -> Column:
-    """Numeric value; text that is no number, NULL and NaN become 0."""
+    """Numeric value; what is no finite number (other text, NULL, NaN, the infinities) becomes 0."""
     value = (F.col(col) if isinstance(col, str) else col).try_cast("double")
-    return F.when(F.isnan(value), 0.0).otherwise(F.coalesce(value, F.lit(0.0)))
+    return F.when(F.isnan(value) | (F.abs(value) == float("inf")), 0.0).otherwise(F.coalesce(value, F.lit(0.0)))
 
 
 def int_or_zero(col) -> Column:
-    return number_or_zero(col).cast("int")
+    """Whole part of the numeric value; what does not fit becomes 0."""
+    return F.coalesce(number_or_zero(col).try_cast("int"), F.lit(0))
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -124,10 +125,24 @@ def list_length(col: Column) -> Column:
     )
 
 
+def one_line(col: Column) -> Column:
+    """Text without line breaks: backslash, line feed and carriage return as two characters."""
+    text = F.replace(col, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(text, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def one_line_decode(col: Column) -> Column:
+    """The inverse of one_line: escaped backslashes divide the text, the breaks come back between them."""
+    def breaks(part):
+        return F.replace(F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+
+    return F.array_join(F.transform(F.split(col, r"\\\\"), breaks), "\\")
+
+
 def map_key(col: Column) -> tuple[Column, Column]:
-    """(threat, cluster) out of '(t, c)' or 't,c'."""
+    """(threat, cluster) out of '(t, c)' or 't,c'; a number that does not fit is NULL."""
     parts = F.regexp_extract_all(col, F.lit(r"-?\d+"), F.lit(0))
-    return F.try_element_at(parts, F.lit(1)).cast("int"), F.try_element_at(parts, F.lit(2)).cast("int")
+    return F.try_element_at(parts, F.lit(1)).try_cast("int"), F.try_element_at(parts, F.lit(2)).try_cast("int")
 
 
 def prettify(col: Column) -> Column:

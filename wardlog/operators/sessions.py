@@ -1,6 +1,7 @@
 """Folding events into sessions.
 
-Everything a session needs except its lists is a constant-size aggregate: counts, any, and
+A session is one row of constant size, whatever its length; its texts and lists stay in rows of their
+own, keyed by session and position. Everything in a session row is a constant-size aggregate: counts, any, and
 first/last by order. A session that holds a third of all events is therefore reduced in every
 map task before the shuffle. The six command flags are defined on the session's joined command
 text; they are computed from single commands all the same (see `_flag_aggregates`), so no text
@@ -19,8 +20,8 @@ from wardlog.functions import (
 from wardlog.operators.events import valid
 from wardlog.session import counted_up_to, join_side, materialize
 
-LIST_LIMIT = 100_000  # events of one session that are gathered into a single row,
-LIST_CHARS = 16_000_000  # and the characters of their texts
+PART_ROWS = 100_000  # commands of one special session that are joined at a time,
+PART_CHARS = 16_000_000  # and the characters of their texts
 
 
 def _is(event_id):
@@ -46,8 +47,8 @@ def _flag_aggregates() -> dict:
     return out
 
 
-def session_aggregates() -> list:
-    """Aggregate expressions of one session; they also serve the streaming query.
+def session_aggregates(events: DataFrame) -> list:
+    """Aggregate expressions of one session of these events; they also serve the streaming query.
 
     Numbers and texts never share an aggregate, which keeps pruning intact: a profile that needs
     only numbers runs as a hash aggregate, because the text buffers disappear from the plan.
@@ -55,15 +56,16 @@ def session_aggregates() -> list:
     login_ok, login_failed = _is(S.EVENT_LOGIN_SUCCESS), _is(S.EVENT_LOGIN_FAILED)
     command, closed = _is(S.EVENT_COMMAND), _is(S.EVENT_CLOSED)
     order = F.col("ord")
+    from_start = F.col("first_ord") if "first_ord" in events.columns else order
 
     def first(name):
-        return F.coalesce(F.min_by(text_or_empty(name), order), F.lit(""))
+        return F.coalesce(F.min_by(text_or_empty(name), from_start), F.lit(""))
 
     def last(value, condition):
         return F.max_by(value, F.when(condition, order))
 
     # Fields that are used together share one aggregate; equal expressions are evaluated once.
-    client = F.min_by(F.struct(*[text_or_empty(n).alias(n) for n in ("version", "hassh", "hasshAlgorithms")]), order)
+    client = F.min_by(F.struct(*[text_or_empty(n).alias(n) for n in ("version", "hassh", "hasshAlgorithms")]), from_start)
     login = last(F.struct(*[text_or_empty(n).alias(n) for n in ("username", "password")]), login_ok)
     return [
         first("src_ip").alias("src_ip"),
@@ -102,9 +104,9 @@ def sessionize(events: DataFrame, per_file=False) -> DataFrame:
     """
     if not per_file:
         grouped = valid(events).groupBy(F.col("session").alias("session_id"))
-        return grouped.agg(*session_aggregates())
+        return grouped.agg(*session_aggregates(events))
     grouped = valid(events).groupBy(F.col("session").alias("session_id"), "file")
-    return keep_last_file(grouped.agg(*session_aggregates()))
+    return keep_last_file(grouped.agg(*session_aggregates(events)))
 
 
 def keep_last_file(partial: DataFrame) -> DataFrame:
@@ -118,27 +120,61 @@ def session_features(events: DataFrame, per_file=False) -> DataFrame:
     return with_threat(sessionize(events, per_file))
 
 
-def long_sessions(events: DataFrame, limit=LIST_LIMIT, chars=LIST_CHARS) -> DataFrame:
-    """Sessions of more than `limit` events or `chars` characters, with the events a part may hold.
+def session_entries(events: DataFrame) -> DataFrame:
+    """The lists of a session, one row per entry: its commands and its login attempts, keyed by session and
+    position. Entries are ordered by position; the length of a list is a count."""
+    login = _is(S.EVENT_LOGIN_SUCCESS) | _is(S.EVENT_LOGIN_FAILED)
+    listed = valid(events).where(login | _is(S.EVENT_COMMAND))
+    return listed.select(
+        F.col("session").alias("session_id"), F.when(login, "login_attempts").otherwise("commands").alias("list"),
+        F.col("ord").alias("position"), text_or_empty("timestamp").alias("timestamp"),
+        F.when(~login, text_or_empty("input")).alias("input"),
+        *[F.when(login, text_or_empty(n)).alias(n) for n in ("username", "password")],
+        F.when(login, _is(S.EVENT_LOGIN_SUCCESS)).alias("success"),
+    )
+
+
+def commands(events: DataFrame) -> DataFrame:
+    """One row per command, exactly as typed; the key is (session_id, position)."""
+    return valid(events).where(_is(S.EVENT_COMMAND)).select(
+        F.col("session").alias("session_id"), F.col("ord").alias("position"), text_or_empty("timestamp").alias("timestamp"),
+        text_or_empty("input").alias("input"),
+    )
 
-    Even a part of the session's longest entries stays within `chars`, unless one alone exceeds it.
+
+def joined_commands(events: DataFrame) -> DataFrame:
+    """The joined command text of every session in pieces, one per command: (session_id, position, piece).
+
+    Put together in order of position they are the text; every piece but the first begins with the
+    separator. The grain is the same for a session of two commands and of a billion.
     """
-    size = sum((F.length(text_or_empty(c)) for c in ("username", "password")), F.length(text_or_empty("input")))
-    sizes = events.groupBy("session").agg(
+    typed = commands(events)
+    first = typed.groupBy("session_id").agg(F.min("position").alias("first"))
+    separator = F.when(F.col("position") == F.col("first"), "").otherwise(S.COMMAND_SEPARATOR)
+    return typed.join(first, "session_id").select("session_id", "position", F.concat(separator, "input").alias("piece"))
+
+
+def _long_sessions(typed: DataFrame, limit, chars) -> DataFrame:
+    """Sessions of more than `limit` commands or `chars` characters, with the commands a part may hold.
+
+    Even a part of the session's longest commands stays within `chars`, unless one alone exceeds it.
+    """
+    size = F.length(text_or_empty("input"))
+    sizes = typed.groupBy("session").agg(
         F.count(F.lit(1)).alias("n"), F.sum(size).alias("total"), F.max(size).alias("longest")
     )
     rows = F.greatest(F.lit(1), F.least(F.lit(limit), F.floor(F.lit(chars) / F.greatest(F.col("longest"), F.lit(1)))))
     return sizes.where((F.col("n") > limit) | (F.col("total") > chars)).select("session", rows.alias("part_rows"))
 
 
-def _cut_long_sessions(events: DataFrame, long: DataFrame) -> DataFrame:
-    """Events of the long sessions with `part`: at most `part_rows` events of a session share one.
+def _cut_long_sessions(typed: DataFrame, long: DataFrame) -> DataFrame:
+    """Commands of the long sessions with `part`: at most `part_rows` of a session share one.
 
     The rows are sorted across all tasks, so a session may span many of them, and written once
     with increasing row numbers, so the numbers are the same in every later use.
     """
     rows = (
-        events.join(long, "session")
+        typed.join(long, "session")
         .repartitionByRange("session", "ord").sortWithinPartitions("session", "ord")
         .withColumn("row_number", F.monotonically_increasing_id())
     )
@@ -146,75 +182,28 @@ def _cut_long_sessions(events: DataFrame, long: DataFrame) -> DataFrame:
     return materialize(rows).withColumn("part", part).drop("row_number", "part_rows")
 
 
-def session_lists(events: DataFrame, limit=LIST_LIMIT, chars=LIST_CHARS) -> DataFrame:
-    """Ordered commands and login attempts as arrays: (session_id, part, commands, login_attempts).
+def _text_parts(typed: DataFrame, limit, chars) -> DataFrame:
+    """Joined text of whole sessions, part 0, and of parts above 0 of the long ones: (session_id, part, commands).
 
-    A session of up to `limit` events and `chars` characters is one row, part 0. A longer one is
-    spread over parts above 0, whose numbers increase in order, so no row and no task receives all of it. Whether there
-    are long sessions is found out first, by counting: pass stored events where reading is costly.
+    Only `command_tokens` uses this, whose tokens do not depend on where the parts are cut.
     """
-    columns = ["session", "ord", "eventid", "timestamp", "input", "username", "password"]
-    login = _is(S.EVENT_LOGIN_SUCCESS) | _is(S.EVENT_LOGIN_FAILED)
-    command = _is(S.EVENT_COMMAND)
-    listed = valid(events).where(login | command).select(*columns)
-    long = materialize(long_sessions(listed, limit, chars))
+    typed = typed.select("session", "ord", "input")
+    long = materialize(_long_sessions(typed, limit, chars))
     found = counted_up_to(long)
     whole = F.lit(0).cast("bigint")
     if not found:
-        numbered = listed.withColumn("part", whole)
+        numbered = typed.withColumn("part", whole)
     else:
         long = join_side(long, found)
-        numbered = listed.join(long, "session", "left_anti").withColumn("part", whole).unionByName(
-            _cut_long_sessions(listed, long)
+        numbered = typed.join(long, "session", "left_anti").withColumn("part", whole).unionByName(
+            _cut_long_sessions(typed, long)
         )
-
-    def ordered(condition, *fields):
-        entry = F.when(condition, F.struct(F.col("ord"), *fields))
-        return F.array_sort(F.collect_list(entry))
-
-    names = ["timestamp", "username", "password"]
-    grouped = numbered.groupBy(F.col("session").alias("session_id"), "part").agg(
-        ordered(command, text_or_empty("timestamp").alias("timestamp"), text_or_empty("input").alias("input"))
-        .alias("commands"),
-        ordered(
-            login, *[text_or_empty(n).alias(n) for n in names],
-            _is(S.EVENT_LOGIN_SUCCESS).alias("success"),
-        ).alias("login_attempts"),
-    )
-    return grouped.select(
-        "session_id", "part",
-        F.transform("commands", lambda c: F.struct(c["timestamp"], c["input"])).alias("commands"),
-        F.transform(
-            "login_attempts",
-            lambda a: F.struct(a["timestamp"], a["username"], a["password"], a["success"]),
-        ).alias("login_attempts"),
-    )
-
-
-def joined_commands(events: DataFrame, limit=LIST_LIMIT) -> DataFrame:
-    """Joined command text per session (and part, for long sessions)."""
-    lists = session_lists(events.where(_is(S.EVENT_COMMAND)), limit)
-    return lists.select("session_id", "part", joined_text(F.col("commands")).alias("commands"))
-
-
-def session_table(events: DataFrame, limit=LIST_LIMIT) -> DataFrame:
-    """Session features with the joined text. Long sessions have one row per part."""
-    text = joined_commands(events, limit)
-    return session_features(events).join(text, "session_id", "left").withColumns({
-        "part": F.coalesce("part", F.lit(0)).cast("bigint"),
-        "commands": text_or_empty("commands"),
-    })
-
-
-def commands(events: DataFrame) -> DataFrame:
-    """One row per command, exactly as typed."""
-    return valid(events).where(_is(S.EVENT_COMMAND)).select(
-        F.col("session").alias("session_id"), "ord", text_or_empty("timestamp").alias("timestamp"),
-        text_or_empty("input").alias("input"),
-    )
+    entries = F.array_sort(F.collect_list(F.struct(F.col("ord"), text_or_empty("input").alias("input"))))
+    grouped = numbered.groupBy(F.col("session").alias("session_id"), "part").agg(entries.alias("entries"))
+    return grouped.select("session_id", "part", joined_text(F.col("entries")).alias("commands"))
 
 
-def command_tokens(events: DataFrame, limit=LIST_LIMIT) -> DataFrame:
+def command_tokens(events: DataFrame, limit=PART_ROWS, chars=PART_CHARS) -> DataFrame:
     """Tokens of the joined text of each session, one row per token.
 
     Splitting the joined text equals splitting each command, except in two kinds of session:
@@ -230,7 +219,7 @@ def command_tokens(events: DataFrame, limit=LIST_LIMIT) -> DataFrame:
     plain = split.select(F.col("session").alias("session_id"), F.explode(split_commands(text)).alias("command"))
     if not found:
         return plain
-    joined = joined_commands(typed.join(special, "session", "left_semi"), limit)
+    joined = _text_parts(typed.join(special, "session", "left_semi"), limit, chars)
     whole_and_empty = (F.col("part") == 0) & (F.col("commands") == "")
     return plain.unionByName(_with_open_ends(joined.where(~whole_and_empty)).select(
         "session_id", F.explode(split_commands(F.col("commands"))).alias("command")

@@ -50,7 +50,7 @@ def preprocess(spark: SparkSession, roots, data: str, per_file=False, pattern=S.
     write_table(parsed.hint("rebalance", "readable", "day"), f"{data}/lines", ["readable", "day"])
     events = stored_events(spark, data)
     write_table(SE.session_features(events, per_file), f"{data}/sessions")
-    write_table(SE.joined_commands(events), f"{data}/commands")
+    write_table(SE.commands(events), f"{data}/commands")
     return P.basic_statistics(read_table(spark, f"{data}/sessions"), E.events_b(events))
 
 

@@ -139,12 +139,6 @@ def threat_distribution(sessions: DataFrame) -> DataFrame:
 FLAGS_BY_LEVEL = [n for n in S.PATTERNS if n != "has_file_access"]
 
 
-def mean_of(column: str):
-    """Average by a sum in decimals, which does not depend on the order of the rows."""
-    total = F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
-    return F.try_divide(total, F.count(column).cast("double"))
-
-
 def threat_characteristics(sessions: DataFrame) -> DataFrame:
     """Averages and rates per level. All three levels appear, also empty ones."""
     def rate(name):
@@ -154,7 +148,7 @@ def threat_characteristics(sessions: DataFrame) -> DataFrame:
 
     grouped = sessions.groupBy("threat_level").agg(
         F.count(F.lit(1)).alias("count"),
-        mean_of("duration").alias("avg_duration"),
+        F.avg("duration").alias("avg_duration"),
         F.avg("command_count").alias("avg_command_count"),
         rate("login_success").alias("login_success_rate"),
         *[rate(n).alias(n) for n in FLAGS_BY_LEVEL],

@@ -1,11 +1,13 @@
 """Reading raw log lines, stored tables and artefacts."""
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlog import schema as S
-from wardlog.functions import blank_to_null, parse_instant, parse_ts
+from wardlog.functions import blank_to_null, one_line_decode, parse_instant, parse_ts
 
 PARSE_SCHEMA = T.StructType([*S.RAW_SCHEMA.fields, T.StructField(S.CORRUPT, T.StringType())])
 
@@ -71,15 +73,19 @@ def parse_lines(lines: DataFrame, keys=False) -> DataFrame:
 
 
 def with_order(parsed: DataFrame) -> DataFrame:
-    """Adds `ts` and the total order `ord` of events: time first, then place in the files.
+    """Adds `ts` and the total order of events: time first, then place in the scan.
 
-    Files stand for themselves by a hash. Every first/last aggregate carries the order, so its
-    fields are short and of fixed size.
+    Every first/last aggregate carries the order, so it is one number of fixed width, which a hash
+    aggregate updates in place. Lines whose time cannot be parsed come first in `ord`, which decides what
+    is last, and last in `first_ord`, which decides what is first: where a session has a line with a time,
+    a line without one decides neither.
     """
-    return parsed.withColumns({
-        "ts": parse_ts("timestamp"),
-        "ord": F.struct(parse_instant("timestamp").alias("at"), F.xxhash64("file").alias("file"), "block", "row"),
-    })
+    since_year_1 = (F.unix_micros(parse_instant("timestamp")) + F.lit(62_135_596_800_000_001)).cast("decimal(18,0)")
+    at = F.coalesce(since_year_1, F.lit(0).cast("decimal(18,0)"))
+    order = (at * F.lit(Decimal(10**19)).cast("decimal(20,0)") + F.col("row").cast("decimal(19,0)")).cast("decimal(38,0)")
+    timed = parsed.withColumns({"ts": parse_ts("timestamp"), "ord": order})
+    late = (F.col("ord") + F.lit(Decimal(10**37)).cast("decimal(38,0)")).cast("decimal(38,0)")
+    return timed.withColumn("first_ord", F.when(since_year_1.isNull(), late).otherwise(F.col("ord")))
 
 
 def scan_jsonl(spark: SparkSession, roots, recursive=True, pattern=S.LOG_FILE_PATTERN) -> DataFrame:
@@ -103,15 +109,17 @@ def discover(spark: SparkSession, roots, recursive=True, pattern=S.LOG_FILE_PATT
     return reader.load(_paths(roots)).select("path", "length")
 
 
-def scan_csv(spark: SparkSession, path, schema, multi_line=True) -> DataFrame:
+def scan_csv(spark: SparkSession, path, schema, multi_line=False, escaped=True) -> DataFrame:
     """Stored sessions or events. Columns are taken by name; missing ones become NULL.
 
-    Commands may contain line breaks, so a file is not split by default; `multi_line=False` splits
-    large files of which it is known that no cell spans lines.
+    All files must have the same header: the names come from one of them, and another header is an
+    error, not a swap of columns. A record is one line, as `write_csv` writes them (`escaped`), so large
+    files are split. For files of other origin whose cells span lines, pass `multi_line=True, escaped=False`.
     """
-    raw = (
-        spark.read.option("header", "true").option("escape", '"').option("multiLine", str(multi_line).lower()).csv(path)
-    )
+    reader = spark.read.option("header", "true").option("escape", '"').option("multiLine", str(multi_line).lower())
+    raw = reader.schema(reader.csv(path).schema).option("enforceSchema", "false").csv(path)
+    if escaped:
+        raw = raw.select(*[one_line_decode(F.col(c)).alias(c) for c in raw.columns])
     present = set(raw.columns)
     out = []
     for field in schema.fields:

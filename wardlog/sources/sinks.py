@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardlog.functions import one_line
+
 
 def write_table(df: DataFrame, path: str, partition_by=()) -> None:
     writer = df.write.mode("overwrite")
@@ -25,7 +27,10 @@ def _flat(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    _flat(df).write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
+    """One line per record: line breaks inside texts are escaped, so the files can be split."""
+    flat = _flat(df)
+    lines = flat.select(*[one_line(F.col(n)).alias(n) if t == "string" else F.col(n) for n, t in flat.dtypes])
+    lines.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -25,7 +25,7 @@ def stream_lines(spark: SparkSession, directory: str, pattern=S.LOG_FILE_PATTERN
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
     return reader.text(directory).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.xxhash64("value").alias("row"),
+        F.shiftrightunsigned(F.xxhash64("value"), 1).alias("row"),
     )
 
 
@@ -43,7 +43,7 @@ def stream_sessions(events: DataFrame) -> DataFrame:
     closed = F.col("eventid").eqNullSafe(S.EVENT_CLOSED)
     timed = valid(events).withColumn("_batch", F.current_timestamp())
     grouped = timed.groupBy(F.col("session").alias("session_id")).agg(
-        *session_aggregates(), F.min(F.when(closed, F.col("_batch"))).alias("closed_at")
+        *session_aggregates(timed), F.min(F.when(closed, F.col("_batch"))).alias("closed_at")
     )
     return with_threat(grouped)
 
