@@ -42,7 +42,7 @@ def test_files_in_any_order_give_each_decision_once(spark, tmp_path, scorer, arr
 def test_restart_and_later_events_decide_nothing_again(spark, tmp_path, scorer):
     folder = tmp_path / "in"
     folder.mkdir()
-    (folder / "cowrie.json").write_text("\n".join(MICRO_LOG) + "\n")
+    (folder / "cowrie.json.1").write_text("\n".join(MICRO_LOG) + "\n")
     (folder / "other.json").write_text(event("zz", S.EVENT_CLOSED, 1))
     _, first = run(spark, folder, tmp_path / "out", scorer)
     (folder / "cowrie.json.2").write_text("\n".join([
@@ -85,3 +85,37 @@ def test_restart_policy_waits_after_a_failure():
 
     live.keep_running(lambda: Query(next(attempts) < 2), pause=300, wait=pauses.append)
     assert pauses == [300, 300]
+
+
+def test_a_growing_log_is_taken_when_it_is_rotated(spark, tmp_path, scorer):
+    """Nothing of a file is lost that is appended to, or whose last line is half written, while the query runs."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    growing = folder / "cowrie.json"
+    late = event("s3", S.EVENT_CLOSED, 30, duration=4)
+    (folder / "cowrie.json.0").write_text(event("s0", S.EVENT_CLOSED, 1, duration=1))
+    growing.write_text("\n".join(MICRO_LOG) + "\n" + late[:20])
+    got, _ = run(spark, folder, tmp_path / "out", scorer)
+    assert set(got) == {"s0"}
+    with growing.open("a") as log:
+        log.write(late[20:] + "\n" + event("s4", S.EVENT_CLOSED, 31, duration=1) + "\n")
+    run(spark, folder, tmp_path / "out", scorer)
+    growing.rename(folder / "cowrie.json.2024-01-01")
+    got, count = run(spark, folder, tmp_path / "out", scorer)
+    assert set(got) == {"s0", "s1", "s2", "s3", "s4"} and count == 5
+
+
+def test_the_state_store_of_the_session_comes_back(spark, tmp_path, scorer):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "cowrie.json.1").write_text("\n".join(MICRO_LOG))
+    run(spark, folder, tmp_path / "out", scorer)
+    assert spark.conf.get(key, None) == before
+
+
+def test_errors_that_a_restart_cannot_mend_are_raised(spark, tmp_path, scorer):
+    with pytest.raises(Exception, match="(?i)path"):
+        live.keep_running(lambda: live.start_decisions(spark, str(tmp_path / "nowhere"), str(tmp_path / "out"), scorer, once=True),
+                          wait=lambda _: pytest.fail("waited"))

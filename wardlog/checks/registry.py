@@ -230,9 +230,7 @@ def _(spark, d):
 @query("filter_by_ip", O.on_sessions("""SELECT session_id, threat_level FROM s WHERE src_ip = (
     SELECT src_ip FROM s GROUP BY src_ip ORDER BY count(*) DESC, src_ip LIMIT 1)"""))
 def _(spark, d):
-    s = sessions(spark, d)
-    busiest = P.top_k(P.ip_counts(s), "src_ip", 1).first()["src_ip"]
-    return E.by_ip(s, busiest).select("session_id", "threat_level")
+    return P.top_ip_sessions(kept(spark, d), 1).select("session_id", "threat_level")
 
 
 @query("filter_is_string", O.on_sessions("SELECT session_id, command_count FROM s WHERE command_count > 0 AND commands <> ''"))
@@ -528,7 +526,7 @@ def _(spark, d):
 @query("top_ip_sessions", O.on_sessions("""SELECT src_ip, session_id, threat_level FROM s WHERE src_ip IN (
     SELECT src_ip FROM s GROUP BY src_ip ORDER BY count(*) DESC, src_ip LIMIT 20)"""))
 def _(spark, d):
-    return P.top_ip_sessions(sessions(spark, d)).select("src_ip", "session_id", "threat_level")
+    return P.top_ip_sessions(kept(spark, d)).select("src_ip", "session_id", "threat_level")
 
 
 # --- ranked lists --------------------------------------------------------------------------
@@ -953,9 +951,15 @@ def rounded(df):
 ROUND4 = ", ".join(f"round({m}, 9) AS {m}" for m in M.WEIGHTED)
 
 
-@query("confusion_matrix", f"WITH {O.GUESSES} SELECT label, prediction, n AS count FROM cells WHERE model = 'by_flags'")
+def by_rule(spark, d, measure):
+    """A table per rule, one below the other."""
+    g = guesses(spark, d)
+    return reduce(DataFrame.unionByName, [measure(g.where(F.col("model") == n)).withColumn("model", F.lit(n)) for n in RULES])
+
+
+@query("confusion_matrix", f"WITH {O.GUESSES} SELECT model, label, prediction, n AS count FROM cells")
 def _(spark, d):
-    return M.confusion_matrix(guesses(spark, d).where(F.col("model") == "by_flags"))
+    return by_rule(spark, d, M.confusion_matrix)
 
 
 @query("metrics_weighted", f"WITH {O.GUESSES} SELECT model, {ROUND4} FROM weighted")
@@ -969,12 +973,12 @@ def _(spark, d):
 
 
 @query("metrics_per_class", f"""WITH {O.GUESSES}
-    SELECT class::VARCHAR AS name, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1, support FROM per_class WHERE model = 'by_login'
-    UNION ALL SELECT 'macro avg', round(precision, 9), round(recall, 9), round(f1, 9), (SELECT count(*) FROM s) FROM macro WHERE model = 'by_login'
-    UNION ALL SELECT 'weighted avg', round(precision, 9), round(recall, 9), round(f1, 9), (SELECT count(*) FROM s) FROM weighted WHERE model = 'by_login'
-    UNION ALL SELECT 'accuracy', NULL, NULL, round(accuracy, 9), (SELECT count(*) FROM s) FROM weighted WHERE model = 'by_login'""")
+    SELECT model, class::VARCHAR AS name, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1, support FROM per_class
+    UNION ALL SELECT model, 'macro avg', round(precision, 9), round(recall, 9), round(f1, 9), (SELECT count(*) FROM s) FROM macro
+    UNION ALL SELECT model, 'weighted avg', round(precision, 9), round(recall, 9), round(f1, 9), (SELECT count(*) FROM s) FROM weighted
+    UNION ALL SELECT model, 'accuracy', NULL, NULL, round(accuracy, 9), (SELECT count(*) FROM s) FROM weighted""")
 def _(spark, d):
-    return rounded(M.classification_report(guesses(spark, d).where(F.col("model") == "by_login")))
+    return rounded(by_rule(spark, d, M.classification_report))
 
 
 def scores(spark, d):
@@ -1119,7 +1123,7 @@ def _(spark, d):
     UNION ALL SELECT 'events_by_day', strftime(ts, '%Y-%m-%d'), count(*) FROM log GROUP BY 2
     UNION ALL SELECT 'events_by_hour', hour(ts)::VARCHAR, count(*) FROM log GROUP BY 2"""))
 def _(spark, d):
-    return C.temporal_series(sessions(spark, d), events(spark, d))
+    return C.temporal_series(kept(spark, d), events(spark, d))
 
 
 @query("chart_ip_threat_stack", O.on_sessions(
@@ -1135,12 +1139,12 @@ def _(spark, d):
     return rounded(sinks.long_metrics(rule_metrics(spark, d).drop("position")))
 
 
-@query("chart_confusion", f"""WITH {O.GUESSES} SELECT label, coalesce(sum(n) FILTER (prediction = 0), 0)::BIGINT AS "0",
+@query("chart_confusion", f"""WITH {O.GUESSES} SELECT model, label, coalesce(sum(n) FILTER (prediction = 0), 0)::BIGINT AS "0",
     coalesce(sum(n) FILTER (prediction = 1), 0)::BIGINT AS "1", coalesce(sum(n) FILTER (prediction = 2), 0)::BIGINT AS "2"
-    FROM cells WHERE model = 'by_commands' GROUP BY label""")
+    FROM cells GROUP BY model, label""")
 def _(spark, d):
-    cells = M.confusion_matrix(guesses(spark, d).where(F.col("model") == "by_commands"))
-    return cells.groupBy("label").pivot("prediction", [0, 1, 2]).agg(F.sum("count")).na.fill(0)
+    cells = by_rule(spark, d, M.confusion_matrix)
+    return cells.groupBy("model", "label").pivot("prediction", [0, 1, 2]).agg(F.sum("count")).na.fill(0)
 
 
 @query("summary_metrics", O.on_tokens(f"""
@@ -1163,7 +1167,8 @@ def _(spark, d):
     UNION ALL (SELECT 'top_source_ips', src_ip, count(*) FROM s GROUP BY src_ip ORDER BY count(*) DESC, src_ip LIMIT 5)""",
     CREDENTIALS + TYPES + CHARACTER))
 def _(spark, d):
-    return C.summary_metrics(sessions(spark, d), events(spark, d), tokens(spark, d))
+    frequency = materialize(P.command_frequency(tokens(spark, d)))
+    return C.summary_metrics(kept(spark, d), events(spark, d), frequency=frequency)
 
 
 # --- learning ------------------------------------------------------------------------------------------
@@ -1541,12 +1546,15 @@ def _(spark, d):
     return R.active_sessions(records).drop("timestamp")
 
 
-@query("highest_level", O.on_sessions("""SELECT max(response_level) AS response_level, 'high' AS strategy FROM decided""", DECIDED))
+NAMED = "CASE max(response_level) WHEN 2 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS strategy"
+
+
+@query("highest_level", O.on_sessions(f"""SELECT max(response_level) AS response_level, {NAMED} FROM decided""", DECIDED))
 def _(spark, d):
     return live.current_level(live.read_decisions(spark, decided(spark, d)))
 
 
-@query("stream_desired_profile_changes", O.on_sessions("SELECT max(response_level) AS highest_level, 'high' AS strategy, true AS changed FROM decided", DECIDED))
+@query("stream_desired_profile_changes", O.on_sessions(f"SELECT max(response_level) AS highest_level, {NAMED}, true AS changed FROM decided", DECIDED))
 def _(spark, d):
     return live.profile_changes(spark, decided(spark, d)).drop("step")
 

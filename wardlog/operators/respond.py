@@ -9,15 +9,24 @@ from wardlog.functions import level_name, map_key
 from wardlog.session import join_side
 
 
+GRID_VALUES = 1000
+
+
 def response_grid(labelled: DataFrame) -> DataFrame:
     """Every seen threat code with every seen cluster.
 
-    Both sets are small by nature (three codes, at most a few dozen clusters); they are
-    gathered as sets in one aggregate and expanded.
+    Both sets are small by nature (three codes, at most a few dozen clusters). They are reduced to their
+    different values first, and a grid of more than GRID_VALUES clusters or codes is an error.
     """
-    sets = labelled.agg(
+    pairs = labelled.select("threat_code", "cluster").distinct().limit(GRID_VALUES * GRID_VALUES)
+    sets = pairs.agg(
         F.collect_set("threat_code").alias("threats"), F.collect_set("cluster").alias("clusters")
     )
+    checked = F.when(
+        F.greatest(F.size("threats"), F.size("clusters")) > GRID_VALUES,
+        F.raise_error(F.lit(f"more than {GRID_VALUES} threat codes or clusters")).cast("boolean"),
+    ).otherwise(F.lit(True))
+    sets = sets.where(checked)
     return sets.select(F.explode("threats").alias("threat_code"), "clusters").select(
         "threat_code", F.explode("clusters").alias("cluster")
     )
@@ -48,14 +57,18 @@ def _mapped(grid, recon_clusters):
     )
 
 
+def lookup_side(mapping: DataFrame) -> DataFrame:
+    """The map as a join side, counted once: a stream makes it before its first batch."""
+    return join_side(mapping.select("threat_code", "cluster", F.col("response_level").alias("_level")))
+
+
 def response_lookup(scored: DataFrame, mapping: DataFrame, default=0) -> DataFrame:
     """Adds response_level; a pair that the map lacks, or a failed score, gets the default.
 
-    Few pairs hold most of the rows, so the map is broadcast once it has been counted.
+    Few pairs hold most of the rows, so the map is broadcast once it has been counted. `mapping` is a map
+    or its `lookup_side`.
     """
-    found = join_side(mapping.select(
-        F.col("threat_code"), F.col("cluster"), F.col("response_level").alias("_level")
-    ))
+    found = mapping if "_level" in mapping.columns else lookup_side(mapping)
     out = scored.withColumns({
         "threat_code": F.coalesce("threat_code", F.lit(0)), "cluster": F.coalesce("cluster", F.lit(0)),
     }).join(found, ["threat_code", "cluster"], "left")

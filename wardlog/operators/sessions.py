@@ -18,7 +18,7 @@ from wardlog.functions import (
     threat_score,
 )
 from wardlog.operators.events import valid
-from wardlog.session import counted_up_to, join_side, materialize
+from wardlog.session import join_side, materialize
 
 PART_ROWS = 100_000  # commands of one special session that are joined at a time,
 PART_CHARS = 16_000_000  # and the characters of their texts
@@ -189,12 +189,12 @@ def _text_parts(typed: DataFrame, limit, chars) -> DataFrame:
     """
     typed = typed.select("session", "ord", "input")
     long = materialize(_long_sessions(typed, limit, chars))
-    found = counted_up_to(long)
+    found = not long.isEmpty()
     whole = F.lit(0).cast("bigint")
     if not found:
         numbered = typed.withColumn("part", whole)
     else:
-        long = join_side(long, found)
+        long = join_side(long)
         numbered = typed.join(long, "session", "left_anti").withColumn("part", whole).unionByName(
             _cut_long_sessions(typed, long)
         )
@@ -213,8 +213,8 @@ def command_tokens(events: DataFrame, limit=PART_ROWS, chars=PART_CHARS) -> Data
     typed = valid(events).where(_is(S.EVENT_COMMAND))
     text = text_or_empty("input")
     special = materialize(typed.where((text == "") | text.endswith(" |")).select("session").distinct())
-    found = counted_up_to(special)
-    special = join_side(special, found)
+    found = not special.isEmpty()
+    special = join_side(special)
     split = typed.join(special, "session", "left_anti") if found else typed
     plain = split.select(F.col("session").alias("session_id"), F.explode(split_commands(text)).alias("command"))
     if not found:

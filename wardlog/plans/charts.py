@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlog import schema as S
-from wardlog.functions import prettify
+from wardlog.functions import day, hour, parse_ts, prettify
 from wardlog.plans import profiles as P
 
 
@@ -58,16 +58,15 @@ def threat_metric_bars(sessions: DataFrame) -> DataFrame:
 
 
 def temporal_series(sessions: DataFrame, events: DataFrame) -> DataFrame:
-    """Four series; the x value is text, because days and hours share the column."""
-    def series(name, df, key):
-        return df.select(F.lit(name).alias("series"), F.col(key).cast("string").alias("x"), "count")
-
-    return reduce(DataFrame.unionByName, [
-        series("sessions_by_day", P.sessions_by_day(sessions), "day"),
-        series("sessions_by_hour", P.sessions_by_hour(sessions), "hour"),
-        series("events_by_day", P.events_by_day(events), "day"),
-        series("events_by_hour", P.events_by_hour(events), "hour"),
-    ])
+    """Four series; the x value is text, because days and hours share the column. Each table is read once."""
+    def series(name, df, column):
+        ts = parse_ts(column)
+        keys = df.select(day(ts).cast("string").alias("day"), hour(ts).cast("string").alias("hour")).where("day IS NOT NULL")
+        counts = keys.groupingSets([["day"], ["hour"]], "day", "hour").agg(F.count(F.lit(1)).alias("count"))
+        kind = F.when(F.col("day").isNotNull(), F.lit(f"{name}_by_day")).otherwise(F.lit(f"{name}_by_hour"))
+        return counts.select(kind.alias("series"), F.coalesce("day", "hour").alias("x"), "count")
+
+    return series("sessions", sessions, "start_time").unionByName(series("events", events, "timestamp"))
 
 
 def ip_threat_stack(sessions: DataFrame, k=10) -> DataFrame:

@@ -141,7 +141,7 @@ def report(spark: SparkSession, data: str) -> dict[str, DataFrame]:
 def watch(spark: SparkSession, directory: str, data: str, **options):
     """Starts the live query with the stored models."""
     classifier, clusters = L.Fitted.load(f"{data}/models/classifier"), L.Clusters.load(f"{data}/models/clusters")
-    mapping = read_table(spark, f"{data}/models/response_map")
+    mapping = R.lookup_side(read_table(spark, f"{data}/models/response_map"))
     return live.start_decisions(
         spark, directory, f"{data}/live", lambda batch: scoring.score_with_models(batch, classifier, clusters, mapping), **options
     )

@@ -8,6 +8,7 @@ EVENT_LOGIN_FAILED = "cowrie.login.failed"
 EVENT_COMMAND = "cowrie.command.input"
 EVENT_CLOSED = "cowrie.session.closed"
 LOG_FILE_PATTERN = "cowrie.json*"
+FINISHED_LOG_PATTERN = "cowrie.json.*"  # rotated files; the sensor still appends to the one without suffix
 
 # --- fixed values: command patterns, their score weights and level cut-offs --
 COMMAND_SEPARATOR = " | "

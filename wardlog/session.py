@@ -9,8 +9,10 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BROADCAST_ROWS = 100_000  # rows of a few short fields: some megabytes
+BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 16_000_000
 
 
 def local_session(cpus="*", app="wardlog", shuffle_partitions=8, **conf) -> SparkSession:
@@ -62,20 +64,35 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether a stored table has at most BROADCAST_ROWS rows and BROADCAST_BYTES bytes in its fields."""
+    width = sum((_width(f) for f in df.schema.fields), F.lit(0))
+    found = df.limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
+    return found["n"] <= BROADCAST_ROWS and (found["bytes"] or 0) <= BROADCAST_BYTES
+
+
+def _width(field):
+    """Bytes of a field: those of its text or JSON form, 16 for numbers and times."""
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(f"`{field.name}`"), F.lit(0)) + 16
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(f"`{field.name}`")), F.lit(0)) + 16
+    return F.lit(16)
+
+
 def counted_up_to(df: DataFrame, limit=BROADCAST_ROWS) -> int:
     """Number of rows, or limit + 1 if there are more."""
     return df.limit(limit + 1).count()
 
 
-def join_side(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Marks a counted small table for broadcast. A larger one is joined by shuffle, where adaptive
-    execution splits the partitions of hot keys.
+def join_side(df: DataFrame) -> DataFrame:
+    """Marks a table for broadcast if it was measured and is small, in rows and in bytes. A larger one is
+    joined by shuffle, where adaptive execution splits the partitions of hot keys.
 
-    Pass a stored table: the count evaluates it. Without the mark, the large side would be written
+    Pass a stored table: measuring evaluates it. Without the mark, the large side would be written
     to a shuffle before the optimiser learns that the other side is small.
     """
-    rows = counted_up_to(df) if rows is None else rows
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    return F.broadcast(df) if fits_broadcast(df) else df
 
 
 def at_once(tasks, threads=4) -> list:

@@ -6,6 +6,9 @@ in no other, so no table of past decisions has to be searched, and a replayed ba
 time, same number) writes the same rows to the same place.
 """
 
+from contextlib import contextmanager
+
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +21,12 @@ from wardlog.sources.logs import parse_lines, with_order
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def stream_lines(spark: SparkSession, directory: str, pattern=S.LOG_FILE_PATTERN, files_per_batch=None) -> DataFrame:
-    """Lines of new files in one directory (not below it). A file is read once, when it appears."""
+def stream_lines(spark: SparkSession, directory: str, pattern=S.FINISHED_LOG_PATTERN, files_per_batch=None) -> DataFrame:
+    """Lines of new files in one directory (not below it).
+
+    A file is read once, when it appears, so by default only rotated files are taken: a file that
+    the sensor still appends to would lose what comes later, and its last line may be half written.
+    """
     reader = spark.readStream.option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
@@ -29,7 +36,7 @@ def stream_lines(spark: SparkSession, directory: str, pattern=S.LOG_FILE_PATTERN
     )
 
 
-def stream_events(spark, directory, pattern=S.LOG_FILE_PATTERN, files_per_batch=None) -> DataFrame:
+def stream_events(spark, directory, pattern=S.FINISHED_LOG_PATTERN, files_per_batch=None) -> DataFrame:
     """Parsed events with their order: time, file, block; equal times of a block by content.
 
     A stream has no row numbers, so only lines with the very same time can swap places.
@@ -54,23 +61,19 @@ def newly_completed(sessions: DataFrame) -> DataFrame:
 
 
 def start_decisions(spark: SparkSession, directory: str, out: str, scorer, checkpoint: str | None = None,
-                    pattern=S.LOG_FILE_PATTERN, files_per_batch=10_000, interval="60 seconds", once=False,
-                    output_files=8):
+                    pattern=S.FINISHED_LOG_PATTERN, files_per_batch=10_000, interval="60 seconds", once=False):
     """Starts the query. `scorer` adds threat_code, cluster and response_level to sessions.
 
     Decisions go to out/decisions/batch_id=N, the batch's highest level to out/levels/batch_id=N;
-    both are overwritten when a batch is repeated. `once=True` handles what is there and stops.
+    both are overwritten when a batch is repeated. A batch is written by as many tasks as its size asks
+    for. `once=True` handles what is there and stops.
     """
-    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, default) == default:
-        spark.conf.set(key, ROCKSDB)  # state on local disk, not on the heap
     done = newly_completed(stream_sessions(stream_events(spark, directory, pattern, files_per_batch)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         path = f"{out}/decisions/batch_id={batch_id}"
-        decision_record(scorer(batch), F.col("closed_at")).repartition(output_files).write.mode("overwrite").parquet(path)
+        decision_record(scorer(batch), F.col("closed_at")).hint("rebalance").write.mode("overwrite").parquet(path)
         level = session.read.parquet(path).agg(F.max("response_level").alias("response_level"))
         level.where(F.col("response_level").isNotNull()).write.mode("overwrite").parquet(f"{out}/levels/batch_id={batch_id}")
 
@@ -79,11 +82,31 @@ def start_decisions(spark: SparkSession, directory: str, out: str, scorer, check
         .option("checkpointLocation", checkpoint or f"{out}/checkpoint")
     )
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
-    return writer.start()
+    with _state_on_disk(spark):
+        return writer.start()
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession):
+    """RocksDB for the query started inside, unless the session names a store; its setting comes back after."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(key, None)
+    if before not in (None, default):
+        yield
+        return
+    spark.conf.set(key, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def keep_running(start, pause=300, wait=None):
-    """Restarts the query after a failure, `pause` seconds later; returns when it stops by itself."""
+    """Restarts the query after a failure, `pause` seconds later; returns when it stops by itself.
+
+    What a restart cannot mend, such as a wrong path or option, is raised.
+    """
     import time
 
     while True:
@@ -91,6 +114,8 @@ def keep_running(start, pause=300, wait=None):
         try:
             query.awaitTermination()
             return query
+        except (AnalysisException, IllegalArgumentException, TypeError, ValueError):
+            raise
         except Exception:
             (wait or time.sleep)(pause)
 
