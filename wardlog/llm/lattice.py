@@ -20,7 +20,7 @@ from wardlog.llm.columns import row_blocks, spread, text_bytes
 UNKNOWN_PENALTY = 10.0
 SPACE_MARK = "▁"
 DEDUPED = 64  # longest chunk, in bytes, that is looked up among its equals
-BLOCK_BYTES = 1 << 18
+BLOCK_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)

@@ -15,7 +15,7 @@ With the (k+1)-th perturbed maximum kappa, a sample of log probability l is amon
 
 Defined results: NULL and empty texts have one segmentation without pieces; a text with fewer than k segmentations gives
 all it has; rows with equal keys and texts get equal samples, a NULL key is a key like others; other columns are not
-read; an empty frame gives an empty frame. Texts are used whole, in blocks of about 256 kB or one text.
+read; an empty frame gives an empty frame. Texts are used whole, in blocks of about 512 kB or one text.
 """
 
 import numpy as np
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from wardlog.llm.columns import map_arrow, mix64, row_blocks, spread, strings
+from wardlog.llm.columns import map_arrow, mix64, row_blocks, spread, strings, text_bytes
 from wardlog.llm.lattice import Automaton, Chunks, Lattice, Vocabulary, automaton, blocks_of
 from wardlog.llm.tokencount import default_model
 from wardlog.llm.words import table
@@ -148,14 +148,26 @@ class Block:
         self.place = chunks.starts - offsets[row]
         self.draws = [_Draws(self, _hash(keys, j)[row]) for j in range(k)]
         self.begin = np.concatenate([[0], np.cumsum(chunks.per_row)])
-        # the sets left on the way of every text's first sample
+        # the sets left on the way of every text's first sample, as far as they matter (see _far_enough)
         d = self.draws[0]
         starts = d.first[self.begin]
-        run, place = spread(np.diff(starts))
+        seeds, sizes = _hash(keys, 1000), np.diff(starts)
         self.bounds = -np.log(-np.log(_unit(_hash(keys, 999))))
-        phi = d.upto[:-1] - d.upto[starts[run]] + self.log_rest[d.edges]
-        self.rest = _remainder(phi, self.bounds[run], _unit(mix64(_hash(keys, 1000)[run] + place.astype(np.uint64))))
-        self.starts = starts
+        self.rests: list = [None] * self.rows
+        window, left = self.WINDOW, np.flatnonzero(sizes)
+        while len(left):
+            run, place = spread(np.minimum(sizes[left], window))
+            at = starts[left][run] + place
+            phi = d.upto[at] - d.upto[starts[left][run]] + self.log_rest[d.edges[at]]
+            rest = _remainder(phi, self.bounds[left][run], _unit(mix64(seeds[left][run] + place.astype(np.uint64))))
+            more, cuts = [], np.flatnonzero(np.diff(run)) + 1
+            for r, found in zip(left.tolist(), np.split(rest, cuts)):
+                seen = len(found)
+                if seen < sizes[r] and not self._far_enough(found, float(d.upto[starts[r] + seen] - d.upto[starts[r]])):
+                    more.append(r)
+                else:
+                    self.rests[r] = found
+            left, window = np.array(more, np.int64), window * 8
 
     def spell(self, edges: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of edges that follow each other in the text from byte start, and how many each has; an unknown
@@ -168,6 +180,9 @@ class Block:
         lengths = self.lattice.length[edges]
         begins = start + np.cumsum(lengths) - lengths
         per_edge = np.where(unknown, lengths, 1)
+        if lengths[unknown].max() == 1:
+            ids[unknown] = self.machine.byte_ids[self.data[begins[unknown]]]
+            return ids, per_edge
         run, place = spread(per_edge)
         ids = ids[run]
         byte = unknown[run]
@@ -185,7 +200,7 @@ class Block:
             return [(np.empty(0, np.int32), 0.0, 0.0)]
         key = int(self.keys[r])
         first = _Path(0, begin - 1, [], 0, [], 0.0, float(self.bounds[r]))
-        first.rest = self.rest[self.starts[r]:self.starts[r + 1]].copy()
+        first.rest = self.rests[r].copy()
         paths, tops = [first], [first.top()]
         while len(paths) < self.k and max(tops) > -np.inf:
             parent = tops.index(max(tops))
@@ -249,9 +264,15 @@ class Block:
                 return edge
         return edge
 
+    def _far_enough(self, rest: np.ndarray, upto: float) -> bool:
+        """Whether no later set can be among the k + 1 highest of a path: a maximum exceeds its set's log mass by less
+        than 37, the most that the random numbers allow, and a later set's mass is less than that of the path so far."""
+        if len(rest) <= self.k:
+            return False
+        return upto + 37 < np.partition(rest, -self.k - 1)[-self.k - 1]
+
     def _rests(self, key: int, path: _Path, end: int):
-        """Maxima of the sets left on a path, as far as they can be among its k + 1 highest: a maximum exceeds
-        its log mass by less than 37, the most that the random numbers allow, and masses fall along the path."""
+        """Maxima of the sets left on a path, as far as they matter."""
         d = self.draws[path.draw]
         start, stop = int(d.first[path.chunk + 1]), int(d.first[end])
         size = self.WINDOW
@@ -264,8 +285,7 @@ class Block:
             upto = settled + np.cumsum(self.log_p[edges])
             phi = np.concatenate([[settled], upto[:-1]]) + self.log_rest[edges]
             path.rest = _remainder(phi, path.bound, _unit(_hash(key, 4000 + path.draw, np.arange(len(edges)))))
-            enough = np.partition(path.rest, -self.k - 1)[-self.k - 1] if len(edges) > self.k else -np.inf
-            if start + size >= stop or upto[-1] + 37 < enough:
+            if start + size >= stop or self._far_enough(path.rest, float(upto[-1])):
                 return
             size *= 4
 
@@ -309,18 +329,14 @@ def decode_pieces(df: DataFrame, model_path: str, ids="ids", out="decoded") -> D
     rest = df.drop(out)
 
     def run(batches):
-        flat = np.frombuffer(b"".join(shared.value), np.uint8)
-        lengths = np.array([len(p) for p in shared.value], np.int64)
-        starts = np.cumsum(lengths) - lengths
+        pieces = pa.array(shared.value, pa.binary())
         for whole in batches:
             index = whole.schema.get_field_index(ids)
             at = np.concatenate([[0], np.cumsum([n or 0 for n in pc.list_value_length(whole.column(index)).to_pylist()])])
             for i, j in row_blocks(at, DECODED_IDS):
                 batch = whole.slice(i, j - i)
-                tokens = np.asarray(batch.column(index).flatten().to_numpy(zero_copy_only=False), np.int64)
-                run, place = spread(lengths[tokens])
-                data = flat[starts[tokens][run] + place]
-                upto = np.concatenate([[0], np.cumsum(lengths[tokens])])[at[i:j + 1] - at[i]]
+                data, ends = text_bytes(pieces.take(batch.column(index).flatten()))
+                upto = ends[at[i:j + 1] - at[i]]
                 leading = np.zeros(j - i, np.int64)
                 filled = upto[1:] > upto[:-1]
                 leading[filled] = data[upto[:-1][filled]] == 32
