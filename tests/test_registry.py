@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tools.check import compare, connect
+from wardlog.checks import registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +14,12 @@ def tables():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_every_query_has_sql():
+    assert set(registry.QUERIES) == set(registry.ORACLES)
+    assert set(entry.oracle_sql()) >= set(registry.ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_against_sql(spark, tables, name):
     seen = []
 

@@ -117,9 +117,15 @@ def _(spark, d):
     return logs.scan_quarantine(spark, log_dir(spark, d), pattern=LOG_FILES).select(F.col(S.CORRUPT).alias("text"))
 
 
-@query("scan_discover")
+@query("scan_discover", O.on_log("SELECT (ord % 3)::INTEGER AS kind, sum(length(ord::VARCHAR) + 1)::BIGINT AS length FROM log GROUP BY 1"))
 def _(spark, d):
-    return logs.discover(spark, log_dir(spark, d), pattern=LOG_FILES)
+    """Text files in three folders are found with their sizes; files of another name are not."""
+    path = scratch_path(spark, "files")
+    lines = raw(spark, d).select(F.col("ord").cast("string").alias("value"), (F.col("ord") % 3).alias("kind")).coalesce(1)
+    lines.write.partitionBy("kind").text(path)
+    lines.write.mode("append").json(path)
+    found = logs.discover(spark, path, pattern="*.txt")
+    return found.select(F.regexp_extract("path", r"kind=(\d)", 1).cast("int").alias("kind"), "length")
 
 
 @query("scan_flat_dir", f"WITH {O.DIRTY} SELECT session, eventid, count(*) AS count FROM lines GROUP BY ALL")
@@ -460,9 +466,14 @@ def _(spark, d):
     return P.command_totals(sessions(spark, d), tokens(spark, d))
 
 
-@query("command_totals_approximate")
+@query("command_totals_approximate", O.on_tokens("""SELECT (SELECT count(*) FROM s WHERE command_count > 0) AS total_command_sessions,
+    count(*) AS total_commands, true AS unique_within_5_percent FROM tok"""))
 def _(spark, d):
-    return P.command_totals(sessions(spark, d), tokens(spark, d), approximate=True)
+    """The sketch against the exact number."""
+    exact = tokens(spark, d).agg(F.countDistinct("command")).first()[0]
+    found = P.command_totals(sessions(spark, d), tokens(spark, d), approximate=True)
+    return found.select("total_command_sessions", "total_commands",
+                        (F.abs(F.col("unique_commands") - exact) <= 0.05 * exact).alias("unique_within_5_percent"))
 
 
 LEVEL_SHARE_SQL = """SELECT threat_level, count(*) AS count,
@@ -1173,9 +1184,8 @@ def _(spark, d):
 
 # --- learning ------------------------------------------------------------------------------------------
 
-# Effort of the registered fits: fewer boosting rounds and iterations than the library's defaults.
-EFFORT = dict(rounds=20, iterations=200, kernel_size=64, svm_iterations=50)
-
+# What fitted models give depends on the engine. Their queries return, per row, truth values that are computed
+# from the result by another formula; the SQL has the rows and `true`.
 
 def split_table(spark, d):
     def build():
@@ -1195,7 +1205,7 @@ def preparation(spark, d):
 
 def classifier(spark, d, name):
     return stored(spark, d, name, lambda: L.fit_classifier(
-        name, parts(spark, d)[0], S.SERVING_FEATURES, preparation(spark, d), **EFFORT))
+        name, parts(spark, d)[0], S.SERVING_FEATURES, preparation(spark, d)))
 
 
 def clusters(spark, d):
@@ -1222,111 +1232,249 @@ def _(spark, d):
     return ready.select("id", *[F.round(F.col("v")[i], 6).alias(f"x_{c}") for i, c in enumerate(S.SERVING_FEATURES)])
 
 
+def majority_share(df):
+    counts = df.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.max("n") / F.sum("n")).first()[0]
+
+
+def evaluated(predictions, macro=False):
+    """The weighted metrics by another library, as numbers."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    doubles = predictions.select(F.col("label").cast("double").alias("label"), F.col("prediction").cast("double").alias("prediction"))
+    return {
+        mine: MulticlassClassificationEvaluator(metricName=theirs).evaluate(doubles)
+        for mine, theirs in zip(M.WEIGHTED, ("accuracy", "weightedPrecision", "weightedRecall", "f1"))
+    }
+
+
+def same(column, value):
+    return F.abs(F.col(column) - F.lit(float(value))) < 1e-9
+
+
+def judged(spark, d, name):
+    """Metrics of a model on the test rows, and whether the other library agrees and a constant guess does worse."""
+    test = parts(spark, d)[1]
+    predictions = materialize(classifier(spark, d, name).transform(test).select("label", "prediction"))
+    theirs = evaluated(predictions)
+    return M.weighted_metrics(predictions).select(
+        F.lit(name).alias("model"), reduce(lambda a, b: a & b, [same(m, v) for m, v in theirs.items()]).alias("metrics_agree"),
+        (F.col("accuracy") > majority_share(test)).alias("beats_majority"), F.lit(predictions.count()).alias("rows"))
+
+
 KEYS = {"logistic_regression": "clf_logistic", "neural_network": "clf_mlp"}
 for _name in L.MODELS:
-    def _fit(spark, d, name=_name):
-        model = classifier(spark, d, name)
-        return M.weighted_metrics(model.transform(parts(spark, d)[1])).select(F.lit(name).alias("model"), *M.WEIGHTED)
-    query(KEYS.get(_name, f"clf_{_name}"))(_fit)
+    query(KEYS.get(_name, f"clf_{_name}"), O.on_sessions(
+        f"SELECT '{_name}' AS model, true AS metrics_agree, true AS beats_majority, count(*)::INTEGER AS rows FROM split WHERE is_test", SPLIT))(
+        lambda spark, d, name=_name: judged(spark, d, name))
 
 
 def all_models(spark, d):
-    """Metrics of all six models, with small trees and few iterations."""
+    """Metrics of all six models."""
     def run():
         train, test = parts(spark, d)
-        return L.bake_off(train, test, S.SERVING_FEATURES, preparation=preparation(spark, d), trees=20, depth=10, rounds=5,
-                          iterations=50, kernel_size=32, svm_iterations=20)[0]
+        fitted = {n: classifier(spark, d, n) for n in L.MODELS}
+        return materialize(L.bake_off(train, test, S.SERVING_FEATURES, preparation=preparation(spark, d), fit=fitted.__getitem__)[0])
     return stored(spark, d, "bake_off", run)
 
 
 def folds(spark, d):
-    return stored(spark, d, "folds", lambda: L.cross_validate(
-        parts(spark, d)[0], S.SERVING_FEATURES, ["random_forest", "logistic_regression"], trees=20, depth=10, iterations=100))
+    return stored(spark, d, "folds", lambda: materialize(L.cross_validate(parts(spark, d)[0], S.SERVING_FEATURES)))
+
+
+MODEL_LIST = ", ".join(f"({i}, '{n}')" for i, n in enumerate(L.MODELS))
 
 
-@query("bake_off")
+@query("bake_off", f"SELECT position::INTEGER AS position, model, true AS metrics_agree, NULL::VARCHAR AS error FROM (VALUES {MODEL_LIST}) m(position, model)")
 def _(spark, d):
-    return all_models(spark, d)
+    test = parts(spark, d)[1]
+    theirs = {n: evaluated(classifier(spark, d, n).transform(test)) for n in L.MODELS}
+    agree = F.lit(False)
+    for n, values in theirs.items():
+        agree = F.when(F.col("model") == n, reduce(lambda a, b: a & b, [same(m, v) for m, v in values.items()])).otherwise(agree)
+    return all_models(spark, d).select("position", "model", agree.alias("metrics_agree"), "error")
 
 
-@query("best_fitted_model")
+@query("best_fitted_model", "SELECT true AS is_model, true AS none_better")
 def _(spark, d):
-    return M.best_model(all_models(spark, d))
+    best, metrics = M.best_model(all_models(spark, d)).first(), all_models(spark, d)
+    return metrics.agg(
+        F.max((F.col("model") == best["model"]) & (F.col("f1") == best["f1"])).alias("is_model"),
+        F.min(F.col("f1") <= best["f1"]).alias("none_better"))
 
 
-@query("cv_metrics")
+@query("cv_metrics", f"SELECT model, true AS in_range, true AS beats_majority FROM (VALUES {MODEL_LIST}) m(position, model)")
 def _(spark, d):
-    return folds(spark, d)
+    found = folds(spark, d)
+    ranges = [F.col(m).between(0, 1) & F.col(f"{m}_std").between(0, 0.5) for m in M.WEIGHTED]
+    return found.select("model", reduce(lambda a, b: a & b, ranges).alias("in_range"),
+                        (F.col("accuracy") > majority_share(parts(spark, d)[0])).alias("beats_majority"))
 
 
-@query("chart_cv_comparison")
+@query("chart_cv_comparison", f"""SELECT model, unnest(['accuracy', 'precision', 'recall', 'f1', 'cv_accuracy', 'cv_precision', 'cv_recall', 'cv_f1']) AS metric,
+    true AS as_measured FROM (VALUES {MODEL_LIST}) m(position, model)""")
 def _(spark, d):
     """Cross-validation means next to the hold-out metrics, long form."""
     both = M.align_metrics(all_models(spark, d).drop("position", "error"), folds(spark, d))
-    return sinks.long_metrics(both).where(F.col("value").isNotNull())
+    held = all_models(spark, d).unpivot("model", M.WEIGHTED, "metric", "expected")
+    crossed = folds(spark, d).unpivot("model", M.WEIGHTED, "metric", "expected").withColumn("metric", F.concat(F.lit("cv_"), "metric"))
+    bars = sinks.long_metrics(both).where(F.col("value").isNotNull())
+    return bars.join(held.unionByName(crossed), ["model", "metric"]).select("model", "metric", (F.col("value") == F.col("expected")).alias("as_measured"))
 
 
-@query("predict")
+@query("predict", O.on_sessions("SELECT session_id AS id, threat_code AS label, true AS most_likely, true AS sums_to_one FROM split WHERE is_test", SPLIT))
 def _(spark, d):
-    return classifier(spark, d, "random_forest").transform(parts(spark, d)[1]).select("id", "label", "prediction")
+    scored = classifier(spark, d, "random_forest").transform(parts(spark, d)[1])
+    largest = F.array_max("probabilities")
+    return scored.select("id", "label", (F.element_at("probabilities", F.col("prediction") + 1) == largest).alias("most_likely"),
+                         (F.abs(F.aggregate("probabilities", F.lit(0.0), lambda a, p: a + p) - 1) < 1e-9).alias("sums_to_one"))
 
 
-@query("predict_proba")
+@query("predict_proba", O.on_sessions("SELECT session_id AS id, 3 AS classes, true AS in_range, true AS sums_to_one FROM split WHERE is_test", SPLIT))
 def _(spark, d):
     scored = classifier(spark, d, "logistic_regression").transform(parts(spark, d)[1])
-    return scored.select("id", *[F.round(F.col("probabilities")[i], 6).alias(f"p{i}") for i in range(3)])
+    return scored.select("id", F.size("probabilities").alias("classes"), F.forall("probabilities", lambda p: p.between(0, 1)).alias("in_range"),
+                         (F.abs(F.aggregate("probabilities", F.lit(0.0), lambda a, p: a + p) - 1) < 1e-9).alias("sums_to_one"))
 
 
-@query("chart_roc")
+@query("chart_roc", O.on_sessions("SELECT DISTINCT threat_code AS class, true AS never_falls, true AS area_agrees FROM split WHERE is_test", SPLIT))
 def _(spark, d):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
     model = classifier(spark, d, "random_forest")
-    return M.roc_points(L.class_scores(model.transform(parts(spark, d)[1]), model.classes))
+    scored = materialize(L.class_scores(model.transform(parts(spark, d)[1]), model.classes))
+    order = W.partitionBy("class").orderBy("fpr", "tpr")  # different scores of a few thousand test rows
+    steps = M.roc_points(scored).withColumns({"x": F.lag("fpr").over(order), "y": F.lag("tpr").over(order)})
+    areas = {}
+    for c in model.classes:
+        own = scored.where(F.col("class") == c).select((F.col("label") == c).cast("double").alias("label"), F.col("score").alias("rawPrediction"))
+        areas[c] = BinaryClassificationEvaluator(numBins=0).evaluate(own)
+    expected = F.element_at(F.create_map(*[F.lit(v) for pair in areas.items() for v in pair]), F.col("class"))
+    return steps.groupBy("class").agg(
+        F.min(F.coalesce(F.col("tpr") >= F.col("y"), F.lit(True))).alias("never_falls"),
+        F.sum(F.coalesce((F.col("fpr") - F.col("x")) * (F.col("tpr") + F.col("y")) / 2, F.lit(0.0))).alias("area"),
+    ).select("class", "never_falls", (F.abs(F.col("area") - expected) < 1e-6).alias("area_agrees"))
 
 
 def importance(spark, d):
     return stored(spark, d, "importance", lambda: L.feature_importance(split_table(spark, d).drop("is_test"), S.SERVING_FEATURES))
 
 
-@query("feature_importance")
+FEATURES_SQL = "SELECT unnest([" + ", ".join(f"'{c}'" for c in S.SERVING_FEATURES) + "]) AS feature, true AS in_range, true AS sums_to_one"
+
+
+def importance_checked(table):
+    """One row per feature; its share lies between 0 and 1, and all shares sum to 1."""
+    total = F.sum("importance").over(W.partitionBy())  # nine rows
+    return table.select("feature", F.col("importance").between(0, 1).alias("in_range"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
+
+
+@query("feature_importance", FEATURES_SQL)
+def _(spark, d):
+    return importance_checked(importance(spark, d))
+
+
+@query("chart_importance", "SELECT unnest(range(1, 10))::INTEGER AS position, true AS not_above_the_one_before")
+def _(spark, d):
+    """The bars in order."""
+    order = W.orderBy(F.desc("importance"), "feature")  # nine rows
+    bars = importance(spark, d).withColumns({"position": F.row_number().over(order), "before": F.lag("importance").over(order)})
+    return bars.select("position", F.coalesce(F.col("importance") <= F.col("before"), F.lit(True)).alias("not_above_the_one_before"))
+
+
+@query("top_k_features", FEATURES_SQL.replace("in_range", "of_the_table").replace(", true AS sums_to_one", ""))
+def _(spark, d):
+    """The ten best, which are all nine."""
+    best = importance(spark, d).orderBy(F.desc("importance"), "feature").limit(10)
+    return best.join(importance(spark, d).withColumnRenamed("importance", "whole"), "feature").select(
+        "feature", (F.col("importance") == F.col("whole")).alias("of_the_table"))
+
+
+@query("best_model_importance", FEATURES_SQL)
 def _(spark, d):
-    return importance(spark, d)
+    return importance_checked(L.importance_table(spark, S.SERVING_FEATURES, classifier(spark, d, "random_forest")))
+
+
+def squared_distance(columns, center):
+    return reduce(lambda a, b: a + b, [(F.col(f"x_{c}") - float(v)) * (F.col(f"x_{c}") - float(v)) for c, v in zip(columns, center)])
 
 
-@query("chart_importance")
+@query("kmeans_sweep_elbow", "SELECT unnest(range(2, 11))::INTEGER AS k, true AS as_assigned, true AS not_rising")
 def _(spark, d):
-    return importance(spark, d)
+    """Inertia of every k, recomputed from distances to the centres."""
+    ready = materialize(L.apply_stages(L.fit_preparation(split_table(spark, d), S.SERVING_FEATURES), split_table(spark, d)).select(
+        "features", *[f"x_{c}" for c in S.SERVING_FEATURES]))
+    models = L.fit_kmeans(ready.select("features"), range(2, 11))
+    sums = ready.agg(*[
+        F.sum(F.least(*[squared_distance(S.SERVING_FEATURES, c) for c in m.clusterCenters()])).alias(str(k)) for k, m in models.items()
+    ]).first()
+    expected = F.element_at(F.create_map(*[F.lit(v) for k in models for v in (k, float(sums[str(k)]))]), F.col("k"))
+    before = F.lag("inertia").over(W.orderBy("k"))  # nine rows
+    return L.inertia_table(models).select(
+        "k", (F.abs(F.col("inertia") - expected) <= expected * 1e-6 + 1e-6).alias("as_assigned"),
+        F.coalesce(F.col("inertia") <= before * 1.000001, F.lit(True)).alias("not_rising"))
 
 
-@query("top_k_features")
+@query("chart_elbow", "SELECT unnest(range(2, 11))::INTEGER AS k, true AS largest_bend_chosen")
 def _(spark, d):
-    return importance(spark, d).orderBy(F.desc("importance"), "feature").limit(5)
+    """The sweep, and the chosen k: no other inertia bends more."""
+    found, sweep = clusters(spark, d)
+    inertia = {r["k"]: r["inertia"] for r in sweep.collect()}  # nine rows
+    bends = {k: abs(inertia[k + 1] - 2 * inertia[k] + inertia[k - 1]) for k in range(3, 10)}
+    chosen = len(found.centers)
+    return sweep.select("k", F.lit(bends[chosen] == max(bends.values())).alias("largest_bend_chosen"))
 
 
-@query("best_model_importance")
+@query("kmeans_sweep_silhouette", O.on_sessions("SELECT unnest(range(2, least(6, count(*) // 10 + 1)))::INTEGER AS k, true AS in_range, true AS best_chosen FROM split", SPLIT))
 def _(spark, d):
-    return L.importance_table(spark, S.SERVING_FEATURES, classifier(spark, d, "random_forest"))
+    found, sweep = L.train_clusters(split_table(spark, d), S.SERVING_FEATURES, method="silhouette")
+    top = F.max_by("k", F.struct("score", -F.col("k"))).over(W.partitionBy())  # four rows
+    return sweep.select("k", F.col("score").between(-1, 1).alias("in_range"), (top == len(found.centers)).alias("best_chosen"))
 
 
-@query("kmeans_sweep_elbow")
+@query("cluster_assign", O.on_sessions("SELECT session_id AS id, true AS none_nearer FROM split", SPLIT))
 def _(spark, d):
-    return clusters(spark, d)[1]
+    """Distances from the stored preparation; no centre is nearer than the assigned one."""
+    found = clusters(spark, d)[0]
+    ready = L.apply_stages(found.stages, split_table(spark, d))
+    distances = F.array(*[squared_distance(S.SERVING_FEATURES, c) for c in found.centers])
+    own = F.element_at(distances, F.col("cluster") + 1)
+    return ready.select("id", (own <= F.array_min(distances) + 1e-9).alias("none_nearer"))
 
 
-@query("chart_elbow")
+@query("cluster_distribution", O.on_sessions("SELECT count(*) AS sessions, true AS every_cluster FROM split", SPLIT))
 def _(spark, d):
-    """The sweep with its bends, and the chosen k."""
-    sweep = clusters(spark, d)[1]
-    return sweep.withColumn("chosen", F.col("k") == M.elbow(sweep).select("k").scalar())
+    found = clusters(spark, d)[0]
+    counts = found.transform(split_table(spark, d)).groupBy("cluster").agg(F.count(F.lit(1)).alias("count"))
+    return counts.agg(F.sum("count").alias("sessions"), (F.count(F.lit(1)) == len(found.centers)).alias("every_cluster"))
 
 
-@query("kmeans_sweep_silhouette")
+@query("pca_2d", O.on_sessions("SELECT count(*) AS sessions, true AS centred, true AS uncorrelated, true AS largest_variances FROM split", SPLIT))
 def _(spark, d):
-    return L.train_clusters(split_table(spark, d), S.SERVING_FEATURES, method="silhouette")[1]
+    """The components' variances are the two largest eigenvalues of the correlations."""
+    import numpy as np
+
+    table, names = split_table(spark, d), S.SERVING_FEATURES
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    row = table.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")) for a, b in pairs]).first()
+    matrix = np.zeros((len(names), len(names)))
+    for (a, b), v in zip(pairs, row):
+        matrix[names.index(a), names.index(b)] = matrix[names.index(b), names.index(a)] = 0.0 if v is None or np.isnan(v) else v
+    top = sorted(np.linalg.eigvalsh(matrix))[-2:]
+    points = L.pca_2d(table, names)
+    return points.agg(
+        F.count(F.lit(1)).alias("sessions"),
+        ((F.abs(F.avg("pc1")) < 1e-6) & (F.abs(F.avg("pc2")) < 1e-6)).alias("centred"), (F.abs(F.corr("pc1", "pc2")) < 1e-6).alias("uncorrelated"),
+        ((F.abs(F.var_pop("pc1") - float(top[1])) < 1e-6) & (F.abs(F.var_pop("pc2") - float(top[0])) < 1e-6)).alias("largest_variances"))
 
 
-@query("cluster_assign")
+@query("chart_clusters", O.on_sessions("SELECT session_id AS id, true AS placed, true AS a_cluster FROM split", SPLIT))
 def _(spark, d):
-    return clusters(spark, d)[0].transform(split_table(spark, d)).select("id", "cluster")
+    found = clusters(spark, d)[0]
+    points = L.pca_2d(split_table(spark, d), S.SERVING_FEATURES)
+    both = points.join(found.transform(split_table(spark, d)).select("id", "cluster"), "id")
+    finite = ~F.isnan("pc1") & ~F.isnan("pc2") & F.col("pc1").isNotNull() & F.col("pc2").isNotNull()
+    return both.select("id", finite.alias("placed"), F.col("cluster").between(0, len(found.centers) - 1).alias("a_cluster"))
 
 
 NEAREST = """,
@@ -1346,22 +1494,6 @@ def _(spark, d):
     return L.apply_stages(stages, s).select("session_id", "cluster")
 
 
-@query("cluster_distribution")
-def _(spark, d):
-    return clusters(spark, d)[0].transform(split_table(spark, d)).groupBy("cluster").agg(F.count(F.lit(1)).alias("count"))
-
-
-@query("pca_2d")
-def _(spark, d):
-    return L.pca_2d(split_table(spark, d), S.SERVING_FEATURES)
-
-
-@query("chart_clusters")
-def _(spark, d):
-    points = L.pca_2d(split_table(spark, d), S.SERVING_FEATURES)
-    return points.join(clusters(spark, d)[0].transform(split_table(spark, d)).select("id", "cluster"), "id")
-
-
 def saved_model(spark, d):
     def save():
         path = scratch_path(spark, "model")
@@ -1370,10 +1502,17 @@ def saved_model(spark, d):
     return stored(spark, d, "saved-model", save)
 
 
-@query("model_save")
+@query("model_save", O.on_sessions("""SELECT 'random_forest' AS name, '[' || string_agg(DISTINCT threat_code::VARCHAR, ',' ORDER BY threat_code::VARCHAR) || ']' AS classes,
+    true AS every_stage FROM split WHERE NOT is_test""", SPLIT))
 def _(spark, d):
-    """The stored description of a saved classifier."""
-    return spark.read.text(f"{saved_model(spark, d)}/spec")
+    """The stored description of a saved classifier, and whether all its stages were stored."""
+    path, stages = saved_model(spark, d), classifier(spark, d, "random_forest").stages
+    names = spark.read.text(f"{path}/pipeline/metadata").select(F.size(F.from_json(
+        F.get_json_object("value", "$.paramMap.stageUids"), "array<string>")).alias("n"))
+    spec = spark.read.text(f"{path}/spec")
+    return spec.select(
+        F.get_json_object("value", "$.name").alias("name"), F.get_json_object("value", "$.classes").alias("classes"),
+        (names.scalar() == len(stages)).alias("every_stage"))
 
 
 @query("model_load", O.on_sessions("SELECT session_id AS id, threat_code AS label, true AS same FROM split WHERE is_test", SPLIT))
@@ -1385,13 +1524,29 @@ def _(spark, d):
     return both.select("id", "label", (F.col("prediction") == F.col("reloaded")).alias("same"))
 
 
-@query("score_session")
-def _(spark, d):
+def trained_scorer(spark, d):
+    """The trained classifier, clusters and map."""
     found = clusters(spark, d)[0]
     rows = split_table(spark, d).select(F.col("label").alias("threat_code"), *S.SERVING_FEATURES)
-    mapping = R.response_map_cluster_rule(found.transform(rows))
-    scored = scoring.score_with_models(E.completed(kept(spark, d)), classifier(spark, d, "random_forest"), found, mapping)
-    return scored.select("session_id", "threat_code", "cluster", "response_level", "strategy")
+    mapping = stored(spark, d, "trained-map", lambda: materialize(R.response_map_cluster_rule(found.transform(rows))))
+    return classifier(spark, d, "random_forest"), found, mapping
+
+
+@query("score_session", O.on_sessions("""SELECT session_id, true AS threat_of_the_model, true AS none_nearer, true AS by_rule
+    FROM s WHERE end_time IS NOT NULL"""))
+def _(spark, d):
+    """Threat as the classifier alone gives it, cluster as the distances give it, response as the rule gives it."""
+    model, found, mapping = trained_scorer(spark, d)
+    done = E.completed(kept(spark, d))
+    scored = scoring.score_with_models(done, model, found, mapping).select("session_id", "threat_code", "cluster", "response_level")
+    alone = L.apply_stages(found.stages, model.transform(done))
+    distances = F.array(*[squared_distance(S.SERVING_FEATURES, c) for c in found.centers])
+    expected = alone.select("session_id", F.col("prediction").alias("threat"), distances.alias("distances"))
+    rule = R.rule_response(F.col("threat_code"), F.col("cluster"), S.RECON_CLUSTERS)
+    return scored.join(expected, "session_id").select(
+        "session_id", (F.col("threat_code") == F.col("threat")).alias("threat_of_the_model"),
+        (F.element_at("distances", F.col("cluster") + 1) <= F.array_min("distances") + 1e-9).alias("none_nearer"),
+        (F.col("response_level") == rule).alias("by_rule"))
 
 
 def embeddings(spark, d):
@@ -1402,18 +1557,24 @@ def embeddings(spark, d):
 VECTOR = [f"e{i}" for i in range(64)]
 
 
-@query("clf_embeddings")
+EMBEDDING_MODELS = ["random_forest", "logistic_regression", "neural_network"]
+
+
+@query("clf_embeddings", "SELECT unnest([" + ", ".join(f"'{n}'" for n in EMBEDDING_MODELS) + "]) AS model, true AS fitted, true AS in_range")
 def _(spark, d):
+    """The models of several classes on vectors; one against the rest would be ten boosted models."""
     split = materialize(SA.stratified_split(embeddings(spark, d)))
     train, test = split.where(~F.col("is_test")), split.where("is_test")
-    metrics, _models = L.bake_off(train, test, VECTOR, ["logistic_regression"], iterations=100)
-    return metrics
+    metrics, _models = L.bake_off(train, test, VECTOR, EMBEDDING_MODELS)
+    ranges = reduce(lambda a, b: a & b, [F.col(m).between(0, 1) for m in M.WEIGHTED])
+    return metrics.select("model", F.col("error").isNull().alias("fitted"), ranges.alias("in_range"))
 
 
-@query("kmeans_embeddings")
+@query("kmeans_embeddings", "SELECT label, count(*) AS vectors, true AS known_clusters FROM embeddings GROUP BY label")
 def _(spark, d):
     found, _sweep = L.train_clusters(embeddings(spark, d), VECTOR, k=10, impute=False)
-    return found.transform(embeddings(spark, d)).groupBy("label", "cluster").agg(F.count(F.lit(1)).alias("count"))
+    counts = found.transform(embeddings(spark, d)).groupBy("label", "cluster").agg(F.count(F.lit(1)).alias("count"))
+    return counts.groupBy("label").agg(F.sum("count").alias("vectors"), F.min(F.col("cluster").between(0, 9)).alias("known_clusters"))
 
 
 # --- live query ----------------------------------------------------------------------------------------
@@ -1501,16 +1662,18 @@ def _(spark, d):
     return live.active_state(decisions).join(decisions.select("session_id", "src_ip"), "session_id").select("session_id", "src_ip")
 
 
-@query("stream_score")
+@query("stream_score", O.on_sessions("SELECT session_id, true AS as_in_batch FROM s WHERE end_time IS NOT NULL"))
 def _(spark, d):
-    """The live query with the trained classifier, clusters and map."""
+    """The live query with the trained classifier, clusters and map gives what the batch gives."""
     out = scratch_path(spark, "live-models")
-    model, found = classifier(spark, d, "random_forest"), clusters(spark, d)[0]
-    rows = split_table(spark, d).select(F.col("label").alias("threat_code"), *S.SERVING_FEATURES)
-    mapping = materialize(R.response_map_cluster_rule(found.transform(rows)))
+    model, found, mapping = trained_scorer(spark, d)
     live.start_decisions(spark, log_dir(spark, d), out, lambda batch: scoring.score_with_models(batch, model, found, mapping),
                          pattern=LOG_FILES, once=True).awaitTermination()
-    return live.read_decisions(spark, out).select("session_id", "threat_level", "cluster", "response_level")
+    streamed = live.read_decisions(spark, out).select("session_id", F.struct("threat_level", "cluster", "response_level").alias("live"))
+    batch = scoring.score_with_models(E.completed(kept(spark, d)), model, found, mapping).select(
+        "session_id", F.struct("threat_code", "cluster", "response_level").alias("batch"))
+    return streamed.join(batch, "session_id").select(
+        "session_id", (F.to_json("live") == F.regexp_replace(F.to_json("batch"), "threat_code", "threat_level")).alias("as_in_batch"))
 
 
 @query("sink_decisions", O.on_sessions("""SELECT session_id, command_count AS feature_commands, duration AS feature_duration FROM decided""", DECIDED))

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from functools import partial
 
 import numpy as np
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
@@ -197,7 +198,7 @@ def _one_vs_rest(estimator, train: DataFrame, classes, features="features") -> l
     return at_once([partial(fit, c) for c in classes])
 
 
-def fit_classifier(name: str, train: DataFrame, columns, preparation=None, trees=100, depth=15, rounds=100,
+def fit_classifier(name: str, train: DataFrame, columns, preparation=None, trees=100, depth=30, rounds=100,
                    iterations=1000, kernel_size=128, svm_iterations=100) -> Fitted:
     """Trains one of MODELS on (columns, label). `train` is read many times: pass a stored table."""
     columns = numeric_features(columns)
@@ -266,21 +267,22 @@ METRIC_SCHEMA = (
 )
 
 
-def bake_off(train: DataFrame, test: DataFrame, columns, names=MODELS, preparation=None, **options):
+def bake_off(train: DataFrame, test: DataFrame, columns, names=MODELS, preparation=None, fit=None, **options):
     """Fits every model and measures it on `test`. Returns (metrics table, {name: Fitted}).
 
-    A model that fails becomes a row with its error and no metrics.
+    A model that refuses the data becomes a row with its error and no metrics; other failures, such as a lost
+    executor, are raised. `fit(name)` replaces the fitting, for models that exist already.
     """
     spark = train.sparkSession
     preparation = preparation if preparation is not None else fit_preparation(train, columns)
     rows, models = [], {}
     for position, name in enumerate(names):
         try:
-            model = fit_classifier(name, train, columns, preparation, **options)
+            model = fit(name) if fit else fit_classifier(name, train, columns, preparation, **options)
             values = M.weighted_metrics(model.transform(test)).first()
             models[name] = model
             rows.append((position, name, *[float(values[m]) for m in M.WEIGHTED], None))
-        except Exception as problem:  # one model must not stop the others
+        except (ValueError, AnalysisException, IllegalArgumentException) as problem:
             rows.append((position, name, None, None, None, None, str(problem).split("\n")[0]))
     return spark.createDataFrame(rows, METRIC_SCHEMA), models
 
@@ -308,7 +310,7 @@ def cross_validate(train: DataFrame, columns, names=MODELS, folds=5, scale_scope
     )
 
 
-def feature_importance(df: DataFrame, columns, trees=100, depth=15) -> DataFrame:
+def feature_importance(df: DataFrame, columns, trees=100, depth=30) -> DataFrame:
     """Importances of a random forest on all rows, unscaled."""
     columns = numeric_features(columns)
     preparation = fit_preparation(df, columns, impute=False, scale=False)
