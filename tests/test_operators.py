@@ -72,7 +72,15 @@ def test_dense_index(labelled):
 def test_random_split_is_narrow(labelled):
     _, df = labelled
     plan = SA.random_split(df)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") <= 1  # the fixture's own repartition
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan and "SortMergeJoin" not in plan
+
+
+def test_random_split_takes_the_exact_share(labelled):
+    data, df = labelled
+    ids = sorted((i for i, _ in data), key=lambda i: (order(i), i))
+    for share in (0.0, 0.25, 0.333, 1.0):
+        got = {r["id"] for r in SA.random_split(df, test_size=share).where("is_test").collect()}
+        assert got == set(ids[:int(len(ids) * share + 0.5)])
 
 
 def test_repair_moves_rows_once(spark):
@@ -95,7 +103,7 @@ def test_kind_of_split_follows_the_smallest_class(spark):
     strat = {r["id"] for r in SA.improved_split(table(8)).where("is_test").collect()}
     assert len(strat) == 15 + 2
     plain = {r["id"] for r in SA.improved_split(table(20)).where("is_test").collect()}
-    assert plain == {i for i in [*range(60), *range(100, 120)] if int(order(i)[:8], 16) < 2**30}
+    assert plain == set(sorted([*range(60), *range(100, 120)], key=lambda i: (order(i), i))[:20])
 
 
 def test_group_limit_before_the_shuffle(spark):

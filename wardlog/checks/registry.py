@@ -825,7 +825,10 @@ def _(spark, d):
     return SA.stratified_split(spark.read.parquet(f"{d}/labels.parquet").select("doc_id", "quality"), "quality", "doc_id")
 
 
-@query("random_split", O.on_sessions("SELECT session_id, substr(md5('42|' || session_id), 1, 8) < '40000000' AS is_test FROM s"))
+PLAIN = "row_number() OVER (ORDER BY md5('42|' || session_id), session_id) <= floor(count(*) OVER () * {share}::DOUBLE + 0.5)"
+
+
+@query("random_split", O.on_sessions(f"SELECT session_id, {PLAIN.format(share=0.25)} AS is_test FROM s"))
 def _(spark, d):
     return SA.random_split(kept(spark, d).select("session_id"), "session_id")
 
@@ -843,8 +846,8 @@ def _(spark, d):
 
 
 # A small test share over 23 score classes leaves some of them out of the test rows.
-REPAIR = """,
-split AS (SELECT session_id, threat_score AS label, substr(md5('42|' || session_id), 1, 8) < '051eb852' AS is_test FROM s),
+REPAIR = f""",
+split AS (SELECT session_id, threat_score AS label, {PLAIN.format(share=0.02)} AS is_test FROM s),
 lack AS (SELECT label, count(*) FILTER (NOT is_test) AS n FROM split GROUP BY label HAVING NOT bool_or(is_test)),
 moved AS (
   SELECT session_id, label FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42|' || session_id), session_id) AS r
@@ -880,13 +883,52 @@ def _(spark, d):
     return SA.repair_test_classes(rare_split(spark, d), id_col="session_id").where("is_test").drop("is_test")
 
 
-@query("improved_split", O.on_sessions("""SELECT session_id, threat_code AS label, substr(md5('42|' || session_id), 1, 8) < '40000000' AS is_test FROM s"""))
+# Both branches and the repair, whichever the classes ask for.
+IMPROVED = """,
+labelled AS (SELECT session_id, {label} AS label FROM s),
+small AS (SELECT min(n) BETWEEN 2 AND 9 AS stratified FROM (SELECT count(*) AS n FROM labelled GROUP BY label)),
+first AS (
+  SELECT session_id, label, CASE WHEN (SELECT stratified FROM small)
+    THEN row_number() OVER (PARTITION BY label ORDER BY md5('42|' || session_id), session_id) <= floor(count(*) OVER (PARTITION BY label) * {share}::DOUBLE + 0.5)
+    ELSE row_number() OVER (ORDER BY md5('42|' || session_id), session_id) <= floor(count(*) OVER () * {share}::DOUBLE + 0.5) END AS is_test
+  FROM labelled
+),
+lacking AS (SELECT label, count(*) AS n FROM first GROUP BY label HAVING NOT bool_or(is_test)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY label, is_test ORDER BY md5('42|' || session_id), session_id) AS r FROM first)
+"""
+IMPROVED_SELECT = "SELECT session_id, ranked.label, is_test OR coalesce(r <= 5 AND r <= floor(n * 0.1::DOUBLE), false) AS is_test FROM ranked LEFT JOIN lacking USING (label)"
+FEW = "CASE WHEN row_number() OVER (ORDER BY session_id) <= 5 THEN 9 ELSE threat_code END"
+
+
+@query("improved_split", O.on_sessions(IMPROVED_SELECT, IMPROVED.format(label="threat_code", share=0.25)))
 def _(spark, d):
-    """All classes are large and present in both parts at the scales used, so this is the plain split."""
+    """Three large classes: the plain split."""
     rows = kept(spark, d).select("session_id", F.col("threat_code").alias("label"))
     return SA.improved_split(rows, id_col="session_id")
 
 
+@query("improved_split_stratified", O.on_sessions(IMPROVED_SELECT, IMPROVED.format(label=FEW, share=0.25)))
+def _(spark, d):
+    """A class of five rows: the stratified split."""
+    s = kept(spark, d).select("session_id", F.col("threat_code").alias("label"))
+    few = sinks.sample_rows(s, "session_id", 5).select("session_id", F.lit(9).alias("label"))
+    rows = few.unionByName(s.join(few, "session_id", "left_anti"))
+    return SA.improved_split(materialize(rows), id_col="session_id")
+
+
+@query("improved_split_repair", O.on_sessions(IMPROVED_SELECT, IMPROVED.format(label="threat_score", share=0.02)))
+def _(spark, d):
+    """Many classes and few test rows: classes that the test rows lack are moved there."""
+    rows = kept(spark, d).select("session_id", F.col("threat_score").alias("label"))
+    return SA.improved_split(rows, id_col="session_id", test_size=0.02)
+
+
+@query("synthesize_minority_several_classes", O.on_sessions("SELECT session_id, threat_code AS label FROM s"))
+def _(spark, d):
+    """A table of several classes stays as it is."""
+    return SA.synthesize_minority(kept(spark, d).select("session_id", F.col("threat_code").alias("label")), id_col="session_id")
+
+
 @query("synthesize_minority", O.on_sessions("""SELECT session_id, command_count, 0::INTEGER AS label FROM low
     UNION ALL SELECT low.session_id, low.command_count, 1 FROM draws JOIN low ON draws.pick = low.i""", """,
 low AS (SELECT session_id, command_count, row_number() OVER (ORDER BY md5('42|' || session_id), session_id) - 1 AS i,

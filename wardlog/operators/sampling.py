@@ -17,9 +17,10 @@ def stratified_split(df: DataFrame, label="label", id_col="id", test_size=0.25,
 
 
 def random_split(df: DataFrame, id_col="id", test_size=0.25, seed=42) -> DataFrame:
-    """Adds is_test by a threshold on the hash: no shuffle, share exact up to chance."""
-    border = format(int(round(test_size * 2**32)), "08x")
-    return df.withColumn("is_test", F.substring(hash_order(id_col, seed), 1, 8) < border)
+    """Adds is_test: exactly round(test_size * n) rows, those first in hash order. Counting passes find the cut;
+    the rows themselves are not shuffled."""
+    out = tile(df, id_col, seed, lambda n: [fraction_rank(n, test_size)], name="_tile")
+    return out.withColumn("is_test", F.coalesce(F.col("_tile") == 0, F.lit(False))).drop("_tile")
 
 
 def kfold(df: DataFrame, label="label", id_col="id", folds=5, seed=42) -> DataFrame:
