@@ -58,9 +58,11 @@ def near_copies(seed=5):
     return list(enumerate(docs))
 
 
-@pytest.mark.parametrize("k,block", [(2, 2048), (2, 3), (5, 2048)])
-def test_against_brute_force(spark, k, block, monkeypatch):
+@pytest.mark.parametrize("k,block,dense", [(2, 2048, 2), (2, 3, 2), (5, 2048, 2), (2, 2048, -1), (2, 4, -1)])
+def test_against_brute_force(spark, k, block, dense, monkeypatch):
+    """dense = -1: every block is verified as a whole."""
     monkeypatch.setattr(M, "BLOCK", block)
+    monkeypatch.setattr(M, "DENSE", dense)
     docs = near_copies()
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert rows(M.near_duplicates(df, shingle=k)) == brute(docs, k)
@@ -70,7 +72,9 @@ def test_edge_rows(edge):
     assert rows(M.near_duplicates(edge, shingle=2)) == brute([(r["doc_id"], r["text"]) for r in edge.collect()], 2)
 
 
-def test_only_the_full_search_finds_links(spark, monkeypatch):
+@pytest.mark.parametrize("dense", [2, -1])
+def test_only_the_full_search_finds_links(spark, monkeypatch, dense):
+    monkeypatch.setattr(M, "DENSE", dense)
     monkeypatch.setattr(M, "_to_first", lambda crowded, percent: crowded.selectExpr("node AS a", "node AS b").limit(0))
     docs = near_copies(6)
     assert rows(M.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), shingle=2)) == brute(docs, 2)

@@ -7,7 +7,8 @@
 3. Buckets hold nodes of any number, so pairs are formed sparingly: every node is compared with its bucket's
    first node, links give components, and components are compared with the bucket's first component. Buckets that
    still hold several components are searched in full, in blocks: two nodes of different components are a
-   pair if they share MIN_SHARED bands. A pair inside a component cannot change a result.
+   pair if they share MIN_SHARED bands. Blocks with many pairs are verified whole, inside one task. A pair inside a
+   component cannot change a result.
 4. Every pair is verified on both full sets; components of the links are found by contraction.
 
 A pair of likeness 0.8 is missed with probability below 1e-6; a group is found through any of its links.
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlog.llm.columns import map_arrow, mix64
+from wardlog.llm.columns import map_arrow, mix64, on_workers, text_bytes
 from wardlog.llm.graph import components
 from wardlog.llm.words import WORD, table
 from wardlog.session import join_side, materialize
@@ -32,7 +33,8 @@ from wardlog.session import join_side, materialize
 DOMAIN_BITS = 22
 BANDS, ROWS, MIN_SHARED = 56, 6, 2
 PERCENT = 80
-BLOCK = 2048  # nodes of a bucket that one task compares with as many others
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 21  # nodes of a bucket, and their shingles, that one task compares with as many others
+DENSE = 2  # pairs per member above which a block is verified as a whole
 SEED = 20_241
 
 
@@ -156,7 +158,7 @@ def _labelled(crowded: DataFrame, labels: DataFrame | None) -> DataFrame:
     else:
         crowded = crowded.withColumn("component", F.col("node"))
     mixed = crowded.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"), F.sum("size").alias("total")
     ).filter("low < high").drop("high")
     return crowded.join(mixed, "bucket")
 
@@ -176,40 +178,100 @@ def _sizes_allow(percent: int):
     return F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
 
 
-def _across(crowded: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that share MIN_SHARED bands, each from the first band they share.
+class _Blocks:
+    """Members of two blocks of a bucket, and the pairs of them to be compared: of different components, of
+    allowed sizes, with MIN_SHARED common bands, this bucket being the first of them."""
 
-    A bucket of many members is dealt to blocks by a hash; each task compares two blocks and gives out pairs only.
+    def __init__(self, key, rows: pa.Table, percent: int):
+        self.bucket, self.i, self.j = (k.as_py() for k in key)
+        order = np.argsort(rows.column("node").to_numpy())
+        self.order, self.percent = order, percent
+        self.node, self.size, self.own, self.component = (rows.column(c).to_numpy()[order] for c in ("node", "size", "own", "component"))
+        self.bands = np.array(rows.column("buckets").to_pylist(), np.int64)[order]
+
+    def pairs(self):
+        """(member, its partners) for every member outside the largest component."""
+        kinds, counts = np.unique(self.component, return_counts=True)
+        largest = kinds[counts.argmax()]
+        for x in np.flatnonzero(self.component != largest):
+            fit = (self.component != self.component[x]) & ((self.component == largest) | (np.arange(len(self.node)) > x))
+            fit &= np.minimum(self.size, self.size[x]) * 100 >= np.maximum(self.size, self.size[x]) * self.percent
+            if self.i != self.j:
+                fit &= self.own != self.own[x]
+            near = np.flatnonzero(fit)
+            if len(near):
+                same = self.bands[near] == self.bands[x]
+                first = self.bands[x][same.argmax(axis=1)] == self.bucket
+                near = near[first & (same.sum(axis=1) >= MIN_SHARED)]
+                if len(near):
+                    yield int(x), near
+
+
+MEMBER = "bucket long, i int, j int, own int, node long, size long, component long"
+
+
+def _across(crowded: DataFrame, keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links between all pairs of different components that share MIN_SHARED bands.
+
+    A bucket of many members is dealt to blocks by a hash; each task compares two blocks. Where pairs are few they
+    are given out and verified singly. Where they are many (more than DENSE per member, as between a large group
+    and texts just below the threshold), the sets of the members are brought together and verified inside
+    the task, which gives out links only. Both ways compare the same pairs.
     """
-    parts = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = crowded.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    on_workers(crowded.sparkSession)
+    by_count = F.ceil(F.col("members") / BLOCK)
+    by_size = F.ceil(F.col("total") / BLOCK_SHINGLES)
+    dealt = crowded.withColumn("parts", F.greatest(by_count, by_size).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "size", "component")
-    with_keys = dealt.join(keys, "node")
 
     def compare(key, rows):
-        order = np.argsort(rows.column("node").to_numpy())
-        node, size, own, component = (rows.column(c).to_numpy()[order] for c in ("node", "size", "own", "component"))
-        bands = np.array(rows.column("buckets").to_pylist(), np.int64)[order]
-        bucket, i, j = (k.as_py() for k in key)
-        a, b = [], []
-        for x in range(len(node)):
-            rest = slice(x + 1, None)
-            fit = (component[rest] != component[x]) & (np.minimum(size[rest], size[x]) * 100 >= np.maximum(size[rest], size[x]) * percent)
-            if i != j:
-                fit &= own[rest] != own[x]
-            near = np.flatnonzero(fit) + x + 1
-            if not len(near):
-                continue
-            same = bands[near] == bands[x]
-            first = bands[x][same.argmax(axis=1)] == bucket
-            near = near[first & (same.sum(axis=1) >= MIN_SHARED)]
-            a.append(np.full(len(near), node[x]))
-            b.append(node[near])
-        none = np.empty(0, np.int64)
-        return pa.table({"a": np.concatenate([none, *b]), "b": np.concatenate([none, *a])})
-
-    return with_keys.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+        block = _Blocks(key, rows, percent)
+        found = list(block.pairs())
+        if found and sum(len(near) for _, near in found) > DENSE * len(block.node):
+            taken = np.unique(np.concatenate([*(near for _, near in found), np.array([x for x, _ in found])]))
+            kept = rows.take(pa.array(block.order[taken])).drop_columns(["buckets"])
+            none = pa.nulls(len(taken), pa.int64())
+            return kept.append_column("a", none).append_column("b", none)
+        a = np.concatenate([np.empty(0, np.int64), *(block.node[near] for _, near in found)])
+        b = np.concatenate([np.empty(0, np.int64), *(np.full(len(near), block.node[x]) for x, near in found)])
+        empty = rows.slice(0, 0).drop_columns(["buckets"])
+        columns = {n: pa.nulls(len(a), empty.schema.field(n).type) for n in empty.column_names}
+        return pa.table({**columns, "a": a, "b": b})
+
+    def verify(key, rows):
+        block, links = _Blocks(key, rows, percent), []
+        raw = rows.column("set").combine_chunks().take(pa.array(block.order))
+        values, offsets = text_bytes(raw)
+        values, offsets = values.view(np.uint64), offsets // 8
+        _, ids = np.unique(values, return_inverse=True)
+        mark = np.zeros(int(ids.max()) + 1, bool)
+        group = {c: c for c in block.component.tolist()}
+
+        def root(c):
+            while group[c] != c:
+                c = group[c]
+            return c
+
+        for x, near in block.pairs():
+            own = ids[offsets[x]:offsets[x + 1]]
+            mark[own] = True
+            shared = np.add.reduceat(mark[ids], offsets[:-1])[near]
+            mark[own] = False
+            alike = near[100 * shared >= percent * (block.size[near] + block.size[x] - shared)]
+            for y in alike.tolist():  # one link joins two components; more would change nothing
+                one, two = root(int(block.component[x])), root(int(block.component[y]))
+                if one != two:
+                    group[one] = two
+                    links.append((block.node[y], block.node[x]))
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    found = materialize(dealt.join(keys, "node").groupBy("bucket", "i", "j").applyInArrow(
+        lambda key, rows: compare(key, rows).select([*(c.split()[0] for c in MEMBER.split(", ")), "a", "b"]), f"{MEMBER}, a long, b long"))
+    single = _links(found.where("a IS NOT NULL").select("a", "b"), sets, percent)
+    dense = found.where("a IS NULL").drop("a", "b").join(keys, "node").join(sets, "node")
+    return single.union(dense.groupBy("bucket", "i", "j").applyInArrow(verify, "a long, b long"))
 
 
 def near_duplicates(df: DataFrame, id="doc_id", text="text", shingle=5, percent=PERCENT) -> DataFrame:
@@ -227,11 +289,10 @@ def near_duplicates(df: DataFrame, id="doc_id", text="text", shingle=5, percent=
     for round in range(3):
         mixed = _labelled(crowded, labels)
         if round < 2:
-            pairs = _to_first(mixed, percent)
+            found = materialize(_links(_to_first(mixed, percent), sets, percent))
         else:
             keys = firsts.join(candidates, "node", "left_semi").select("node", "buckets")
-            pairs = _across(mixed, keys, percent)
-        found = materialize(_links(pairs, sets, percent))
+            found = materialize(_across(mixed, keys, sets, percent))
         links = found if links is None else links.union(found)
         labels = components(links)
     placed = rows.join(nodes, "key", "left").join(labels, "node", "left")
