@@ -62,3 +62,26 @@ def test_command_line(spark, micro_dir, tmp_path, monkeypatch, capsys):
         command.main()
     shown = capsys.readouterr().out
     assert "total_sessions" in shown and "threat_percentage" in shown
+
+
+def test_switches_of_the_command_line(monkeypatch):
+    from wardlog import __main__ as command
+
+    seen = {}
+
+    class Table:
+        def show(self, *_, **__):
+            pass
+
+    def note(name):
+        return lambda spark, *args, **options: seen.update({name: (args, options)}) or Table()
+
+    for name in ("preprocess", "evaluate", "watch"):
+        monkeypatch.setattr(command.jobs, name, note(name))
+    monkeypatch.setattr("wardlog.streaming.live.keep_running", lambda start: start())
+    command.main(["preprocess", "--logs", "a", "b", "--data", "d", "--per-file", "--pattern", "x*"])
+    command.main(["evaluate", "--data", "d", "--noise", "0", "--folds", "3", "--scale-scope", "fold"])
+    command.main(["watch", "--logs", "a", "--data", "d"])
+    assert seen["preprocess"] == ((["a", "b"], "d"), {"per_file": True, "pattern": "x*"})
+    assert seen["evaluate"] == (("d",), {"noise": 0.0, "folds": 3, "scale_scope": "fold"})
+    assert seen["watch"] == (("a", "d"), {"pattern": "cowrie.json.*", "interval": "60 seconds"})

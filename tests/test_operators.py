@@ -167,7 +167,7 @@ def test_metrics_on_a_fixed_table(spark):
     assert M.macro_metrics(df).first()["recall"] == pytest.approx((5 / 7 + 3 / 4 + 0 + 0) / 4)
 
 
-@pytest.mark.parametrize("buckets", [2, 16, 256])
+@pytest.mark.parametrize("buckets", [2, 16, 256, None])
 def test_roc_and_auc(spark, buckets):
     rnd = random.Random(buckets)
     data = [(c, rnd.randint(0, 2), rnd.choice([0.5, rnd.random(), round(rnd.random(), 1)])) for c in (0, 1, 2) for _ in range(300)]

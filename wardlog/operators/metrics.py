@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardlog.operators.ranks import running_totals
+from wardlog.session import materialize
 
 WEIGHTED = ["accuracy", "precision", "recall", "f1"]
 
@@ -79,7 +80,7 @@ def classification_report(predictions: DataFrame, label="label", prediction="pre
     return reduce(DataFrame.unionByName, averages, classes)
 
 
-def roc_points(scores: DataFrame, buckets=256) -> DataFrame:
+def roc_points(scores: DataFrame, buckets=None) -> DataFrame:
     """ROC per class over (class, label, score): one point per different score, and the origin.
 
     `label` is the true class; a row counts as positive where it equals `class`. Rows are first
@@ -87,9 +88,9 @@ def roc_points(scores: DataFrame, buckets=256) -> DataFrame:
     per class.
     """
     positive = F.col("label") == F.col("class")
-    counts = scores.groupBy("class", "score").agg(
+    counts = materialize(scores.groupBy("class", "score").agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
-    )
+    ))
     run = running_totals(counts, "class", "score", ["pos", "neg"], buckets)
     points = run.select(
         "class", F.col("score").alias("threshold"),
@@ -102,16 +103,16 @@ def roc_points(scores: DataFrame, buckets=256) -> DataFrame:
     return points.unionByName(origin)
 
 
-def roc_auc(scores: DataFrame, buckets=256) -> DataFrame:
+def roc_auc(scores: DataFrame, buckets=None) -> DataFrame:
     """Area under the curve per class, by the rank form of the trapezoid sum.
 
     Each negative counts the positives above it, plus half of those at the same score, so the
     sum needs no neighbouring points.
     """
     positive = F.col("label") == F.col("class")
-    counts = scores.groupBy("class", "score").agg(
+    counts = materialize(scores.groupBy("class", "score").agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
-    )
+    ))
     run = running_totals(counts, "class", "score", ["pos", "neg"], buckets)
     # Twice the area, as a whole number: exact and independent of the order of the rows.
     twice = F.col("neg").cast("decimal(19,0)") * (2 * F.col("cum_pos") - F.col("pos")).cast("decimal(19,0)")

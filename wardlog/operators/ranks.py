@@ -14,7 +14,7 @@ from wardlog.functions import hash_order
 from wardlog.session import join_side, materialize
 
 BUCKET_DIGITS = 4  # hex digits of the hash: 65,536 buckets of equal expected size
-
+BUCKET_ROWS, MOST_BUCKETS = 20_000, 1024  # of running totals
 
 
 def with_hash(df: DataFrame, id_col: str, seed, by=None) -> DataFrame:
@@ -101,12 +101,15 @@ def _position(value: Column, borders: list, low: int, high: int) -> Column:
     )
 
 
-def running_totals(df: DataFrame, by: str, order_col: str, sums: list[str], buckets=256) -> DataFrame:
+def running_totals(df: DataFrame, by: str, order_col: str, sums: list[str], buckets=None) -> DataFrame:
     """Running sums of `sums` per `by`, over descending `order_col`. One row per (by, order) is expected.
 
     Bucket borders are approximate quantiles (a sketch of fixed size, read once to the driver:
-    `buckets` numbers). Any borders give the same result; good ones give even tasks.
+    `buckets` numbers). Any borders give the same result; good ones give even tasks. Without a number, there is
+    a bucket for every BUCKET_ROWS rows, up to MOST_BUCKETS. Evaluates `df` several times: pass a stored table.
     """
+    if buckets is None:
+        buckets = max(2, min(MOST_BUCKETS, df.count() // BUCKET_ROWS + 1))
     borders = sorted(set(
         df.agg(F.percentile_approx(order_col, [i / buckets for i in range(1, buckets)], 10_000)).first()[0] or []
     ))
