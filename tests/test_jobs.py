@@ -85,3 +85,26 @@ def test_switches_of_the_command_line(monkeypatch):
     assert seen["preprocess"] == ((["a", "b"], "d"), {"per_file": True, "pattern": "x*"})
     assert seen["evaluate"] == (("d",), {"noise": 0.0, "folds": 3, "scale_scope": "fold"})
     assert seen["watch"] == (("a", "d"), {"pattern": "cowrie.json.*", "interval": "60 seconds"})
+
+
+def test_a_job_deletes_its_scratch_tables(spark):
+    import os
+
+    from wardlog.session import materialize, scratch_path, shared_dir, tidy
+
+    kept, made = materialize(spark.range(3)), []
+
+    @tidy
+    def outer(spark, n):
+        made.append(scratch_path(spark, "mine"))
+        spark.range(n).write.parquet(made[0])
+        return inner(spark)
+
+    @tidy
+    def inner(spark):
+        made.append(scratch_path(spark, "inner"))
+        return materialize(spark.range(2)).count()
+
+    before = set(os.listdir(os.path.join(shared_dir(spark), "wardlog")))
+    assert outer(spark, 2) == 2 and kept.count() == 3
+    assert set(os.listdir(os.path.join(shared_dir(spark), "wardlog"))) == before and len(set(made)) == 2

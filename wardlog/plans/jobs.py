@@ -23,7 +23,7 @@ from wardlog.plans import charts as C
 from wardlog.plans import learning as L
 from wardlog.plans import profiles as P
 from wardlog.plans import scoring
-from wardlog.session import materialize
+from wardlog.session import materialize, tidy
 from wardlog.sources import logs
 from wardlog.sources.sinks import read_table, sample_rows, write_metrics, write_table
 from wardlog.streaming import live
@@ -37,6 +37,7 @@ def stored_quarantine(spark: SparkSession, data: str) -> DataFrame:
     return read_table(spark, f"{data}/lines").where(F.col("readable") == 0).select(S.CORRUPT, "file")
 
 
+@tidy
 def preprocess(spark: SparkSession, roots, data: str, per_file=False, pattern=S.LOG_FILE_PATTERN) -> DataFrame:
     """Raw logs to stored events, bad lines, sessions and joined texts; returns the basic statistics.
 
@@ -54,6 +55,7 @@ def preprocess(spark: SparkSession, roots, data: str, per_file=False, pattern=S.
     return P.basic_statistics(read_table(spark, f"{data}/sessions"), E.events_b(events))
 
 
+@tidy
 def explore(spark: SparkSession, data: str) -> dict[str, DataFrame]:
     """Writes every profile and the summary; returns them as read back."""
     raw = stored_events(spark, data)
@@ -83,6 +85,7 @@ def _training_rows(spark, data, columns):
     return L.store_rows(L.training_matrix(read_table(spark, f"{data}/sessions"), columns))
 
 
+@tidy
 def train(spark: SparkSession, data: str, columns=S.SERVING_FEATURES, names=L.MODELS, **options) -> DataFrame:
     """Split, bake-off, importance, clusters and response map; stores them and returns the metrics.
 
@@ -111,6 +114,7 @@ def train(spark: SparkSession, data: str, columns=S.SERVING_FEATURES, names=L.MO
     return read_table(spark, f"{out}/metrics")
 
 
+@tidy
 def evaluate(spark: SparkSession, data: str, columns=S.SERVING_FEATURES, names=L.MODELS, noise=0.05, folds=5,
              scale_scope="train", **options) -> DataFrame:
     """Noise, checked split, hold-out and cross-validated metrics side by side, importances."""

@@ -3,7 +3,7 @@
 import os
 import tempfile
 import uuid
-
+from functools import wraps
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -47,9 +47,32 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_OPEN: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return os.path.join(shared_dir(spark), "wardlog", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(spark), "wardlog", f"{name}-{uuid.uuid4().hex}")
+    for paths in _OPEN[-1:]:
+        paths.append(path)
+    return path
+
+
+def tidy(job):
+    """Decorator of a job (spark, ...): deletes the scratch tables it made once it has ended.
+
+    For jobs whose results are read from other folders. Other scratch tables stay for those who read them.
+    """
+    @wraps(job)
+    def run(spark: SparkSession, *args, **options):
+        _OPEN.append([])
+        try:
+            return job(spark, *args, **options)
+        finally:
+            for path in _OPEN.pop():
+                place = spark._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return run
 
 
 def materialize(df: DataFrame) -> DataFrame:
