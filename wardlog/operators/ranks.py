@@ -69,8 +69,15 @@ def tile(df: DataFrame, id_col: str, seed, ranks, by=None, name="tile") -> DataF
     times, so pass a stored table when it is costly.
     """
     hashed = with_hash(df, id_col, seed, by)
-    cuts = join_side(materialize(cut_points(hashed, id_col, ranks)))
+    cuts = materialize(cut_points(hashed, id_col, ranks))
     here = F.struct(F.col("_h"), F.col(id_col).alias("_id"))
+    if by is None:  # one stratum: its few cuts are constants
+        found = cuts.first()
+        kind = df.schema[id_col].dataType
+        fixed = [F.struct(F.lit(c["_h"]).alias("_h"), F.lit(c["_id"]).cast(kind).alias("_id")) for c in (found["_cuts"] if found else [])]
+        passed = sum((F.when(c < here, 1).otherwise(0) for c in fixed), F.lit(0))
+        return hashed.withColumn(name, passed if fixed else F.lit(None).cast("int")).drop("_h", "_bucket", "_by")
+    cuts = join_side(cuts)
     passed = F.size(F.filter("_cuts", lambda c: c < here))
     return (
         hashed.join(cuts, "_by", "left")
