@@ -7,6 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_ROWS = 1000  # rows of an Arrow batch: texts are long, and both sides of the pipe hold some batches
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -14,7 +15,11 @@ def on_workers(spark: SparkSession) -> None:
     """Lets Python workers find this package where it lies in the same place as on the driver.
 
     On other clusters the package is shipped with --py-files, and the path is one that does not exist.
+    Sessions that do not say how many rows an Arrow batch has get BATCH_ROWS.
     """
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(size, None) is None:
+        spark.conf.set(size, str(BATCH_ROWS))
     known = spark.sparkContext.environment
     paths = known.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
@@ -22,8 +27,14 @@ def on_workers(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """df.mapInArrow; a worker that has done its part gives unused Arrow memory back."""
     on_workers(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:

@@ -17,7 +17,7 @@ STEP = 8
 WIDTH = 2 * STEP
 HIDDEN, WORD_DIM, CHAR_DIM, CHAR_BITS = 8, 8, 8, 16
 VOCABULARY = 8192
-PIECE = 1 << 19  # bytes of text scored at a time
+PIECE = 1 << 18  # bytes of text scored at a time
 OVERLAP = 512  # bytes that pieces of a longer text share, more than WIDTH words of ordinary length
 
 _INSIDE = np.zeros(256, bool)
@@ -55,6 +55,17 @@ class Words:
         powers = np.cumprod(np.concatenate([[1], np.full(int(self.lengths.max()), 0x9E3779B97F4A7C15, np.uint64)]).astype(np.uint64))
         self.hash = mix64(np.add.reduceat(data[letters].astype(np.uint64) * powers[place] + powers[place + 1], self.first))
 
+    @classmethod
+    def of_all(cls, data: np.ndarray, offsets: np.ndarray) -> "Words":
+        """Words of many texts, found block by block; lengths, runs and hashes only, in narrow types."""
+        parts = [cls(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in row_blocks(offsets, PIECE)]
+        out = cls.__new__(cls)
+        out.lengths = np.concatenate([p.lengths for p in parts]).astype(np.int32)
+        out.runs = np.concatenate([p.runs for p in parts]).astype(np.uint16)
+        out.hash, out.per_row = (np.concatenate([getattr(p, n) for p in parts]) for n in ("hash", "per_row"))
+        out.count, out.first = len(out.hash), np.cumsum(out.lengths, dtype=np.int64) - out.lengths
+        return out
+
     @staticmethod
     def _runs(data, inside, begin, end):
         shown = np.where(inside, data, 32).astype(np.uint32)
@@ -253,11 +264,11 @@ def train(texts: list[str], labels: list[int], vocabulary=VOCABULARY, random_rou
     """Fits a network. A share of known words is read as unknown, so character runs have to carry them too."""
     rng = np.random.default_rng(seed)
     data, offsets = text_bytes(lowered(pa.array(texts, pa.string())))
-    words = Words(data, offsets)
+    words = Words.of_all(data, offsets)
     layout = Layout(words.per_row)
-    row_of_word = np.repeat(np.arange(len(texts)), words.per_row)
-    pairs = np.unique(np.stack([words.hash, row_of_word.astype(np.uint64)]), axis=1)[0]
-    hashes, seen = np.unique(pairs, return_counts=True)
+    row_of_word = np.repeat(np.arange(len(texts)), words.per_row).astype(np.uint64)
+    _, once = np.unique(mix64(words.hash + mix64(row_of_word)), return_index=True)  # of each text and word
+    hashes, seen = np.unique(words.hash[once], return_counts=True)
     net = Network(hashes[np.argsort(-seen, kind="stable")[:vocabulary]], seed)
     ids = net.word_ids(words.hash)
     word_at = np.full(layout.total * STEP, -1, np.int64)

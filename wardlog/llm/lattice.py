@@ -20,7 +20,7 @@ from wardlog.llm.columns import row_blocks, spread, text_bytes
 UNKNOWN_PENALTY = 10.0
 SPACE_MARK = "▁"
 DEDUPED = 64  # longest chunk, in bytes, that is looked up among its equals
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -104,7 +104,7 @@ _AUTOMATA: dict = {}
 
 
 def automaton(vocabulary: Vocabulary) -> Automaton:
-    """One per worker process and vocabulary."""
+    """One per process and vocabulary."""
     key = hash((vocabulary.pieces, vocabulary.scores))
     if key not in _AUTOMATA:
         _AUTOMATA[key] = Automaton(vocabulary)

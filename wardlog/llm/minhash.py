@@ -30,7 +30,7 @@ from wardlog.llm.graph import components
 from wardlog.llm.words import WORD, table
 from wardlog.session import join_side, materialize
 
-DOMAIN_BITS = 22
+DOMAIN_BITS = 20
 BANDS, ROWS, MIN_SHARED = 56, 6, 2
 PERCENT = 80
 BLOCK, BLOCK_SHINGLES = 2048, 1 << 21  # nodes of a bucket, and their shingles, that one task compares with as many others
