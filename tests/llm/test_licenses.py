@@ -105,3 +105,27 @@ def test_query_finds_every_line(spark, sf_small):
         line = L.TEMPLATES[name]
         expected = {(d, t.index(line)) for d, t in texts.items() if line in t}
         assert expected <= {(r["doc_id"], r["begin"]) for r in found if r["template"] == name and r["coverage"] == 1}
+
+
+def test_short_templates_in_a_long_text(spark):
+    """Templates of one to four words, at every place of the window, one after the other, and not in parts."""
+    templates = {"four": "Some rights are reserved", "three": "All rights reserved", "two": "No warranty", "one": "Copyleft"}
+    line = "ALL rights reserved."
+    text = " ".join([*(f"{prose(n, 7 + n % 4)} {line}" for n in range(60)), line * 5, prose(61, 3000), "all rights were reserved",
+                     "some rights truly are reserved", prose(62), "no warranty " * 4, "copyleft " * 6])
+    docs = [(1, text), (2, "all rights reserved"), (3, "rights reserved"), (4, "all"), (5, "rights reserved all rights"), (6, "copyleft")]
+    found = L.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string"), templates).collect()
+    assert all(r["coverage"] == 1 and r["matched_words"] == len(templates[r["template"]].split()) for r in found)
+    assert {r["begin"] for r in found if (r["id"], r["template"]) == (1, "three")} == {
+        n for n in range(len(text)) if text.startswith("ALL rights reserved", n)}
+    counts = {}
+    for r in found:
+        counts[r["id"], r["template"]] = counts.get((r["id"], r["template"]), 0) + 1
+    assert counts == {(1, "four"): 1, (1, "three"): 65, (1, "two"): 4, (1, "one"): 6, (2, "three"): 1, (6, "one"): 1}
+
+
+def test_query_finds_every_reserved_line(spark, sf_small):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
+    expected = {(d, t.index("All rights reserved")) for d, t in texts.items() if t and "All rights reserved." in t}
+    found = {(r["doc_id"], r["begin"]) for r in L.op8_license_scan(spark, sf_small).collect() if r["template"] == "all-rights-reserved notice"}
+    assert expected and expected <= found

@@ -42,4 +42,5 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "unlicense text": "This is free and unencumbered software released into the public domain.",
+    "all-rights-reserved notice": "All rights reserved",
 }
