@@ -123,3 +123,27 @@ def test_components(spark, edges):
             if a != b:
                 parent[a] = parent[b] = min(parent[a], parent[b])
     assert found == parent
+
+
+@pytest.mark.parametrize("dense", [2, -1])
+def test_an_id_with_several_texts(spark, monkeypatch, dense):
+    """An id joins the groups of its texts, also for its rows without words; texts of an id are not compared crosswise."""
+    monkeypatch.setattr(M, "DENSE", dense)
+    a, b = prose(1, 80), prose(2, 90)
+    docs = [(3, a), (5, a), (5, b), (9, b + " more"), (9, ""), (5, None), (7, prose(3, 30)), (7, " "), (2, ""), (2, ""), (None, a)]
+    assert [r[2] for r in brute(docs, 2) if r[0] in (3, 5, 9)] == [3] * 6
+    docs += [(400 + n % 5, t) for n, (_, t) in enumerate(near_copies(8))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(M.near_duplicates(df, shingle=2)) == brute(docs, 2)
+
+
+def test_a_row_repeated_beside_a_near_copy(spark, monkeypatch):
+    """One set and one pair for thousands of equal rows."""
+    stored, real = [], M.materialize
+    monkeypatch.setattr(M, "materialize", lambda df: stored.append(real(df)) or stored[-1])
+    text, n = prose(4, 80), 3000
+    df = spark.createDataFrame([(4, text)] * n + [(6, text + " more"), (8, prose(9, 80))], "doc_id long, text string")
+    found = M.near_duplicates(df, shingle=2)
+    assert found.groupBy("id", "component_id", "kept").count().sort("id").collect() == [(4, 4, True, n), (6, 4, False, 1), (8, 8, True, 1)]
+    assert [t.count() for t in stored if t.columns == ["node", "set"]] == [2]
+    assert max(t.count() for t in stored[1:]) < n

@@ -1,7 +1,7 @@
 """Near-duplicate documents by circulant MinHash, banding and exact Jaccard verification.
 
 1. Each text becomes the set of its word shingles' 64-bit hashes. Sets are collapsed by a 128-bit key: copies
-   are one node, the smallest id among them.
+   are one node with a number of its own, however many rows there are. Nodes whose rows share an id are linked.
 2. All signature coordinates of a set come from two permutations, one of them circularly shifted. Rows of
    coordinates make band keys; nodes that share a key are candidates.
 3. Buckets hold nodes of any number, so pairs are formed sparingly: every node is compared with its bucket's
@@ -14,7 +14,7 @@
 A pair of likeness 0.8 is missed with probability below 1e-6; a group is found through any of its links.
 
 Defined results: NULL, empty and blank texts have an empty set and are linked with nothing; rows that share
-an id are one document, linked where any of its texts is; rows without an id are linked with nothing and kept, with
+an id are one document, linked where any of its texts is, with one component; rows without an id are linked with nothing and kept, with
 component NULL; other columns of the frame are not read; an empty frame gives an empty frame. Texts are used
 whole; a task holds one text and its set, or a block of band keys.
 """
@@ -118,16 +118,37 @@ def signed(df: DataFrame, id, text, k, bands=BANDS, rows=ROWS) -> DataFrame:
                      sign, "id long, size long, key binary, buckets array<long>")
 
 
-def _sets(df: DataFrame, id, text, k, nodes: DataFrame) -> DataFrame:
-    """node, set: the full sets of the candidates, stored once."""
+def _sets(df: DataFrame, id, text, k, candidates: DataFrame, repeated: DataFrame | None) -> DataFrame:
+    """node, set: the full sets of the candidates (node, first, key), one each, stored once.
+
+    The id of a node's first row says which text it is, unless the id is repeated; then the different texts' keys do.
+    """
 
     def build(batches):
         for batch in batches:
             found = [shingle_set(v.as_py() or b"", k).tobytes() for v in batch.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "set"])
-
-    texts = df.select(F.col(f"`{id}`").cast("long").alias("node"), F.col(f"`{text}`").alias("text"))
-    return materialize(map_arrow(texts.join(join_side(nodes), "node", "left_semi"), build, "node long, set binary"))
+            keys = [xxhash.xxh3_128_digest(s) for s in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(found, pa.binary())], names=["of", "key", "set"])
+
+    texts = df.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
+    single = candidates.select(F.col("first").alias("id"), "node", "key")
+    if repeated is not None:
+        several = materialize(single.join(repeated, "id", "left_semi"))
+        single = materialize(single.join(repeated, "id", "left_anti"))
+    built = "of long, key binary, set binary"
+    sets = map_arrow(texts.join(join_side(single.select("id", "node")), "id").select("node", "text"), build, built).select(F.col("of").alias("node"), "set")
+    if repeated is not None:
+        different = texts.join(join_side(materialize(several.select("id").distinct())), "id", "left_semi").distinct()
+        of_keys = map_arrow(different.select("id", "text"), build, built).join(join_side(several.select("node", "key")), "key")
+        sets = sets.union(of_keys.dropDuplicates(["node"]).select("node", "set"))
+    return materialize(sets)
+
+
+def _one_id(known: DataFrame, nodes: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) between the nodes of a repeated id, and the least node of each such id."""
+    members = materialize(known.select("id", "key").join(join_side(repeated), "id", "left_semi").join(nodes, "key").select("id", "node").distinct())
+    least = materialize(members.groupBy("id").agg(F.min("node").alias("a")))
+    return materialize(members.join(join_side(least), "id").filter("a <> node").select("a", F.col("node").alias("b"))), least
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -278,14 +299,21 @@ def near_duplicates(df: DataFrame, id="doc_id", text="text", shingle=5, percent=
     """id, n_shingles, component_id (smallest id that links reach) and kept, for every row."""
     rows = materialize(signed(df, id, text, shingle))
     known = rows.filter("size > 0 AND id IS NOT NULL")
-    nodes = materialize(known.groupBy("key").agg(F.min("id").alias("node")))
-    firsts = known.join(nodes, "key").filter("id = node").select("node", "size", "buckets")
+    firsts = materialize(known.groupBy("key").agg(
+        F.min("id").alias("first"), F.first("size").alias("size"), F.first("buckets").alias("buckets")
+    ).withColumn("node", F.monotonically_increasing_id()))
+    nodes = firsts.select("key", "node", "first")
+    repeated = materialize(rows.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1").select("id"))
+    repeated = None if repeated.isEmpty() else repeated
     in_buckets = firsts.select("node", "size", F.explode("buckets").alias("bucket"))
     shared = in_buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     crowded = materialize(in_buckets.join(shared.select("bucket"), "bucket"))
-    candidates = materialize(crowded.select("node").distinct())
-    sets = _sets(df, id, text, shingle, candidates)
+    candidates = materialize(nodes.join(crowded.select("node").distinct(), "node", "left_semi"))
+    sets = _sets(df, id, text, shingle, candidates, repeated)
     links, labels = None, None
+    if repeated is not None:
+        links, of_ids = _one_id(known, nodes, repeated)
+        labels = components(links)
     for round in range(3):
         mixed = _labelled(crowded, labels)
         if round < 2:
@@ -295,8 +323,17 @@ def near_duplicates(df: DataFrame, id="doc_id", text="text", shingle=5, percent=
             found = materialize(_across(mixed, keys, sets, percent))
         links = found if links is None else links.union(found)
         labels = components(links)
-    placed = rows.join(nodes, "key", "left").join(labels, "node", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "node", "id"))
+    linked = labels.join(nodes.select("node", "first"), "node")
+    least = linked.groupBy("component").agg(F.min("first").alias("least"))
+    named = materialize(linked.join(least, "component").select("node", F.col("least").alias("component")))
+    placed = rows.select("id", "size", "key").join(nodes, "key", "left")
+    if repeated is not None:  # a row without words goes with the others of its id
+        blank = rows.filter("size = 0 AND id IS NOT NULL").select("id", "size", "key").join(
+            join_side(of_ids.withColumnRenamed("a", "node")), "id", "left").join(nodes.select("node", "first"), "node", "left")
+        names = ["id", "size", "node", "first"]
+        placed = placed.filter("size > 0 OR id IS NULL").select(names).union(blank.select(names))
+    placed = placed.join(named, "node", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "first", "id"))
     return placed.select(
         "id", F.col("size").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
