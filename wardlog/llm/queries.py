@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and their comparison SQL."""
 
-from wardlog.llm import chat, cws, licenses, minhash, mixing, quality, sampling, tokencount, toxicity, warc
+from wardlog.llm import alignment, chat, cws, licenses, minhash, mixing, quality, sampling, tokencount, toxicity, warc
 
 QUERIES = {
     "op10_sentencepiece": sampling.op10_sentencepiece,
+    "op12_token_alignment": alignment.op12_token_alignment,
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op3_near_duplicates": minhash.op3_near_duplicates,
