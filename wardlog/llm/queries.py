@@ -1,10 +1,11 @@
 """The registered queries of this subpackage and their comparison SQL."""
 
-from wardlog.llm import alignment, chat, cws, licenses, minhash, mixing, quality, sampling, tokencount, toxicity, warc
+from wardlog.llm import alignment, chat, cws, divergence, licenses, minhash, mixing, quality, sampling, tokencount, toxicity, warc
 
 QUERIES = {
     "op10_sentencepiece": sampling.op10_sentencepiece,
     "op12_token_alignment": alignment.op12_token_alignment,
+    "op13_source_divergence": divergence.op13_source_divergence,
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op3_near_duplicates": minhash.op3_near_duplicates,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op13_source_divergence": divergence.SQL,
     "op2_mix_sources": mixing.SQL,
     "op3_near_duplicates": minhash.SQL,
     "op6_chat_format": chat.SQL,
