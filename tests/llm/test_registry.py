@@ -32,5 +32,5 @@ def test_against_sql(spark, tables, sf_small, name):
 
 def test_all_are_registered():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= names

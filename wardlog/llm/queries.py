@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and their comparison SQL."""
 
-from wardlog.llm import alignment, chat, cws, divergence, licenses, minhash, mixing, quality, sampling, tokencount, toxicity, warc
+from wardlog.llm import alignment, chat, cws, divergence, licenses, minhash, mixing, quality, sampling, sharding, tokencount, toxicity, warc
 
 QUERIES = {
     "op10_sentencepiece": sampling.op10_sentencepiece,
+    "op11_shard_by_bytes": sharding.op11_shard_by_bytes,
     "op12_token_alignment": alignment.op12_token_alignment,
     "op13_source_divergence": divergence.op13_source_divergence,
     "op1_toxicity": toxicity.op1_toxicity,
