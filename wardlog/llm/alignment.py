@@ -36,6 +36,7 @@ from wardlog.llm.words import table
 from wardlog.session import materialize
 
 BLOCK_BYTES = 1 << 21
+JOINED = 1000  # chunks that are encoded as one text
 SIDE = 1 << 32  # a pair is a * SIDE + b
 STATS = ["n_a", "n_b", "n_groups", "n_links"]
 
@@ -63,9 +64,19 @@ class ByteSide:
         pieces = {i: bytes(letter[c] for c in token) for token, i in spec["model"]["vocab"].items()}
         pieces |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
         self.pieces = pa.array([pieces.get(i, b"") for i in range(max(pieces) + 1)], pa.binary())
+        self.lengths = pc.binary_length(self.pieces).to_numpy()
 
-    def lists(self, chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch(chunks, add_special_tokens=False)]
+    def lists(self, chunks: pa.Array) -> pa.ListArray:
+        """Chunks that end in a visible character are encoded many at a time, for a token ends there as in any text."""
+        data, offsets = text_bytes(chunks)
+        alone = ~visible(data)[offsets[1:] - 1]
+        turn = np.argsort(alone, kind="stable")
+        names, joined = chunks.take(pa.array(turn)).to_pylist(), int(len(alone) - alone.sum())
+        texts = ["".join(names[i:min(i + JOINED, joined)]) for i in range(0, joined, JOINED)] + names[joined:]
+        ids = np.concatenate([np.array(e.ids, np.int32) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)])
+        ends = np.cumsum(self.lengths[ids])
+        stops = np.searchsorted(ends, np.cumsum(np.diff(offsets)[turn])) + 1
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stops]), pa.int32()), pa.array(ids)).take(pa.array(np.argsort(turn)))
 
 
 class PieceSide:
@@ -83,9 +94,10 @@ class PieceSide:
         self.pieces = pa.array([bytes([int(n[3:5], 16)]) if m.is_byte(i) else b"" if m.is_control(i) or m.is_unknown(i)
                                 else n.replace("▁", " ").encode() for i, n in enumerate(names)], pa.binary())
 
-    def lists(self, chunks: list[str]) -> list[list[int]]:
-        found = self.model.encode([c[c.startswith(" "):] for c in chunks], num_threads=1)
-        return [[self.space] if c == " " else ids if c.startswith(" ") else ids[1:] for c, ids in zip(chunks, found)]
+    def lists(self, chunks: pa.Array) -> pa.ListArray:
+        names = chunks.to_pylist()
+        found = self.model.encode([c[1:] if c[0] == " " else c for c in names], num_threads=1)
+        return pa.array([[self.space] if c == " " else ids if c[0] == " " else ids[1:] for c, ids in zip(names, found)], pa.list_(pa.int32()))
 
 
 @lru_cache(2)
@@ -93,18 +105,23 @@ def tokenizers_at(a: str, b: str) -> tuple[ByteSide, PieceSide]:
     return ByteSide(a), PieceSide(b)
 
 
+def visible(data: np.ndarray) -> np.ndarray:
+    """Bytes that end a visible ASCII character, a two-byte one above U+00BF or a three-byte one from U+4000 to U+DFFF.
+    None of them is white space to either tokenizer."""
+    out = (data > 32) & (data < 127)
+    tail = (data >= 128) & (data < 192)
+    out[1:] |= tail[1:] & (data[:-1] >= 0xC3) & (data[:-1] < 0xE0)
+    out[2:] |= tail[2:] & tail[1:-1] & (data[:-2] >= 0xE4) & (data[:-2] < 0xEE)
+    return out
+
+
 def cut_chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where chunks begin (one more at the end), and how many each row has. No row is empty.
 
-    A cut lies before a space or line break after a visible ASCII character, a two-byte character above U+00BF or a
-    three-byte one from U+4000 to U+DFFF: none of them is white space to either tokenizer.
+    A cut lies before a space or line break that follows a visible character.
     """
-    solid = (data > 32) & (data < 127)
-    tail = (data >= 128) & (data < 192)
-    solid[1:] |= tail[1:] & (data[:-1] >= 0xC3) & (data[:-1] < 0xE0)
-    solid[2:] |= tail[2:] & tail[1:-1] & (data[:-2] >= 0xE4) & (data[:-2] < 0xEE)
     begin = np.zeros(len(data), bool)
-    begin[1:] = ((data[1:] == 32) | (data[1:] == 10)) & solid[:-1]
+    begin[1:] = ((data[1:] == 32) | (data[1:] == 10)) & visible(data)[:-1]
     begin[offsets[:-1]] = True
     starts = np.flatnonzero(begin)
     return np.append(starts, len(data)), np.diff(np.searchsorted(starts, offsets))
@@ -142,10 +159,9 @@ class Chunks:
     """The groups and links of different chunks, each encoded once."""
 
     def __init__(self, chunks: pa.Array, sides: tuple[ByteSide, PieceSide]):
-        names = chunks.to_pylist()
-        lists = [pa.array(side.lists(names), pa.list_(pa.int32())) for side in sides]
+        lists = [side.lists(chunks) for side in sides]
         raw = chunks.cast(pa.large_binary() if pa.types.is_large_string(chunks.type) else pa.binary())
-        self.good = np.ones(len(names), bool)
+        self.good = np.ones(len(chunks), bool)
         for found, side in zip(lists, sides):
             spelled = pc.binary_join(pa.ListArray.from_arrays(found.offsets, pc.take(side.pieces, found.values)), b"")
             self.good &= pc.equal(spelled.cast(raw.type), raw).to_numpy(zero_copy_only=False)
@@ -157,9 +173,9 @@ class Chunks:
         last_a, last_b = _closing(a, b), _closing(b, a)
         stop_a, stop_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
         owner = a["parent"].to_numpy()[stop_a - 1]  # of each group; groups of both sides follow in the same order
-        self.n_groups = np.bincount(owner, minlength=len(names))
+        self.n_groups = np.bincount(owner, minlength=len(chunks))
         links = np.diff(stop_a, prepend=0) * np.diff(stop_b, prepend=0)
-        self.n_links = np.bincount(owner, links, len(names)).astype(np.int64)
+        self.n_links = np.bincount(owner, links, len(chunks)).astype(np.int64)
         texts = [_joined_runs(x["id"].combine_chunks().cast(pa.large_string()), stop, ",") for x, stop in ((a, stop_a), (b, stop_b))]
         whole = pc.binary_join_element_wise(*texts, _wide("|"))
         self.text = _joined_runs(whole, np.cumsum(self.n_groups), ";")
@@ -175,7 +191,7 @@ class Chunks:
         per = per.group_by(["chunk", "pair"], use_threads=False).aggregate([("n", "sum")]).sort_by("chunk").combine_chunks()
         coded = per["pair"].combine_chunks().dictionary_encode()
         self.pairs, self.pair, self.times = coded.dictionary, coded.indices.to_numpy(), per["n_sum"].to_numpy()
-        self.pair_count = np.bincount(per["chunk"].to_numpy(), minlength=len(names))
+        self.pair_count = np.bincount(per["chunk"].to_numpy(), minlength=len(chunks))
 
 
 def align_block(texts: pa.Array, sides) -> tuple[dict, pa.Array, list[np.ndarray]]:
