@@ -1,6 +1,7 @@
 """Starts one of the jobs, with spark-submit or `python -m wardlog`."""
 
 import argparse
+from datetime import timedelta
 
 from pyspark.sql import SparkSession
 
@@ -30,8 +31,10 @@ def parser():
     add("report", "tables of the trained models")
     one = add("watch", "decide live")
     one.add_argument("--logs", required=True, help="the folder to watch")
-    one.add_argument("--pattern", default=S.FINISHED_LOG_PATTERN, help="names of the finished log files")
+    one.add_argument("--pattern", help=f"names of the log files ({S.FINISHED_LOG_PATTERN}, with --follow {S.LOG_FILE_PATTERN})")
     one.add_argument("--interval", default="60 seconds")
+    one.add_argument("--follow", action="store_true", help="read the log that is being written, line by line (a mounted folder)")
+    one.add_argument("--bound-hours", type=float, help="longest session in hours; older state is dropped")
     return out
 
 
@@ -50,9 +53,15 @@ def main(words=None):
         for table in jobs.report(spark, args.data).values():
             table.show(1000, truncate=False)
     else:
-        from wardlog.streaming.live import keep_running
+        from wardlog.streaming.live import Journal, keep_running
 
-        keep_running(lambda: jobs.watch(spark, args.logs, args.data, pattern=args.pattern, interval=args.interval))
+        options = {"pattern": args.pattern or (S.LOG_FILE_PATTERN if args.follow else S.FINISHED_LOG_PATTERN), "interval": args.interval}
+        if args.follow:
+            options["follow"] = True
+        if args.bound_hours:
+            options["bound"] = timedelta(hours=args.bound_hours)
+        spark.streams.addListener(Journal())
+        keep_running(lambda: jobs.watch(spark, args.logs, args.data, **options))
 
 
 if __name__ == "__main__":

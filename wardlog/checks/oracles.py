@@ -62,6 +62,12 @@ s AS (
   FROM points
 )"""
 SESSIONS = LOG + "," + folded() + SCORED
+
+# Four parts of the log by event number; `s` holds each closed session as it stands after the part that first closes it.
+STEPS = LOG + """,
+parts AS (SELECT *, ((ord - (SELECT min(ord) FROM log)) * 4 // (SELECT max(ord) - min(ord) + 1 FROM log))::INTEGER AS part FROM log),
+closing AS (SELECT session, min(part) AS closed_in FROM parts WHERE eventid = 'cowrie.session.closed' GROUP BY session),
+seen AS (SELECT p.* FROM parts p JOIN closing c ON p.session = c.session AND p.part <= c.closed_in),""" + folded("seen") + SCORED
 TOKENS = SESSIONS + """,
 tok AS (SELECT session_id, unnest(string_split(commands, ' | ')) AS command FROM s WHERE commands <> '')"""
 
@@ -73,6 +79,10 @@ FEATURE_LIST = (
 FLAG_LIST = ", ".join(S.PATTERNS)
 
 
+def named(code):
+    return f"CASE {code} WHEN 2 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END"
+
+
 def on_log(body):
     return f"WITH {LOG} {body}"
 

@@ -1,9 +1,11 @@
 """Every operator as a query on the test tables; most with SQL for an exact comparison."""
 
+import os
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ from wardlog.plans import learning as L
 from wardlog.plans import profiles as P
 from wardlog.plans import scoring
 from wardlog.session import materialize, scratch_path
-from wardlog.sources import logs, sinks
+from wardlog.sources import growing, logs, sinks
 from wardlog.streaming import live
 
 QUERIES: dict = {}
@@ -1669,39 +1671,113 @@ def _(spark, d):
     return spark.read.parquet(f"{out}/rows")
 
 
-def decided_in_steps(spark, d):
-    """The live query over the log in four files, one file per batch."""
+def decided_in_steps(spark, d, **options):
+    """The live query over the log in four parts, one batch each."""
     def run():
         folder, out = scratch_path(spark, "log-steps"), scratch_path(spark, "live-steps")
         e = raw(spark, d)
-        sinks.write_log_lines(e.repartitionByRange(4, "ord"), folder)
+        first, last = e.agg(F.min("ord"), F.max("ord")).first()
+        part = F.call_function("div", (F.col("ord") - first) * 4, F.lit(last - first + 1))
         mapping = materialize(R.response_map(labelled(spark, d)))
+        for n in range(4):
+            sinks.write_log_lines(e.where(part == n), folder, "append")
+            decide(spark, folder, out, mapping, **options)
+        return out
+    return stored(spark, d, f"live-steps {sorted(options)}", run)
 
-        def scorer(batch):
-            return scoring.score_with_rules(batch, F.least("command_count", F.lit(3)), mapping)
 
-        live.start_decisions(spark, folder, out, scorer, pattern=LOG_FILES, once=True, files_per_batch=1).awaitTermination()
-        return out
-    return stored(spark, d, "live-steps", run)
+def decide(spark, folder, out, mapping, **options):
+    def scorer(batch):
+        return scoring.score_with_rules(batch, F.least("command_count", F.lit(3)), mapping)
+
+    live.start_decisions(spark, folder, out, scorer, pattern=LOG_FILES, once=True, **options).awaitTermination()
+
+
+DECISION = """session_id, src_ip, threat_code AS threat_level, least(command_count, 3)::INTEGER AS cluster, threat_code AS response_level,
+    login_success::INTEGER AS feature_login, command_count AS feature_commands, duration AS feature_duration, has_persistence AS feature_persistence"""
+
+
+def decision_rows(decisions):
+    def feature(name, kind):
+        return F.get_json_object("features", f"$.{name}").cast(kind)
+
+    return decisions.select(
+        "session_id", "src_ip", "threat_level", "cluster", "response_level", feature("login_success", "int").alias("feature_login"),
+        feature("command_count", "bigint").alias("feature_commands"), feature("duration", "double").alias("feature_duration"),
+        feature("has_persistence", "int").alias("feature_persistence"))
+
+
+@query("stream_completed", f"WITH {O.STEPS} SELECT {DECISION} FROM s")
+def _(spark, d):
+    """Decisions of four batches: each with what was known when the session was first closed."""
+    return decision_rows(live.read_decisions(spark, decided_in_steps(spark, d)))
+
+
+@query("stream_bounded", f"WITH {O.STEPS} SELECT {DECISION} FROM s")
+def _(spark, d):
+    """The same with a bound of a day on the state, which no session of the table exceeds."""
+    return decision_rows(live.read_decisions(spark, decided_in_steps(spark, d, bound=timedelta(days=1))))
 
 
-@query("stream_completed", O.on_sessions("SELECT session_id FROM s WHERE end_time IS NOT NULL"))
+@query("stream_followed", f"WITH {O.STEPS} SELECT {DECISION} FROM s")
 def _(spark, d):
-    return live.read_decisions(spark, decided_in_steps(spark, d)).select("session_id")
+    """The same from the source that follows growing files."""
+    return decision_rows(live.read_decisions(spark, decided_in_steps(spark, d, follow=True)))
 
 
-@query("stream_dedupe", O.on_sessions("SELECT session_id, 1::BIGINT AS decisions FROM s WHERE end_time IS NOT NULL"))
+@query("stream_dedupe", f"""WITH {O.STEPS} SELECT session_id, 1::BIGINT AS decisions, threat_code AS response_level, {O.named('threat_code')} AS strategy FROM s""")
 def _(spark, d):
     """Sessions may close several times and in several batches; each has one decision."""
-    decisions = live.read_decisions(spark, decided_in_steps(spark, d))
-    return decisions.groupBy("session_id").agg(F.count(F.lit(1)).alias("decisions"))
+    decisions = R.strategy_decode(live.read_decisions(spark, decided_in_steps(spark, d)))
+    return decisions.groupBy("session_id").agg(
+        F.count(F.lit(1)).alias("decisions"), F.max("response_level").alias("response_level"), F.max("strategy").alias("strategy"))
 
 
-@query("stream_active_state", O.on_sessions("SELECT session_id, src_ip FROM s WHERE end_time IS NOT NULL"))
+@query("stream_active_state", f"""WITH {O.STEPS} SELECT session_id, src_ip, threat_code AS response_level, {O.named('threat_code')} AS strategy FROM s""")
 def _(spark, d):
-    """Latest state per session, with the address of its decision."""
-    decisions = live.read_decisions(spark, decided_in_steps(spark, d))
-    return live.active_state(decisions).join(decisions.select("session_id", "src_ip"), "session_id").select("session_id", "src_ip")
+    """Latest state per session from a snapshot and the batch after it, with the address of its decision."""
+    out = decided_in_steps(spark, d, compact_every=3)
+    decisions = live.read_decisions(spark, out)
+    return live.current_state(spark, out).join(decisions.select("session_id", "src_ip"), "session_id").drop("timestamp")
+
+
+def grow(spark, d, folder, share):
+    """A file per day of the log grows to a share of its bytes, wherever that cuts a line; tasks append what is missing."""
+    line = F.to_json(F.struct(*S.RAW_FIELDS))
+    lines = raw(spark, d).select(F.to_date("ts").cast("string").alias("part"), "ord", line.alias("value"))
+    place = growing.local_path(folder)
+
+    def append(rows):
+        text = "".join(v + "\n" for v in rows.sort_values("ord")["value"]).encode()
+        os.makedirs(place, exist_ok=True)
+        path = f"{place}/part-{rows['part'].iloc[0]}"
+        with open(path, "ab") as file:
+            file.write(text[os.path.getsize(path):int(len(text) * share)])
+        return rows[["part"]].head(1)
+
+    lines.groupBy("part").applyInPandas(append, "part string").count()
+
+
+@query("stream_source_growing", O.on_log("SELECT session, timestamp, input FROM log WHERE input IS NOT NULL"))
+def _(spark, d):
+    """Command lines of files that grow between three batches and are cut inside a line."""
+    folder, out = scratch_path(spark, "log-growing"), scratch_path(spark, "stream-growing")
+    for share in (0.3, 0.71, 1.0):
+        grow(spark, d, folder, share)
+        found = live.stream_events(spark, folder, pattern=LOG_FILES, follow=True).where(F.col("input").isNotNull())
+        found.select("session", "timestamp", "input").writeStream.format("parquet").option(
+            "checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start(f"{out}/rows").awaitTermination()
+    return spark.read.parquet(f"{out}/rows")
+
+
+@query("scan_line_counts", f"""WITH {O.DIRTY} SELECT (SELECT count(*) FROM lines) AS good, (SELECT count(*) FROM bad) AS bad,
+    (SELECT count(*) FROM log WHERE ord % 103 = 0) AS blank""")
+def _(spark, d):
+    """Lines by kind, counted while the good ones are written."""
+    counts = Observation("lines")
+    parsed = logs.count_lines(logs.parse_lines(logs.scan_lines(spark, log_dir(spark, d), pattern=LOG_FILES), blank=True), counts)
+    materialize(parsed.where(F.col(S.CORRUPT).isNull()))
+    return spark.createDataFrame([tuple(counts.get[k] for k in ("good", "bad", "blank"))], "good long, bad long, blank long")
 
 
 @query("stream_score", O.on_sessions("SELECT session_id, true AS as_in_batch FROM s WHERE end_time IS NOT NULL"))
@@ -1735,7 +1811,7 @@ def _(spark, d):
 @query("sink_active_sessions", O.on_sessions("""SELECT session_id, response_level,
     CASE response_level WHEN 2 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS strategy FROM decided""", DECIDED))
 def _(spark, d):
-    return live.active_state(live.read_decisions(spark, decided(spark, d))).drop("timestamp")
+    return live.current_state(spark, decided(spark, d)).drop("timestamp")
 
 
 ADDRESS_LEVELS = LABELLED + """,
@@ -1759,9 +1835,24 @@ def _(spark, d):
     return live.current_level(live.read_decisions(spark, decided(spark, d)))
 
 
-@query("stream_desired_profile_changes", O.on_sessions(f"SELECT max(response_level) AS highest_level, {NAMED}, true AS changed FROM decided", DECIDED))
+@query("stream_desired_profile_changes", O.on_sessions(f"""SELECT step, highest_level, {O.named('highest_level')} AS strategy,
+    coalesce(highest_level <> lag(highest_level) OVER (ORDER BY step), true) AS changed FROM (
+      SELECT row_number() OVER (ORDER BY batch)::INTEGER AS step, max(level) OVER (ORDER BY batch) AS highest_level FROM (
+        SELECT least(threat_code * 2 + command_count % 2, 4) AS batch, max(threat_code) AS level FROM s WHERE end_time IS NOT NULL GROUP BY 1))"""))
 def _(spark, d):
-    return live.profile_changes(spark, decided(spark, d)).drop("step")
+    """The strategy after each of five batches, in which sessions of low, medium and high threat come one after the other."""
+    def run():
+        folder, out = scratch_path(spark, "log-levels"), scratch_path(spark, "live-levels")
+        batch = kept(spark, d).select("session_id", F.least(F.col("threat_code") * 2 + F.col("command_count") % 2, F.lit(4)).alias("batch"))
+        e = materialize(raw(spark, d).join(batch, F.col("session") == F.col("session_id")))
+        mapping = materialize(R.response_map(labelled(spark, d)))
+        for n in range(5):
+            sinks.write_log_lines(e.where(F.col("batch") == n), folder, "append")
+            decide(spark, folder, out, mapping)
+        return out
+
+    changes = live.profile_changes(spark, stored(spark, d, "live-levels", run))
+    return changes.withColumn("step", F.row_number().over(W.orderBy("step")))  # one row per batch
 
 
 @query("desired_profile_by_day", O.on_sessions("""SELECT step, highest_level, CASE highest_level WHEN 2 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS strategy,

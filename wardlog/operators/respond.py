@@ -113,14 +113,14 @@ def map_to_keys(mapping: DataFrame, named=False) -> DataFrame:
     return mapping.select(key.alias("key"), F.col("response_level").cast("string").alias("value"))
 
 
-def decision_record(scored: DataFrame, at) -> DataFrame:
-    """One decision per row, with the serving features as a JSON text."""
+def decision_record(scored: DataFrame, at, also=()) -> DataFrame:
+    """One decision per row, with the serving features as a JSON text, and further columns as they are."""
     features = F.to_json(F.struct(*[
         F.col(n).cast("int").alias(n) if n == "login_success" else F.col(n) for n in S.SERVING_FEATURES
     ]))
     return scored.select(
         at.alias("timestamp"), "session_id", "src_ip", F.col("threat_code").alias("threat_level"), "cluster",
-        "response_level", features.alias("features"),
+        "response_level", features.alias("features"), *also,
     )
 
 
@@ -153,3 +153,14 @@ def desired_profile(steps: DataFrame) -> DataFrame:
         "step", "highest_level", "strategy",
         F.coalesce(F.col("strategy") != previous, F.lit(True)).alias("changed"),
     )
+
+
+def carried_level(decided: DataFrame, before=None) -> DataFrame:
+    """One row after a batch of decisions: the batch's highest level, the highest so far, its strategy, and whether
+    that is a change. `before` is the row of the batch before (None: none), so no earlier batch is read again."""
+    level, strategy = (before["highest_level"], before["strategy"]) if before is not None else (None, None)
+    own = decided.agg(F.max("response_level").alias("response_level"))
+    out = own.withColumn("highest_level", F.greatest("response_level", F.lit(level).cast("int")))
+    named = F.when(F.col("highest_level").isNotNull(), level_name(F.col("highest_level"), "low"))
+    return out.withColumn("strategy", named).select(
+        "response_level", "highest_level", "strategy", (~F.col("strategy").eqNullSafe(F.lit(strategy).cast("string"))).alias("changed"))

@@ -9,7 +9,7 @@ Each reads and writes Parquet folders below one data folder:
     live/ (decisions/, levels/, checkpoint/)               watch
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wardlog import schema as S
@@ -39,20 +39,24 @@ def stored_quarantine(spark: SparkSession, data: str) -> DataFrame:
 
 @tidy
 def preprocess(spark: SparkSession, roots, data: str, per_file=False, pattern=S.LOG_FILE_PATTERN) -> DataFrame:
-    """Raw logs to stored events, bad lines, sessions and joined texts; returns the basic statistics.
+    """Raw logs to stored events, bad lines, sessions and joined texts; returns the basic statistics and the
+    numbers of good, bad and blank lines, which are counted while the lines are written.
 
     The text is read and parsed once. Lines are stored by readability and day, so that later reads
     of a period skip the rest; the rebalance splits days that are too large for one task and
     merges small ones.
     """
-    parsed = logs.with_order(logs.parse_lines(logs.scan_lines(spark, roots, pattern=pattern))).withColumns({
+    counts = Observation("lines")
+    found = logs.count_lines(logs.parse_lines(logs.scan_lines(spark, roots, pattern=pattern), blank=True), counts)
+    parsed = logs.with_order(found.where(~F.col("blank")).drop("blank")).withColumns({
         "readable": F.col(S.CORRUPT).isNull().cast("int"), "day": day(F.col("ts")),
     })
     write_table(parsed.hint("rebalance", "readable", "day"), f"{data}/lines", ["readable", "day"])
     events = stored_events(spark, data)
     write_table(SE.session_features(events, per_file), f"{data}/sessions")
     write_table(SE.commands(events), f"{data}/commands")
-    return P.basic_statistics(read_table(spark, f"{data}/sessions"), E.events_b(events))
+    statistics = P.basic_statistics(read_table(spark, f"{data}/sessions"), E.events_b(events))
+    return statistics.withColumns({f"{kind}_lines": F.lit(counts.get[kind]).cast("long") for kind in ("good", "bad", "blank")})
 
 
 @tidy
@@ -143,7 +147,7 @@ def report(spark: SparkSession, data: str) -> dict[str, DataFrame]:
 
 
 def watch(spark: SparkSession, directory: str, data: str, **options):
-    """Starts the live query with the stored models."""
+    """Starts the live query with the stored models. Options are those of `live.start_decisions`."""
     classifier, clusters = L.Fitted.load(f"{data}/models/classifier"), L.Clusters.load(f"{data}/models/clusters")
     mapping = R.lookup_side(read_table(spark, f"{data}/models/response_map"))
     return live.start_decisions(

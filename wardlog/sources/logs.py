@@ -42,13 +42,13 @@ def with_origin(lines: DataFrame) -> DataFrame:
     )
 
 
-def parse_lines(lines: DataFrame, keys=False) -> DataFrame:
+def parse_lines(lines: DataFrame, keys=False, blank=False) -> DataFrame:
     """One row per non-blank line; `_corrupt_record` holds a line that is no JSON object.
 
     A line with something after its object is corrupt too. The parser stops at the end of
     the object, so lines with text after a closing brace are counted as array elements.
     `keys=True` adds the object's key names, for callers that tell a key with the value null
-    from a missing one; it costs a second pass over the text.
+    from a missing one; it costs a second pass over the text. `blank=True` keeps blank lines, marked in `blank`.
     """
     record = F.from_json("value", PARSE_SCHEMA, {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT, "allowSingleQuotes": "false",
@@ -62,16 +62,26 @@ def parse_lines(lines: DataFrame, keys=False) -> DataFrame:
     # The array of one element makes a line's parse a generator. Filters on the parsed fields stay
     # above a generator; they would else be pushed down together with copies of the parse.
     once = F.array(F.struct(is_object.alias("is_object"), F.when(is_object, record).alias("record")))
-    parsed = lines.where(text != "").select(*keep, "value", F.inline(once))
+    is_blank = F.coalesce(text == "", F.lit(True))
+    parsed = lines.where(F.lit(blank) | ~is_blank).select(*keep, "value", F.inline(once), is_blank.alias("is_blank"))
     good = F.col("is_object") & F.col(f"record.{S.CORRUPT}").isNull()
     return parsed.select(
         *[F.when(good, F.col(f"record.{n}")).alias(n) for n in S.RAW_FIELDS],
-        F.when(~good, F.col("value")).alias(S.CORRUPT),
+        F.when(~good & ~F.col("is_blank"), F.col("value")).alias(S.CORRUPT),
         *([F.json_object_keys("value").alias("keys")] if keys else []),
+        *([F.col("is_blank").alias("blank")] if blank else []),
         *keep,
     )
 
 
+def count_lines(parsed: DataFrame, name="lines") -> DataFrame:
+    """Counts good, bad and blank lines of `parse_lines(..., blank=True)` while they pass; `name` finds the counts in
+    an `Observation` or in the progress of a stream."""
+    return parsed.observe(
+        name, F.count_if(F.col(S.CORRUPT).isNull() & ~F.col("blank")).alias("good"), F.count_if(F.col(S.CORRUPT).isNotNull()).alias("bad"),
+        F.count_if("blank").alias("blank"))
+
+
 def with_order(parsed: DataFrame) -> DataFrame:
     """Adds `ts` and the total order of events: time first, then place in the scan.
 

@@ -37,12 +37,12 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def write_log_lines(events: DataFrame, path: str) -> None:
+def write_log_lines(events: DataFrame, path: str, mode="overwrite") -> None:
     """Raw events as JSON lines, as the sensor writes them. Absent keys stay absent."""
     from wardlog.schema import RAW_FIELDS
 
     line = F.to_json(F.struct(*[F.col(n) for n in RAW_FIELDS if n in events.columns]))
-    events.select(line.alias("value")).write.mode("overwrite").text(path)
+    events.select(line.alias("value")).write.mode(mode).text(path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
