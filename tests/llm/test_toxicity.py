@@ -87,6 +87,51 @@ def test_every_window_of_a_long_text_counts(network, monkeypatch):
         assert whole[0] > 0.5 > whole[1] and cut[0] > 0.5 > cut[1]
 
 
+def test_pieces_of_a_long_text_have_the_windows_of_the_whole(monkeypatch):
+    """One grid at any size of piece, with random weights, long words and texts of every length around a window."""
+    rng = random.Random(3)
+    net = gru.Network(np.empty(0, np.uint64), seed=11)
+    texts = [" ".join("".join(rng.choice("abcé") for _ in range(rng.choice([1, 3, 9, 300]))) for _ in range(n)) for n in (1, 8, 9, 15, 16, 17, 24, 25, 100, 1000)]
+    texts += ["", " .,; " * 50, "x" * 5000 + " tail", ". " * 3000 + "end"]
+    monkeypatch.setattr(gru, "PIECE", 1 << 24)
+    whole = net.scores(pa.array(texts))
+    for piece in (7, 64, 1000, 1 << 14):
+        monkeypatch.setattr(gru, "PIECE", piece)
+        assert np.allclose(net.scores(pa.array(texts)), whole, rtol=0, atol=1e-6), piece
+
+
+def test_scores_window_by_window():
+    """Each window run on its own through scalar gates; a text's score is the greatest."""
+    net = gru.Network(np.empty(0, np.uint64), seed=5)
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+
+    def sig(x):
+        return 1 / (1 + np.exp(-x))
+
+    def window(x):
+        states = []
+        for side, u, nb in ((slice(0, 3 * gru.HIDDEN), "uf", "nf"), (slice(3 * gru.HIDDEN, None), "ub", "nb")):
+            h, out = np.zeros(gru.HIDDEN), []
+            for row in (x if u == "uf" else x[::-1]):
+                a, b = (row @ p["x"] + p["xb"])[side], h @ p[u]
+                z, r = sig(a[:gru.HIDDEN] + b[:gru.HIDDEN]), sig(a[gru.HIDDEN:2 * gru.HIDDEN] + b[gru.HIDDEN:2 * gru.HIDDEN])
+                h = (1 - z) * np.tanh(a[2 * gru.HIDDEN:] + r * (b[2 * gru.HIDDEN:] + p[nb])) + z * h
+                out.append(h)
+            states.append(out if u == "uf" else out[::-1])
+        s = np.concatenate([np.array(states[0]), np.array(states[1])], axis=1)
+        e = np.exp(s @ p["v"])
+        return (e / e.sum()) @ s @ p["w"] + p["b"][0]
+
+    for n in (1, 7, 16, 20, 57):
+        text = prose(n, n)
+        data = np.frombuffer(text.lower().encode(), np.uint8)
+        words = gru.Words(data, np.array([0, len(data)]))
+        x = net.inputs(net.word_ids(words.hash), words.runs, words.first).astype(np.float64)
+        starts = range(0, max(1, -(-len(x) // gru.STEP) - gru.WIDTH // gru.STEP + 1) * gru.STEP, gru.STEP)
+        want = max(window(x[i:i + gru.WIDTH]) for i in starts)
+        assert abs(net.scores(pa.array([text]))[0] - sig(want)) < 1e-4
+
+
 def test_words_stay_in_their_texts():
     data = np.frombuffer("ab cdéf!g".encode(), np.uint8)
     w = gru.Words(data, np.array([0, 1, 1, len(data)]))
@@ -118,6 +163,8 @@ def test_training_sample(spark, edge, monkeypatch):
     monkeypatch.setattr(T, "PER_CLASS", {0: 5, 1: 7})
     texts, known = T.labelled_sample(df.repartition(9), labels)
     assert known == [0] * 5 + [1] * 7 and (texts, known) == T.labelled_sample(df, labels)
+    many = labels.union(spark.range(1000, 9000).selectExpr("id", "1"))  # labelled ids without a document take no places
+    assert T.labelled_sample(df, many) == (texts, known)
     empty = labels.filter("doc_id < 0")
     assert T.train_toxicity(df, empty) is None
     held = df.select(T.held_out(F.col("doc_id")).alias("h"), "doc_id").collect()

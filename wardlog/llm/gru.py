@@ -2,7 +2,7 @@
 
 A word is a run of letters, digits and non-ASCII bytes of the lowered text. Its input joins a word vector (of the
 training vocabulary, or the vector of unknown words) and the sum of vectors of its 4-byte character runs, spaces
-marking its ends. Windows of WIDTH words overlap by half and cover every text in full; a text's logit is the greatest
+marking its ends. Windows of WIDTH words begin at every STEP-th word and cover every text in full; a text's logit is the greatest
 of its windows. Training follows that: after some rounds on random windows, each text teaches with the windows that
 score highest at the moment.
 """
@@ -13,12 +13,11 @@ import pyarrow.compute as pc
 
 from wardlog.llm.columns import mix64, row_blocks, spread, text_bytes
 
-STEP = 8
-WIDTH = 2 * STEP
+WIDTH = 16
+STEP = 1  # divides WIDTH; 1 is every window
 HIDDEN, WORD_DIM, CHAR_DIM, CHAR_BITS = 8, 8, 8, 16
 VOCABULARY = 8192
-PIECE = 1 << 18  # bytes of text scored at a time
-OVERLAP = 512  # bytes that pieces of a longer text share, more than WIDTH words of ordinary length
+PIECE = 1 << 15  # bytes of text scored at a time; a longer text is read in such pieces, its windows are those of the whole
 
 _INSIDE = np.zeros(256, bool)
 _INSIDE[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -66,6 +65,21 @@ class Words:
         out.count, out.first = len(out.hash), np.cumsum(out.lengths, dtype=np.int64) - out.lengths
         return out
 
+    @classmethod
+    def _of(cls, hash, lengths, runs) -> "Words":
+        out = cls.__new__(cls)
+        out.hash, out.lengths, out.runs, out.count = hash, lengths, runs, len(hash)
+        out.first, out.per_row = np.cumsum(lengths) - lengths, np.array([len(hash)])
+        return out
+
+    def part(self, i: int, j: int) -> "Words":
+        """Words i to j of a single text."""
+        ends = np.append(self.first, self.lengths.sum())
+        return self._of(self.hash[i:j], self.lengths[i:j], self.runs[ends[i]:ends[j]])
+
+    def followed_by(self, other: "Words") -> "Words":
+        return self._of(*(np.concatenate([getattr(self, n), getattr(other, n)]) for n in ("hash", "lengths", "runs")))
+
     @staticmethod
     def _runs(data, inside, begin, end):
         shown = np.where(inside, data, 32).astype(np.uint32)
@@ -78,11 +92,35 @@ class Words:
         return (key >> np.uint32(32 - CHAR_BITS)).astype(np.int64)
 
 
+def word_spans(text: np.ndarray):
+    """Words of one long text, some at a time: every window of WIDTH words at a multiple of STEP lies in exactly one span.
+
+    Pieces end between words. The next span begins with the window after the last whole one.
+    """
+    at, end, kept, first = 0, len(text), None, True
+    while at < end:
+        stop = min(end, at + PIECE)
+        while stop < end and _INSIDE[text[stop]]:
+            rest = np.flatnonzero(~_INSIDE[text[stop:stop + PIECE]])
+            stop = min(end, stop + int(rest[0]) if len(rest) else stop + PIECE)
+        found = Words(text[at:stop], np.array([0, stop - at]))
+        kept = found if kept is None else kept.followed_by(found)
+        at = stop
+        whole = kept.count // STEP * STEP
+        if at < end and whole >= WIDTH:
+            yield kept.part(0, whole)
+            kept, first = kept.part(whole - WIDTH + STEP, kept.count), False
+    if first or kept.count > WIDTH - STEP:
+        yield kept
+
+
 class Layout:
-    """Words padded to blocks of STEP per text; window i is the blocks i and i + 1 of one text."""
+    """Words padded to blocks of STEP per text; window i is SPAN blocks of one text, from block i on."""
 
     def __init__(self, per_row: np.ndarray):
-        self.blocks = np.maximum(2, -(-per_row // STEP))
+        self.span = WIDTH // STEP
+        self.blocks = np.maximum(self.span, -(-per_row // STEP))
+        self.windows = self.blocks - self.span + 1
         self.base = np.cumsum(self.blocks) - self.blocks
         self.total = int(self.blocks.sum())
         run, place = spread(per_row)
@@ -90,7 +128,8 @@ class Layout:
         self.mask = np.zeros(self.total * STEP, np.float32)
         self.mask[self.slot] = 1
         self.row = np.repeat(np.arange(len(per_row)), self.blocks)
-        self.valid = self.row[:-1] == self.row[1:]
+        last = self.total - self.span + 1
+        self.valid = self.row[:last] == self.row[self.span - 1:]
 
 
 def _sigmoid(x):
@@ -148,13 +187,45 @@ class Network:
         context = (weight[:, None, :] @ states)[:, 0]
         return states, weight, context, context @ self.p["w"] + self.p["b"][0]
 
+    def _side(self, gates, mask, last, u, nb, v, w, turn, energy, value):
+        """One direction over all windows, a window per column; adds what its states give to energies and values."""
+        half = np.concatenate([np.full(2 * HIDDEN, 0.5, np.float32), np.ones(HIDDEN, np.float32)])[:, None]
+        recurrent, ends, nb = np.ascontiguousarray(u.T) * half, np.stack([v, w]), nb[:, None]
+        h = np.zeros((HIDDEN, last), np.float32)
+        for t in turn:
+            at = slice(t // STEP, t // STEP + last)
+            a, hu = gates[t % STEP][:, at], recurrent @ h
+            zr, n = hu[:2 * HIDDEN], hu[2 * HIDDEN:]
+            zr += a[:2 * HIDDEN]
+            np.tanh(zr, out=zr)
+            zr *= np.float32(0.5)
+            zr += np.float32(0.5)
+            n += nb
+            n *= zr[HIDDEN:]
+            n += a[2 * HIDDEN:]
+            np.tanh(n, out=n)
+            h -= n
+            h *= zr[:HIDDEN]
+            h += n
+            h *= mask[t % STEP][at]
+            found = ends @ h
+            energy[t] += found[0]
+            value[t] += found[1]
+
     def window_logits(self, gates: np.ndarray, layout: Layout) -> np.ndarray:
-        blocks, mask = gates.reshape(layout.total, STEP, -1), layout.mask.reshape(layout.total, STEP)
-        g = [(blocks[:-1] if t < STEP else blocks[1:])[:, t % STEP] for t in range(WIDTH)]
-        m = [(mask[:-1] if t < STEP else mask[1:])[:, t % STEP] for t in range(WIDTH)]
-        forward = self._pass([x[:, :3 * HIDDEN] for x in g], m, self.p["uf"], self.p["nf"])
-        backward = self._pass([x[:, 3 * HIDDEN:] for x in g[::-1]], m[::-1], self.p["ub"], self.p["nb"])
-        logits = self._pool(forward, backward, np.stack(m, 1))[3]
+        """The same as `_pass` and `_pool`, with features as rows and without keeping states."""
+        last, h = layout.total - layout.span + 1, HIDDEN
+        half = np.tile(np.concatenate([np.full(2 * h, 0.5, np.float32), np.ones(h, np.float32)]), 2)
+        by_step = np.ascontiguousarray((gates * half).reshape(layout.total, STEP, 6 * h).transpose(1, 2, 0))
+        mask = np.ascontiguousarray(layout.mask.reshape(layout.total, STEP).T)
+        energy, value = np.zeros((WIDTH, last), np.float32), np.zeros((WIDTH, last), np.float32)
+        v, w = self.p["v"], self.p["w"]
+        self._side(by_step[:, :3 * h], mask, last, self.p["uf"], self.p["nf"], v[:h], w[:h], range(WIDTH), energy, value)
+        self._side(by_step[:, 3 * h:], mask, last, self.p["ub"], self.p["nb"], v[h:], w[h:], range(WIDTH - 1, -1, -1), energy, value)
+        on = np.stack([mask[t % STEP][t // STEP:t // STEP + last] for t in range(WIDTH)])
+        energy = np.where(on > 0, energy, np.float32(-1e9))
+        energy = np.exp(energy - energy.max(axis=0)) * on
+        logits = (energy * value).sum(axis=0) / np.maximum(energy.sum(axis=0), np.float32(1e-9)) + self.p["b"][0]
         return np.where(layout.valid, logits, np.float32(-np.inf))
 
     def gates(self, words: Words, layout: Layout) -> np.ndarray:
@@ -168,6 +239,10 @@ class Network:
         layout = Layout(words.per_row)
         return self.window_logits(self.gates(words, layout), layout), layout
 
+    def best_window(self, words: "Words") -> float:
+        layout = Layout(words.per_row)
+        return float(self.window_logits(self.gates(words, layout), layout).max())
+
     def text_logits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         logits, layout = self.text_windows(data, offsets)
         return np.maximum.reduceat(logits, layout.base)
@@ -178,21 +253,10 @@ class Network:
         out = np.empty(len(offsets) - 1, np.float64)
         for i, j in row_blocks(offsets, PIECE):
             begin, end = int(offsets[i]), int(offsets[j])
-            if end - begin <= PIECE + OVERLAP or j - i > 1:
+            if j - i == 1 and end - begin > PIECE:
+                out[i] = max(map(self.best_window, word_spans(data[begin:end])))
+            else:
                 out[i:j] = self.text_logits(data[begin:end], offsets[i:j + 1] - begin)
-                continue
-            best, at = -np.inf, begin
-            while True:
-                stop = min(end, at + PIECE)
-                while stop < end and _INSIDE[data[stop]] and stop - at < 2 * PIECE:
-                    stop += 1
-                best = max(best, self.text_logits(data[at:stop], np.array([0, stop - at]))[0])
-                if stop == end:
-                    break
-                at = stop - OVERLAP
-                while _INSIDE[data[at]] and at < stop:
-                    at += 1
-            out[i] = best
         return 1 / (1 + np.exp(-out))
 
     # --- training ------------------------------------------------------------------
@@ -274,7 +338,7 @@ def train(texts: list[str], labels: list[int], vocabulary=VOCABULARY, random_rou
     word_at = np.full(layout.total * STEP, -1, np.int64)
     word_at[layout.slot] = np.arange(words.count)
     labels = np.asarray(labels, np.float32)
-    windows = np.flatnonzero(np.append(layout.valid, False))
+    windows = np.flatnonzero(layout.valid)
     adam = _Adam(net.p, rate)
     for epoch in range(random_rounds + rounds):
         if epoch < random_rounds:
@@ -285,12 +349,12 @@ def train(texts: list[str], labels: list[int], vocabulary=VOCABULARY, random_rou
             chosen = order[turn][nth < 4]
         else:
             logits = np.concatenate([
-                np.append(net.text_windows(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])[0], -np.inf)
+                np.append(net.text_windows(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])[0], [-np.inf] * (layout.span - 1))
                 for i, j in row_blocks(offsets, PIECE)])
-            best = np.array([b + int(logits[b:b + n - 1].argmax()) for b, n in zip(layout.base, layout.blocks)])
-            second = best[layout.blocks > 2]
+            best = np.array([b + int(logits[b:b + n].argmax()) for b, n in zip(layout.base, layout.windows)])
+            second = best[layout.windows > 1]
             chosen = np.concatenate([best, np.clip(second + rng.choice([-1, 1], len(second)), layout.base[layout.row[second]],
-                                                   (layout.base + layout.blocks - 2)[layout.row[second]])[labels[layout.row[second]] == 0]])
+                                                   (layout.base + layout.windows - 1)[layout.row[second]])[labels[layout.row[second]] == 0]])
         adam.rate = rate if epoch < random_rounds else rate * (random_rounds + rounds - epoch) / rounds
         for part in np.array_split(rng.permutation(chosen), max(1, len(chosen) // batch)):
             slots = word_at[part[:, None] * STEP + np.arange(WIDTH)]
