@@ -7,10 +7,11 @@ their words fit the budget, so every source reaches its target at about time 1.
 Both running sums (inside a source, and over all copies) are taken in two steps: sums per hash or time range,
 then rows inside one range, so no task sees a whole source. The number of ranges follows the rows.
 
-Defined results: NULL text has no words; NULL is a source of its own, last in order; rows that agree in id,
-source and size are one unit and are taken together; documents without words are never taken; a source
-without words has target 0; an empty frame gives an empty frame. Only narrow rows (id, source, size) are
-shuffled and stored.
+Defined results: NULL text has no words; NULL is a source of its own, last in order; rows that agree in id, source and
+size (also all rows without an id) are numbered, hashed CHUNK at a time, and queued one after the other, so they spread
+over the queue and each is taken as often as it fits; which of them is taken once more is not defined. Documents without
+words are never taken; a source without words has target 0; other columns, whatever their names, are carried along; an
+empty frame gives an empty frame. Only narrow rows (id, source, size) are shuffled and stored.
 """
 
 import math
@@ -25,6 +26,8 @@ from wardlog.session import join_side, materialize
 WEIGHTS = (5, 2, 1)  # by the source's place in code point order, repeating
 PASSES = 3  # a document is taken so many times at most
 SEED = "mix"
+CHUNK = 64  # rows of equal id, source and size that share a hash
+NUMBER_BUCKETS = 4096
 RANGE_ROWS = 2_000  # rows of a hash or time range, as long as there are no more than MOST_RANGES
 MOST_RANGES = 65_536
 LAST_TIME = 8  # later finish times share one range
@@ -62,90 +65,130 @@ def _ranges(rows: int) -> int:
 
 
 
+def _queue(df: DataFrame, id, text, source, seed) -> DataFrame:
+    """Rows that agree in id, source and size, CHUNK at a time: id, source, size, chunk, repeats (rows of it), hash."""
+    units = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"))
+    chunks = units.groupBy("id", "source", "size").agg(F.count(F.lit(1)).alias("rows")).withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col("rows") - 1, F.lit(CHUNK).cast("long")))))
+    name = F.concat(F.lit(seed), F.when(F.col("chunk") > 0, F.col("chunk").cast("string")).otherwise(""),
+                    F.coalesce(F.concat(F.lit(":"), F.col("id").cast("string")), F.lit("/")))
+    return chunks.select("id", "source", "size", "chunk", F.least(F.lit(CHUNK), F.col("rows") - F.col("chunk") * CHUNK).alias("repeats"), F.md5(name).alias("h"))
+
+
+ORDER = ("h", "size", "chunk")  # of the chunks of a source
+
+
 def mix_sources(df: DataFrame, id="doc_id", text="text", source="source", weights=WEIGHTS, passes=PASSES,
                 seed=SEED) -> DataFrame:
-    """One row per unit: id, source, size, repeats (rows of the unit), source_size, target, copies."""
-    spark = df.sparkSession
-    units = materialize(
-        df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"))
-        .groupBy("id", "source", "size").agg(F.count(F.lit(1)).alias("repeats")))
-    n_units = units.count()
-    ranges = _ranges(n_units)
+    """One row per row of df: id, source, size, source_size, target, copies. Rows that agree in id, source and size
+    differ by one copy at most in each pass."""
+    chunks = materialize(_queue(df, id, text, source, seed))
+    n_chunks = chunks.count()
+    ranges = _ranges(n_chunks)
     digits = F.conv(F.substring("h", 1, 4), 16, 10).cast("long")
-    targets = materialize(source_targets(units, "source", weights, passes))
+    targets = materialize(source_targets(chunks, "source", weights, passes))
     side = join_side(targets)
-    hashed = units.withColumn("h", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("null")))))
-    placed = hashed.join(
+    placed = chunks.join(
         side.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left"
     ).drop("of").withColumn("part", F.floor(digits * ranges / 65_536))
 
-    # cumulative words inside each source, by hash range and then by row
+    # words before each chunk in its source, by hash range and then by row
     words = F.col("size") * F.col("repeats")
     sums = placed.groupBy("place", "part").agg(F.sum(words).alias("words"))
     earlier = W.partitionBy("place").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     offsets = sums.select("place", "part", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
-    inside = W.partitionBy("place", "part").orderBy("h", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = W.partitionBy("place", "part").orderBy(*ORDER).rowsBetween(W.unboundedPreceding, W.currentRow)
     queued = materialize(
-        placed.withColumn("cumulative", F.sum(words).over(inside)).join(offsets, ["place", "part"])
-        .withColumn("cumulative", F.col("cumulative") + F.col("offset")).drop("offset", "part"))
+        placed.withColumn("before", F.sum(words).over(inside) - words).join(offsets, ["place", "part"])
+        .withColumn("before", F.col("before") + F.col("offset")).drop("offset", "part"))
 
-    def finish(turn) -> Column:
-        return F.try_divide((F.col("source_size") * turn + F.col("cumulative")).cast("double"), F.col("target"))
+    def finish(turn, number) -> Column:
+        done = F.col("source_size") * turn + F.col("before") + F.col("size") * (number + 1)
+        return F.try_divide(done.cast("double"), F.col("target"))
 
-    # the time range in which the budget is used up, then the copy inside it
-    copies = queued.filter("size > 0").select(
-        "*", F.explode(F.array(*[F.struct(F.lit(k).alias("pass"), finish(k).alias("finish")) for k in range(passes)])).alias("c")
-    ).select("place", "h", "size", "repeats", "c.pass", "c.finish")
+    def key(turn, number) -> list[Column]:
+        """What orders copies: time, then the place of the source, the chunk, the row in it, and the pass."""
+        return [finish(turn, number).alias("finish"), F.col("place"), *map(F.col, ORDER), number.alias("number"), F.lit(turn).alias("pass")]
+
+    numbers = F.sequence(F.lit(0).cast("long"), F.col("repeats") - 1)
+    each = F.flatten(F.transform(numbers, lambda n: F.array(*[F.struct(*key(k, n)) for k in range(passes)])))
+    copies = queued.filter("size > 0").select(F.explode(each).alias("c")).select("c.*")
     copies = copies.withColumn("span", F.least(F.floor(F.col("finish") * ranges), F.lit(LAST_TIME * ranges)))
-    spans = copies.groupBy("span").agg(F.sum(F.col("size") * F.col("repeats")).alias("words"))
+    spans = copies.groupBy("span").agg(F.sum("size").alias("words"))
     running = spans.withColumn("upto", F.sum("words").over(W.orderBy("span").rowsBetween(W.unboundedPreceding, 0)))
     budget = (targets.agg(F.max("budget")).first()[0]) or 0
     cut_span = running.filter(F.col("upto") > budget).orderBy("span").first()
     first_left = None
     if cut_span is not None:
-        inside = copies.filter(F.col("span") == cut_span["span"])
-        upto = F.sum(F.col("size") * F.col("repeats")).over(
-            W.orderBy("finish", "place", "h", "size", "pass").rowsBetween(W.unboundedPreceding, 0))
-        first_left = inside.withColumn("upto", upto + (cut_span["upto"] - cut_span["words"])).filter(
-            F.col("upto") > budget).orderBy("upto").first()
+        upto = F.sum("size").over(W.orderBy("finish", "place", *ORDER, "number", "pass").rowsBetween(W.unboundedPreceding, 0))
+        first_left = copies.filter(F.col("span") == cut_span["span"]).withColumn(
+            "upto", upto + (cut_span["upto"] - cut_span["words"])).filter(F.col("upto") > budget).orderBy("upto").first()
 
-    def taken(turn) -> Column:
+    def taken(turn, number) -> Column:
         if first_left is None:
             return F.lit(True)
         at = first_left
-        limit = F.struct(F.lit(at["finish"]), F.lit(at["place"]), F.lit(at["h"]), F.lit(at["size"]).cast("long"), F.lit(at["pass"]))
-        return F.struct(finish(turn), "place", "h", "size", F.lit(turn)) < limit
+        limit = F.struct(F.lit(at["finish"]), F.lit(at["place"]), F.lit(at["h"]), *[F.lit(at[c]).cast("long") for c in ("size", "chunk", "number")], F.lit(at["pass"]))
+        return F.struct(*key(turn, number)) < limit
+
+    def count(number) -> Column:
+        return F.when(F.col("size") > 0, sum((F.when(taken(k, number), 1).otherwise(0) for k in range(passes)), F.lit(0))).otherwise(0)
 
-    count = sum((F.when(taken(k), 1).otherwise(0) for k in range(passes)), F.lit(0))
-    return queued.select(
-        "id", "source", "size", "repeats", "source_size", "target",
-        F.when(F.col("size") > 0, count).otherwise(0).alias("copies"))
+    return queued.select("id", "source", "size", "source_size", "target", F.explode(F.transform(numbers, count)).alias("copies"))
 
 
-def mixed_documents(df: DataFrame, id="doc_id", text="text", source="source", **options) -> DataFrame:
+def mixed_documents(df: DataFrame, id="doc_id", text="text", source="source", passes=PASSES, **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with all columns of df."""
-    units = mix_sources(df, id, text, source, **options).filter("copies > 0").select(
-        F.col("id").alias("mix id"), F.col("source").alias("mix source"), F.col("size").alias("mix size"), F.col("copies").alias("mix copies"))
-    joined = df.withColumn("mix words", word_count(F.col(f"`{text}`"))).join(
-        units, F.col(f"`{id}`").eqNullSafe(F.col("mix id")) & F.col(f"`{source}`").eqNullSafe(F.col("mix source"))
-        & (F.col("mix words") == F.col("mix size")))
-    every = joined.withColumn("mix copy", F.explode(F.sequence(F.lit(1), F.col("mix copies"))))
-    return every.select(*[F.col(f"`{c}`") for c in df.columns])
+    spark = df.sparkSession
+    units = mix_sources(df, id, text, source, passes=passes, **options).groupBy("id", "source", "size").agg(
+        *[F.count_if(F.col("copies") >= k).alias(f"with_{k}") for k in range(1, passes + 1)], F.count(F.lit(1)).alias("rows"))
+    units = materialize(units.filter("with_1 > 0"))
+    split = F.lit(False)  # whether rows of the unit are taken differently often
+    for k in range(1, passes + 1):
+        split |= F.col(f"with_{k}").between(1, F.col("rows") - 1)
+
+    def joined(some):
+        rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{id}`").alias("own_id"),
+                         F.col(f"`{source}`").alias("own_source"), word_count(F.col(f"`{text}`")).alias("own_size"))
+        return rows.join(some, F.col("own_id").eqNullSafe(F.col("id")) & F.col("own_source").eqNullSafe(F.col("source")) & (F.col("own_size") == F.col("size")))
+
+    def repeated(rows, number):
+        """Rows as often as their number in the unit says: row n is taken k times if more than n rows are taken k times."""
+        times = sum((F.when(number < F.col(f"with_{k}"), 1).otherwise(0) for k in range(1, passes + 1)), F.lit(0))
+        return rows.withColumn("times", times).filter("times > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
+
+    whole = repeated(joined(units.filter(~split)), F.lit(0))
+    if units.filter(split).isEmpty():
+        return whole
+    # rows of the other units are numbered in two steps, by bucket and inside it
+    rows = materialize(joined(units.filter(split)).withColumn("at", F.monotonically_increasing_id()))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("at"), F.lit(NUMBER_BUCKETS)))
+    unit = ["id", "source", "size"]
+    counts = rows.groupBy(*unit, "bucket").agg(F.count(F.lit(1)).alias("held"))
+    before = W.partitionBy(*unit).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.select(*[F.col(c).alias(f"of_{c}") for c in (*unit, "bucket")], F.coalesce(F.sum("held").over(before), F.lit(0)).alias("earlier"))
+    same = (F.col("id").eqNullSafe(F.col("of_id")) & F.col("source").eqNullSafe(F.col("of_source")) & (F.col("size") == F.col("of_size"))
+            & (F.col("bucket") == F.col("of_bucket")))
+    numbered = rows.join(counts, same).withColumn("number", F.col("earlier") + F.row_number().over(W.partitionBy(*unit, "bucket").orderBy("at")) - 1)
+    return whole.union(repeated(numbered, F.col("number")))
 
 
 def op2_mix_sources(spark, sf_dir):
     mix = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return mix.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))).select(
-        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source")
+    return mix.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source")
 
 
 SQL = f"""
-WITH units AS (
-    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size, count(*) AS repeats
-    FROM documents GROUP BY ALL
+WITH counted AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size FROM documents
+),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id, source, size) - 1 AS number FROM counted),
+units AS (
+    SELECT *, number // {CHUNK} AS chunk, md5('{SEED}' || CASE WHEN number >= {CHUNK} THEN CAST(number // {CHUNK} AS VARCHAR) ELSE '' END
+        || coalesce(':' || CAST(doc_id AS VARCHAR), '/')) AS h FROM numbered
 ),
 sizes AS (
-    SELECT source, CAST(sum(size * repeats) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place
     FROM units GROUP BY source
 ),
 weighted AS (
@@ -169,8 +212,7 @@ targets AS (
     FROM capping
 ),
 queued AS (
-    SELECT u.*, t.place, t.source_size, t.budget, t.target, md5('{SEED}:' || coalesce(CAST(u.doc_id AS VARCHAR), 'null')) AS h,
-        CAST(sum(u.size * u.repeats) OVER (PARTITION BY t.place ORDER BY md5('{SEED}:' || coalesce(CAST(u.doc_id AS VARCHAR), 'null')), u.size
+    SELECT u.*, t.place, t.source_size, t.budget, t.target, CAST(sum(u.size) OVER (PARTITION BY t.place ORDER BY u.h, u.size, u.chunk, u.number
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative
     FROM units u JOIN targets t ON u.source IS NOT DISTINCT FROM t.source
 ),
@@ -179,11 +221,12 @@ copies AS (
     FROM queued q, (SELECT unnest([{", ".join(map(str, range(PASSES)))}]) AS pass) p WHERE size > 0
 ),
 taking AS (
-    SELECT doc_id, source, size, sum(size * repeats) OVER (ORDER BY finish, place, h, size, pass ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= budget AS took
+    SELECT doc_id, source, size, number, sum(size) OVER (
+        ORDER BY finish, place, h, size, chunk, number, pass ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= budget AS took
     FROM copies
 ),
-counted AS (SELECT doc_id, source, size, count(*) AS n FROM taking WHERE took GROUP BY ALL)
+times AS (SELECT doc_id, source, size, number, count(*) AS n FROM taking WHERE took GROUP BY ALL)
 SELECT q.doc_id, q.size, q.source_size, q.target, CAST(q.size * coalesce(c.n, 0) AS BIGINT) AS taken, q.source
-FROM (SELECT *, unnest(generate_series(1, repeats)) AS row FROM queued) q
-LEFT JOIN counted c ON q.doc_id IS NOT DISTINCT FROM c.doc_id AND q.source IS NOT DISTINCT FROM c.source AND q.size = c.size
+FROM queued q LEFT JOIN times c ON q.doc_id IS NOT DISTINCT FROM c.doc_id AND q.source IS NOT DISTINCT FROM c.source
+    AND q.size = c.size AND q.number = c.number
 """
