@@ -146,6 +146,44 @@ def test_exact_medians(spark, size):
     assert got.get("a") == median(d[0] for d in data) and got.get("b") == median(d[1] for d in data)
 
 
+@pytest.mark.parametrize("kept", [1, 7, 200])
+def test_medians_in_rounds(spark, monkeypatch, kept):
+    """Brackets narrow to a few values, also where one value holds most rows or stands beside the middle."""
+    monkeypatch.setattr(SC, "KEPT", kept)
+    monkeypatch.setattr(SC, "ACCURACY", 20)
+    rnd = random.Random(kept)
+    columns = {
+        "heavy": [0.0] * 3000 + [rnd.random() for _ in range(1000)], "beside": [1.0] * 2000 + [rnd.uniform(2, 3) for _ in range(2000)],
+        "even": [rnd.gauss(0, 1e6) for _ in range(4000)], "few": [float(n % 3) if n % 2 else None for n in range(4000)], "none": [None] * 4000,
+    }
+    for values in columns.values():
+        rnd.shuffle(values)
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns)).repartition(5)
+    got = {r["feature"]: r["median"] for r in SC.exact_medians(df, list(columns)).collect()}
+    for name, values in columns.items():
+        v = sorted(x for x in values if x is not None)
+        assert got.get(name) == (None if not v else (v[(len(v) - 1) // 2] + v[len(v) // 2]) / 2), name
+    plan = SC.exact_medians(df, list(columns))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
+@pytest.mark.parametrize("ranges", [None, 1, 13])
+def test_running_totals_with_a_dominant_class(spark, ranges):
+    from wardlog.operators.ranks import running_totals
+
+    data = [("most", float(n * 7919 % 9973), n % 5, 1) for n in range(3000)] + [("few", float(n), 2, n) for n in range(9)]
+    df = spark.createDataFrame(data, "c string, s double, a long, b long").repartition(4)
+    found = running_totals(df, "c", "s", ["a", "b"], ranges).collect()
+    assert len(found) == len(data)
+    for name in ("most", "few"):
+        rows = sorted((r for r in found if r["c"] == name), key=lambda r: -r["s"])
+        a = b = 0
+        for r in rows:
+            a, b = a + r["a"], b + r["b"]
+            assert (r["cum_a"], r["cum_b"]) == (a, b)
+        assert {(r["total_a"], r["total_b"]) for r in rows} == {(a, b)}
+
+
 def test_scaling_is_by_population(spark):
     df = spark.createDataFrame([(1.0, 5), (2.0, 5), (4.0, 5)], "a double, b int")
     got = [r["a"] for r in SC.standard_scale(df, ["a", "b"]).collect()]

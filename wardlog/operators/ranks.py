@@ -14,7 +14,7 @@ from wardlog.functions import hash_order
 from wardlog.session import join_side, materialize
 
 BUCKET_DIGITS = 4  # hex digits of the hash: 65,536 buckets of equal expected size
-BUCKET_ROWS, MOST_BUCKETS = 20_000, 1024  # of running totals
+RANGE_ROWS = 20_000  # of running totals
 
 
 def with_hash(df: DataFrame, id_col: str, seed, by=None) -> DataFrame:
@@ -98,43 +98,29 @@ def dense_index(df: DataFrame, id_col: str, seed) -> DataFrame:
     )
 
 
-def _position(value: Column, borders: list, low: int, high: int) -> Column:
-    """Number of borders that are <= value: a binary search written as nested conditions."""
-    if low == high:
-        return F.lit(low)
-    middle = (low + high) // 2
-    return F.when(value < borders[middle], _position(value, borders, low, middle)).otherwise(
-        _position(value, borders, middle + 1, high)
-    )
-
-
-def running_totals(df: DataFrame, by: str, order_col: str, sums: list[str], buckets=None) -> DataFrame:
+def running_totals(df: DataFrame, by: str, order_col: str, sums: list[str], ranges=None) -> DataFrame:
     """Running sums of `sums` per `by`, over descending `order_col`. One row per (by, order) is expected.
 
-    Bucket borders are approximate quantiles (a sketch of fixed size, read once to the driver:
-    `buckets` numbers). Any borders give the same result; good ones give even tasks. Without a number, there is
-    a bucket for every BUCKET_ROWS rows, up to MOST_BUCKETS. Evaluates `df` several times: pass a stored table.
+    Rows are dealt into ranges of (by, order), one for every RANGE_ROWS rows, so a class that holds most rows has most
+    ranges. One sum per range and class gives each range its offset; the window for those holds one row per range.
+    The dealt rows are stored, since another deal could draw other borders. Evaluates `df` twice: pass a stored table.
     """
-    if buckets is None:
-        buckets = max(2, min(MOST_BUCKETS, df.count() // BUCKET_ROWS + 1))
-    borders = sorted(set(
-        df.agg(F.percentile_approx(order_col, [i / buckets for i in range(1, buckets)], 10_000)).first()[0] or []
-    ))
-    value = F.col(order_col)
-    bucketed = df.withColumn("_bucket", -_position(value, borders, 0, len(borders)))
-    totals = bucketed.groupBy(by, "_bucket").agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
-    before = W.partitionBy(by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    if ranges is None:
+        ranges = df.count() // RANGE_ROWS + 1
+    dealt = materialize(df.repartitionByRange(ranges, F.col(by), F.desc(order_col)).withColumn("_range", F.spark_partition_id()))
+    totals = dealt.groupBy(by, "_range").agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
+    before = W.partitionBy(by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     everything = W.partitionBy(by)
-    offsets = totals.select(
-        by, "_bucket",
+    offsets = materialize(totals.select(
+        by, "_range",
         *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_before_{c}") for c in sums],
         *[F.sum(f"_sum_{c}").over(everything).alias(f"total_{c}") for c in sums],
-    )
-    local = W.partitionBy(by, "_bucket").orderBy(F.desc(order_col)).rowsBetween(W.unboundedPreceding, 0)
+    ))
+    local = W.partitionBy(by, "_range").orderBy(F.desc(order_col)).rowsBetween(W.unboundedPreceding, 0)
     return (
-        bucketed.join(offsets, [by, "_bucket"])
+        dealt.join(join_side(offsets), [by, "_range"])
         .withColumns({f"cum_{c}": F.col(f"_before_{c}") + F.sum(c).over(local) for c in sums})
-        .drop("_bucket", *[f"_before_{c}" for c in sums])
+        .drop("_range", *[f"_before_{c}" for c in sums])
     )
 
 

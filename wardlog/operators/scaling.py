@@ -1,15 +1,13 @@
 """Exact medians and population scaling, as expressions that also fit into an ML pipeline."""
 
-from functools import reduce
-
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardlog import schema as S
 
 ACCURACY = 10_000
+KEPT = 5_000  # values of one bracket that are sorted in one place
 
 
 def numeric_features(columns) -> list[str]:
@@ -17,46 +15,69 @@ def numeric_features(columns) -> list[str]:
     return [c for c in columns if c not in S.IDENTIFIERS]
 
 
-def exact_medians(df: DataFrame, columns) -> DataFrame:
-    """(feature, median): the middle value, or the mean of the two middle values.
+def exact_values(df: DataFrame, wanted: list[tuple[str, int]], counts: dict) -> dict:
+    """{(column, rank): value}: the value at a rank from 1 among a column's non-NULL values.
 
-    A sketch gives a bracket that is certain to hold the middle (its rank error is below
-    n / accuracy); only the values inside it are counted one by one. The exact built-in keeps
-    every different value of a column in one buffer.
+    Each wanted value has a bracket, open at both ends. A round reads the rows once for quantiles of the values inside
+    the brackets, which narrow them (the sketch's rank error is below 1 / ACCURACY of what is inside), and once to count what
+    lies below and at the new ends. A bracket keeps a thousandth of its rows or less, so a few rounds lead to KEPT rows,
+    which are then sorted. A value that stands in any number of rows ends the search as soon as it is an end.
     """
-    margin = 2.0 / ACCURACY
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    first = doubles.agg(
-        *[F.count(c).alias(f"n_{c}") for c in columns],
-        *[F.percentile_approx(c, [0.5 - margin, 0.5 + margin], ACCURACY).alias(f"q_{c}") for c in columns],
-    ).first()
-    known = [c for c in columns if first[f"n_{c}"]]
-    if not known:
-        return df.sparkSession.createDataFrame([], "feature string, median double")
-    long = doubles.select(*known).unpivot([], known, "feature", "value").where(F.col("value").isNotNull())
-
-    def per_feature(value_of):
-        return reduce(
-            lambda rest, c: F.when(F.col("feature") == c, F.lit(value_of(c))).otherwise(rest), known, F.lit(None)
-        )
-
-    # Values below the bracket count as one entry, values above it are not needed.
-    low, high = per_feature(lambda c: first[f"q_{c}"][0]), per_feature(lambda c: first[f"q_{c}"][1])
-    counted = (
-        long.where(F.col("value") <= high)
-        .groupBy("feature", F.when(F.col("value") >= low, F.col("value")).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    upto = W.partitionBy("feature").orderBy(F.asc_nulls_first("value")).rowsBetween(W.unboundedPreceding, 0)
-    n = per_feature(lambda c: first[f"n_{c}"])
-    ranked = counted.withColumn("last", F.sum("n").over(upto))
-
-    def at(rank):
-        return F.max(F.when((F.col("last") - F.col("n") < rank) & (rank <= F.col("last")), F.col("value")))
-
-    return ranked.withColumn("total", n).groupBy("feature").agg(
-        ((at(F.floor((F.col("total") + 1) / 2)) + at(F.floor(F.col("total") / 2) + 1)) / 2).alias("median")
-    )
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in {c for c, _ in wanted}])
+    found = {}
+    brackets = {w: (None, None, 0, counts[w[0]]) for w in wanted}  # ends, rows up to the lower one, rows inside
+
+    def inside(c, low, high):
+        value = F.col(c)
+        held = value.isNotNull()
+        return held & (value > F.lit(low) if low is not None else F.lit(True)) & (value < F.lit(high) if high is not None else F.lit(True))
+
+    while any(b[3] > KEPT for b in brackets.values()):
+        large = {w: b for w, b in brackets.items() if b[3] > KEPT}
+
+        def near(w, low, high, below, rows):
+            share = (w[1] - below) / rows
+            ends = [max(0.0, share - 2 / ACCURACY), min(1.0, share + 2 / ACCURACY)]
+            return F.percentile_approx(F.when(inside(w[0], low, high), F.col(w[0])), ends, ACCURACY)
+
+        ends = doubles.agg(*[near(w, *b).alias(f"q{i}") for i, (w, b) in enumerate(large.items())]).first()
+
+        def counted(i, c, name, condition):
+            return F.count_if(condition).alias(f"{name}{i}")
+
+        tallies = doubles.agg(*[
+            counted(i, w[0], name, condition) for i, w in enumerate(large) for low, high in [ends[f"q{i}"]]
+            for name, condition in (("a", F.col(w[0]) < F.lit(low)), ("b", F.col(w[0]) <= F.lit(low)),
+                                    ("c", F.col(w[0]) < F.lit(high)), ("d", F.col(w[0]) <= F.lit(high)))
+        ]).first()
+        for i, (w, (low, high, below, _)) in enumerate(large.items()):
+            new_low, new_high = ends[f"q{i}"]
+            under, upto, before_high, upto_high = (tallies[f"{n}{i}"] for n in "abcd")
+            if under < w[1] <= upto or before_high < w[1] <= upto_high:
+                found[w] = new_low if w[1] <= upto and under < w[1] else new_high
+                del brackets[w]
+            elif upto < w[1] <= before_high:
+                brackets[w] = (new_low, new_high, upto, before_high - upto)
+            elif w[1] <= under:  # outside the sketch's error; the other side is as good an end
+                brackets[w] = (low, new_low, below, under - below)
+            else:
+                brackets[w] = (new_high, high, upto_high, below + brackets[w][3] - upto_high)
+    if brackets:
+        row = doubles.agg(*[
+            F.element_at(F.sort_array(F.collect_list(F.when(inside(w[0], low, high), F.col(w[0])))), w[1] - below).alias(f"v{i}")
+            for i, (w, (low, high, below, _)) in enumerate(brackets.items())
+        ]).first()
+        found |= {w: row[f"v{i}"] for i, w in enumerate(brackets)}
+    return found
+
+
+def exact_medians(df: DataFrame, columns) -> DataFrame:
+    """(feature, median): the middle value, or the mean of the two middle values. Columns without values have no row."""
+    counts = df.agg(*[F.count(F.col(c).cast("double")).alias(c) for c in columns]).first().asDict()
+    middle = {c: ((n + 1) // 2, n // 2 + 1) for c, n in counts.items() if n}
+    found = exact_values(df, sorted({(c, rank) for c, ranks in middle.items() for rank in ranks}), counts)
+    rows = [(c, (found[c, a] + found[c, b]) / 2) for c, (a, b) in middle.items()]
+    return df.sparkSession.createDataFrame(rows, "feature string, median double")
 
 
 def impute(df: DataFrame, medians: dict) -> DataFrame:

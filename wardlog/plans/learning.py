@@ -14,8 +14,6 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
 )
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +22,7 @@ from pyspark.sql import types as T
 
 from wardlog.functions import level_code, list_length, number_or_zero
 from wardlog.operators import metrics as M
+from wardlog.operators.clusters import fit_all, silhouettes
 from wardlog.operators.sampling import kfold
 from wardlog.operators.scaling import collect_moments, exact_medians, numeric_features, prepare_stage
 from wardlog.session import at_once, materialize
@@ -327,24 +326,13 @@ def importance_table(spark, columns, model: Fitted) -> DataFrame:
 # --- clustering ----------------------------------------------------------------
 
 def fit_kmeans(ready: DataFrame, ks, starts=3) -> dict:
-    """{k: model}: of several starting points the fit with the lowest inertia."""
-    ks = list(ks)
-
-    def fit(k, seed):
-        return KMeans(k=k, seed=seed, maxIter=300, featuresCol="features", predictionCol="cluster").fit(ready)
-
-    runs = [(k, SEED + i) for k in ks for i in range(starts)]
-    models = at_once([partial(fit, k, seed) for k, seed in runs], threads=6)
-    best = {}
-    for (k, _), model in zip(runs, models):
-        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-            best[k] = model
-    return best
+    """{k: model}: of several starting points the fit with the lowest inertia; all of them share every scan."""
+    return fit_all(ready, list(ks), starts, SEED)
 
 
 def inertia_table(models: dict) -> DataFrame:
     """(k, inertia)."""
-    rows = [(k, float(m.summary.trainingCost)) for k, m in models.items()]
+    rows = [(k, m.inertia) for k, m in models.items()]
     return SparkSession.active().createDataFrame(rows, "k int, inertia double")
 
 
@@ -354,15 +342,9 @@ def silhouette_range(ready: DataFrame, largest=6) -> range:
 
 
 def silhouette_table(ready: DataFrame, models: dict) -> DataFrame:
-    """(k, score): the mean silhouette under squared distances, whose cost is linear in the rows."""
-    evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
-
-    def score(k):
-        assigned = models[k].transform(ready)
-        several = assigned.select("cluster").distinct().count() > 1
-        return k, float(evaluator.evaluate(assigned)) if several else 0.0
-
-    return ready.sparkSession.createDataFrame(at_once([partial(score, k) for k in models]), "k int, score double")
+    """(k, score, error): the mean silhouette under plain distances, and its standard error where it is from a sample."""
+    rows = [(k, *found) for k, found in silhouettes(ready, models).items()]
+    return ready.sparkSession.createDataFrame(rows, "k int, score double, error double")
 
 
 def best_k(scores: DataFrame, default=2) -> int:
