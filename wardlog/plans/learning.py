@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from wardlog.functions import level_code, list_length, number_or_zero
 from wardlog.operators import metrics as M
+from wardlog.operators.boosting import BoostedTrees, fit_trees
 from wardlog.operators.clusters import fit_all, silhouettes
 from wardlog.operators.sampling import kfold
 from wardlog.operators.scaling import collect_moments, exact_medians, numeric_features, prepare_stage
@@ -127,6 +128,9 @@ class Fitted:
                 out = out.withColumn("_chance", chance).withColumn("_total", total).withColumn(
                     "probabilities", F.transform("_chance", lambda p: p / F.col("_total"))
                 )
+        elif self.options.get("joint_trees"):
+            best = F.array_position("probabilities", F.array_max("probabilities")).cast("int")
+            out = out.withColumn("prediction", F.element_at(F.array(*[F.lit(int(c)) for c in self.classes]), best))
         else:
             out = out.withColumn("probabilities", vector_to_array("probability"))
             out = out.withColumn("prediction", F.col("prediction").cast("int"))
@@ -177,14 +181,6 @@ def _kernel_stages(names, size: int, seed=SEED) -> list:
     ]
 
 
-def _binary(kind: str, rounds: int):
-    if kind == "gradient_boosting":
-        return GBTClassifier(maxIter=rounds, maxDepth=3, stepSize=0.1, seed=SEED)
-    if kind == "xgboost":
-        return GBTClassifier(maxIter=rounds, maxDepth=6, stepSize=0.3, seed=SEED)
-    raise ValueError(kind)
-
-
 def _one_vs_rest(estimator, train: DataFrame, classes, features="features") -> list:
     """One fitted binary model per class, each with its own output columns."""
     def fit(c):
@@ -222,9 +218,13 @@ def fit_classifier(name: str, train: DataFrame, columns, preparation=None, trees
             layers = [len(columns), 100, max(classes) + 1]
             model = MultilayerPerceptronClassifier(layers=layers, maxIter=iterations, seed=SEED).fit(ready)
             return Fitted(name, [*preparation, model], classes)
-        if name in ("gradient_boosting", "xgboost"):
-            models = _one_vs_rest(_binary(name, rounds), ready, classes)
+        if name == "gradient_boosting":
+            models = _one_vs_rest(GBTClassifier(maxIter=rounds, maxDepth=3, stepSize=0.1, seed=SEED), ready, classes)
             return Fitted(name, [*preparation, *models], classes, {"one_vs_rest": True})
+        if name == "xgboost":
+            places = F.array_position(F.array(*[F.lit(float(c)) for c in classes]), F.col("label")) - 1
+            trees, gains = fit_trees(ready.withColumn("label", places), len(classes), rounds)
+            return Fitted(name, [*preparation, BoostedTrees.of(trees, gains, len(classes))], classes, {"joint_trees": True})
         if name == "svm":
             return _fit_svm(preparation, train, columns, classes, n, kernel_size, svm_iterations)
     finally:
