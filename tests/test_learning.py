@@ -1,5 +1,7 @@
 """Tolerance checks of the learning plans on the test tables."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +82,37 @@ def test_silhouette_sweep_on_few_rows(spark):
     assert sweep.count() == 0 and len(found.centers) == 2
 
 
+def test_pairs_are_coupled(spark):
+    """Two classes: the chance of the pair. Three: agreeing pairs give back the distribution they come from."""
+    from pyspark.ml.linalg import Vectors
+
+    def margin(p):
+        return Vectors.dense(0.0, math.log(p / (1 - p)))
+
+    two = spark.createDataFrame([(margin(0.8),)], ["raw_3_7"])
+    prediction, chances = L.couple_pairs([3, 7], [[3, 7, 1.0, 0.0]])
+    row = two.select(prediction.alias("p"), chances.alias("c")).first()
+    assert row["p"] == 7 and row["c"] == pytest.approx([0.2, 0.8])
+    want = [0.2, 0.5, 0.3]
+    three = spark.createDataFrame([tuple(margin(want[b] / (want[a] + want[b])) for a, b in ((0, 1), (0, 2), (1, 2)))], ["raw_0_1", "raw_0_2", "raw_1_2"])
+    prediction, chances = L.couple_pairs([0, 1, 2], [[0, 1, 1.0, 0.0], [0, 2, 1.0, 0.0], [1, 2, 1.0, 0.0]])
+    row = three.select(prediction.alias("p"), chances.alias("c")).first()
+    assert row["p"] == 1 and row["c"] == pytest.approx(want)
+
+
+def test_chances_of_the_kernel_machine_on_rows_it_has_not_seen(spark, parts, tmp_path):
+    train, test = parts
+    model = L.fit_classifier("svm", train, S.SERVING_FEATURES, **EFFORT | {"kernel_size": 64})
+    scored = model.transform(test).select("label", "prediction", "probabilities")
+    rows = scored.collect()
+    assert all(abs(sum(r["probabilities"]) - 1) < 1e-9 and min(r["probabilities"]) >= 0 for r in rows)
+    for c in range(3):  # among all rows, the mean chance of a class is its share
+        assert abs(sum(r["probabilities"][c] for r in rows) - sum(r["label"] == c for r in rows)) < 0.05 * len(rows)
+    model.save(str(tmp_path / "svm"))
+    again = L.Fitted.load(str(tmp_path / "svm")).transform(test).select("label", "prediction", "probabilities").collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, again))
+
+
 def test_pca_is_centred(spark, parts):
     stats = L.pca_2d(parts[0], S.SERVING_FEATURES).agg(
         F.avg("pc1"), F.avg("pc2"), F.corr("pc1", "pc2"), F.variance("pc1") > F.variance("pc2")).first()

@@ -128,6 +128,8 @@ def step(vectors: DataFrame, models: dict) -> dict:
 def fit_all(ready: DataFrame, ks, starts=3, seed=42, features="features") -> dict:
     """{k: Centers}: of several starting points the fit with the lowest inertia. `ready` is read once per
     iteration: pass a stored table. Clusters that end without a row are left out."""
+    if not len(ks):
+        return {}
     vectors = _vectors(ready, features)
     sample = _sample(vectors, START_ROWS)
     if not len(sample):

@@ -6,7 +6,7 @@ model carries everything that scoring needs and runs without Python.
 
 import json
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 from pyspark.errors import AnalysisException, IllegalArgumentException
@@ -113,21 +113,21 @@ class Fitted:
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds prediction (int) and probabilities (array, one entry per class)."""
         out = apply_stages(self.stages, df)
-        if "platt" in out.columns:
-            out = out.withColumn("probabilities", vector_to_array("platt"))
-        if self.options.get("one_vs_rest"):
+        if self.options.get("pairs"):
+            prediction, probabilities = couple_pairs(self.classes, self.options["pairs"])
+            out = out.withColumns({"prediction": prediction, "probabilities": probabilities})
+        elif self.options.get("one_vs_rest"):
             margins = F.array(*[vector_to_array(f"raw_{c}")[1] for c in self.classes])
             out = out.withColumn("margins", margins)
             best = F.array_position("margins", F.array_max("margins")).cast("int")
             out = out.withColumn(
                 "prediction", F.element_at(F.array(*[F.lit(int(c)) for c in self.classes]), best)
             )
-            if "probabilities" not in out.columns:
-                chance = F.transform("margins", lambda m: 1.0 / (1.0 + F.exp(-2.0 * m)))
-                total = F.aggregate(chance, F.lit(0.0), lambda a, b: a + b)
-                out = out.withColumn("_chance", chance).withColumn("_total", total).withColumn(
-                    "probabilities", F.transform("_chance", lambda p: p / F.col("_total"))
-                )
+            chance = F.transform("margins", lambda m: 1.0 / (1.0 + F.exp(-2.0 * m)))
+            total = F.aggregate(chance, F.lit(0.0), lambda a, b: a + b)
+            out = out.withColumn("_chance", chance).withColumn("_total", total).withColumn(
+                "probabilities", F.transform("_chance", lambda p: p / F.col("_total"))
+            )
         elif self.options.get("joint_trees"):
             best = F.array_position("probabilities", F.array_max("probabilities")).cast("int")
             out = out.withColumn("prediction", F.element_at(F.array(*[F.lit(int(c)) for c in self.classes]), best))
@@ -232,23 +232,66 @@ def fit_classifier(name: str, train: DataFrame, columns, preparation=None, trees
     raise ValueError(name)
 
 
+SVM_FOLDS = 3
+
+
 def _fit_svm(preparation, train, columns, classes, n, kernel_size, iterations) -> Fitted:
-    """Linear SVM on kernel features, one class against the rest; Platt scaling on its margins."""
+    """Linear SVMs on kernel features, one for each pair of classes, and a logistic curve per pair.
+
+    The curve turns margins into chances. It is fitted to margins of rows that the SVM has not seen: each of SVM_FOLDS folds,
+    by a hash of the row's features, is measured by an SVM of the others.
+    """
     kernel = _kernel_stages([f"x_{c}" for c in columns], kernel_size)
-    ready = apply_stages([*preparation, *kernel], train).select("kernel", F.col("label").cast("double").alias("label"))
+    ready = apply_stages([*preparation, *kernel], train).select(
+        "kernel", F.col("label").cast("int").alias("label"), F.pmod(F.xxhash64(vector_to_array("features")), F.lit(SVM_FOLDS)).alias("fold"))
     ready.persist()
+    svm = LinearSVC(maxIter=iterations, regParam=1.0 / n, standardization=False, featuresCol="kernel", labelCol="_is")
+
+    def fit(a, b, fold=None):
+        rows = ready.where(F.col("label").isin(a, b)).withColumn("_is", (F.col("label") == b).cast("double"))
+        if fold is None:
+            return svm.copy().setRawPredictionCol(f"raw_{a}_{b}").setPredictionCol(f"pred_{a}_{b}").fit(rows)
+        known = rows.where(F.col("fold") != fold)
+        if known.select("_is").distinct().count() < 2:  # the fold holds all rows of a class
+            known = rows
+        margin = vector_to_array("rawPrediction")[1].alias("margin")
+        return svm.fit(known).transform(rows.where(F.col("fold") == fold)).select("_is", margin)
+
+    pairs = [(a, b) for i, a in enumerate(classes) for b in classes[i + 1:]]
     try:
-        svm = LinearSVC(maxIter=iterations, regParam=1.0 / n, standardization=False)
-        models = _one_vs_rest(svm, ready, classes, "kernel")
-        margin = VectorAssembler(inputCols=[f"raw_{c}" for c in classes], outputCol="margin")
-        platt = LogisticRegression(
-            family="multinomial", featuresCol="margin", probabilityCol="platt",
-            rawPredictionCol="platt_raw", predictionCol="platt_prediction",
-        )
-        fitted = platt.fit(apply_stages([*models, margin], ready).select("margin", "label"))
+        models = at_once([partial(fit, a, b) for a, b in pairs])
+        held_out = at_once([partial(fit, a, b, fold) for a, b in pairs for fold in range(SVM_FOLDS)])
+
+        def curve(i):
+            parts = held_out[i * SVM_FOLDS:(i + 1) * SVM_FOLDS]
+            rows = VectorAssembler(inputCols=["margin"], outputCol="x").transform(reduce(DataFrame.unionByName, parts))
+            found = LogisticRegression(featuresCol="x", labelCol="_is", regParam=1e-6, standardization=False).fit(rows)
+            return float(found.coefficients[0]), float(found.intercept)
+
+        curves = at_once([partial(curve, i) for i in range(len(pairs))])
     finally:
         ready.unpersist()
-    return Fitted("svm", [*preparation, *kernel, *models, margin, fitted], classes, {"one_vs_rest": True})
+    return Fitted("svm", [*preparation, *kernel, *models], classes, {"pairs": [[*p, *c] for p, c in zip(pairs, curves)]})
+
+
+def couple_pairs(classes, pairs):
+    """(prediction, probabilities) from columns raw_<a>_<b>: most votes, ties by probability.
+
+    Chances r of pairs give p(c) = 1 / (sum over others of 1 / r(c, other) - (classes - 2)), scaled to sum to 1
+    (Price, Knerr, Personnaz and Dreyfus, 1995).
+    """
+    chance, votes = {}, {c: [] for c in classes}
+    for a, b, slope, intercept in pairs:
+        margin = vector_to_array(f"raw_{a}_{b}")[1]
+        second = F.greatest(F.lit(1e-7), F.least(F.lit(1 - 1e-7), 1 / (1 + F.exp(-(margin * F.lit(slope) + F.lit(intercept))))))
+        chance[b, a], chance[a, b] = second, 1 - second
+        votes[b].append(F.when(margin > 0, 1).otherwise(0))
+        votes[a].append(F.when(margin > 0, 0).otherwise(1))
+    raw = F.array(*[1 / (sum((1 / chance[c, o] for o in classes if o != c), F.lit(0.0)) - (len(classes) - 2)) for c in classes])
+    probabilities = F.transform(raw, lambda p: p / F.aggregate(raw, F.lit(0.0), lambda s, v: s + v))
+    ranked = F.array(*[F.struct(sum(votes[c], F.lit(0)).alias("votes"), F.element_at(raw, i + 1).alias("p"), F.lit(-i).alias("place"), F.lit(int(c)).alias("class"))
+                       for i, c in enumerate(classes)])
+    return F.array_max(ranked)["class"], probabilities
 
 
 def class_scores(predictions: DataFrame, classes) -> DataFrame:
@@ -325,7 +368,7 @@ def importance_table(spark, columns, model: Fitted) -> DataFrame:
 
 # --- clustering ----------------------------------------------------------------
 
-def fit_kmeans(ready: DataFrame, ks, starts=3) -> dict:
+def fit_kmeans(ready: DataFrame, ks, starts=10) -> dict:
     """{k: model}: of several starting points the fit with the lowest inertia; all of them share every scan."""
     return fit_all(ready, list(ks), starts, SEED)
 
