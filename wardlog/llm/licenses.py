@@ -178,7 +178,7 @@ def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> list[t
 def matches(index: Index, hashes: np.ndarray, hits, min_matched=MIN_MATCHED, min_coverage=MIN_COVERAGE):
     """(template, matched, first word, last word) of one text; hits are (place in the text, template, place) of its
     fingerprints. Short templates are looked up here."""
-    out = set()
+    out, known = set(), {}
     by_template: dict[int, list[tuple[int, int]]] = {}
     for place, owner, at in [*hits, *index.short_hits(hashes)]:
         by_template.setdefault(owner, []).append((place - at, place))
@@ -194,7 +194,10 @@ def matches(index: Index, hashes: np.ndarray, hits, min_matched=MIN_MATCHED, min
                 continue
             for low, high, first, last in _regions(group, len(template), band):
                 begin, end = max(0, first - len(template) - band), min(len(hashes), last + len(template) + band + GRAM)
-                pairs = align(template, hashes[begin:end], low - band - begin, high + band - begin)
+                key = (owner, low - begin, high - begin, hashes[begin:end].tobytes())
+                if key not in known:  # repeated lines of a text are aligned once
+                    known[key] = align(template, hashes[begin:end], low - band - begin, high + band - begin)
+                pairs = known[key]
                 if len(pairs) >= least:
                     out.add((owner, len(pairs), pairs[0][1] + begin, pairs[-1][1] + begin))
             group = [item]
@@ -240,6 +243,7 @@ def scan_licenses(df: DataFrame, templates=TEMPLATES, id="doc_id", text="text",
                 words = Words(_LOWER[own], at, with_runs=False)
                 first = np.cumsum(words.per_row) - words.per_row
                 row = np.repeat(np.arange(j - i), words.per_row)
+                letters = np.concatenate([[0], np.cumsum((own & 0xC0) != 0x80)])  # code points before each byte
                 hits: dict[int, list] = {int(r): [] for r in index.rows_with_short(words.hash, row)}
                 g = grams(words.hash)
                 whole = np.flatnonzero(row[:len(g)] == row[len(row) - len(g):])  # inside one text
@@ -252,7 +256,7 @@ def scan_licenses(df: DataFrame, templates=TEMPLATES, id="doc_id", text="text",
                     inside = slice(int(first[r]), int(first[r] + words.per_row[r]))
                     starts, lengths = words.starts[inside], words.lengths[inside]
                     for owner, matched, a, b in matches(index, words.hash[inside], found, min_matched, min_coverage):
-                        span = [len(own[at[r]:x].tobytes().decode()) for x in (starts[a], starts[b] + lengths[b])]
+                        span = [int(letters[x] - letters[at[r]]) for x in (starts[a], starts[b] + lengths[b])]
                         rows.append((i + r, index.names[owner], matched, len(index.words[owner]), matched / len(index.words[owner]), *span))
             if rows:
                 where, *columns = zip(*rows)
