@@ -1,4 +1,5 @@
 import math
+import time
 from collections import Counter
 
 import numpy as np
@@ -59,6 +60,39 @@ def test_blocks_do_not_matter(monkeypatch):
     assert counts(texts) == once
 
 
+def without_spaces(alphabet, n):
+    rng = np.random.default_rng(n)
+    return "".join(np.array(list(alphabet))[rng.integers(0, len(alphabet), n)])
+
+
+UNSPACED = {
+    "letters": "abcdefghijklmnopqrstuvwxyz", "one letter": "a", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "ideographs": "的一是在不了有和人这中大为上个国我以要他时来用们", "mixed": "ab的é😀\n-=1",
+}
+
+
+@pytest.mark.parametrize("kind", UNSPACED)
+def test_a_megabyte_without_spaces(kind):
+    text = without_spaces(UNSPACED[kind], 1_000_000 // len(UNSPACED[kind][-1].encode()))
+    began = time.process_time()
+    found = counts([text])
+    assert time.process_time() - began < 20  # a second or two; a loop of numpy calls per byte takes 45
+    assert found == [expected(text)]
+
+
+@pytest.mark.parametrize("size", [1, 5, 24, 60])
+def test_long_chunks_count_like_others(monkeypatch, size):
+    texts = HARD + [None, prose(1, 100)] + [without_spaces(x, 2000) for x in UNSPACED.values()]
+    monkeypatch.setattr(lattice, "LONG", size)
+    monkeypatch.setattr(lattice, "LISTED", 17)
+    assert counts(texts) == [expected(t or "") for t in texts]
+
+
+def test_bytes_that_are_no_characters_are_counted():
+    odd = pa.Array.from_buffers(pa.string(), 3, [None, pa.py_buffer(np.array([0, 3, 3, 8], np.int32)), pa.py_buffer(b"a\x80b\xe2\x82 \xffc")])
+    assert [n > 0 for n in tokencount.count_tokens(odd, MACHINE)[0]] == [True, False, True]
+
+
 def test_count_frames(edge, nothing):
     found = tokencount.token_counts(edge, PATH, tokens="size")
     assert sorted(found.columns) == sorted(edge.columns) and dict(found.dtypes)["score"] == "double"
@@ -132,6 +166,34 @@ def test_samples_of_a_long_text_are_distinct_and_exact():
     assert all(MODEL.decode(s[0].tolist()) == text for s in samples)
 
 
+@pytest.mark.parametrize("size", [3, 24, 60])
+def test_long_chunks_are_drawn_like_others(monkeypatch, size):
+    texts = [t for t in HARD if t] + [prose(3, 60)] + [without_spaces(x, 200) for x in UNSPACED.values()]
+
+    def drawn():
+        out = []
+        for i, j, data, offsets in lattice.blocks_of(pa.array(texts)):
+            out += sampling.Block(MACHINE, 3, 1 / 8000, data, offsets, sampling._hash(np.arange(i, j))).samples()
+        return [[(s[0].tolist(), round(s[1], 5), round(s[2], 4)) for s in samples] for samples in out]
+
+    once = drawn()
+    for module in (lattice, sampling):
+        monkeypatch.setattr(module, "LONG", size)
+    monkeypatch.setattr(lattice, "LISTED", 17)
+    assert drawn() == once
+
+
+@pytest.mark.parametrize("kind", UNSPACED)
+def test_samples_of_a_megabyte_without_spaces(kind):
+    text = without_spaces(UNSPACED[kind], 1_000_000 // len(UNSPACED[kind][-1].encode()))
+    data, offsets = block(text)
+    began = time.process_time()
+    (samples,) = sampling.Block(MACHINE, 2, sampling.THETA, data, offsets, sampling._hash(np.arange(1))).samples()
+    assert time.process_time() - began < 40  # some seconds
+    assert len({tuple(s[0].tolist()) for s in samples}) == 2
+    assert all(MODEL.decode(s[0].tolist()) == text for s in samples)
+
+
 def test_encode_and_decode_frames(spark, edge, nothing):
     found = sampling.sample_encodings(edge, PATH, samples=3)
     decoded = sampling.decode_pieces(found, PATH, out="text")
@@ -159,7 +221,7 @@ def test_queries(spark, sf_small):
 def test_pieces_that_hold_inner_spaces_are_handled():
     own = lattice.Vocabulary((b" a", b"b", b" ", b"b a", b"a"), (300, 301, 302, 303, 304), (-1.0, -1.0, -2.0, -0.5, -3.0), tuple(range(256)))
     machine = lattice.Automaton(own)
-    assert not machine.splits_at_spaces
+    assert machine.beside[ord("b") << 8 | ord(" ")]  # no cut there
     assert tokencount.count_tokens(pa.array(["b a", "a b"]), machine)[0].tolist() == [2, 3]
 
 

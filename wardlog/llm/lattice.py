@@ -1,15 +1,21 @@
 """Piece vocabularies, an Aho-Corasick automaton over bytes, and lattices of whole blocks of text.
 
 A SentencePiece file's pieces and scores are read as a unigram vocabulary. White space pieces are written with
-real spaces. No piece of the vocabulary holds a space after another character, and some bytes stand in no
-piece at all; texts are therefore cut into chunks (spaces and what follows them, or one such byte) that can be solved apart.
+real spaces. Many pairs of bytes never stand side by side inside a piece (a letter and a space, most ideographs); texts are
+cut between them into chunks that can be solved apart.
 
 The different chunks of a block form one lattice: the automaton runs over all chunks side by side, byte column after
 byte column, and its output lists become edges, grouped by the position where they end, longest piece first. A
 character that is no piece gets one more edge, the unknown one, which stands for its bytes.
+
+Chunks of more than LONG bytes do not stretch the columns. A state depends on no more bytes than the longest piece has, so
+the automaton runs over their segments side by side, each begun that many bytes early; scores are then added up by a plain
+loop over the edges of one chunk. Which way a chunk goes depends on its own length only.
 """
 
+import math
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +26,8 @@ from wardlog.llm.columns import row_blocks, spread, text_bytes
 UNKNOWN_PENALTY = 10.0
 SPACE_MARK = "▁"
 DEDUPED = 64  # longest chunk, in bytes, that is looked up among its equals
+LISTED = 1 << 15  # positions of a long chunk whose edges are lists at a time
+LONG = 256  # longest chunk, in bytes, that is solved in columns
 BLOCK_BYTES = 1 << 18
 
 
@@ -62,7 +70,12 @@ class Automaton:
         self.present = np.zeros(256, bool)
         for piece in vocabulary.pieces:
             self.present[list(piece)] = True
-        self.splits_at_spaces = not any(b" " in piece.lstrip(b" ") for piece in vocabulary.pieces)
+        beside = np.zeros((256, 256), bool)  # pairs of bytes that stand side by side in a piece
+        for piece in vocabulary.pieces:
+            beside[list(piece[:-1]), list(piece[1:])] = True
+        beside[:, 0x80:0xC0] = True  # a character is never cut
+        self.beside = beside.ravel()
+        self.reach = max(map(len, vocabulary.pieces), default=1)
         self.symbol = np.zeros(256, np.int64)
         self.symbol[self.present] = np.arange(1, int(self.present.sum()) + 1)
         width = int(self.present.sum()) + 1
@@ -123,11 +136,8 @@ class Chunks:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, machine: Automaton):
         cut = np.zeros(len(data) + 1, bool)
         cut[offsets] = True
-        if machine.splits_at_spaces and len(data):
-            space, absent = data == 32, ~machine.present[data] & (data < 128)
-            cut[1:-1] |= space[1:] & ~space[:-1]
-            cut[:-1] |= absent
-            cut[1:] |= absent
+        if len(data):
+            cut[1:-1] |= ~machine.beside[(data[:-1].astype(np.uint16) << 8) | data[1:]]
         self.starts = np.flatnonzero(cut[:-1]) if len(data) else np.empty(0, np.int64)
         self.lengths = np.diff(np.append(self.starts, len(data)))
         self.per_row = np.searchsorted(self.starts, offsets[1:]) - np.searchsorted(self.starts, offsets[:-1])
@@ -158,19 +168,18 @@ class Lattice:
         alive = np.searchsorted(-lengths, -np.arange(columns), side="left")
         self.column = np.concatenate([[0], np.cumsum(alive)]).astype(np.int64)
         self.machine, total = machine, int(self.column[-1])
-        state = np.zeros(alive[0] if columns else 0, np.int64)
-        states, char, seen = np.empty(total, np.int64), np.zeros(total, np.int64), np.zeros(len(state), np.int64)
-        for t in range(columns):
-            n, own = alive[t], slice(self.column[t], self.column[t + 1])
-            byte = data[starts[:n] + t]
-            state = machine.table[machine.row[state[:n]] + machine.symbol[byte]].astype(np.int64)
-            states[own] = state
-            seen = np.where((byte & 0xC0) == 0x80, seen[:n] + 1, 1)  # bytes of the character so far
-            expected = 1 + (byte >= 0xC0) + (byte >= 0xE0) + (byte >= 0xF0)
-            if t == 0:
-                want = expected
-            want = np.where((byte & 0xC0) == 0x80, want[:n], expected)
-            char[own] = np.where(seen == want, seen, 0)
+        self.n_long = int(np.searchsorted(-lengths, -LONG, side="left"))
+        self.short_columns = min(columns, LONG) if len(lengths) > self.n_long else 0
+        states, char = np.empty(total, np.int64), np.empty(total, np.int64)
+        symbol, ended = machine.symbol[data], _characters(data, chunks.starts)
+        state = np.zeros(len(lengths) - self.n_long, np.int64)
+        for t in range(self.short_columns):
+            at = starts[self.n_long:alive[t]] + t
+            state = machine.table[machine.row[state[:len(at)]] + symbol[at]].astype(np.int64)
+            own = slice(self.column[t] + self.n_long, self.column[t + 1])
+            states[own], char[own] = state, ended[at]
+        if self.n_long:
+            self._long_states(starts[:self.n_long], lengths[:self.n_long], symbol, ended, states, char)
         unknown = (char > 0) & ~machine.has_single[states]
         known = machine.outputs[states]
         self.n_edges = known + unknown
@@ -190,10 +199,33 @@ class Lattice:
         self.lengths = lengths
         self.last = self.column[lengths - 1] + np.arange(len(lengths)) if len(lengths) else np.empty(0, np.int64)
 
+    def _long_states(self, starts, lengths, symbol, ended, states, char):
+        """States of long chunks: segments side by side, each begun so early that its first state is the true one."""
+        machine, lead = self.machine, self.machine.reach - 1
+        chunk, place = spread(-(-lengths // LONG))
+        begin, first = starts[chunk], place * LONG
+        stop = lengths[chunk]
+        state = np.zeros(len(chunk), np.int64)
+        for u in range(-lead, LONG):
+            t = first + u
+            inside = (t >= 0) & (t < stop)
+            at = begin + np.where(inside, t, 0)
+            state = np.where(inside, machine.table[machine.row[state] + symbol[at]], 0).astype(np.int64)
+            if u >= 0:
+                node = self.column[t[inside]] + chunk[inside]
+                states[node], char[node] = state[inside], ended[at[inside]]
+
+    def _long_edges(self, chunk: int):
+        """Of a long chunk, some thousand nodes at a time: nodes, and their edges as (first edge, number of edges)."""
+        for t in range(0, int(self.lengths[chunk]), LISTED):
+            nodes = self.column[t:min(t + LISTED, int(self.lengths[chunk]))] + chunk
+            run, place = spread(self.n_edges[nodes])
+            yield nodes, self.offset[nodes][run] + place, self.n_edges[nodes].tolist()
+
     def _columns(self):
-        """Per column: its edges, the nodes that have edges, and where their edges begin among them."""
-        for t in range(self.columns):
-            nodes = np.arange(self.column[t], self.column[t + 1])
+        """Per column of the other chunks: its edges, the nodes that have edges, and where their edges begin among them."""
+        for t in range(self.short_columns):
+            nodes = np.arange(self.column[t] + self.n_long, self.column[t + 1])
             nodes = nodes[self.n_edges[nodes] > 0]
             if len(nodes):
                 begin = int(self.offset[nodes[0]])
@@ -214,6 +246,19 @@ class Lattice:
             chosen = hit[np.searchsorted(hit, first)]
             score[nodes] = top
             count[nodes] = count[back[chosen]] + weight[edges][chosen]
+        for chunk in range(self.n_long):
+            totals, counts = [0.0], [0]
+            for _, edges, per_node in self._long_edges(chunk):
+                steps = zip(self.length[edges].tolist(), self.score[edges].tolist(), weight[edges].tolist())
+                for t, n in enumerate(per_node, len(totals)):
+                    top, pieces = -np.inf, 0
+                    for length, gain, more in islice(steps, n):
+                        value = totals[t - length] + gain
+                        if value > top:
+                            top, pieces = value, counts[t - length] + more
+                    totals.append(top)
+                    counts.append(pieces)
+            score[self.last[chunk]], count[self.last[chunk]] = totals[-1], counts[-1]
         return score[self.last], count[self.last]
 
     def sums(self, theta: float):
@@ -227,6 +272,15 @@ class Lattice:
             top = np.maximum.reduceat(value, first)
             sizes = np.diff(np.append(first, len(value)))
             inside[nodes] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, sizes)), first))
+        for chunk in range(self.n_long):
+            totals = [0.0]
+            for nodes, edges, per_node in self._long_edges(chunk):
+                steps, done = zip(self.length[edges].tolist(), weight[edges].tolist()), len(totals)
+                for t, n in enumerate(per_node, done):
+                    values = [totals[t - length] + gain for length, gain in islice(steps, n)]
+                    top = max(values, default=-math.inf)
+                    totals.append(top + math.log(sum([math.exp(v - top) for v in values])) if n > 1 else top)
+                inside[nodes] = totals[done:]
         log_p = inside[self.from_node] + weight - inside[self.run]
         p = np.exp(log_p)
         running = p.copy()  # summed node by node, so that the other chunks of a block leave no trace
@@ -236,6 +290,18 @@ class Lattice:
         return log_p, p, running
 
 
+def _characters(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For every byte that ends a character the character's number of bytes, 0 for the others. A byte begins a character
+    unless it continues one; bytes that continue nothing belong to what is before them."""
+    begins = (data & 0xC0) != 0x80
+    begins[starts] = True
+    at = np.flatnonzero(begins)
+    sizes = np.diff(np.append(at, len(data)))
+    ended = np.zeros(len(data), np.int64)
+    ended[at + sizes - 1] = sizes
+    return ended
+
+
 def blocks_of(column, limit=BLOCK_BYTES):
     """(first row, last row, bytes, offsets) of blocks of normalised texts."""
     data, offsets = text_bytes(normalized(column))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from wardlog.llm.columns import map_arrow, mix64, row_blocks, spread, strings, text_bytes
-from wardlog.llm.lattice import Automaton, Chunks, Lattice, Vocabulary, automaton, blocks_of
+from wardlog.llm.lattice import LONG, Automaton, Chunks, Lattice, Vocabulary, automaton, blocks_of
 from wardlog.llm.tokencount import default_model
 from wardlog.llm.words import table
 
@@ -78,13 +78,9 @@ class _Draws:
         # narrow copies: this loop is bound by memory
         first_edge, last_edge = (x.astype(np.int32) for x in (lattice.offset, lattice.offset + lattice.n_edges - 1))
         length, from_node = lattice.length.astype(np.int32), lattice.from_node.astype(np.int32)
-        node = lattice.last[chunks.kind].astype(np.int32)
-        active = np.arange(len(node), dtype=np.int32)
-        steps = np.zeros(len(node), np.int32)
-        seed = seeds + (block.place + chunks.lengths).astype(np.uint64)
-        depth = 0
-        who, when, what = [], [], []
-        while len(active):
+        steps = np.zeros(len(chunks.kind), np.int32)
+
+        def choose(node, seed):
             edge, last = first_edge[node], last_edge[node]
             u = _unit(_hash(seed))
             search = np.flatnonzero(block.running[edge] <= u)
@@ -92,6 +88,30 @@ class _Draws:
                 search = search[edge[search] < last[search]]
                 edge[search] += 1
                 search = search[block.running[edge[search]] <= u[search]]
+            return edge
+
+        who, when, what = [], [], []
+        # a choice depends on the position only: long chunks choose at all positions, then follow the choices
+        for c in np.flatnonzero(chunks.lengths > LONG):
+            size = int(chunks.lengths[c])
+            nodes = (lattice.column[:size] + chunks.kind[c]).astype(np.int32)
+            ends = np.flatnonzero(lattice.n_edges[nodes])
+            edge = np.zeros(size, np.int32)
+            edge[ends] = choose(nodes[ends], seeds[c] + (block.place[c] + 1 + ends).astype(np.uint64))
+            hops, at, way = length[edge].tolist(), size - 1, []
+            while at >= 0:
+                way.append(at)
+                at -= hops[at]
+            steps[c] = len(way)
+            who.append(np.full(len(way), c, np.int32))
+            when.append(np.arange(len(way), dtype=np.int32))
+            what.append(edge[way])
+        active = np.flatnonzero(chunks.lengths <= LONG).astype(np.int32)
+        node = lattice.last[chunks.kind[active]].astype(np.int32)
+        seed = (seeds + (block.place + chunks.lengths).astype(np.uint64))[active]
+        depth = 0
+        while len(active):
+            edge = choose(node, seed)
             who.append(active)
             when.append(np.full(len(active), depth, np.int32))
             what.append(edge)
