@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from tests.llm.conftest import prose, rows
 from wardlog.llm import cws as C
@@ -39,8 +40,12 @@ def test_order_of_words_and_case_do_not_matter():
     assert (s.fingerprint(b"") == s.fingerprint(b" \t")).all() and not (s.fingerprint(b"a") == s.fingerprint(b"")).any()
 
 
+def spot(text):
+    return int(np.uint64(xxhash.xxh64_intdigest(text.encode(), 42)).astype(np.int64))
+
+
 def brute(docs):
-    order = sorted(docs, key=lambda d: (-(d[0] if d[0] is not None else C.NO_ID), d[1] or ""))
+    order = sorted(docs, key=lambda d: (-(d[0] if d[0] is not None else C.NO_ID), -spot(d[1] or ""), d[1] or ""))
     sampler, out = C.Sampler(), []
     for i, (id, text) in enumerate(order):
         text, following = text or "", order[(i + 1) % len(order)][1] or ""
@@ -61,6 +66,27 @@ def test_edited_neighbours(spark, edge, size, monkeypatch, tmp_path):
     assert rows(C.op5_fingerprints(spark, str(tmp_path))) == brute(docs)
 
 
+@pytest.mark.parametrize("hot", [None, 10**6, 7])
+def test_an_id_with_most_rows(spark, hot, monkeypatch, tmp_path):
+    monkeypatch.setattr(C, "RANGE_ROWS", 10)
+    docs = [(hot, prose(n, 12)) for n in range(200)] + [(n * 17, prose(1000 + n, 9)) for n in range(100)] + [(n * 17, "twice") for n in range(9)]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    assert rows(C.op5_fingerprints(spark, str(tmp_path))) == brute(docs)
+
+
+def test_ranges_split_heavy_ids():
+    rng = np.random.default_rng(1)
+    ids = np.concatenate([rng.integers(0, 10**9, 40_000), np.full(30_000, C.NO_ID), np.full(30_000, 500_000_000)])
+    hashes = rng.integers(-(1 << 63), 1 << 63, len(ids))
+    dealer = C.Ranges(np.sort(rng.permutation(ids)[:2000]), 100)
+    assert set(dealer.heavy.tolist()) == {C.NO_ID, 500_000_000}
+    hashes = np.where(np.isin(ids, dealer.heavy), hashes, 0)
+    found = dealer.of(ids, hashes)
+    assert np.bincount(found).max() < 2500  # of 100,000 rows in 100 ranges
+    order = np.lexsort((hashes, ids))
+    assert (np.diff(found[order]) >= 0).all()
+
+
 @pytest.mark.parametrize("docs", [[], [(5, "only")], [(None, None)], [(1, "a"), (2, "b c")]])
 def test_small_tables(spark, docs, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")

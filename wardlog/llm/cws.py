@@ -7,9 +7,10 @@ and sample only. With t = floor(ln w / r + b) the word bids ln c - r (t - b) - r
 the sum of smaller over the sum of larger weights. Each sample is kept as 32 bits.
 
 Defined results: NULL text is empty; a text without words has the sample 0 everywhere, like all other such texts
-(likeness 1) and unlike others; repeated rows get equal fingerprints. In next_in_order, rows of one id are ordered
-by text, a row without id stands after all others, and a single row follows itself. Other columns are not read; an
-empty frame gives an empty frame. Texts are used whole; a task holds a few texts and a table of BIDS words' draws.
+(likeness 1) and unlike others; repeated rows get equal fingerprints. In next_in_order, rows of one id are in descending
+order of a 64-bit hash of the text, then by text; rows without id stand after all others, and a single row follows itself.
+Other columns are not read; an empty frame gives an empty frame. Texts are used whole; a task holds a few texts and a table
+of BIDS words' draws. Rows that share an id, or have none, are split by that hash; equal rows stay in one range.
 """
 
 import hashlib
@@ -126,39 +127,63 @@ def fingerprints(df: DataFrame, id="doc_id", text="text") -> DataFrame:
     return map_arrow(rows, run, f"id {dict(rows.dtypes)['id']}, fingerprint string")
 
 
+class Ranges:
+    """Ranges of (id, hash), from a sorted sample of ids. An id that fills several ranges is heavy: the hashes of its texts,
+    which are even, split it into as many. Other ids are never split, and their hash is taken as 0."""
+
+    def __init__(self, sampled: np.ndarray, ranges: int):
+        cuts = sampled[np.arange(1, ranges) * len(sampled) // ranges] if len(sampled) else sampled
+        ids, parts = np.unique(cuts, return_counts=True)
+        self.heavy = ids[parts > 1]
+        self.ids = np.repeat(ids, parts)
+        self.hashes = np.array([-(1 << 63) + (i << 64) // n if n > 1 else 0 for n in parts.tolist() for i in range(n)], np.int64)
+
+    def of(self, ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        own = np.searchsorted(self.ids, ids, side="right")
+        for heavy in np.intersect1d(ids, self.heavy):
+            rows = ids == heavy
+            first, last = np.searchsorted(self.ids, heavy), np.searchsorted(self.ids, heavy, side="right")
+            own[rows] = first + np.searchsorted(self.hashes[first:last], hashes[rows], side="right")
+        return own.astype(np.int32)
+
+
 def next_in_order(df: DataFrame, visit, schema: str, id="doc_id", text="text") -> DataFrame:
     """visit(rows) over (id, text, next text) in descending id; the last row is followed by the first.
 
-    Rows are dealt to id ranges and sorted there, which moves every text once; the first row of a range is also
-    sent to the range before it. Ranges come from a bounded sample of ids and only serve balance.
+    Rows are dealt to ranges of (id, hash) and sorted there, which moves every text once; the first row of a range is
+    also sent to the range before it. Ranges come from a bounded sample of ids and only serve balance.
     """
     spark = df.sparkSession
     on_workers(spark)
-    key = F.coalesce(F.col(f"`{id}`").cast("long"), F.lit(NO_ID))
+    key, full = F.coalesce(F.col(f"`{id}`").cast("long"), F.lit(NO_ID)), F.coalesce(F.col(f"`{text}`"), F.lit(""))
     keys = df.select(key.alias("key"))
     rows = keys.count()
     ranges = max(1, min(MOST_RANGES, -(-rows // RANGE_ROWS)))
     share = min(1.0, SAMPLED_IDS * ranges / max(1, rows))
     sampled = np.sort(np.array([r[0] for r in (keys.sample(share, 1) if share < 1 else keys).collect()], np.int64))
-    bounds = np.unique(sampled[np.arange(1, ranges) * len(sampled) // ranges]) if len(sampled) else sampled
+    dealer = Ranges(sampled, ranges)
+    # texts are only read here where an id is heavy
+    spot = F.when(key.isin(dealer.heavy.tolist()), F.xxhash64(full)).otherwise(F.lit(0)) if len(dealer.heavy) else F.lit(0)
+    spot = spot.cast("long").alias("spot")
 
     @F.pandas_udf("int")
-    def range_of(k: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, k.to_numpy(), side="right").astype(np.int32))
+    def range_of(k: pd.Series, h: pd.Series) -> pd.Series:
+        return pd.Series(dealer.of(k.to_numpy(), h.to_numpy()))
 
-    heads = sorted(tuple(r) for r in keys.select("key", range_of("key").alias("range")).groupBy("range").agg(F.max("key")).collect())
-    also = {k: heads[(i + 1) % len(heads)][0] for i, (_, k) in enumerate(heads)}  # one row per range
+    first_rows = df.select(key.alias("key"), spot).select(F.struct("key", "spot").alias("place"), range_of("key", "spot").alias("range"))
+    heads = sorted((r[0], tuple(r[1])) for r in first_rows.groupBy("range").agg(F.max("place")).collect())
+    also = {place: heads[(i + 1) % len(heads)][0] for i, (_, place) in enumerate(heads)}  # one row per range
 
     @F.pandas_udf("array<int>")
-    def ranges_of(k: pd.Series) -> pd.Series:
-        own = np.searchsorted(bounds, k.to_numpy(), side="right")
-        return pd.Series([[o] if x not in also else [o, -1 - also[x]] for o, x in zip(own.tolist(), k.tolist())])
+    def ranges_of(k: pd.Series, h: pd.Series) -> pd.Series:
+        own = dealer.of(k.to_numpy(), h.to_numpy())
+        return pd.Series([[o] if x not in also else [o, -1 - also[x]] for o, x in zip(own.tolist(), zip(k.tolist(), h.tolist()))])
 
-    dealt = df.select(F.col(f"`{id}`").cast("long").alias("id"), key.alias("key"), F.col(f"`{text}`").alias("text"))
-    dealt = dealt.select("id", "key", "text", F.explode(ranges_of("key")).alias("to")).select(
-        "id", "key", F.coalesce("text", F.lit("")).alias("text"),
+    dealt = df.select(F.col(f"`{id}`").cast("long").alias("id"), key.alias("key"), spot, full.alias("text"))
+    dealt = dealt.select("id", "key", "text", F.explode(ranges_of("key", "spot")).alias("to")).select(
+        "id", "key", "text",
         F.when(F.col("to") < 0, -1 - F.col("to")).otherwise(F.col("to")).alias("range"), (F.col("to") < 0).alias("follows"))
-    ordered = dealt.repartition("range").sortWithinPartitions("range", "follows", F.desc("key"), "text")
+    ordered = dealt.repartition("range").sortWithinPartitions("range", "follows", F.desc("key"), F.desc(F.xxhash64("text")), "text")
 
     def run(batches):
         waiting = None
