@@ -170,8 +170,12 @@ def next_in_order(df: DataFrame, visit, schema: str, id="doc_id", text="text") -
     def range_of(k: pd.Series, h: pd.Series) -> pd.Series:
         return pd.Series(dealer.of(k.to_numpy(), h.to_numpy()))
 
-    first_rows = df.select(key.alias("key"), spot).select(F.struct("key", "spot").alias("place"), range_of("key", "spot").alias("range"))
-    heads = sorted((r[0], tuple(r[1])) for r in first_rows.groupBy("range").agg(F.max("place")).collect())
+    places = df.select(key.alias("key"), spot).withColumn("range", range_of("key", "spot"))
+    spots = {}
+    if len(dealer.heavy):  # at most a row per range of a heavy id
+        heavy = places.filter(F.col("key").isin(dealer.heavy.tolist()))
+        spots = {(r[0], r[1]): r[2] for r in heavy.groupBy("range", "key").agg(F.max("spot")).collect()}
+    heads = sorted((r[0], (r[1], spots.get((r[0], r[1]), 0))) for r in places.groupBy("range").agg(F.max("key")).collect())
     also = {place: heads[(i + 1) % len(heads)][0] for i, (_, place) in enumerate(heads)}  # one row per range
 
     @F.pandas_udf("array<int>")
