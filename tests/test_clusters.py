@@ -73,3 +73,27 @@ def test_few_different_rows(spark):
     assert C.silhouettes(ready, {1: C.fit_all(ready, [1])[1]})[1] == (0.0, 0.0)
     with pytest.raises(ValueError, match="no rows"):
         C.fit_all(ready.limit(0), [2])
+
+
+def test_models_that_meet_on_the_sample_are_scanned_once(spark, blobs):
+    """Ten starts of one size on clear blobs end in few places, and rest there after few scans."""
+    sample = blobs.copy()
+    starts = {(4, s): C.starting_points(sample, 4, s) for s in range(10)}
+    settled = C.settle(spark, sample, starts)
+    assert list(settled) == list(starts) and len({c.tobytes() for c in settled.values()}) < 5
+    found = C.step(C.packed(C._vectors(table(spark, blobs))), settled | {(2, 0): C.starting_points(sample, 2, 0)})
+    for name, (rows, sums, costs) in found.items():
+        centers = settled.get(name, C.starting_points(sample, 2, 0))
+        assert rows.sum() == len(blobs) and costs.sum() == pytest.approx(inertia(blobs, centers), rel=1e-9)
+        own = ((blobs[:, None] - centers) ** 2).sum(axis=2).argmin(axis=1)
+        assert np.allclose([blobs[own == c].sum(axis=0) for c in range(len(centers))], sums)
+
+
+def test_a_table_larger_than_the_sample_rests_on_all_rows(spark, blobs, monkeypatch):
+    monkeypatch.setattr(C, "START_ROWS", 60)
+    scans, step = [], C.step
+    monkeypatch.setattr(C, "step", lambda blocks, models: scans.append(len({c.tobytes() for c in models.values()})) or step(blocks, models))
+    found = C.fit_all(table(spark, blobs), [4], starts=10)[4]
+    own = ((blobs[:, None] - found.centers) ** 2).sum(axis=2).argmin(axis=1)
+    assert np.allclose([blobs[own == c].mean(axis=0) for c in range(4)], found.centers, atol=1e-3)
+    assert found.inertia == pytest.approx(inertia(blobs, found.centers), rel=1e-9) and scans[0] < 10

@@ -3,7 +3,8 @@
 All sizes k and all starting points are stepped together: one scan per iteration assigns every row to its nearest centre
 in each model that still moves, and adds up counts, sums and costs per model and cluster. Tasks do that for whole Arrow
 batches; Spark adds the tasks' sums, so the driver sees one row per model and cluster. Starting points are drawn by
-distance (k-means++) from a sample of START_ROWS rows, spread evenly over the table.
+distance (k-means++) from a sample of START_ROWS rows, spread evenly over the table, and come to rest on that sample, a model
+a task, before the table is scanned until every model rests on all rows. Models of one size that meet on the sample are one from there.
 
 A silhouette compares a row with all rows. It is taken for a sample of SAMPLE_ROWS rows against the whole table, block by
 block, and has a standard error; where the table has no more rows than that, it is exact.
@@ -19,6 +20,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardlog.operators.boosting import parts_of
+
 # Workers get this module with the functions that run there, so they need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -92,22 +95,78 @@ def starting_points(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
     return np.array(chosen)
 
 
-def step(vectors: DataFrame, models: dict) -> dict:
-    """One scan: {name: (rows, sums, cost) per cluster} for {name: centres}."""
-    names, width = list(models), next(iter(models.values())).shape[1]
-    centers = [models[n] for n in names]
+def _lloyd(points, centers):
+    """Centres at rest on these rows."""
+    for _ in range(ITERATIONS):
+        member = np.zeros((len(points), len(centers)))
+        member[np.arange(len(points)), _nearest(points, centers)] = 1
+        rows = member.sum(axis=0)[:, None]
+        new = np.where(rows > 0, member.T @ points / np.maximum(rows, 1), centers)
+        if np.allclose(new, centers, rtol=0, atol=1e-12):
+            break
+        centers = new
+    return new
+
+
+def settle(spark, sample: np.ndarray, models: dict) -> dict:
+    """The models at rest on the sample, each in a task; those of one size that meet there get the very same centres."""
+    names, width = list(models), sample.shape[1]
+    starts = [models[n] for n in names]
 
     def run(batches):
-        rows = [np.zeros(len(c), np.int64) for c in centers]
-        sums, costs = [np.zeros(c.shape) for c in centers], [np.zeros(len(c)) for c in centers]
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([_lloyd(sample, starts[i]).tobytes()], pa.binary())], names=["id", "centers"])
+
+    found = spark.range(0, len(names), 1, len(names)).mapInArrow(run, "id long, centers binary").collect()  # one row per model
+    out = {}
+    for r in sorted(found, key=lambda r: r["id"]):
+        name, centers = names[r["id"]], np.frombuffer(r["centers"]).reshape(-1, width)
+        centers = centers[np.lexsort(np.round(centers, 6).T[::-1])]
+        same = (c for n, c in out.items() if n[0] == name[0] and ((c - centers) ** 2).sum(axis=1).max() <= MOVED**2)
+        out[name] = next(same, centers)
+    return out
+
+
+def packed(vectors: DataFrame) -> DataFrame:
+    """Rows of an array as blocks of doubles in a binary field, spread over the cores."""
+    def pack(batches):
         for points in _blocks(batches):
-            for m, c in enumerate(centers):
-                own = _nearest(points, c)
-                rows[m] += np.bincount(own, minlength=len(c))
-                costs[m] += np.bincount(own, ((points - c[own]) ** 2).sum(axis=1), len(c))
-                member = np.zeros((len(points), len(c)))
-                member[np.arange(len(points)), own] = 1
-                sums[m] += member.T @ points
+            if len(points):
+                yield pa.RecordBatch.from_arrays([pa.array([points.tobytes()], pa.binary())], names=["points"])
+
+    parts = parts_of(vectors.sparkSession, vectors.count())
+    return (vectors.repartition(parts) if parts > 1 else vectors).mapInArrow(pack, "points binary")
+
+
+def step(blocks: DataFrame, models: dict) -> dict:
+    """One scan of packed rows: {name: (rows, sums, cost) per cluster} for {name: centres}. Equal centres are measured once.
+
+    A cluster's cost follows from its rows, sums and squares, all taken from a common place among the centres.
+    """
+    kinds = {}
+    for n, c in models.items():
+        kinds.setdefault((c.shape, c.tobytes()), []).append(n)
+    names, width = list(kinds.values()), next(iter(models.values())).shape[1]
+    centers = [models[n[0]] for n in names]
+    origin = centers[0][0]
+
+    def run(batches):
+        rows = [np.zeros(len(c), np.int64) for c in centers]
+        moved, sums, squares = [c - origin for c in centers], [np.zeros(c.shape) for c in centers], [np.zeros(len(c)) for c in centers]
+        for batch in batches:
+            for block in batch.column(0).to_pylist():
+                points = np.frombuffer(block).reshape(-1, width) - origin
+                norms, at = (points * points).sum(axis=1), np.arange(len(points))
+                for m, c in enumerate(moved):
+                    own = _nearest(points, c)
+                    rows[m] += np.bincount(own, minlength=len(c))
+                    squares[m] += np.bincount(own, norms, len(c))
+                    member = np.zeros((len(points), len(c)))
+                    member[at, own] = 1
+                    sums[m] += member.T @ points
+        costs = [np.maximum(q - 2 * (c * s).sum(axis=1) + r * (c * c).sum(axis=1), 0) for q, c, s, r in zip(squares, moved, sums, rows)]
+        sums = [s + r[:, None] * origin for s, r in zip(sums, rows)]
         size = [len(c) for c in centers]
         yield pa.RecordBatch.from_arrays([
             pa.array(np.repeat(np.arange(len(centers)), size), pa.int32()), pa.array(np.concatenate([np.arange(n) for n in size]), pa.int32()),
@@ -115,41 +174,45 @@ def step(vectors: DataFrame, models: dict) -> dict:
             pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(sums).ravel()), width).cast(pa.list_(pa.float64())),
         ], names=["model", "cluster", "rows", "cost", "sums"])
 
-    parts = vectors.mapInArrow(run, "model int, cluster int, rows long, cost double, sums array<double>")
+    parts = blocks.mapInArrow(run, "model int, cluster int, rows long, cost double, sums array<double>")
     found = parts.groupBy("model", "cluster").agg(
         F.sum("rows").alias("rows"), F.sum("cost").alias("cost"), F.array(*[F.sum(F.col("sums")[i]) for i in range(width)]).alias("sums"))
     out = {n: (np.zeros(len(c), np.int64), np.zeros(c.shape), np.zeros(len(c))) for n, c in models.items()}
     for r in found.collect():  # one row per model and cluster
-        rows, sums, costs = out[names[r["model"]]]
-        rows[r["cluster"]], sums[r["cluster"]], costs[r["cluster"]] = r["rows"], r["sums"], r["cost"]
+        for name in names[r["model"]]:
+            rows, sums, costs = out[name]
+            rows[r["cluster"]], sums[r["cluster"]], costs[r["cluster"]] = r["rows"], r["sums"], r["cost"]
     return out
 
 
 def fit_all(ready: DataFrame, ks, starts=3, seed=42, features="features") -> dict:
-    """{k: Centers}: of several starting points the fit with the lowest inertia. `ready` is read once per
-    iteration: pass a stored table. Clusters that end without a row are left out."""
+    """{k: Centers}: of several starting points the fit with the lowest inertia. `ready` is read for the sample, a count and
+    the blocks that the scans read: pass a stored table. Clusters that end without a row are left out."""
     if not len(ks):
         return {}
     vectors = _vectors(ready, features)
     sample = _sample(vectors, START_ROWS)
     if not len(sample):
         raise ValueError("no rows to cluster")
-    models = {(k, s): starting_points(sample, k, seed + s) for k in ks for s in range(starts)}
-    moving = dict(models)
-    for _ in range(ITERATIONS):
-        if not moving:
-            break
-        for name, (rows, sums, _) in step(vectors, moving).items():
-            old = moving[name]
-            new = np.where(rows[:, None] > 0, sums / np.maximum(rows, 1)[:, None], old)
-            models[name] = moving[name] = new
-            if ((new - old) ** 2).sum(axis=1).max() <= MOVED**2:
-                del moving[name]
-    best = {}
-    for (k, _), (rows, _, costs), centers in ((n, f, models[n]) for n, f in step(vectors, models).items()):
-        if k not in best or costs.sum() < best[k].inertia:
-            best[k] = Centers(centers[rows > 0], rows[rows > 0], float(costs.sum()))
-    return best
+    models = settle(ready.sparkSession, sample, {(k, s): starting_points(sample, k, seed + s) for k in ks for s in range(starts)})
+    moving, blocks = dict(models), packed(vectors).persist()
+    try:
+        for _ in range(ITERATIONS):
+            if not moving:
+                break
+            for name, (rows, sums, _) in step(blocks, moving).items():
+                old = moving[name]
+                new = np.where(rows[:, None] > 0, sums / np.maximum(rows, 1)[:, None], old)
+                models[name] = moving[name] = new
+                if ((new - old) ** 2).sum(axis=1).max() <= MOVED**2:
+                    del moving[name]
+        best = {}
+        for (k, _), (rows, _, costs), centers in ((n, f, models[n]) for n, f in step(blocks, models).items()):
+            if k not in best or costs.sum() < best[k].inertia:
+                best[k] = Centers(centers[rows > 0], rows[rows > 0], float(costs.sum()))
+        return best
+    finally:
+        blocks.unpersist()
 
 
 def silhouettes(ready: DataFrame, models: dict, sample_rows=SAMPLE_ROWS, features="features") -> dict:
