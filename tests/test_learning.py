@@ -113,6 +113,15 @@ def test_chances_of_the_kernel_machine_on_rows_it_has_not_seen(spark, parts, tmp
     assert sorted(map(repr, rows)) == sorted(map(repr, again))
 
 
+def test_kernel_rows_for_training_equal_the_stages(spark, parts):
+    preparation = L.fit_preparation(parts[0], S.SERVING_FEATURES)
+    ready = L.apply_stages([*preparation, *L._kernel_stages([f"x_{c}" for c in S.SERVING_FEATURES], 16)], parts[1])
+    both = [{r["id"]: list(r["kernel"]) for r in df.select("id", "kernel").collect()}
+            for df in (ready, L.kernel_rows(ready.select("features", "id"), len(S.SERVING_FEATURES), 16))]
+    assert len(both[0]) == parts[1].count() and both[0].keys() == both[1].keys()
+    assert all(both[1][i] == pytest.approx(row, abs=1e-9) for i, row in both[0].items())
+
+
 def test_pca_is_centred(spark, parts):
     stats = L.pca_2d(parts[0], S.SERVING_FEATURES).agg(
         F.avg("pc1"), F.avg("pc2"), F.corr("pc1", "pc2"), F.variance("pc1") > F.variance("pc2")).first()
