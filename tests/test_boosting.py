@@ -70,6 +70,25 @@ def test_trees_equal_brute_force(spark, data, monkeypatch, refresh, part_rows):
     assert model.featureImportances.toArray().argmin() == 2
 
 
+def test_levels_read_blocks_that_hold_all_older_rounds(spark, data, monkeypatch):
+    """A table in one partition is spread, and no level walks the trees of older rounds: their margins are in the blocks."""
+    monkeypatch.setattr(B, "PART_ROWS", 40)
+    seen, cuts = [], B._cuts
+
+    def watched(state, growing, level, width, classes, options):
+        found = cuts(state, growing, level, width, classes, options)
+        if level == 0:
+            blocks = state.collect()
+            seen.append((state.rdd.getNumPartitions(), sum(len(r["codes"]) for r in blocks), sum(np.abs(np.frombuffer(r["margins"])).sum() for r in blocks)))
+        return found
+
+    monkeypatch.setattr(B, "_cuts", watched)
+    x, y = data
+    B.fit_trees(table(spark, x, y).coalesce(1), 3, rounds=3, depth=2)
+    assert len(seen) == 3 and all(parts > 1 and codes == x.size for parts, codes, _ in seen)
+    assert 0 == seen[0][2] < seen[1][2] < seen[2][2]
+
+
 def test_a_stored_pipeline_scores_alike(spark, data, tmp_path):
     df = table(spark, *data)
     model = B.BoostedTrees.of(*B.fit_trees(df, 3, rounds=3, depth=2), 3)

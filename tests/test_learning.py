@@ -49,6 +49,11 @@ def test_a_failing_model_becomes_a_row(spark, parts):
     assert L.bake_off(two, parts[1], S.SERVING_FEATURES, ["logistic_regression"])[0].first()["error"] is None
 
 
+def test_forests_keep_node_ids(spark, parts):
+    model = L.fit_classifier("random_forest", parts[0], S.SERVING_FEATURES, trees=3, depth=4)
+    assert model.stages[-1].getCacheNodeIds()
+
+
 def test_importances(spark, parts):
     rows = L.feature_importance(parts[0], S.SERVING_FEATURES, trees=20, depth=8).collect()
     assert sum(r["importance"] for r in rows) == pytest.approx(1.0)
