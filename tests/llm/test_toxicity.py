@@ -132,6 +132,44 @@ def test_scores_window_by_window():
         assert abs(net.scores(pa.array([text]))[0] - sig(want)) < 1e-4
 
 
+def both_ways(net, texts):
+    """Logits of the windows that are run in full, and of all windows."""
+    data, offsets = gru.text_bytes(gru.lowered(pa.array(texts)))
+    words = gru.Words(data, offsets)
+    layout = gru.Layout(words.per_row)
+    code, own = words.different()
+    table, index = net.table(*own), layout.columns(code, len(own[0]))
+    every = np.flatnonzero(layout.valid)
+    whole = np.full(len(layout.valid), -np.inf, np.float32)
+    whole[every] = table.logits(index, layout, every)
+    return table, table.highest(index, layout), whole, layout
+
+
+def test_few_windows_run_in_full_and_the_highest_are_those_of_all(network):
+    texts = [t for t, _ in planted(60, seed=4, words=200)]
+    table, found, whole, layout = both_ways(network, [*texts, "", "one", "grubble", prose(3, 16), prose(5, 17)])
+    best = [[int(x[b:b + n].argmax()) for b, n in zip(layout.base, layout.windows)] for x in (found, whole)]
+    assert best[0] == best[1] and np.array_equal(*(np.maximum.reduceat(x, layout.base) for x in (found, whole)))
+    run = np.isfinite(found)
+    assert np.array_equal(found[run], whole[run]) and run.sum() < layout.valid.sum() / 5
+
+
+@pytest.mark.parametrize("factor", [0.0, 30.0, 1e5])
+def test_steep_and_flat_networks_run_every_window_in_full(factor):
+    net = gru.Network(np.empty(0, np.uint64), seed=3)
+    net.p = {k: v * np.float32(factor) for k, v in net.p.items()}
+    _, found, whole, layout = both_ways(net, [prose(n, 5 * n) for n in range(12)])
+    assert np.array_equal(np.maximum.reduceat(found, layout.base), np.maximum.reduceat(whole, layout.base))
+
+
+def test_words_that_begin_alike_keep_their_own_gates():
+    texts = ["anbleing ingshre thininin", "anbleat ingsh thinin", "anbleanstthnd x anbleat"]
+    net = gru.Network(np.empty(0, np.uint64), seed=11)
+    together = net.scores(pa.array(texts * 3))
+    assert np.allclose(together, [net.scores(pa.array([t]))[0] for t in texts * 3], rtol=0, atol=1e-7)
+    assert len(set(together.tolist())) == 3
+
+
 def test_words_stay_in_their_texts():
     data = np.frombuffer("ab cdéf!g".encode(), np.uint8)
     w = gru.Words(data, np.array([0, 1, 1, len(data)]))

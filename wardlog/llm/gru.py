@@ -4,9 +4,12 @@ A word is a run of letters, digits and non-ASCII bytes of the lowered text. Its
 training vocabulary, or the vector of unknown words) and the sum of vectors of its 4-byte character runs, spaces
 marking its ends. Windows of WIDTH words begin at every STEP-th word and cover every text in full; a text's logit is the greatest
 of its windows. Training follows that: after some rounds on random windows, each text teaches with the windows that
-score highest at the moment.
+score highest at the moment. Gates are computed once for every different word; all windows run with gates rounded to a grid, then those
+near a text's highest in full precision, which alone give scores.
 """
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,7 +20,9 @@ WIDTH = 16
 STEP = 1  # divides WIDTH; 1 is every window
 HIDDEN, WORD_DIM, CHAR_DIM, CHAR_BITS = 8, 8, 8, 16
 VOCABULARY = 8192
-PIECE = 1 << 15  # bytes of text scored at a time; a longer text is read in such pieces, its windows are those of the whole
+PIECE = 1 << 18  # bytes of text scored at a time; a longer text is read in such pieces, its windows are those of the whole
+COLUMNS = 6144  # windows that run side by side
+GRID, MARGIN = 1024, 0.05  # of rough logits: steps of a gate, and how far below the highest a window is run in full
 
 _INSIDE = np.zeros(256, bool)
 _INSIDE[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -46,13 +51,17 @@ class Words:
         letters = np.flatnonzero(inside)
         self.first = np.cumsum(self.lengths) - self.lengths  # of each word in the letters
         if not self.count:
-            self.hash, self.runs = np.empty(0, np.uint64), np.empty(0, np.int64)
+            self.hash, self.key, self.runs = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64)
             return
         if with_runs:
             self.runs = self._runs(data, inside, begin, end)[letters]
         _, place = spread(self.lengths)
         powers = np.cumprod(np.concatenate([[1], np.full(int(self.lengths.max()), 0x9E3779B97F4A7C15, np.uint64)]).astype(np.uint64))
-        self.hash = mix64(np.add.reduceat(data[letters].astype(np.uint64) * powers[place] + powers[place + 1], self.first))
+        byte = data[letters].astype(np.uint64)
+        self.hash = mix64(np.add.reduceat(byte * powers[place] + powers[place + 1], self.first))  # of a word's first letters
+        byte *= np.cumprod(np.full(len(powers), 0x9E3779B97F4A7C15, np.uint64))[place]
+        byte ^= byte >> np.uint64(29)
+        self.key = np.add.reduceat(byte, self.first)  # of the whole word
 
     @classmethod
     def of_all(cls, data: np.ndarray, offsets: np.ndarray) -> "Words":
@@ -61,24 +70,33 @@ class Words:
         out = cls.__new__(cls)
         out.lengths = np.concatenate([p.lengths for p in parts]).astype(np.int32)
         out.runs = np.concatenate([p.runs for p in parts]).astype(np.uint16)
-        out.hash, out.per_row = (np.concatenate([getattr(p, n) for p in parts]) for n in ("hash", "per_row"))
+        out.hash, out.key, out.per_row = (np.concatenate([getattr(p, n) for p in parts]) for n in ("hash", "key", "per_row"))
         out.count, out.first = len(out.hash), np.cumsum(out.lengths, dtype=np.int64) - out.lengths
         return out
 
     @classmethod
-    def _of(cls, hash, lengths, runs) -> "Words":
+    def _of(cls, hash, key, lengths, runs) -> "Words":
         out = cls.__new__(cls)
-        out.hash, out.lengths, out.runs, out.count = hash, lengths, runs, len(hash)
+        out.hash, out.key, out.lengths, out.runs, out.count = hash, key, lengths, runs, len(hash)
         out.first, out.per_row = np.cumsum(lengths) - lengths, np.array([len(hash)])
         return out
 
     def part(self, i: int, j: int) -> "Words":
         """Words i to j of a single text."""
         ends = np.append(self.first, self.lengths.sum())
-        return self._of(self.hash[i:j], self.lengths[i:j], self.runs[ends[i]:ends[j]])
+        return self._of(self.hash[i:j], self.key[i:j], self.lengths[i:j], self.runs[ends[i]:ends[j]])
 
     def followed_by(self, other: "Words") -> "Words":
-        return self._of(*(np.concatenate([getattr(self, n), getattr(other, n)]) for n in ("hash", "lengths", "runs")))
+        return self._of(*(np.concatenate([getattr(self, n), getattr(other, n)]) for n in ("hash", "key", "lengths", "runs")))
+
+    def different(self) -> tuple[np.ndarray, tuple]:
+        """For every word its place among the different ones, and these: hashes, runs, and where their runs begin."""
+        coded = pa.array(self.key).dictionary_encode()
+        code, where = coded.indices.to_numpy(), np.empty(len(coded.dictionary), np.int64)
+        where[code[::-1]] = np.arange(self.count)[::-1]
+        lengths = self.lengths[where]
+        run, place = spread(lengths)
+        return code, (self.hash[where], self.runs[self.first[where][run] + place], np.cumsum(lengths) - lengths)
 
     @staticmethod
     def _runs(data, inside, begin, end):
@@ -131,9 +149,19 @@ class Layout:
         last = self.total - self.span + 1
         self.valid = self.row[:last] == self.row[self.span - 1:]
 
+    def columns(self, code: np.ndarray, padding: int) -> np.ndarray:
+        """The column of every place in a table of different words."""
+        out = np.full(self.total * STEP, padding, np.int64)
+        out[self.slot] = code
+        return out
+
 
 def _sigmoid(x):
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    return _sigmoid_of_half(0.5 * x)
+
+
+def _sigmoid_of_half(x):
+    return 0.5 * np.tanh(x) + 0.5
 
 
 class Network:
@@ -187,65 +215,27 @@ class Network:
         context = (weight[:, None, :] @ states)[:, 0]
         return states, weight, context, context @ self.p["w"] + self.p["b"][0]
 
-    def _side(self, gates, mask, last, u, nb, v, w, turn, energy, value):
-        """One direction over all windows, a window per column; adds what its states give to energies and values."""
-        half = np.concatenate([np.full(2 * HIDDEN, 0.5, np.float32), np.ones(HIDDEN, np.float32)])[:, None]
-        recurrent, ends, nb = np.ascontiguousarray(u.T) * half, np.stack([v, w]), nb[:, None]
-        h = np.zeros((HIDDEN, last), np.float32)
-        for t in turn:
-            at = slice(t // STEP, t // STEP + last)
-            a, hu = gates[t % STEP][:, at], recurrent @ h
-            zr, n = hu[:2 * HIDDEN], hu[2 * HIDDEN:]
-            zr += a[:2 * HIDDEN]
-            np.tanh(zr, out=zr)
-            zr *= np.float32(0.5)
-            zr += np.float32(0.5)
-            n += nb
-            n *= zr[HIDDEN:]
-            n += a[2 * HIDDEN:]
-            np.tanh(n, out=n)
-            h -= n
-            h *= zr[:HIDDEN]
-            h += n
-            h *= mask[t % STEP][at]
-            found = ends @ h
-            energy[t] += found[0]
-            value[t] += found[1]
-
-    def window_logits(self, gates: np.ndarray, layout: Layout) -> np.ndarray:
-        """The same as `_pass` and `_pool`, with features as rows and without keeping states."""
-        last, h = layout.total - layout.span + 1, HIDDEN
-        half = np.tile(np.concatenate([np.full(2 * h, 0.5, np.float32), np.ones(h, np.float32)]), 2)
-        by_step = np.ascontiguousarray((gates * half).reshape(layout.total, STEP, 6 * h).transpose(1, 2, 0))
-        mask = np.ascontiguousarray(layout.mask.reshape(layout.total, STEP).T)
-        energy, value = np.zeros((WIDTH, last), np.float32), np.zeros((WIDTH, last), np.float32)
-        v, w = self.p["v"], self.p["w"]
-        self._side(by_step[:, :3 * h], mask, last, self.p["uf"], self.p["nf"], v[:h], w[:h], range(WIDTH), energy, value)
-        self._side(by_step[:, 3 * h:], mask, last, self.p["ub"], self.p["nb"], v[h:], w[h:], range(WIDTH - 1, -1, -1), energy, value)
-        on = np.stack([mask[t % STEP][t // STEP:t // STEP + last] for t in range(WIDTH)])
-        energy = np.where(on > 0, energy, np.float32(-1e9))
-        energy = np.exp(energy - energy.max(axis=0)) * on
-        logits = (energy * value).sum(axis=0) / np.maximum(energy.sum(axis=0), np.float32(1e-9)) + self.p["b"][0]
-        return np.where(layout.valid, logits, np.float32(-np.inf))
-
-    def gates(self, words: Words, layout: Layout) -> np.ndarray:
-        out = np.zeros((layout.total * STEP, 6 * HIDDEN), np.float32)
-        if words.count:
-            out[layout.slot] = self.inputs(self.word_ids(words.hash), words.runs, words.first) @ self.p["x"] + self.p["xb"]
+    def _recurrent(self, side: str, scale: np.ndarray) -> np.ndarray:
+        """What a state, followed by a one, adds to the gates of the next step, and its energy and value."""
+        part = slice(0, HIDDEN) if side == "f" else slice(HIDDEN, 2 * HIDDEN)
+        out = np.zeros((3 * HIDDEN + 2, HIDDEN + 1), np.float32)
+        out[:3 * HIDDEN, :HIDDEN] = self.p["u" + side].T * scale[:, None]
+        out[2 * HIDDEN:3 * HIDDEN, HIDDEN] = self.p["n" + side] * scale[2 * HIDDEN:]
+        out[3 * HIDDEN:, :HIDDEN] = self.p["v"][part], self.p["w"][part]
         return out
 
-    def text_windows(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, Layout]:
-        words = Words(data, offsets)
-        layout = Layout(words.per_row)
-        return self.window_logits(self.gates(words, layout), layout), layout
+    def table(self, hash, runs, first) -> "Table":
+        """What windows need of different words, given with their character runs one after the other."""
+        out = np.zeros((len(hash) + 1, 6 * HIDDEN), np.float32)  # the last row is that of padding
+        if len(hash):
+            out[:-1] = self.inputs(self.word_ids(hash), runs, first) @ self.p["x"] + self.p["xb"]
+        return Table(self, out)
 
-    def best_window(self, words: "Words") -> float:
+    def text_logits(self, words: "Words") -> np.ndarray:
+        """Per text the highest logit of its windows."""
         layout = Layout(words.per_row)
-        return float(self.window_logits(self.gates(words, layout), layout).max())
-
-    def text_logits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        logits, layout = self.text_windows(data, offsets)
-        return np.maximum.reduceat(logits, layout.base)
+        code, own = words.different()
+        return np.maximum.reduceat(self.table(*own).highest(layout.columns(code, len(own[0])), layout), layout.base)
 
     def scores(self, column) -> np.ndarray:
         """Probability that a text is of class 1, by its highest window."""
@@ -254,9 +244,9 @@ class Network:
         for i, j in row_blocks(offsets, PIECE):
             begin, end = int(offsets[i]), int(offsets[j])
             if j - i == 1 and end - begin > PIECE:
-                out[i] = max(map(self.best_window, word_spans(data[begin:end])))
+                out[i] = max(float(self.text_logits(span)[0]) for span in word_spans(data[begin:end]))
             else:
-                out[i:j] = self.text_logits(data[begin:end], offsets[i:j + 1] - begin)
+                out[i:j] = self.text_logits(Words(data[begin:end], offsets[i:j + 1] - begin))
         return 1 / (1 + np.exp(-out))
 
     # --- training ------------------------------------------------------------------
@@ -308,6 +298,148 @@ class Network:
         return out
 
 
+@lru_cache(2)
+def _curves(reach: int) -> tuple[np.ndarray, np.ndarray]:
+    at = np.arange(-reach, reach + 1) / GRID
+    return _sigmoid(at).astype(np.float32), np.tanh(at).astype(np.float32)
+
+
+class Table:
+    """A network's gates and first states of different words, one per column; the last column is padding.
+
+    `logits` runs windows in full precision, `rough` with gates rounded to 1 / GRID, so that their curves are read from tables.
+    `highest` runs every window roughly and those near a text's highest again in full, so texts get the greatest full logit.
+    """
+
+    def __init__(self, net: Network, gates: np.ndarray):
+        h, self.net = HIDDEN, net
+        half = np.concatenate([np.full(2 * h, 0.5, np.float32), np.ones(h, np.float32)])
+        self.gates = np.ascontiguousarray((gates * np.tile(half, 2)).T)  # sigmoids are 0.5 * tanh(0.5 * x) + 0.5
+        self.recurrent = {s: net._recurrent(s, np.full(3 * h, 0.5, np.float32)) for s in "fb"}
+        self.first = {"f": self._first(self.gates[:3 * h], net.p["nf"]), "b": self._first(self.gates[3 * h:], net.p["nb"])}
+        most = max(float(np.abs(r[:3 * h]).sum(axis=1).max()) for r in (net._recurrent(s, np.ones(3 * h, np.float32)) for s in "fb"))
+        reach = (2 * most + 21) * GRID  # states lie between -1 and 1, so with gates within most + 20 no sum is further out
+        self.curves = None
+        if reach < 1 << 20 and np.isfinite(gates).all():
+            self.curves = _curves(int(reach))
+            centre = np.float32(int(reach) + 0.5)
+            self.rough_gates = np.ascontiguousarray(np.clip(gates, -most - 20, most + 20).T) * np.float32(GRID) + centre
+            self.rough_recurrent = {s: net._recurrent(s, np.full(3 * h, GRID, np.float32)) for s in "fb"}
+
+    @staticmethod
+    def _first(a, nb):
+        """States after one word."""
+        z, r = _sigmoid_of_half(a[:2 * HIDDEN].reshape(2, HIDDEN, -1))
+        n = np.tanh(nb[:, None] * r + a[2 * HIDDEN:])
+        out = (0 - n) * z + n
+        out[:, -1] = 0
+        return out
+
+    def _side(self, side, words, gates, on, energy, value, rough):
+        """One direction over windows, a window per column; adds what its states give to energies and values.
+
+        words and gates give the first words and the gates at a step, on is 0 at padding (None: there is none).
+        """
+        h2, h3, m = 2 * HIDDEN, 3 * HIDDEN, energy.shape[1]
+        recurrent = (self.rough_recurrent if rough else self.recurrent)[side]
+        turn = range(WIDTH) if side == "f" else range(WIDTH - 1, -1, -1)
+        whole = np.ones((HIDDEN + 1, m), np.float32)
+        h, sums = whole[:HIDDEN], np.empty((h3 + 2, m), np.float32)
+        zr, n = sums[:h2], sums[h2:h3]
+        z, r = zr[:HIDDEN], zr[HIDDEN:]
+        narrow, wide = np.empty((h2, m), np.int32), np.empty((h2, m), np.intp)
+
+        def curve(which, x):
+            np.copyto(narrow[:len(x)], x, casting="unsafe")
+            np.copyto(wide[:len(x)], narrow[:len(x)])  # in two steps, both of which are vectorized
+            np.take(self.curves[which], wide[:len(x)], out=x, mode="wrap")
+
+        for t in turn:
+            if t == turn[0]:
+                np.take(self.first[side], words(t), axis=1, out=h, mode="wrap")
+            else:
+                a = gates(side, t)
+                zr += a[:h2]
+                if rough:
+                    curve(0, zr)
+                else:
+                    np.tanh(zr, out=zr)
+                    z *= np.float32(0.5)
+                    z += np.float32(0.5)
+                    r += np.float32(1)  # twice the gate, for half the sum
+                n *= r
+                n += a[h2:]
+                if rough:
+                    curve(1, n)
+                else:
+                    np.tanh(n, out=n)
+                h -= n
+                h *= z
+                h += n
+                if on is not None:
+                    h *= on[t]
+            np.matmul(recurrent, whole, out=sums)
+            energy[t] += sums[h3]
+            value[t] += sums[h3 + 1]
+
+    def _run(self, m, words, gates, on, rough=False) -> np.ndarray:
+        energy, value = np.zeros((WIDTH, m), np.float32), np.zeros((WIDTH, m), np.float32)
+        for side in "fb":
+            self._side(side, words, gates, on, energy, value, rough)
+        if on is not None:
+            energy = np.where(on > 0, energy, np.float32(-1e9))
+        energy -= energy.max(axis=0)
+        np.exp(energy, out=energy)
+        if on is not None:
+            energy *= on
+        value *= energy
+        return value.sum(axis=0) / np.maximum(energy.sum(axis=0), np.float32(1e-9)) + self.net.p["b"][0]
+
+    def logits(self, index: np.ndarray, layout: "Layout", windows: np.ndarray) -> np.ndarray:
+        """Logits of the given windows; index has the column of every word of the layout."""
+        out, steps = np.empty(len(windows), np.float32), np.arange(WIDTH)[:, None]
+        for i in range(0, len(windows), COLUMNS):
+            some = windows[i:i + COLUMNS]
+            some = some if len(some) > 1 else np.repeat(some, 2)  # BLAS sums a single column in another order
+            at = some * STEP + steps
+            on = layout.mask[at]
+            found = self._run(len(some), lambda t: index[at[t]], lambda s, t: np.take(
+                self.gates[:3 * HIDDEN] if s == "f" else self.gates[3 * HIDDEN:], index[at[t]], axis=1, mode="wrap"), None if on.all() else on)
+            out[i:i + COLUMNS] = found[:len(windows) - i]
+        return out
+
+    def rough(self, index: np.ndarray, layout: "Layout") -> np.ndarray:
+        """Rough logits of all windows, -inf where one would reach into the next text."""
+        count = len(layout.valid)
+        out = np.empty(count, np.float32)
+        for i in range(0, count, COLUMNS):
+            m = min(COLUMNS, count - i)
+            by_step, mask = index[i * STEP:(i + m - 1) * STEP + WIDTH], layout.mask[i * STEP:(i + m - 1) * STEP + WIDTH]
+            here = np.take(self.rough_gates, by_step, axis=1, mode="wrap")
+
+            def at(t):
+                return slice(t, t + (m - 1) * STEP + 1, STEP)
+
+            on = None if mask.all() else [mask[at(t)] for t in range(WIDTH)]
+            out[i:i + m] = self._run(m, lambda t: by_step[at(t)], lambda s, t: (here[:3 * HIDDEN] if s == "f" else here[3 * HIDDEN:])[:, at(t)],
+                                     None if on is None else np.stack(on), rough=True)
+        return np.where(layout.valid, out, np.float32(-np.inf))
+
+    def highest(self, index: np.ndarray, layout: "Layout") -> np.ndarray:
+        """Logits of the windows that can be a text's highest, -inf elsewhere."""
+        out = np.full(len(layout.valid), -np.inf, np.float32)
+        if self.curves is not None:
+            rough = self.rough(index, layout)
+            least = np.maximum.reduceat(rough, layout.base) - np.float32(MARGIN)
+            near = np.flatnonzero(rough >= np.repeat(least, layout.blocks)[:len(rough)])
+            out[near] = self.logits(index, layout, near)
+            if np.abs(out[near] - rough[near]).max() < MARGIN / 4:
+                return out
+        every = np.flatnonzero(layout.valid)  # steep networks: nothing is left to the rough logits
+        out[every] = self.logits(index, layout, every)
+        return out
+
+
 class _Adam:
     def __init__(self, params, rate):
         self.params, self.rate, self.t = params, rate, 0
@@ -335,6 +467,8 @@ def train(texts: list[str], labels: list[int], vocabulary=VOCABULARY, random_rou
     hashes, seen = np.unique(words.hash[once], return_counts=True)
     net = Network(hashes[np.argsort(-seen, kind="stable")[:vocabulary]], seed)
     ids = net.word_ids(words.hash)
+    code, own = words.different()
+    column = layout.columns(code, len(own[0]))
     word_at = np.full(layout.total * STEP, -1, np.int64)
     word_at[layout.slot] = np.arange(words.count)
     labels = np.asarray(labels, np.float32)
@@ -348,9 +482,7 @@ def train(texts: list[str], labels: list[int], vocabulary=VOCABULARY, random_rou
             nth = np.arange(len(order)) - np.searchsorted(sorted_rows, sorted_rows)
             chosen = order[turn][nth < 4]
         else:
-            logits = np.concatenate([
-                np.append(net.text_windows(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])[0], [-np.inf] * (layout.span - 1))
-                for i, j in row_blocks(offsets, PIECE)])
+            logits = net.table(*own).highest(column, layout)
             best = np.array([b + int(logits[b:b + n].argmax()) for b, n in zip(layout.base, layout.windows)])
             second = best[layout.windows > 1]
             chosen = np.concatenate([best, np.clip(second + rng.choice([-1, 1], len(second)), layout.base[layout.row[second]],
@@ -365,7 +497,7 @@ def train(texts: list[str], labels: list[int], vocabulary=VOCABULARY, random_rou
             local[slots >= 0] = inverse
             lengths = words.lengths[used]
             run, place = spread(lengths)
-            own = np.where(rng.random(len(used)) < unknown, 0, ids[used])
-            adam.step(net.gradients(own, words.runs[words.first[used][run] + place], np.cumsum(lengths) - lengths, lengths, local,
+            known = np.where(rng.random(len(used)) < unknown, 0, ids[used])
+            adam.step(net.gradients(known, words.runs[words.first[used][run] + place], np.cumsum(lengths) - lengths, lengths, local,
                                     (slots >= 0).astype(np.float32), labels[layout.row[part]]))
     return net
