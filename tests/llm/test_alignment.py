@@ -95,3 +95,32 @@ def test_given_documents_as_by_brute_force(spark, sf):
     df = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
     rows = df.select("doc_id", "text").collect()
     assert got(df) == sorted(((r["doc_id"], *w) for r, w in zip(rows, brute([r["text"] for r in rows]))), key=repr)
+
+
+def test_chunks_met_before_are_not_aligned_again(monkeypatch):
+    """Blocks that share words, odd texts and a chunk too long to be kept: as by brute force, each kept chunk once."""
+    asked, rows = [], A.chunk_rows
+
+    def counted(chunks, sides):
+        asked.extend(chunks.to_pylist())
+        return rows(chunks, sides)
+
+    blocks = [[prose(n, 80), STRANGE[n], "y" * 100 + " end"] for n in range(8)] + [STRANGE, [prose(n, 80) for n in range(8)]]
+    for kept in (1 << 26, 4000, 0):
+        monkeypatch.setattr(A, "KNOWN_BYTES", kept)
+        known = A.Known(A.tokenizers_at(*PLACES))
+        asked.clear()
+        for texts in blocks:
+            with monkeypatch.context() as patch:
+                patch.setattr(A, "chunk_rows", counted)
+                stats, pairs, (ptr, place, links) = A.align_block(pa.array(texts), known.sides, known)
+            want = brute(texts)
+            assert [tuple(int(stats[n][i]) for n in A.STATS) for i in range(len(texts))] == [w[:4] for w in want]
+            assert [hashlib.sha256(g.encode()).hexdigest() if g is not None else "" for g in stats["groups"]] == [w[6] for w in want]
+            alone = [A.align_block(pa.array([t]), known.sides) for t in texts]
+            assert [dict(zip(pairs.take(pa.array(place[i:j])).to_pylist(), links[i:j].tolist())) for i, j in zip(ptr, ptr[1:])] == [
+                dict(zip(p.take(pa.array(at)).to_pylist(), n.tolist())) for _, p, (_, at, n) in alone]
+        if kept == 1 << 26:
+            short = [c for c in asked if len(c.encode()) <= A.KNOWN_CHUNK]
+            assert len(short) == len(set(short)) < len(asked) and sorted(known.names.to_pylist()) == sorted(short)
+            assert known.rows.num_rows == len(short)

@@ -5,7 +5,7 @@ places where tokens of both end cut a document into groups; every A token of a g
 
 A block of documents is one set of Arrow columns. Both tokenizers always end a token where a space or line break follows a
 character that is surely no white space, so documents are cut there, the different chunks of a block are dictionary-encoded
-and each is encoded once. Token lists are flattened with their parent indices; segmented running sums of byte lengths give
+and each is encoded once; rows of short chunks are kept for the worker's next blocks. Token lists are flattened with their parent indices; segmented running sums of byte lengths give
 the end of every token, and Acero hash joins on (parent, end) the common ends. Table.group_by reduces pairs to one row a
 block, with the number of its documents; Spark merges those partial counts, joins them back to the pairs of each block,
 and hands every block its counts, so no table of counts is held whole anywhere.
@@ -37,6 +37,7 @@ from wardlog.session import materialize
 
 BLOCK_BYTES = 1 << 21
 JOINED = 1000  # chunks that are encoded as one text
+KNOWN_CHUNK, KNOWN_BYTES = 64, 1 << 26  # bytes of a chunk whose row is kept for later blocks, and of all such rows of a worker
 SIDE = 1 << 32  # a pair is a * SIDE + b
 STATS = ["n_a", "n_b", "n_groups", "n_links"]
 
@@ -105,6 +106,11 @@ def tokenizers_at(a: str, b: str) -> tuple[ByteSide, PieceSide]:
     return ByteSide(a), PieceSide(b)
 
 
+@lru_cache(2)
+def known_at(a: str, b: str) -> "Known":
+    return Known(tokenizers_at(a, b))
+
+
 def visible(data: np.ndarray) -> np.ndarray:
     """Bytes that end a visible ASCII character, a two-byte one above U+00BF or a three-byte one from U+4000 to U+DFFF.
     None of them is white space to either tokenizer."""
@@ -136,12 +142,12 @@ def _ends(lists: pa.ListArray, lengths: pa.Array) -> pa.Table:
     return pa.table({"parent": parent, "end": end, "id": flat, "at": pa.array(np.arange(len(flat)))})
 
 
-def _closing(tokens: pa.Table, other: pa.Table) -> np.ndarray:
-    """For every token whether a token of the other side ends at the same byte of the same parent."""
-    common = other.select(["parent", "end"]).append_column("met", pa.array(np.ones(len(other), np.int8)))
-    joined = tokens.select(["parent", "end", "at"]).join(common, ["parent", "end"], join_type="left outer", use_threads=False)
-    out = np.zeros(len(tokens), bool)
-    out[joined["at"].to_numpy()] = joined["met"].is_valid().to_numpy()
+def _closing(a: pa.Table, b: pa.Table) -> list[np.ndarray]:
+    """For every token of both sides whether a token of the other ends at the same byte of the same parent."""
+    met = a.select(["parent", "end", "at"]).join(b.select(["parent", "end", "at"]), ["parent", "end"], join_type="inner", right_suffix="_b", use_threads=False)
+    out = [np.zeros(len(a), bool), np.zeros(len(b), bool)]
+    for last, name in zip(out, ("at", "at_b")):
+        last[met[name].to_numpy()] = True
     return out
 
 
@@ -155,46 +161,93 @@ def _joined_runs(values: pa.Array, stops: np.ndarray, separator: str) -> pa.Arra
     return pc.binary_join(runs, _wide(separator))
 
 
-class Chunks:
-    """The groups and links of different chunks, each encoded once."""
-
-    def __init__(self, chunks: pa.Array, sides: tuple[ByteSide, PieceSide]):
-        lists = [side.lists(chunks) for side in sides]
-        raw = chunks.cast(pa.large_binary() if pa.types.is_large_string(chunks.type) else pa.binary())
-        self.good = np.ones(len(chunks), bool)
-        for found, side in zip(lists, sides):
-            spelled = pc.binary_join(pa.ListArray.from_arrays(found.offsets, pc.take(side.pieces, found.values)), b"")
-            self.good &= pc.equal(spelled.cast(raw.type), raw).to_numpy(zero_copy_only=False)
-        if not self.good.all():
-            empty = pa.scalar([], pa.list_(pa.int32()))
-            lists = [pc.if_else(pa.array(self.good), found, empty) for found in lists]
-        self.n_a, self.n_b = (pc.list_value_length(x).to_numpy().astype(np.int64) for x in lists)
-        a, b = (_ends(x, pc.binary_length(s.pieces).cast(pa.int64())) for x, s in zip(lists, sides))
-        last_a, last_b = _closing(a, b), _closing(b, a)
-        stop_a, stop_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
-        owner = a["parent"].to_numpy()[stop_a - 1]  # of each group; groups of both sides follow in the same order
-        self.n_groups = np.bincount(owner, minlength=len(chunks))
-        links = np.diff(stop_a, prepend=0) * np.diff(stop_b, prepend=0)
-        self.n_links = np.bincount(owner, links, len(chunks)).astype(np.int64)
-        texts = [_joined_runs(x["id"].combine_chunks().cast(pa.large_string()), stop, ",") for x, stop in ((a, stop_a), (b, stop_b))]
-        whole = pc.binary_join_element_wise(*texts, _wide("|"))
-        self.text = _joined_runs(whole, np.cumsum(self.n_groups), ";")
-
-        def in_group(tokens, last, name):
-            number = pa.array(np.cumsum(last) - last)
-            return pa.table({"group": number, name: tokens["id"]}).group_by(["group", name], use_threads=False).aggregate([([], "count_all")]).rename_columns(
-                ["group", name, "n_" + name])
-
-        linked = in_group(a, last_a, "a").join(in_group(b, last_b, "b"), "group", join_type="inner", use_threads=False)
-        pair = pc.add(pc.multiply(linked["a"].cast(pa.int64()), SIDE), linked["b"].cast(pa.int64()))
-        per = pa.table({"chunk": pa.array(owner[linked["group"].to_numpy()]), "pair": pair, "n": pc.multiply(linked["n_a"], linked["n_b"])})
-        per = per.group_by(["chunk", "pair"], use_threads=False).aggregate([("n", "sum")]).sort_by("chunk").combine_chunks()
-        coded = per["pair"].combine_chunks().dictionary_encode()
-        self.pairs, self.pair, self.times = coded.dictionary, coded.indices.to_numpy(), per["n_sum"].to_numpy()
-        self.pair_count = np.bincount(per["chunk"].to_numpy(), minlength=len(chunks))
-
-
-def align_block(texts: pa.Array, sides) -> tuple[dict, pa.Array, list[np.ndarray]]:
+def _one(column: pa.ChunkedArray) -> pa.Array:
+    return column.chunk(0) if column.num_chunks == 1 else column.combine_chunks()
+
+
+def chunk_rows(chunks: pa.Array, sides: tuple[ByteSide, PieceSide]) -> pa.Table:
+    """The groups and links of different chunks, a row each; every chunk is encoded once."""
+    lists = [side.lists(chunks) for side in sides]
+    raw = chunks.cast(pa.large_binary() if pa.types.is_large_string(chunks.type) else pa.binary())
+    good = np.ones(len(chunks), bool)
+    for found, side in zip(lists, sides):
+        spelled = pc.binary_join(pa.ListArray.from_arrays(found.offsets, pc.take(side.pieces, found.values)), b"")
+        good &= pc.equal(spelled.cast(raw.type), raw).to_numpy(zero_copy_only=False)
+    if not good.all():
+        empty = pa.scalar([], pa.list_(pa.int32()))
+        lists = [pc.if_else(pa.array(good), found, empty) for found in lists]
+    n_a, n_b = (pc.list_value_length(x).cast(pa.int64()) for x in lists)
+    a, b = (_ends(x, pc.binary_length(s.pieces).cast(pa.int64())) for x, s in zip(lists, sides))
+    last_a, last_b = _closing(a, b)
+    stop_a, stop_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
+    owner = a["parent"].to_numpy()[stop_a - 1]  # of each group; groups of both sides follow in the same order
+    n_groups = np.bincount(owner, minlength=len(chunks))
+    links = np.diff(stop_a, prepend=0) * np.diff(stop_b, prepend=0)
+    n_links = np.bincount(owner, links, len(chunks)).astype(np.int64)
+    texts = [_joined_runs(x["id"].combine_chunks().cast(pa.large_string()), stop, ",") for x, stop in ((a, stop_a), (b, stop_b))]
+    whole = pc.binary_join_element_wise(*texts, _wide("|"))
+
+    def in_group(tokens, last, name):
+        number = pa.array(np.cumsum(last) - last)
+        return pa.table({"group": number, name: tokens["id"]}).group_by(["group", name], use_threads=False).aggregate([([], "count_all")]).rename_columns(
+            ["group", name, "n_" + name])
+
+    linked = in_group(a, last_a, "a").join(in_group(b, last_b, "b"), "group", join_type="inner", use_threads=False)
+    pair = pc.add(pc.multiply(linked["a"].cast(pa.int64()), SIDE), linked["b"].cast(pa.int64()))
+    per = pa.table({"chunk": pa.array(owner[linked["group"].to_numpy()]), "pair": pair, "times": pc.multiply(linked["n_a"], linked["n_b"])})
+    per = per.group_by(["chunk", "pair"], use_threads=False).aggregate([("times", "sum")]).sort_by("chunk").combine_chunks()
+    held = pa.array(np.concatenate([[0], np.cumsum(np.bincount(per["chunk"].to_numpy(), minlength=len(chunks)))]), pa.int64())
+    return pa.table({
+        "good": pa.array(good), "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links, "text": _joined_runs(whole, np.cumsum(n_groups), ";"),
+        "pairs": pa.LargeListArray.from_arrays(held, per["pair"].combine_chunks()),
+        "times": pa.LargeListArray.from_arrays(held, per["times_sum"].combine_chunks())})
+
+
+class Known:
+    """Rows of chunks met before, so that a chunk that comes again in a later block is not aligned again.
+
+    Chunks of up to KNOWN_CHUNK bytes are kept, until their rows would pass KNOWN_BYTES; then those of the last block are.
+    """
+
+    def __init__(self, sides: tuple[ByteSide, PieceSide]):
+        self.sides, self.names, self.rows = sides, None, None
+
+    def rows_of(self, chunks: pa.Array) -> tuple[np.ndarray, pa.Table]:
+        """Rows of different chunks, and the place of every chunk among them."""
+        if self.rows is None or self.names.type != chunks.type:
+            old, new, names = None, np.arange(len(chunks)), chunks
+            order = new
+            rows = chunk_rows(chunks, self.sides)
+        else:
+            place = pc.index_in(chunks, value_set=self.names)
+            fresh = place.is_null().to_numpy(zero_copy_only=False)
+            old, new = np.flatnonzero(~fresh), np.flatnonzero(fresh)
+            rows = self.rows.take(place.drop_null())
+            if len(new):
+                rows = pa.concat_tables([rows, chunk_rows(chunks.take(pa.array(new)), self.sides)]).combine_chunks()
+            order = np.concatenate([old, new])
+            names = chunks.take(pa.array(order))
+        self._keep(names, rows, 0 if old is None else len(old))
+        at = np.empty(len(chunks), np.int64)
+        at[order] = np.arange(len(chunks))
+        return at, rows
+
+    def _keep(self, names: pa.Array, rows: pa.Table, known: int) -> None:
+        def short(names, rows):
+            few = pc.less_equal(pc.binary_length(names), KNOWN_CHUNK)
+            return (names, rows) if pc.all(few, min_count=0).as_py() else (names.filter(few), rows.filter(few))
+
+        more, found = short(names[known:], rows[known:])
+        if known and self.rows.nbytes + found.nbytes <= KNOWN_BYTES:
+            if len(more):
+                self.names, self.rows = pa.concat_arrays([self.names, more]), pa.concat_tables([self.rows, found]).combine_chunks()
+            return
+        self.names, self.rows = short(names, rows)
+        if self.rows.nbytes > KNOWN_BYTES:
+            self.names = self.rows = None
+
+
+def align_block(texts: pa.Array, sides, known: Known | None = None) -> tuple[dict, pa.Array, list[np.ndarray]]:
     """Columns of the block's documents, the block's pairs, and per document its pairs (places in the block's) with their links."""
     rows = len(texts)
     out = {n: np.zeros(rows, np.int64) for n in STATS}
@@ -206,25 +259,28 @@ def align_block(texts: pa.Array, sides) -> tuple[dict, pa.Array, list[np.ndarray
         at, per_row = cut_chunks(data, offsets)
         coded = strings(data, at).dictionary_encode()
         index, of = coded.indices.to_numpy(), np.repeat(np.arange(len(used)), per_row)
-        found = Chunks(coded.dictionary, sides)
-        bad = np.unique(of[~found.good[index]])
+        places, found = (known or Known(sides)).rows_of(coded.dictionary)
+        index = places[index]
+        bad = np.unique(of[~found["good"].to_numpy()[index]])
         keep = ~np.isin(of, bad)
         index, of = index[keep], of[keep]
         per_row[bad] = 0
         for name in STATS:
-            out[name][used] = np.bincount(of, getattr(found, name)[index], len(used)).astype(np.int64)
-        shown[used] = _joined_runs(found.text.take(pa.array(index)), np.cumsum(per_row), ";").to_pylist()
+            out[name][used] = np.bincount(of, found[name].to_numpy()[index], len(used)).astype(np.int64)
+        shown[used] = _joined_runs(_one(found["text"]).take(pa.array(index)), np.cumsum(per_row), ";").to_pylist()
         shown[used[bad]] = None
         occurring = pa.table({"doc": of, "chunk": index}).group_by(["doc", "chunk"], use_threads=False).aggregate([([], "count_all")])
         doc, chunk, count = (occurring[c].to_numpy() for c in ("doc", "chunk", "count_all"))
-        first = np.cumsum(found.pair_count) - found.pair_count
-        run, nth = spread(found.pair_count[chunk])
+        held = _one(found["pairs"])
+        pair_count, pair = pc.list_value_length(held).to_numpy(), held.flatten().dictionary_encode()
+        first = np.cumsum(pair_count) - pair_count
+        run, nth = spread(pair_count[chunk])
         here = first[chunk[run]] + nth
-        each = pa.table({"doc": doc[run], "pair": found.pair[here], "links": count[run] * found.times[here]})
+        each = pa.table({"doc": doc[run], "pair": pair.indices.to_numpy()[here], "links": count[run] * _one(found["times"]).flatten().to_numpy()[here]})
         each = each.group_by(["doc", "pair"], use_threads=False).aggregate([("links", "sum")])
         doc, place, links = (each[c].to_numpy() for c in ("doc", "pair", "links_sum"))
         order = np.lexsort((place, doc))
-        place, links, pairs = place[order], links[order], found.pairs
+        place, links, pairs = place[order], links[order], pair.dictionary
         ptr[1:] = np.cumsum(np.bincount(used[doc], minlength=rows))
     return out | {"groups": shown}, pairs, [ptr, place, links]
 
@@ -241,13 +297,13 @@ def align_documents(df: DataFrame, id="doc_id", text="text", a=None, b=None, wit
 
     def run(batches):
         pa.set_cpu_count(1)
-        sides = tokenizers_at(a, b)
+        sides, known = tokenizers_at(a, b), known_at(a, b)
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             texts = batch.column(1)
             sizes = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
             for i, j in row_blocks(sizes, BLOCK_BYTES):
-                stats, pairs, (ptr, place, links) = align_block(texts[i:j], sides)
+                stats, pairs, (ptr, place, links) = align_block(texts[i:j], sides, known)
                 rows, shown = j - i, stats.pop("groups")
                 digest = [hashlib.sha256(x.encode()).hexdigest() if x is not None else "" for x in shown]
                 columns = {
