@@ -108,3 +108,29 @@ def test_constant_features_and_many_values(spark):
     assert gains[0] == 0 and all(len(v) == 64 for *_, v in trees)
     scored = B.BoostedTrees.of(trees, gains, 2).transform(df).collect()
     assert np.mean([(r["probabilities"][1] > 0.5) == r["label"] for r in scored]) > 0.99
+
+
+def test_one_task_and_many_give_the_same_trees(spark, data, monkeypatch):
+    monkeypatch.setattr(B, "PART_ROWS", 40)
+    df = table(spark, *data)
+    for settings in ({}, {"loss": "logistic", "l2": 0.0, "rate": 0.1, "depth": 3}):
+        many, alone = (B.BoostedTrees.of(*B.fit_trees(df, 3, rounds=4, **settings, one_task=n), 3) for n in (None, 1000))
+        a, b = ([r["probabilities"] for r in m.transform(df).orderBy("x0", "x1", "x2", "label").collect()] for m in (many, alone))
+        assert np.allclose(a, b, atol=1e-9)
+
+
+def test_logistic_loss_equals_sparks_boosting(spark, data):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    df = table(spark, *data)
+    model = B.BoostedTrees.of(*B.fit_trees(df, 3, rounds=6, depth=3, rate=0.1, l2=0.0, loss="logistic"), 3, "logistic")
+    order = ["x0", "x1", "x2", "label"]
+    mine = np.array([r["margins"] for r in model.transform(df).orderBy(*order).collect()])
+    for c in range(3):
+        binary = df.withColumn("is", (F.col("label") == c).cast("double"))
+        theirs = GBTClassifier(maxIter=6, maxDepth=3, stepSize=0.1, maxBins=256, labelCol="is").fit(binary).transform(binary)
+        raw = theirs.orderBy(*order).select(vector_to_array("rawPrediction")[1].alias("m")).collect()
+        assert np.corrcoef(mine[:, c], [r["m"] for r in raw])[0, 1] > 0.99
+        assert np.mean((mine[:, c] > 0) == np.array([r["m"] > 0 for r in raw])) > 0.97

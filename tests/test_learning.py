@@ -150,3 +150,16 @@ def test_stored_model_scores_alike(spark, parts, tmp_path):
         failed = scoring.score_with_models(sessions.drop("duration"), model, found, mapping)
         row = failed.select("threat_code", "cluster", "response_level", "strategy", "error").distinct().collect()
         assert [tuple(r) for r in row] == [(0, 0, 0, "low", "missing features: duration")]
+
+
+def test_models_are_fitted_side_by_side(spark, parts):
+    from threading import Barrier
+
+    meeting, model = Barrier(2, timeout=60), L.fit_classifier("logistic_regression", parts[0], S.SERVING_FEATURES, iterations=5)
+
+    def fit(name):
+        meeting.wait()
+        return model
+
+    metrics, models = L.bake_off(*parts, S.SERVING_FEATURES, ["svm", "xgboost"], preparation=[], fit=fit)
+    assert [r["model"] for r in metrics.orderBy("position").collect()] == ["svm", "xgboost"] and list(models) == ["svm", "xgboost"]
