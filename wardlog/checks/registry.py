@@ -1612,7 +1612,7 @@ def _(spark, d):
     """The models of several classes on vectors; one against the rest would be ten boosted models."""
     split = materialize(SA.stratified_split(embeddings(spark, d)))
     train, test = split.where(~F.col("is_test")), split.where("is_test")
-    metrics, _models = L.bake_off(train, test, VECTOR, EMBEDDING_MODELS)
+    metrics, _models = L.bake_off(train, test, VECTOR, EMBEDDING_MODELS, trees_in_tasks=True)
     ranges = reduce(lambda a, b: a & b, [F.col(m).between(0, 1) for m in M.WEIGHTED])
     return metrics.select("model", F.col("error").isNull().alias("fitted"), ranges.alias("in_range"))
 
