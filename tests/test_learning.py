@@ -163,3 +163,13 @@ def test_models_are_fitted_side_by_side(spark, parts):
 
     metrics, models = L.bake_off(*parts, S.SERVING_FEATURES, ["svm", "xgboost"], preparation=[], fit=fit)
     assert [r["model"] for r in metrics.orderBy("position").collect()] == ["svm", "xgboost"] and list(models) == ["svm", "xgboost"]
+
+
+@pytest.mark.parametrize("name", ["logistic_regression", "random_forest"])
+def test_models_of_two_classes_after_an_observation(spark, parts, name):
+    from pyspark.sql import Observation
+
+    spark.range(3).observe(Observation("rows"), F.count(F.lit(1)).alias("n")).collect()
+    train, test = (p.where("label < 2") for p in parts)
+    model = L.fit_classifier(name, train, S.SERVING_FEATURES, trees=3, depth=4, iterations=20)
+    assert M.weighted_metrics(model.transform(test)).first()["accuracy"] > 0.7
